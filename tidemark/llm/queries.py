@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, exact_dedup, line_dedup, mixing, quality, toxicity
+from . import bit_sliced, bpe, exact_dedup, line_dedup, mixing, quality, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -39,7 +39,11 @@ def op8_toxic_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score_toxicity(_table(spark, sf_dir, "documents").select("doc_id", "text"), _table(spark, sf_dir, "labels")).drop("passages")
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op2_line_dedup, op3_source_mixing, op4_exact_dedup, op5_compression_quality, op7_byte_bpe, op8_toxic_segments)}
+def op9_bit_sliced_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bit_sliced.top_k(_table(spark, sf_dir, "embeddings"))
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op2_line_dedup, op3_source_mixing, op4_exact_dedup, op5_compression_quality, op7_byte_bpe, op8_toxic_segments, op9_bit_sliced_topk)}
 
 BLANK = r"[\x20\x09-\x0D]"
 
@@ -54,6 +58,15 @@ judged as (select l.doc_id, l.pos, l.line, coalesce(o.own < l.doc_id, false) as
 select doc_id, count(*) as n_lines, count(*) filter (where gone) as n_dropped,
        sha256(coalesce(string_agg(line, chr(10) order by pos) filter (where not gone), '')) as kept_sha256
 from judged group by doc_id""",
+    "op9_bit_sliced_topk": """
+with v as (
+  select vec_id, list_transform(embedding, lambda x: floor(64 * x::double)::bigint) as q from embeddings
+  where embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+pairs as (
+  select a.vec_id as query_id, b.vec_id, list_sum(list_transform(list_zip(a.q, b.q), lambda p: p[1] * p[2]))::bigint as score
+  from v a join v b on a.vec_id % 20 = 0 and a.vec_id <> b.vec_id),
+ranked as (select *, row_number() over (partition by query_id order by score desc, vec_id) as r from pairs)
+select query_id, r::integer as rank, vec_id, score from ranked where r <= 20""",
     "op4_exact_dedup": rf"""
 with t as (select doc_id, regexp_replace(coalesce(text, ''), '{BLANK}+', ' ', 'g') as norm from documents)
 select doc_id, min(doc_id) over (partition by norm) as keep_id, count(*) over (partition by norm) as group_size,
