@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bit_sliced, bloom_lm, bpe, exact_dedup, line_dedup, mixing, quality, toxicity
+from . import bit_sliced, bloom_lm, bpe, exact_dedup, jaccard_join, line_dedup, mixing, quality, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -47,7 +47,11 @@ def op9_bit_sliced_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bit_sliced.top_k(_table(spark, sf_dir, "embeddings"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op2_line_dedup, op3_source_mixing, op4_exact_dedup, op5_compression_quality, op6_bloom_lm, op7_byte_bpe, op8_toxic_segments, op9_bit_sliced_topk)}
+def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.jaccard_components(_table(spark, sf_dir, "documents"))
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op2_line_dedup, op3_source_mixing, op4_exact_dedup, op5_compression_quality, op6_bloom_lm, op7_byte_bpe, op8_toxic_segments, op9_bit_sliced_topk, op10_jaccard_join)}
 
 BLANK = r"[\x20\x09-\x0D]"
 
