@@ -7,13 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bit_sliced, bloom_lm, bpe, exact_dedup, jaccard_join, line_dedup, mixing, quality, toxicity
+from . import bit_sliced, bloom_lm, bpe, exact_dedup, html_extract, jaccard_join, line_dedup, mixing, quality, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_wrapper_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = html_extract.extract(_table(spark, sf_dir, "pages"))
+    return found.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
 def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = line_dedup.dedup_lines(_table(spark, sf_dir, "documents").select("doc_id", "text"))
     return found.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
@@ -51,7 +56,7 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.jaccard_components(_table(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op2_line_dedup, op3_source_mixing, op4_exact_dedup, op5_compression_quality, op6_bloom_lm, op7_byte_bpe, op8_toxic_segments, op9_bit_sliced_topk, op10_jaccard_join)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_wrapper_text, op2_line_dedup, op3_source_mixing, op4_exact_dedup, op5_compression_quality, op6_bloom_lm, op7_byte_bpe, op8_toxic_segments, op9_bit_sliced_topk, op10_jaccard_join)}
 
 BLANK = r"[\x20\x09-\x0D]"
 
