@@ -53,7 +53,8 @@ def op9_bit_sliced_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return jaccard_join.jaccard_components(_table(spark, sf_dir, "documents"))
+    found = jaccard_join.jaccard_components(_table(spark, sf_dir, "documents"), words=4, num=85, den=100)
+    return found.select("doc_id", "n_shingles", "component_id")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_wrapper_text, op2_line_dedup, op3_source_mixing, op4_exact_dedup, op5_compression_quality, op6_bloom_lm, op7_byte_bpe, op8_toxic_segments, op9_bit_sliced_topk, op10_jaccard_join)}
