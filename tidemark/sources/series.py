@@ -66,12 +66,12 @@ def jsonstat(payloads: DataFrame, spec: dict, entry: dict) -> DataFrame:
     """Points of a sparse cube: a flat index is divided by the strides of its dimensions. Values may be a map or a list."""
     doc = F.col("payload")
     raw = feeds.dig(doc, "value")
-    as_map = F.coalesce(F.from_json(raw, "map<int,string>"), F.create_map().cast("map<int,string>"))
+    as_map = F.coalesce(F.from_json(raw, "map<string,string>"), F.create_map().cast("map<string,string>"))
     as_list = F.from_json(raw, "array<string>")
-    values = F.when(F.startswith(F.ltrim(raw), F.lit("[")), F.map_from_arrays(F.sequence(F.lit(0), F.size(as_list) - 1), as_list)).otherwise(as_map)
+    values = F.when(F.startswith(F.ltrim(raw), F.lit("[")), F.map_from_arrays(F.transform(F.sequence(F.lit(0), F.size(as_list) - 1), lambda i: i.cast("string")), as_list)).otherwise(as_map)
     rows = payloads.withColumn("payload", check_status(doc, spec)).select(
         "source_id", "observed_at", "payload", F.from_json(feeds.dig(doc, "id"), "array<string>").alias("dims"), F.from_json(feeds.dig(doc, "size"), "array<int>").alias("sizes"), F.explode(values).alias("flat", "raw")
-    )
+    ).withColumn("flat", F.col("flat").cast("int"))
     rows = rows.filter(F.size("dims") == F.size("sizes")).withColumn("value", number(F.col("raw"))).filter("value is not null")
     dimension = F.from_json(feeds.dig(F.col("payload"), "dimension"), "map<string,struct<category:struct<index:string,label:map<string,string>>>>")
     rows = rows.withColumn("dimension", dimension)
