@@ -27,6 +27,7 @@ from . import common as C
 RUN = "seg long, n long, digests binary, ids binary, counts binary, filter binary"
 WIDTH = 32
 BITS_PER_KEY, PROBES = 12, 6
+COPIES_PER_SALT = 256
 
 
 def _filter_bits(digests: np.ndarray, n_bits: int) -> np.ndarray:
@@ -172,8 +173,11 @@ def dedup_exact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     # byte verification of every hit
     hits = rows.withColumn("digest", digest).join(_small(groups, broadcast_rows), "digest")
-    keepers = hits.filter(F.col("id") == F.col("keep")).select("digest", F.col("norm").alias("kept_norm")).dropDuplicates(["digest"])
-    differs = C.materialise(hits.filter(F.col("id") != F.col("keep")).join(keepers, "digest").filter(F.col("norm") != F.col("kept_norm")).select("digest").distinct(), "digest-collisions")
+    # a keeper's text is sent once for each so many copies, so that a hot group spreads over many tasks
+    salts = F.ceil(F.col("copies") / COPIES_PER_SALT).cast("long")
+    keepers = hits.filter(F.col("id") == F.col("keep")).dropDuplicates(["digest"]).select("digest", F.explode(F.sequence(F.lit(0).cast("long"), salts - 1)).alias("salt"), F.col("norm").alias("kept_norm"))
+    others = hits.filter(F.col("id") != F.col("keep")).withColumn("salt", F.pmod(F.xxhash64("id"), salts))
+    differs = C.materialise(others.join(keepers, ["digest", "salt"]).filter(F.col("norm") != F.col("kept_norm")).select("digest").distinct(), "digest-collisions")
     if digest_bits < 256 or differs.limit(1).count():
         # keepers of an id that repeats may differ among themselves, so shortened digests are always regrouped whole
         again = hits if digest_bits < 256 else hits.join(differs, "digest", "left_semi")
