@@ -1,11 +1,12 @@
 """Quality by compression.
 
 Two zstandard dictionaries are trained, one from good and one from bad labelled texts. A text
-is compressed with each; the difference of the two sizes over the text's size, with the
-log of the size beside it, goes through a logistic function fitted on the half of the sample that
-trained no dictionary.
+is compressed with each; the difference of the two sizes, over the text's size and by its log,
+goes through a logistic function fitted on the half of the sample that trained no dictionary.
+What the calibration also sees is how small the good dictionary makes the text, and the log of its size, since a
+difference means more in some texts than in others.
 
-A null or empty text has difference 0. Texts are compressed whole. Rows that repeat an id are
+A null or empty text has differences of next to 0. Texts are compressed whole. Rows that repeat an id are
 scored each by its own text. Where a class gives too little text for a dictionary, its text
 itself serves as one. Without labels of both classes every score is the smoothed share of
 good labels. Columns other than doc_id and text are not read.
@@ -24,7 +25,7 @@ from pyspark.sql import functions as F
 from . import common as C
 from . import labelled
 
-PIECE = 4096
+PIECE, FEATURES = 4096, 4
 
 
 def _train(size: int, level: int, max_bytes: int):
@@ -57,7 +58,7 @@ class Judge:
     def __getstate__(self):
         return {**self.__dict__, "compressors": []}
 
-    def features(self, text: str) -> tuple[float, float]:
+    def features(self, text: str) -> tuple[float, ...]:
         if not self.compressors:
             for y in (0, 1):
                 kind, data = self.given[y]
@@ -66,12 +67,13 @@ class Judge:
                 self.compressors.append(zstandard.ZstdCompressor(dict_data=d, write_content_size=False, write_checksum=False, write_dict_id=False))
         b = text.encode()
         bad, good = (len(c.compress(b)) for c in self.compressors)
-        return (bad - good) / (len(b) + 20), float(np.log1p(len(b)) / 10)
+        n = len(b) + 20
+        return (bad - good) / n, float(np.sign(bad - good) * np.log1p(abs(bad - good))), good / n, float(np.log1p(len(b)) / 10)
 
     def scores(self, texts: list[str]) -> np.ndarray:
         if len(self.given) < 2:
-            return labelled.probability(np.zeros((len(texts), 2)), self.logit)
-        return labelled.probability(np.array([self.features(t) for t in texts]).reshape(-1, 2), self.logit)
+            return labelled.probability(np.zeros((len(texts), FEATURES)), self.logit)
+        return labelled.probability(np.array([self.features(t) for t in texts]).reshape(-1, FEATURES), self.logit)
 
 
 def fit(docs: DataFrame, labels: DataFrame, *, max_rows: int = 8_000, max_bytes: int = 24_000_000, dictionary_bytes: int = 110_000, level: int = 3) -> Judge:
@@ -79,18 +81,18 @@ def fit(docs: DataFrame, labels: DataFrame, *, max_rows: int = 8_000, max_bytes:
     sample = C.materialise(labelled.training_sample(docs, labels, "quality", max_rows=max_rows, seed=5), "quality-sample")
     texts = sample.filter("half = 0 and text <> ''").select("text", "y", F.xxhash64("doc_id").alias("h"))
     rows = texts.groupBy("y").applyInArrow(_train(dictionary_bytes, level, max_bytes), "y int, kind int, data binary").collect()
-    judge = Judge({int(r.y == 1): (r.kind, bytes(r.data)) for r in rows}, level, np.zeros(3))
+    judge = Judge({int(r.y == 1): (r.kind, bytes(r.data)) for r in rows}, level, np.zeros(FEATURES + 1))
     plain = docs.sparkSession.sparkContext.broadcast(judge)
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         j = plain.value
         for batch in batches:
-            x = [j.features(t.as_py()) if len(j.given) == 2 else (0.0, 0.0) for t in batch.column(0)]
-            yield pa.record_batch([batch.column(1), pa.array([a for a, _ in x], pa.float64()), pa.array([b for _, b in x], pa.float64())], names=["y", "a", "b"])
+            x = [j.features(t.as_py()) if len(j.given) == 2 else (0.0,) * FEATURES for t in batch.column(0)]
+            yield pa.record_batch([batch.column(1), pa.array([list(f) for f in x], pa.list_(pa.float64()))], names=["y", "x"])
 
-    # about max_rows / 2 rows of three numbers
-    rows = sample.filter("half = 1").select("text", "y").mapInArrow(measure, "y int, a double, b double").collect()
-    judge.logit = labelled.fit_logistic(np.array([(r.a, r.b) for r in rows]).reshape(-1, 2), np.array([r.y == 1 for r in rows], dtype=float), ridge=1e-6)
+    # about max_rows / 2 rows of five numbers
+    rows = sample.filter("half = 1").select("text", "y").mapInArrow(measure, "y int, x array<double>").collect()
+    judge.logit = labelled.fit_logistic(np.array([r.x for r in rows]).reshape(-1, FEATURES), np.array([r.y == 1 for r in rows], dtype=float), ridge=1e-6)
     return judge
 
 
