@@ -5,6 +5,7 @@ Regular expressions carry (?U), so that letters, digits and spaces are Unicode's
 
 from __future__ import annotations
 
+import hashlib
 import re
 import unicodedata
 from collections.abc import Iterable
@@ -141,6 +142,13 @@ def _normal(keyword: str) -> str:
     return re.sub(r"\s+", " ", re.sub(r"https?://\S+", " ", t).lower()).strip()
 
 
+def slug_of(text: str) -> str:
+    """slug for text that the driver has."""
+    normal = _normal(text)
+    s = re.sub("[^a-z0-9]+", "_", normal).strip("_")[:60]
+    return s or hashlib.sha256(normal.encode()).hexdigest()[:12]
+
+
 def _quoted(keyword: str) -> str:
     return re.sub(r"([^\w\s])", r"\\\1", keyword)
 

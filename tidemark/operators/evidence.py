@@ -34,10 +34,9 @@ def diversify(rows: DataFrame, order: Sequence[Column], limit: int, keys: Sequen
 
 def bundle(events: DataFrame, topic: signals.Topic, as_of: str, days: int = fixed.EVIDENCE_DAYS, limit: int = fixed.EVIDENCE_LIMIT, statistics: int = fixed.STATISTICS_LIMIT) -> DataFrame:
     """The events that an analysis of the topic may cite: reports, diversified, and statistics, each with its position."""
-    topics = signals.topic_table(events.sparkSession, [topic])
     since = T.instant(as_of).date() - timedelta(days=days)
     rows = events.filter(T.visible(F.col("observed_at"), as_of) & F.coalesce("is_cluster_primary", F.lit(True)) & (F.to_date("event_at") >= F.lit(since)))
-    rows = signals.match_topics(rows, F.broadcast(topics), [topic]).drop("topic")
+    rows = signals.match_topics(rows, [topic]).drop("topic")
     order = [F.col("max_reliability"), F.col("event_at").desc(), F.col("observed_at"), F.col("event_id")]
     reports = diversify(rows.filter(~is_statistic()), order, limit).withColumn("kind", F.lit("report"))
     figures = rows.filter(is_statistic()).withColumn("position", F.row_number().over(Window.partitionBy(F.lit(1)).orderBy(*order))).filter(F.col("position") <= statistics).withColumn("kind", F.lit("statistic"))

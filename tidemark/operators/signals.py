@@ -1,7 +1,7 @@
 """Weak signals: counts in a calendar window against a scaled baseline, gated by observation coverage.
 
-All topics are evaluated in one plan: events are matched to topics (by sector, as an equi-join, and by
-keyword, as constants of the plan), exploded by signal type and aggregated twice.
+All topics are evaluated in one plan: events are matched to topics where they are read, exploded by signal
+type and aggregated twice.
 """
 
 from __future__ import annotations
@@ -32,30 +32,37 @@ def watched() -> list[Topic]:
     return [Topic(name, words, sector) for sector, name, words in fixed.SECTORS]
 
 
+def topic_name(t: Topic) -> str:
+    """What a topic's window ids are made of: its sector's id, or the slug of its label."""
+    return t.sector_id.removeprefix("sec_") if t.sector_id else X.slug_of(t.label)
+
+
 def topic_table(spark, topics: Iterable[Topic]) -> DataFrame:
-    """topic, label, sector_id, is_new_concept; topic is what window ids are made of."""
-    rows = [(t.label, list(t.keywords), t.sector_id, t.is_new_concept) for t in topics]
-    df = spark.createDataFrame(rows, "label string, keywords array<string>, sector_id string, is_new_concept boolean")
-    return df.withColumn("topic", F.coalesce(F.regexp_replace("sector_id", "^sec_", ""), X.slug(F.col("label"))))
+    """topic, label, keywords, sector_id, is_new_concept."""
+    rows = [(topic_name(t), t.label, list(t.keywords), t.sector_id, t.is_new_concept) for t in topics]
+    return spark.createDataFrame(rows, "topic string, label string, keywords array<string>, sector_id string, is_new_concept boolean")
 
 
-def match_topics(events: DataFrame, topics: DataFrame, specs: Sequence[Topic]) -> DataFrame:
-    """events with the topic of each match, once for each topic. By sector: an equi-join. By keyword: one expression a topic."""
-    by_sector = (
-        events.withColumn("_sector", F.explode(F.array_distinct(F.transform("sector_links", lambda s: s["sector_id"]))))
-        .join(topics.filter("sector_id is not null").select("topic", F.col("sector_id").alias("_sector")), "_sector").drop("_sector")
-    )
+def match_topics(events: DataFrame, specs: Sequence[Topic]) -> DataFrame:
+    """events with the topic of each match, by sector or by keyword, once for each topic.
+
+    Topics are constants of the plan: events are matched where they are read, without a join or a shuffle.
+    """
+    none = F.array().cast("array<string>")
+    by_sector: dict[str, list[str]] = {}
+    for t in specs:
+        if t.sector_id:
+            by_sector.setdefault(t.sector_id, []).append(topic_name(t))
+    found = none
+    if by_sector:
+        topics = F.create_map(*[x for s, names in by_sector.items() for x in (F.lit(s), F.array(*map(F.lit, names)))])
+        found = F.coalesce(F.flatten(F.transform("sector_links", lambda s: F.coalesce(F.try_element_at(topics, s["sector_id"]), none))), none)
     named = [t for t in specs if t.keywords]
     if not named:
-        return by_sector
+        return events.withColumn("topic", F.explode(F.array_distinct(found)))
     normal = X.normalize_text(F.concat_ws("\n", "title", F.coalesce("summary", F.lit(""))))
-    # the topics' order in the table is that of the specifications
-    hits = F.array_compact(F.array(*[F.when(F.rlike("_text", F.lit(X.topic_pattern(t.keywords))), F.lit(t.label)) for t in named]))
-    by_word = (
-        events.withColumn("_text", normal).withColumn("_label", F.explode(hits)).drop("_text")
-        .join(topics.select("topic", F.col("label").alias("_label")), "_label").drop("_label")
-    )
-    return by_sector.unionByName(by_word).dropDuplicates(["topic", "event_id"])
+    hits = F.array_compact(F.array(*[F.when(F.rlike("_text", F.lit(X.topic_pattern(t.keywords))), F.lit(topic_name(t))) for t in named]))
+    return events.withColumn("_text", normal).withColumn("topic", F.explode(F.array_distinct(F.concat(found, hits)))).drop("_text")
 
 
 def coverage_starts(events: DataFrame, spans: DataFrame | None = None) -> DataFrame:
@@ -103,7 +110,7 @@ def windows(events: DataFrame, specs: Sequence[Topic], window: T.Window, as_of:
     """
     spark = events.sparkSession
     topics = topic_table(spark, specs)
-    matched = match_topics(events, F.broadcast(topics), specs)
+    matched = match_topics(events, specs)
     counts = type_counts(matched, window)
     rising = counts.filter("rising").select("topic", "signal_type")
     part = matched.filter(window.inside(F.col("event_at"))).withColumn("signal_type", F.explode("signal_types")).join(rising, ["topic", "signal_type"], "left_semi")

@@ -139,8 +139,7 @@ def backfill_coverage(spark, sf_dir):
 @query(EV + "select topic, count(*) as n, count(distinct id) as n_events from (select 's3' as topic, id from pri where sector = 'sec_s3' or event_type = 'purchase' union all select 'clicks' as topic, id from pri where event_type = 'click' union all select 's5' as topic, id from pri where sector = 'sec_s5') group by 1")
 def topic_match_union(spark, sf_dir):
     specs = [signals.Topic("three", ("purchase",), "sec_s3"), signals.Topic("Clicks", ("Click",), None, True), signals.Topic("five", (), "sec_s5")]
-    topics = signals.topic_table(spark, specs)
-    return signals.match_topics(views.primary_events(spark, sf_dir), topics, specs).groupBy("topic").agg(F.count("*").alias("n"), F.count_distinct("id").alias("n_events"))
+    return signals.match_topics(views.primary_events(spark, sf_dir), specs).groupBy("topic").agg(F.count("*").alias("n"), F.count_distinct("id").alias("n_events"))
 
 
 # landing
