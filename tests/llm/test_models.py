@@ -103,7 +103,7 @@ def test_language_model(spark):
 
 
 PAGE = """<!DOCTYPE html><html><head><title>t</title><style>p{{}}</style><script>var a="</p><p>no";</script></head><body><header><h2>Site</h2></header><nav><ul><li><a href=/>Home</a></ul></nav>
-<div class="cookie-notice">We use cookies</div><main><article class=post><h1>Title {i}</h1><p class="byline">Follow us for more stories</p><p>First&nbsp;&amp; {i}
+<div class="cookie-notice">We use cookies</div><main><article class=post><div class="entry-header"><h1>Title {i}</h1></div><p class="byline">Follow us for more stories</p><p>First&nbsp;&amp; {i}
 line<br>next <b>bold</b>text<p>Second &#233; {i}<ul><li>item {i}<li>other {i}</ul><form><input><label>Mail</label></form><!-- <p>hidden</p> --><div class="ad">Buy now {i}</div></article>
 <section id="comments"><p>Reader {i} says hi</p></section></main><aside>Related {i}</aside><footer>&copy; x</footer></body></html>"""
 
