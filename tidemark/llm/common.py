@@ -33,7 +33,16 @@ def materialise(df: DataFrame, tag: str) -> DataFrame:
     """df as a table in the shared folder: computed once, and still there when executors are lost."""
     path = new_path(df.sparkSession, tag)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out._tidemark_path = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Removes materialised tables that nothing still to be computed reads."""
+    for df in tables:
+        path = df.sparkSession._jvm.org.apache.hadoop.fs.Path(df._tidemark_path)
+        path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def one_space(text: Column) -> Column:

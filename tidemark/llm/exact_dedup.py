@@ -133,8 +133,9 @@ class DigestIndex:
             self.levels.append([])
         self.levels[level].append(C.materialise(run, f"digest-run-{level}"))
         if len(self.levels[level]) == self.fanout:
-            runs, self.levels[level] = self._union(self.levels[level]), []
-            self._put(level + 1, runs.groupBy("seg").applyInArrow(_compact, RUN))
+            old, self.levels[level] = self.levels[level], []
+            self._put(level + 1, self._union(old).groupBy("seg").applyInArrow(_compact, RUN))
+            C.discard(*old)
 
     @staticmethod
     def _union(runs: list[DataFrame]) -> DataFrame:
