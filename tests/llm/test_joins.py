@@ -77,6 +77,29 @@ def test_large_clusters_go_through_blocks(spark, monkeypatch):
         spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
 
 
+def of_sets(sets):
+    """Texts of one-word shingles, their nodes, and the bound on each two texts' overlap."""
+    texts = [" ".join(s) for s in sets]
+    found = [x for _, x, _ in jaccard_join.shingle_sets(texts, 1, jaccard_join.Hashes())]
+    classes = jaccard_join.Classes([jaccard_join.classes_of(x) for x in found])
+    return texts, [jaccard_join.node_of(x) for x in found], lambda i, j: int(classes.most_overlap(i, np.array([j]))[0])
+
+
+def test_every_likely_pair_of_a_large_cluster_counts(spark, monkeypatch):
+    """a and b are alike and meet in lists of three only; c and d, first in b's likely pairs, are not alike with it."""
+    monkeypatch.setattr(jaccard_join, "CELL", 3)
+    for seed in range(10000):
+        w = [f"s{seed}w{i}" for i in range(100)]
+        lacking = {"b": (0, 0), "a": (0, 11), "c": (11, 23), "d": (23, 35)}
+        sets = [[*w[:x], *w[y:], *(f"s{seed}{name}{i}" for i in range(y - x))] for name, (x, y) in lacking.items()]
+        texts, (b, a, c, d), bound = of_sets(sets)
+        if max(c, d) < a < b and min(bound(0, j) for j in (1, 2, 3)) >= 89:
+            break
+    rows = list(enumerate(texts))
+    got = jaccard_join.jaccard_components(spark.createDataFrame(rows, "doc_id long, text string"), words=1, num=80, den=100).collect()
+    assert sorted((r.doc_id, r.n_shingles, r.component_id) for r in got) == brute(rows, 1, 80, 100) == [(0, 100, 0), (1, 100, 0), (2, 100, 2), (3, 100, 3)]
+
+
 def test_rule_sizes_and_boundary():
     rule = jaccard_join.Rule(85, 100)
     for n in range(1, 40):

@@ -14,7 +14,8 @@ lists too. The boundary is where keys and expected list entries together cost le
 A key's sets are linked to the first and to the next of them, never pair by pair. Such a pair is
 dropped if a bound on its overlap, from counts of its shingles by hash class, is too low. The components of
 those left are clusters; a cluster's whole sets meet in blocks of bounded size, each sent once
-where the cluster is small, and only the links that join components come back. Where the sets of a
+where the cluster is small, and only the links that join components come back; of larger clusters every likely
+pair whose sets no link joins yet is verified. Where the sets of a
 key then still lie in several components and clusters, blocks of them are compared by the bound, and what it
 allows is clustered and verified likewise. So no link between components is lost, and no list
 of pairs is made. Equal sets are one node from the start; hot keys are salted.
@@ -506,14 +507,28 @@ def jaccard_components(docs: DataFrame, *, id_col: str = "doc_id", text_col: str
         blocks = _blocks(members.join(sets, "node"), "cluster", ["node", "label", "shingles"])
         return blocks.groupBy("cluster", "i", "j").applyInArrow(_block_links(rule), "a long, b long")
 
-    # small clusters of likely pairs: all their sets at once. In larger ones up to two likely pairs a set; what is missed there is sought below
+    def alike(of: DataFrame) -> DataFrame:
+        """Those pairs of `of` (a, b) whose whole sets are alike."""
+        full = of.join(side("a", sets, ["shingles"]), "a").join(side("b", sets, ["shingles"]), "b").select("a", "b", "shingles_a", "shingles_b")
+        return full.mapInArrow(_verified(rule), "a long, b long")
+
+    # small clusters of likely pairs: all their sets at once. In larger ones two likely pairs a set, then all those whose sets are still apart
     likely_clusters = clusters(likely)
     sets = sets_of(likely_clusters.select("node"))
     edges = linked(likely_clusters.filter(F.col("m") <= CELL).withColumn("label", F.col("node")), sets)
     large = likely_clusters.filter(F.col("m") > CELL).select(F.col("node").alias("b"))
-    some = likely.join(large, "b", "left_semi").withColumn("_nth", F.row_number().over(Window.partitionBy("b").orderBy("a"))).filter("_nth <= 2")
-    full = some.join(side("a", sets, ["shingles"]), "a").join(side("b", sets, ["shingles"]), "b").select("a", "b", "shingles_a", "shingles_b")
-    edges = C.materialise(edges.unionByName(full.mapInArrow(_verified(rule), "a long, b long")), "edges")
+    ranked = C.materialise(likely.join(large, "b", "left_semi").withColumn("_nth", F.row_number().over(Window.partitionBy("b").orderBy("a"))), "pairs-of-large-clusters")
+    edges = C.materialise(edges.unionByName(alike(ranked.filter("_nth <= 2"))), "edges")
+    rest = ranked.filter("_nth > 2").select("a", "b")
+    if rest.limit(1).count():
+        first = components(edges)
+        for x in ("a", "b"):
+            rest = rest.join(first.select(F.col("node").alias(x), F.col("label").alias(f"label_{x}")), x, "left")
+        apart = C.materialise(rest.filter(F.coalesce("label_a", "a") != F.coalesce("label_b", "b")).select("a", "b"), "pairs-apart")
+        more = C.materialise(edges.unionByName(alike(apart)), "edges")
+        C.discard(edges, apart)
+        edges = more
+    C.discard(ranked)
     labels = C.materialise(components(edges), "labels")
     C.discard(sets, likely)
 
