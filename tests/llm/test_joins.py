@@ -100,6 +100,20 @@ def test_every_likely_pair_of_a_large_cluster_counts(spark, monkeypatch):
     assert sorted((r.doc_id, r.n_shingles, r.component_id) for r in got) == brute(rows, 1, 80, 100) == [(0, 100, 0), (1, 100, 0), (2, 100, 2), (3, 100, 3)]
 
 
+def test_salted_lists_of_three_sets(spark):
+    """Two sets alike meet only in hot lists, in different salts; the third set there, the hub, is too large for both."""
+    for seed in range(10000):
+        w = [f"s{seed}w{i}" for i in range(190)]
+        sets = [w, *([*w[:90], *(f"s{seed}{name}{i}" for i in range(10))] for name in "yz")]
+        texts, (hub, y, z), _ = of_sets(sets)
+        if hub < min(y, z) and len({x % jaccard_join.SALTS for x in (hub, y, z)}) == 3:
+            break
+    rows = list(enumerate([texts[0]] * 60 + texts[1:]))
+    got = jaccard_join.jaccard_components(spark.createDataFrame(rows, "doc_id long, text string"), words=1, num=80, den=100).collect()
+    assert sorted((r.doc_id, r.n_shingles, r.component_id) for r in got) == brute(rows, 1, 80, 100)
+    assert {r.component_id for r in got if r.doc_id >= 60} == {60}
+
+
 def test_rule_sizes_and_boundary():
     rule = jaccard_join.Rule(85, 100)
     for n in range(1, 40):

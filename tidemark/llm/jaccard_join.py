@@ -533,12 +533,14 @@ def jaccard_components(docs: DataFrame, *, id_col: str = "doc_id", text_col: str
     C.discard(sets, likely)
 
     # lists whose sets lie in several components, unless one cluster of whole comparisons holds them
-    members = lists.filter("b is null").select("key", F.col("a").alias("node")).distinct()
+    members = lists.filter("b is null").groupBy("key", F.col("a").alias("node")).agg(F.max("centre").alias("salted"))
     small = likely_clusters.filter(F.col("m") <= CELL).select("node", "cluster")
     members = members.join(labels, "node", "left").join(small, "node", "left").withColumn("label", F.coalesce("label", "node"))
     members = C.materialise(members.withColumn("cluster", F.coalesce("cluster", "node")), "members")
     who = F.sum(F.xxhash64("node").cast("decimal(38,0)"))
-    open_keys = members.groupBy("key").agg(F.count("*").alias("m"), F.min("label").alias("lo"), F.max("label").alias("hi"), F.min("cluster").alias("c_lo"), F.max("cluster").alias("c_hi"), who.alias("who")).filter("lo <> hi and c_lo <> c_hi and m > 3")
+    open_keys = members.groupBy("key").agg(F.count("*").alias("m"), F.min("label").alias("lo"), F.max("label").alias("hi"), F.min("cluster").alias("c_lo"), F.max("cluster").alias("c_hi"), who.alias("who"), F.max("salted").alias("salted"))
+    # of up to three sets every two are a pair already, but not where salts deal them to several lists
+    open_keys = open_keys.filter("lo <> hi and c_lo <> c_hi and (m > 3 or m = 3 and salted)")
     # lists of the same sets are one
     open_keys = C.materialise(open_keys.groupBy("who", "m").agg(F.min("key").alias("key")).select("key", "m"), "open-lists")
     if open_keys.limit(1).count():
