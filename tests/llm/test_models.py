@@ -122,6 +122,13 @@ def test_extraction(spark):
     assert html_extract.extract(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
 
 
+def test_equal_pages_count_once_for_template(spark):
+    page = "<html><body><main><article><h1>{0} title</h1><p>{0} text</p></article></main></body></html>"
+    rows = [(i, f"https://z.org/{i}", page.format("copied" if i < 6 else f"own {i}")) for i in range(9)]
+    got = {r.page_id: r.text for r in html_extract.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert got == {i: "copied title\n\ncopied text" if i < 6 else f"own {i} title\n\nown {i} text" for i in range(9)}
+
+
 def test_tree_matching():
     a = ("b", ("p",), ("div", ("p",), ("q",)), ("p",))
     b = ("b", ("div", ("q",)), ("p",), ("x",))

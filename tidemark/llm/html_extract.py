@@ -406,8 +406,7 @@ def extract(pages: DataFrame, *, least_pages: int = 5, constant_share: float = 0
     references = C.materialise(_top_shapes(shapes).groupBy("host").applyInArrow(_fold_shapes(reference_chars), "host string, reference string"), "references")
     small = references.limit(broadcast_rows + 1).count() <= broadcast_rows
     hint = F.broadcast if small else (lambda df: df)
-    distinct = rows.select("host", "html").join(hint(references), "host")
-    slots = distinct.mapInArrow(_slots, "host string, path string, hash long").groupBy("host", "path", "hash").agg(F.count("*").alias("n"))
+    slots = _distinct(rows.select("host", "html"), broadcast_rows).join(hint(references), "host").mapInArrow(_slots, "host string, path string, hash long").groupBy("host", "path", "hash").agg(F.count("*").alias("n"))
     common = slots.filter(F.col("n") >= least_pages)
     having = common.filter("hash is null").select("host", "path", F.col("n").alias("pages"))
     constant = common.filter("hash is not null").join(having, ["host", "path"]).filter(F.col("n") > F.col("pages") * constant_share)
@@ -417,6 +416,18 @@ def extract(pages: DataFrame, *, least_pages: int = 5, constant_share: float = 0
     return rows.join(hint(wrappers), "host").select("page_id", "url", "html", "reference", "constant").mapInArrow(_read, "page_id long, url string, text string")
 
 
+def _distinct(pages: DataFrame, broadcast_rows: int) -> DataFrame:
+    """host, html with equal pages once. Only pages that have copies, told by a hash first, are shuffled."""
+    hashed = pages.withColumn("_hash", F.xxhash64("html"))
+    copied = C.materialise(hashed.groupBy("host", "_hash").agg(F.count("*").alias("_n")).filter("_n > 1").drop("_n"), "copied")
+    n = copied.limit(broadcast_rows + 1).count()
+    if not n:
+        return pages
+    found = F.broadcast(copied) if n <= broadcast_rows else copied
+    copies = hashed.join(found, ["host", "_hash"], "left_semi").select("host", "html").distinct()
+    return hashed.join(found, ["host", "_hash"], "left_anti").select("host", "html").unionByName(copies)
+
+
 def _top_shapes(shapes: DataFrame, most: int = 200) -> DataFrame:
     from pyspark.sql import Window
 
