@@ -129,6 +129,19 @@ def test_equal_pages_count_once_for_template(spark):
     assert got == {i: "copied title\n\ncopied text" if i < 6 else f"own {i} title\n\nown {i} text" for i in range(9)}
 
 
+def test_template_in_shapes_beyond_the_reference(spark):
+    """The reference holds the first shape only; texts that the others share, among themselves or with it, are template too."""
+    page = "<html><body><main><article>{}</article></main></body></html>"
+    rows = [(i, f"<h2>Head {i}</h2><p>Same text</p>") for i in range(10)]
+    rows += [(i, f"<h2>Head {i}</h2><p>Mine {i}</p>" + "".join(f"<h{3 + j}>Part {i}</h{3 + j}>" for j in range(4) if i >> j & 1) + "<blockquote><p>Sign up</p></blockquote>") for i in range(10, 16)]
+    rows += [(16, "<h2>Head</h2><p>Mine</p><h2>Next</h2><p>Same text</p>")]
+    df = spark.createDataFrame([(i, f"https://z.org/{i}", page.format(t)) for i, t in rows], "page_id long, url string, html string")
+    got = {r.page_id: r.text for r in html_extract.extract(df, reference_chars=20).collect()}
+    assert all(got[i] == f"Head {i}" for i in range(10))
+    assert all(got[i] == "\n\n".join([f"Head {i}", f"Mine {i}", *[f"Part {i}"] * i.bit_count()]) for i in range(10, 16))
+    assert got[16] == "Head\n\nMine\n\nNext"
+
+
 def test_tree_matching():
     a = ("b", ("p",), ("div", ("p",), ("q",)), ("p",))
     b = ("b", ("div", ("q",)), ("p",), ("x",))

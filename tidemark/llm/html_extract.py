@@ -2,8 +2,10 @@
 
 Every page becomes a small tree of blocks. Pages of one host are aligned by simple tree
 matching, each with the host's reference tree, the union of the shapes that the host's pages
-have. A matched node whose text is the same on most of the host's pages is template. The
-other matched nodes are varying slots; they and the nodes that match nothing are content if they
+have. A matched node whose text is the same on most of the host's pages is template. A node that matches
+nothing, as the reference is bounded and may lack its shape, is counted by its place, the tags that lead to it, and is
+template likewise, or if a template text of the reference has that place. The
+other nodes are varying slots; they are content if they
 lie in the page's article and not in a part that serves the site (menus, headers, footers, sidebars, notices,
 adverts, forms, comments). Where a page marks no article, its article is the smallest subtree
 that holds most of the text outside such parts and links.
@@ -231,8 +233,8 @@ def union(a: tuple, b: tuple, memo: dict | None = None) -> tuple:
     return (a[0], *out)
 
 
-def align(node: Node, s: tuple, reference: tuple, path: str, memo: dict) -> Iterator[tuple[Node, str | None]]:
-    """Every node below and its path in the reference, None where the match leaves it out. s: the node's shape."""
+def align(node: Node, s: tuple, reference: tuple, path: str, memo: dict, place: str = "") -> Iterator[tuple[Node, str]]:
+    """Every node below and its path in the reference; where the match leaves it out, its place, the labels from the root on. s: the node's shape."""
     of = dict((j, i) for i, j in aligned(reference, s, memo))
     k = 0
     last = None
@@ -241,12 +243,29 @@ def align(node: Node, s: tuple, reference: tuple, path: str, memo: dict) -> Iter
         if t != last:
             k, last = k + 1, t
         i = of.get(k)
-        here = f"{path}.{i}" if i is not None else None
+        there = f"{place}/{c.label()}"
+        here = f"{path}.{i}" if i is not None else there
         yield c, here
         if i is not None:
-            yield from align(c, s[k], reference[i], here, memo)
+            yield from align(c, s[k], reference[i], here, memo, there)
         else:
-            yield from ((d, None) for d in _below(c))
+            yield from _placed(c, there)
+
+
+def _placed(node: Node, place: str) -> Iterator[tuple[Node, str]]:
+    for c in node.children:
+        there = f"{place}/{c.label()}"
+        yield c, there
+        yield from _placed(c, there)
+
+
+def _place(reference: tuple, path: str) -> str:
+    """The place of a path of the reference."""
+    out = ""
+    for i in path.split(".")[1:]:
+        reference = reference[int(i)]
+        out += "/" + reference[0]
+    return out
 
 
 def _below(node: Node) -> Iterator[Node]:
@@ -309,20 +328,20 @@ def _fold_shapes(most: int):
     return run
 
 
-def _paths(page: Node, reference: str, decoded: Remembered) -> list[tuple[Node, str | None]]:
+def _paths(page: Node, reference: str, decoded: Remembered) -> list[tuple[Node, str]]:
     ref = decoded.get_(reference)
     return list(align(page, shape(page), ref, "", {}))
 
 
 def _slots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """host, path and hash of the text of every matched text block, once a page; and once for each path that a page has, without a hash."""
+    """host, path and hash of the text of every text block, once a page; and once for each path that a page has, without a hash."""
     decoded = Remembered(_decode)
     for b in batches:
         hosts, paths, texts = [], [], []
         for host, text, reference in zip(b.column(0).to_pylist(), b.column(1), b.column(2).to_pylist(), strict=True):
             seen = set()
             for node, path in _paths(parse(text.as_py() or ""), reference, decoded):
-                if path is not None and node.tag == "#":
+                if node.tag == "#":
                     seen |= {(path, None), (path, xxhash.xxh3_64_intdigest(node.text[0]) - (1 << 63))}
             for path, text_hash in seen:
                 hosts.append(host)
@@ -379,15 +398,22 @@ def main_text(root: Node, template: set[int]) -> str:
 
 def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     decoded = Remembered(_decode)
+
+    def constants(reference: str, constant: tuple[str, ...]) -> set[tuple[str, str]]:
+        """Path and hash of template texts, and where they lie: a node that matches nothing is told by its place."""
+        found = {(p, h) for p, h in (c.rsplit(":", 1) for c in constant)}
+        return found | {(_place(decoded.get_(reference), p), h) for p, h in found if p.startswith(".")}
+
+    known = Remembered(constants, 200)
     for b in batches:
         out = []
         for text, reference, constant in zip(b.column(2), b.column(3).to_pylist(), b.column(4).to_pylist(), strict=True):
             page = parse(text.as_py() or "")
-            fixed = {tuple(x) for x in (c.rsplit(":", 1) for c in constant or [])}
+            fixed = known.get_(reference, tuple(constant or ()))
             template: set[int] = set()
             if fixed:
                 for node, path in _paths(page, reference, decoded):
-                    if path is not None and node.tag == "#" and (path, str(xxhash.xxh3_64_intdigest(node.text[0]) - (1 << 63))) in fixed:
+                    if node.tag == "#" and (path, str(xxhash.xxh3_64_intdigest(node.text[0]) - (1 << 63))) in fixed:
                         template.add(id(node))
             out.append(main_text(page, template))
         yield pa.record_batch([b.column(0), b.column(1), pa.array(out, pa.string())], names=["page_id", "url", "text"])
@@ -410,7 +436,7 @@ def extract(pages: DataFrame, *, least_pages: int = 5, constant_share: float = 0
     common = slots.filter(F.col("n") >= least_pages)
     having = common.filter("hash is null").select("host", "path", F.col("n").alias("pages"))
     constant = common.filter("hash is not null").join(having, ["host", "path"]).filter(F.col("n") > F.col("pages") * constant_share)
-    # fewer than 1 / constant_share times a page's blocks for each node of the bounded reference
+    # fewer than 1 / constant_share times a page's blocks for each node of the bounded reference and each place
     constant = constant.groupBy("host").agg(F.collect_list(F.concat_ws(":", "path", "hash")).alias("constant"))
     wrappers = C.materialise(references.join(constant, "host", "left"), "wrappers")
     return rows.join(hint(wrappers), "host").select("page_id", "url", "html", "reference", "constant").mapInArrow(_read, "page_id long, url string, text string")
