@@ -77,6 +77,13 @@ def test_report_shape(spark):
         report.guard("buy $AAPL", "x")
 
 
+def test_report_counts_all_new_concepts(spark):
+    events = spark.createDataFrame([], schemas.EVENT + ", quantities array<struct<label:string,unit:string,scale:string,period:string,value:double>>")
+    windows = spark.createDataFrame([(f"w{i:02}", f"topic {i}", True, True, True, 3, 3) for i in range(11)], "window_id string, label string, threshold_met boolean, is_new_concept boolean, baseline_covered boolean, distinct_signal_types long, distinct_sources long")
+    body = report.build(events, windows, "2026-07-02T00:00:00Z", "2026-07-01")["sections"][8]["body"]
+    assert body.split("\n") == ["11 件の新概念候補を検出。", *(f"- topic {i}" for i in range(8))]
+
+
 def predictions(spark):
     t = T.instant("2026-01-01T00:00:00Z").replace(tzinfo=None)
     return spark.createDataFrame([("grid capacity", t, "2026-06-30", "gw", ">=", 24.0, None, "f"), ("prices", t, "2026-06-30", "eur", "between", 1.0, 2.0, "f")], "statement string, issued_at timestamp, due_date string, metric string, operator string, value double, value_upper double, falsifier string").withColumn("due_date", F.to_date("due_date"))

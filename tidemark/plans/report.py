@@ -91,8 +91,9 @@ def build(events: DataFrame, windows: DataFrame, as_of: str, day: str, sources:
         bodies[7] = f"しきい値を満たした topic はなし。うち {totals.held} 件は判定を保留している。"
     sectors = spark.createDataFrame([(i, s, n) for i, (s, n, _) in enumerate(fixed.SECTORS)], "position int, sector_id string, name string")
     bodies[8] = f"常時監視 {len(fixed.SECTORS)} セクターの本日の観測件数。" + _bullets([f"{r.name} ({r.sector_id}): 本日 {r.n} 件" for r in sector_counts(rows, sectors).collect()])
-    new = windows.filter("threshold_met and is_new_concept").orderBy("window_id").limit(fixed.REPORT_ITEMS).collect()
-    bodies[9] = f"{len(new)} 件の新概念候補を検出。" + _bullets([r.label for r in new]) if new else f"{NONE}（既知セクターに属さない同時増加は検出されていない）"
+    new = windows.filter("threshold_met and is_new_concept")
+    n = new.count()
+    bodies[9] = f"{n} 件の新概念候補を検出。" + _bullets([r.label for r in new.orderBy("window_id").limit(fixed.REPORT_ITEMS).collect()]) if n else f"{NONE}（既知セクターに属さない同時増加は検出されていない）"
     bodies[11] = bodies[12] = f"{NONE}（サプライチェーン分析がまだ作成されていない）"
     if "nodes" in extra:
         found = graphs.bottleneck_nodes(extra["nodes"])
