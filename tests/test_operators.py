@@ -1,8 +1,9 @@
+import argparse
 import random
 
 import pytest
 from pyspark.sql import functions as F
-from tidemark import schemas
+from tidemark import cli, schemas
 from tidemark.functions import time as T
 from tidemark.operators import backtest, dedup, evidence, graphs, rules
 from tidemark.plans import analysis, normalize, report, review
@@ -105,6 +106,21 @@ def test_prediction_loop(spark):
         review.issue(predictions(spark).withColumn("falsifier", F.lit("")))
 
 
+def test_review_and_validation_list_everything(spark, tmp_path, capsys):
+    many = spark.range(205)
+    issued = many.select(F.format_string("prd_%03d", "id").alias("prediction_id"), F.lit("2026-01-01").cast("timestamp").alias("issued_at"), F.lit("2026-06-30").cast("date").alias("due_date"))
+    results = many.select(F.format_string("res_%03d", "id").alias("result_id"), F.format_string("old_%03d", "id").alias("prediction_id"), F.lit("2026-01-01").cast("timestamp").alias("evaluated_at"), F.lit("hit").alias("verdict"), F.lit("none").alias("cause_category"), F.struct(F.lit("open").alias("status"), F.format_string("do %03d", "id").alias("action")).alias("improvement"))
+    lines = review.monthly(issued, results, "2026-07-02T00:00:00Z").split("\n")
+    assert [x for x in lines if "prd_" in x] == [f"- prd_{i:03} 期限 2026-06-30" for i in range(205)]
+    assert [x for x in lines if "[open]" in x] == [f"- [open] do {i:03}" for i in range(205)]
+    claims = F.array().cast("array<struct<claim_id:string,type:string,basis:array<string>>>").alias("claims")
+    many.select(F.format_string("evt_%03d", "id").alias("event_id"), claims, F.array().cast("array<string>").alias("sources"), F.lit("2026-01-01").cast("timestamp").alias("observed_at")).write.parquet(str(tmp_path / "events"))
+    with pytest.raises(SystemExit) as stopped:
+        cli.do_validate(spark, argparse.Namespace(data=str(tmp_path), as_of="2026-07-02T00:00:00Z"))
+    printed = capsys.readouterr().out.split("\n")
+    assert stopped.value.code == 1 and [x.split()[0] for x in printed[:205]] == [f"evt_{i:03}" for i in range(205)] and printed[205] == "205 violations"
+
+
 def test_landing_twice_adds_nothing(spark, tmp_path):
     t = T.instant("2026-08-13T00:00:00Z").replace(tzinfo=None)
     df = spark.createDataFrame([("a", t), ("b", t), ("a", t), ("c", t)], "raw_id string, observed_at timestamp")

@@ -55,14 +55,17 @@ def do_report(spark: SparkSession, a: argparse.Namespace) -> None:
 
 
 def do_review(spark: SparkSession, a: argparse.Namespace) -> None:
-    print(review.monthly(spark.read.parquet(f"{a.data}/predictions"), spark.read.parquet(f"{a.data}/results"), a.as_of))
+    for line in review.monthly_lines(spark.read.parquet(f"{a.data}/predictions"), spark.read.parquet(f"{a.data}/results"), a.as_of):
+        print(line)
 
 
 def do_validate(spark: SparkSession, a: argparse.Namespace) -> None:
-    found = rules.events(spark.read.parquet(f"{a.data}/events"), a.as_of).limit(100).collect()
-    for r in found:
+    n = 0
+    for r in rules.events(spark.read.parquet(f"{a.data}/events"), a.as_of).orderBy("key", "rule", "detail").toLocalIterator():
         print(r.key, r.rule, r.detail)
-    raise SystemExit(int(bool(found)))
+        n += 1
+    print(n, "violations")
+    raise SystemExit(int(n > 0))
 
 
 def main(argv: list[str] | None = None) -> None:

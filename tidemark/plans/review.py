@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -30,15 +32,25 @@ def record(predictions: DataFrame, measured: DataFrame, evaluated_at: str) -> Da
     return rows.select(ids.result_id(at, F.col("prediction_id"), T.fmt(at)).alias("result_id"), "prediction_id", at.alias("evaluated_at"), "verdict", "actual", "error_absolute", "error_relative", "cause_category", "narrative")
 
 
-def monthly(predictions: DataFrame, results: DataFrame, as_of: str, most: int = 200) -> str:
-    """The month's review as text; at most `most` lines of what is due."""
+def monthly(predictions: DataFrame, results: DataFrame, as_of: str) -> str:
+    """The month's review as text, with all that is due and open."""
+    return "\n".join(monthly_lines(predictions, results, as_of)) + "\n"
+
+
+def monthly_lines(predictions: DataFrame, results: DataFrame, as_of: str) -> Iterator[str]:
+    """The lines of the month's review; a partition at a time comes to the driver."""
     a = backtest.accuracy(predictions, results, as_of).first()
     rate = a.hit_rate if a.hit_rate is not None else "判定済みの予測がまだ無い"
-    lines = [f"# 予測レビュー {T.instant(as_of):%Y-%m}", "", f"- 発行済み {a.total} / 判定済み {a.resolved}（的中 {a.hit} / 外れ {a.miss} / 部分 {a.partial}）", f"- 判定不能 {a.unresolvable} / 未判定 {a.pending}", f"- 的中率: {rate}", "", "## 外れた原因の内訳", ""]
-    lines += [f"- {r.cause_category}: {r.n} 件" for r in backtest.causes(predictions, results, as_of).collect()] or ["- 該当なし"]
-    lines += ["", "## 判定期限を迎えた未処理の予測", ""]
-    lines += [f"- {r.prediction_id} 期限 {r.due_date}" for r in backtest.due(predictions, results, as_of).orderBy("prediction_id").limit(most).collect()] or ["- 該当なし"]
+    yield from [f"# 予測レビュー {T.instant(as_of):%Y-%m}", "", f"- 発行済み {a.total} / 判定済み {a.resolved}（的中 {a.hit} / 外れ {a.miss} / 部分 {a.partial}）", f"- 判定不能 {a.unresolvable} / 未判定 {a.pending}", f"- 的中率: {rate}", "", "## 外れた原因の内訳", ""]
+    yield from _or_none(f"- {r.cause_category}: {r.n} 件" for r in backtest.causes(predictions, results, as_of).collect())
+    yield from ["", "## 判定期限を迎えた未処理の予測", ""]
+    yield from _or_none(f"- {r.prediction_id} 期限 {r.due_date}" for r in backtest.due(predictions, results, as_of).orderBy("prediction_id").toLocalIterator())
     if "improvement" in results.columns:
-        lines += ["", "## 未着手の改善アクション", ""]
-        lines += [f"- [{r.status}] {r.action}" for r in backtest.open_improvements(results).limit(most).collect()] or ["- 該当なし"]
-    return "\n".join(lines) + "\n"
+        yield from ["", "## 未着手の改善アクション", ""]
+        yield from _or_none(f"- [{r.status}] {r.action}" for r in backtest.open_improvements(results).orderBy("result_id").toLocalIterator())
+
+
+def _or_none(lines: Iterator[str]) -> Iterator[str]:
+    first = next(lines, None)
+    yield "- 該当なし" if first is None else first
+    yield from lines
