@@ -41,6 +41,26 @@ def test_held_out_accuracy(tables, score, k):
     assert sum(r.predicted == truth[r.doc_id][k] for r in held) / len(held) > 0.93
 
 
+def test_toxicity_of_held_out_rows_of_a_corpus(spark):
+    """Recall at the fixed cut, and at the cut that 5 % of the clean rows reach."""
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.1/{t}.parquet") for t in ("documents", "labels"))
+    rows = toxicity.score_toxicity(docs.select("doc_id", "text"), labels).join(labels, "doc_id").filter("held_out").select("score", "predicted", "toxic").collect()
+    clean = sorted(r.score for r in rows if not r.toxic)
+    toxic = [r for r in rows if r.toxic]
+    assert len(toxic) > 80 and sum(r.predicted for r in toxic) >= 0.85 * len(toxic)
+    assert sum(r.predicted for r in rows if not r.toxic) <= 0.01 * len(clean)
+    assert sum(r.score > clean[int(0.95 * len(clean))] for r in toxic) >= 0.9 * len(toxic)
+
+
+def test_toxic_stems_and_repeats():
+    """A form that the sample lacks is judged by its stem; a context counts once, however often it repeats."""
+    m = toxicity.ToxicModel(weights={"vile": 5.0, "vilely": -0.4}, stems={"vil": 4.0, "nasti": 3.0})
+    assert [s for *_, s in m.segments("a vile b c d e f g h i j k l m n vileness o".split())] == [5.0, 4.0]
+    assert m.segments(["vilely", "vil", "nasti", "kind", "thing"]) == []
+    assert m.segments(["vile"] * 9)[0][2] < 3 * 5.0 and m.segments([]) == []
+    assert m.features([], 0) == m.features([], 10) == (0.0, 0.0)
+
+
 def test_passages_and_drop(tables):
     docs, labels, truth = tables
     rows = {r.doc_id: r for r in toxicity.score_toxicity(docs, labels).collect()}
@@ -48,7 +68,9 @@ def test_passages_and_drop(tables):
     spans = [text[i][p.start : p.end] for i, r in rows.items() if i in truth and truth[i][1] for p in r.passages]
     assert spans and all("vile" in s.lower() or "nasty" in s.lower() for s in spans)
     kept = toxicity.drop_toxic(docs, labels)
-    assert kept.columns == docs.columns and {r.doc_id for r in kept.collect()} == {i for i, r in rows.items() if not r.predicted}
+    assert kept.columns == docs.columns and {r.doc_id for r in kept.collect()} <= {i for i, r in rows.items() if not r.predicted}
+    assert {i for i, (_, toxic) in truth.items() if not toxic} - {r.doc_id for r in kept.collect()} == set()
+    assert {r.doc_id for r in toxicity.drop_toxic(docs, labels, threshold=0.5).collect()} == {i for i, r in rows.items() if not r.predicted}
 
 
 @pytest.mark.parametrize("score", [quality.score_quality, toxicity.score_toxicity])
