@@ -165,9 +165,57 @@ def test_template_in_shapes_beyond_the_reference(spark):
 
 
 def test_tree_matching():
-    a = ("b", ("p",), ("div", ("p",), ("q",)), ("p",))
-    b = ("b", ("div", ("q",)), ("p",), ("x",))
-    assert html_extract.match(a, b) == 4 and html_extract.match(a, a) == 6 and html_extract.match(("a",), ("b",)) == 0
-    u = html_extract.union(a, b)
-    assert html_extract.match(u, a) == 6 and html_extract.match(u, b) == 5
-    assert html_extract._decode(html_extract._encode(u)) == u
+    w = html_extract.Shapes()
+    a, b = w.decode("(b(p)(div(p)(q))(p))"), w.decode("(b(div(q))(p)(x))")
+    assert w.match(a, b) == 4 and w.match(a, a) == 6 and w.match(w.decode("(a)"), w.decode("(b)")) == 0
+    u = w.union(a, b)
+    assert w.match(u, a) == 6 and w.match(u, b) == 5
+    assert w.decode(w.encode(u)) == u and w.aligned(a, b) == {0: 1, 1: 2}
+
+
+def test_tree_matching_like_brute_force():
+    rng = random.Random(9)
+
+    def tree(depth):
+        return (rng.choice("ab"), *(tree(depth - 1) for _ in range(rng.randrange(0, 4) if depth else 0)))
+
+    def text(t):
+        return "(" + t[0] + "".join(map(text, t[1:])) + ")"
+
+    def best(a, b):
+        def rows(x, y):
+            return 0 if not x or not y else max(rows(x[1:], y), rows(x, y[1:]), best(x[0], y[0]) + rows(x[1:], y[1:]))
+
+        return 0 if a[0] != b[0] else 1 + rows(a[1:], b[1:])
+
+    for _ in range(150):
+        a, b = tree(3), tree(3)
+        w = html_extract.Shapes()
+        assert w.match(w.decode(text(a)), w.decode(text(b))) == best(a, b)
+
+
+def test_deep_and_broken_pages():
+    main = lambda t: html_extract.main_text(html_extract.parse(t))
+    n = 10_000
+    deep = html_extract.parse("<div>" * n + "deep" + "</div>" * n)
+    assert html_extract.main_text(deep) == "deep"
+    w = html_extract.Worker()
+    reference = w.reference(w.shapes.encode(w.shapes.take(deep)))
+    other = html_extract.parse("<div>" * (n - 7) + "<p>x</p>deep" + "</i></div></table>" * n)
+    assert len(w.align(other, reference)) == n - 7 + 3 and w.shapes.size[w.shapes.union(reference, other[0].shape)] == n + 5
+    assert main("<a href=x title=it's>two</a> and they don't<p>more") == "two and they don't\n\nmore"
+    assert main("<p title='a > b' class=\"c\">text</p><p x='open>lost") == "text"
+    assert main("<article><p>a<section id=related-work><p>b</section><div class='social science'>c</div><div class='related-posts'><a href=x>r</a></div></article>") == "a\n\nb\n\nc"
+    assert main("word " * 300_000) == " ".join(["word"] * 300_000)
+    assert main("<" * 1000 + "&#xZZ; &bogus; &amp" + "</p>" * 1000).endswith("&bogus; &")
+
+
+def test_wrapper_decides(spark):
+    """Where no article is marked, what varies over a host's pages is content, though a page by itself would suggest the long constant part."""
+    terms = "Terms and conditions apply to all of what we say here and elsewhere. " * 20
+    page = "<html><body><div><h2>Place</h2></div><div class=x><p>{0}</p><p>Written at home</p></div><div class=y><p>{1}</p></div></body></html>"
+    rows = [(i, f"https://w.org/{i}", page.format(f"Story {i} has been told " * 3, terms)) for i in range(12)]
+    got = {r.page_id: r.text for r in html_extract.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert got == {i: " ".join([f"Story {i} has been told"] * 3) for i in range(12)}
+    alone = {i: html_extract.main_text(html_extract.parse(h)) for i, _, h in rows}
+    assert all(alone[i] != got[i] and terms.strip() in alone[i] for i in alone)
