@@ -1,19 +1,23 @@
 """Language-model scores from a log-frequency Bloom filter.
 
-Words ([^\\x20\\x09-\\x0D]+, A-Z lower-cased) and word pairs of all training documents are counted
+Words ([^\\x20\\x09-\\x0D]+, A-Z lower-cased), word pairs and triples of all training documents are counted
 whole, in shards of the hash space. A count c is kept as its level 1 + floor(log2 c): the filter
 holds (n-gram, 1) up to (n-gram, level), and a level is read back by probing for 1, 2, ...
 until one is missing (Talbot and Osborne). Each shard of counts becomes a segment of the filter,
-sized by what it holds. Segments go to the workers by broadcast, in groups of no more than
-max_broadcast bytes: with more than one group the documents are read once for each,
-and each pass reads the levels that its group holds, so that neither the broadcast nor the results depend on
-the filter's size. The probability of a word after another is
-(c(pair) + mu p(word)) / (c(first) + mu), with p the add-one unigram probability; a text
-starts after a start mark and ends with an end mark.
+sized by what it holds. A filter of at most max_broadcast bytes goes to the workers by broadcast. Of a larger
+one the segments stay where they are: the distinct probes of each portion of text are sent to their shards and the levels come
+back, each once, whatever the filter's size. Both ways read the same levels.
+
+Every count that the model uses is read from the filter. A level stands for the smallest count that it may mean where it is a
+numerator, and for the largest where it is a history's, so that the probabilities after a history never sum above 1
+(but for the filter's false positives). The probability of a word after two others is (c3 + mu3 p2) / (c2 + mu3), with
+p2 = (c2 + mu2 p1) / (c1 + mu2) and p1 = (c1 + 1) / (N + V + 1). mu2 and mu3 are those under which the whole training data, each
+token left out in turn, has as many unseen continuations as n-grams that occur once; they follow from the histograms of
+levels. A text starts after a start mark and ends with an end mark.
 
 The base score uses exact counts. Those of the most frequent words, at most top_words of
-them, are broadcast; rarer words that the filter may hold are sent to their shard of the
-exact counts and come back as sums.
+them, are broadcast; the others are sent to their shard of the
+exact counts and come back as sums. The model doesn't use them.
 
 A null text is empty: only its end is scored. A null id is in the fold of the empty text. Rows
 that repeat an id are scored each by its own text, and each counts for training. Without
@@ -24,6 +28,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -33,15 +38,15 @@ from pyspark.sql import functions as F
 
 from . import common as C
 
-#: Bits for each entry of the filter, and probes for each.
-BITS, PROBES = 9, 6
+#: Probes for each entry of the filter.
+PROBES = 6
 #: Words whose hashes a worker remembers.
 REMEMBERED = 600_000
 #: Tokens that a task counts before it sends counts on.
-COUNTED = 4_000_000
+COUNTED = 3_000_000
 #: Characters of text that are scored at once.
 SCORED = 1_000_000
-WORD, PAIR = 0, 1
+WORD, PAIR, TRIPLE, HEAD = 0, 1, 2, 3
 END, START = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD1B54A32D192ED03)
 
 
@@ -96,17 +101,55 @@ def level_of(counts: np.ndarray) -> np.ndarray:
     return np.frexp(counts.astype(np.float64))[1].astype(np.int64)
 
 
-#: What a level stands for: the geometric mean of its smallest and largest count.
-WORTH = np.array([0.0] + [math.sqrt(2.0 ** (q - 1) * (2.0**q - 1)) for q in range(1, 64)])
+def triple_keys(pairs: np.ndarray, tokens: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Keys of the triples that end at each token, and whether there is one: not where a text starts."""
+    before = np.empty_like(pairs)
+    before[1:] = pairs[:-1]
+    before[0] = 0
+    there = np.ones(len(tokens), dtype=bool)
+    there[starts] = False
+    return pair_keys(before ^ START, tokens), there
+
+
+#: The smallest and the largest count of a level.
+LOW = np.array([0.0] + [2.0 ** (q - 1) for q in range(1, 64)])
+HIGH = np.array([0.0] + [2.0**q - 1 for q in range(1, 64)])
+
+
+def log_probabilities(words: np.ndarray, pairs: np.ndarray, triples: np.ndarray, starts: np.ndarray, start_level: int, total: float, mu: tuple[float, float]) -> np.ndarray:
+    """log10 of each token's probability, from the levels of its word, its pair and its triple. total: N + V + 1."""
+    first, second = np.zeros(len(words)), np.zeros(len(words))
+    first[1:], second[1:] = HIGH[words[:-1]], HIGH[pairs[:-1]]
+    first[starts], second[starts] = HIGH[start_level], 0.0
+    p = (LOW[words] + 1) / total
+    p = (np.minimum(LOW[pairs], first) + mu[0] * p) / (first + mu[0])
+    return np.log10((np.minimum(LOW[triples], second) + mu[1] * p) / (second + mu[1]))
+
+
+def prior_weight(history: list[int], once: int) -> float:
+    """The mu under which tokens left out in turn are unseen as often as n-grams occur once. history: how many histories have each level."""
+    n = np.array(history, dtype=np.float64)
+    c = (LOW + HIGH)[: len(n)] / 2
+
+    def unseen(mu: float) -> float:
+        return float((n * c * mu / (np.maximum(c - 1, 0) + mu)).sum())
+
+    lo, hi = 1e-2, 1e6
+    if unseen(hi) <= once:
+        return hi
+    for _ in range(100):
+        mid = math.sqrt(lo * hi)
+        lo, hi = (mid, hi) if unseen(mid) < once else (lo, mid)
+    return lo
 
 
 def _entries(keys: np.ndarray, level: int) -> np.ndarray:
     return mix(keys + np.uint64(level * 0x632BE59BD9B4E019 % (1 << 64)))
 
 
-def build_segment(keys: np.ndarray, levels: np.ndarray) -> bytes:
+def build_segment(keys: np.ndarray, levels: np.ndarray, bits_each: int) -> bytes:
     """A Bloom filter with (key, 1) up to (key, its level) for each key."""
-    n_bits = max(64, int(levels.sum()) * BITS // 64 * 64 + 64)
+    n_bits = max(64, int(levels.sum()) * bits_each // 64 * 64 + 64)
     bits = np.zeros(n_bits, dtype=bool)
     level = 1
     while len(keys):
@@ -155,11 +198,11 @@ class Filter:
 
 
 def _count(shards: int):
-    """Counts of words and pairs, one row for each kind and shard that a task's tokens reach."""
+    """Counts of words, pairs and triples, one row for each kind and shard that a task's tokens reach."""
 
-    def rows(arrays: list[tuple[np.ndarray, np.ndarray]]) -> Iterator[pa.RecordBatch]:
+    def rows(arrays: list[tuple[np.ndarray, ...]]) -> Iterator[pa.RecordBatch]:
         kinds, at, keys, counts = [], [], [], []
-        for kind in (WORD, PAIR):
+        for kind in (WORD, PAIR, TRIPLE):
             k, c = np.unique(np.concatenate([a[kind] for a in arrays]), return_counts=True)
             cuts = np.searchsorted(shard_of(k, shards), np.arange(shards + 1))
             for s in np.flatnonzero(np.diff(cuts)):
@@ -174,7 +217,9 @@ def _count(shards: int):
         for batch in batches:
             for texts in _portions(batch.column(0)):
                 tokens, ends = token_hashes(texts, known)
-                held.append((tokens, pair_keys(before_each(tokens, ends), tokens)))
+                pairs = pair_keys(before_each(tokens, ends), tokens)
+                triples, there = triple_keys(pairs, tokens, np.concatenate([[0], ends[:-1]]))
+                held.append((tokens, pairs, triples[there]))
                 n += len(tokens)
                 if n >= COUNTED:
                     yield from rows(held)
@@ -198,22 +243,25 @@ def _portions(column: pa.Array) -> Iterator[list[str | None]]:
         yield texts
 
 
-def _sum_shard(table: pa.Table) -> pa.Table:
-    """The counts of one kind and shard, with its segment of the filter. Pairs keep only the segment."""
-    keys = np.concatenate([np.frombuffer(k, dtype="<u8") for k in table["keys"].to_pylist()])
-    counts = np.concatenate([np.frombuffer(c, dtype="<u4") for c in table["counts"].to_pylist()]).astype(np.int64)
-    order = np.argsort(keys)
-    keys, counts = keys[order], counts[order]
-    starts = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
-    keys, counts = keys[starts], np.add.reduceat(counts, starts)
-    levels = level_of(counts)
-    kind = table["kind"][0].as_py()
-    per_level = np.bincount(levels, minlength=64)[:64].tolist()
-    return pa.table({
-        "kind": pa.array([kind], pa.int32()), "shard": table["shard"].slice(0, 1), "types": pa.array([len(keys)], pa.int64()), "tokens": pa.array([int(counts.sum())], pa.int64()),
-        "per_level": pa.array([per_level], pa.list_(pa.int64())), "segment": pa.array([build_segment(keys, levels)], pa.binary()),
-        "keys": pa.array([keys.tobytes() if kind == WORD else b""], pa.binary()), "counts": pa.array([counts.astype("<i8").tobytes() if kind == WORD else b""], pa.binary()),
-    })
+def _sum_shard(bits: int):
+    def run(table: pa.Table) -> pa.Table:
+        """The counts of one kind and shard, with its segment of the filter. Only words keep their counts."""
+        keys = np.concatenate([np.frombuffer(k, dtype="<u8") for k in table["keys"].to_pylist()])
+        counts = np.concatenate([np.frombuffer(c, dtype="<u4") for c in table["counts"].to_pylist()]).astype(np.int64)
+        order = np.argsort(keys)
+        keys, counts = keys[order], counts[order]
+        starts = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
+        keys, counts = keys[starts], np.add.reduceat(counts, starts)
+        levels = level_of(counts)
+        kind = table["kind"][0].as_py()
+        per_level = np.bincount(levels, minlength=64)[:64].tolist()
+        return pa.table({
+            "kind": pa.array([kind], pa.int32()), "shard": table["shard"].slice(0, 1), "types": pa.array([len(keys)], pa.int64()), "tokens": pa.array([int(counts.sum())], pa.int64()),
+            "per_level": pa.array([per_level], pa.list_(pa.int64())), "segment": pa.array([build_segment(keys, levels, bits)], pa.binary()),
+            "keys": pa.array([keys.tobytes() if kind == WORD else b""], pa.binary()), "counts": pa.array([counts.astype("<i8").tobytes() if kind == WORD else b""], pa.binary()),
+        })
+
+    return run
 
 
 SHARD = "kind int, shard int, types long, tokens long, per_level array<long>, segment binary, keys binary, counts binary"
@@ -238,56 +286,57 @@ def _look_up(keys: np.ndarray, counts: np.ndarray, asked: np.ndarray) -> np.ndar
     return np.where(keys[at] == asked, counts[at], -1)
 
 
-def score(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", folds: int = 7, held_fold: int = 2, mu: float = 200.0, docs_per_shard: int = 4096, top_words: int = 1_000_000, max_broadcast: int = 192_000_000) -> DataFrame:
-    """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score of every row."""
+def score(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", folds: int = 7, held_fold: int = 2, bytes_per_shard: int = 2_000_000, top_words: int = 1_000_000, max_broadcast: int = 192_000_000, bits: int = 9) -> DataFrame:
+    """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score of every row. bits: of the filter, for each entry."""
     spark = docs.sparkSession
     sc = spark.sparkContext
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), (C.fold(F.col(id_col), folds) == held_fold).alias("held_out"))
-    shards = max(8, -(-docs.count() // docs_per_shard))
+    size, trained = rows.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0)), F.count_if(~F.col("held_out"))).first()
+    shards = max(8, -(-size // bytes_per_shard))
     counted = rows.filter(~F.col("held_out")).select("text").mapInArrow(_count(shards), "kind int, shard int, keys binary, counts binary")
-    table = C.materialise(counted.groupBy("kind", "shard").applyInArrow(_sum_shard, SHARD), "ngram-counts")
+    table = C.materialise(counted.groupBy("kind", "shard").applyInArrow(_sum_shard(bits), SHARD), "ngram-counts")
     words = table.filter(F.col("kind") == WORD)
-    n, v = words.agg(F.coalesce(F.sum("tokens"), F.lit(0)), F.coalesce(F.sum("types"), F.lit(0))).first()
-    scale = math.log10(n + v + 1)
+    n, v, filter_bytes = table.agg(*[F.coalesce(F.sum(F.when(F.col("kind") == WORD, F.col(c))), F.lit(0)) for c in ("tokens", "types")], F.coalesce(F.sum(F.octet_length("segment")), F.lit(0))).first()
+
+    # at most 64 levels for each kind
+    levels = [[0] * 64 for _ in (WORD, PAIR, TRIPLE)]
+    for r in table.select("kind", F.posexplode("per_level").alias("level", "n")).groupBy("kind", "level").agg(F.sum("n").alias("n")).collect():
+        levels[r.kind][r.level] = r.n
+    model = Model(shards, float(n + v + 1), int(level_of(np.array([trained]))[0]) if trained else 0, (prior_weight(levels[WORD], levels[PAIR][1]), prior_weight(levels[PAIR], levels[TRIPLE][1])))
 
     # exact counts of the most frequent words: as many levels from the top as top_words allows
     least, total = 1 << 62, 0
-    per_level = words.select(F.posexplode("per_level").alias("level", "n")).groupBy("level").agg(F.sum("n").alias("n")).collect()
-    for r in sorted(per_level, key=lambda r: -r.level):
-        total += r.n
-        if r.level == 0 or total > top_words:
+    for level in range(63, 0, -1):
+        total += levels[WORD][level]
+        if total > top_words:
             break
-        least = 1 << (r.level - 1)
-    top = words.select("keys", "counts").mapInArrow(_frequent(least), "keys binary, counts binary").collect()
+        least = 1 << (level - 1)
+    top = words.select("keys", "counts").mapInArrow(_frequent(least), "keys binary, counts binary").filter("length(keys) > 0").collect()
     top_keys = np.concatenate([np.frombuffer(r[0], dtype="<u8") for r in top] or [np.zeros(0, np.uint64)])
     top_counts = np.concatenate([np.frombuffer(r[1], dtype="<i8") for r in top] or [np.zeros(0, np.int64)])
     order = np.argsort(top_keys)
     frequent = sc.broadcast((top_keys[order], top_counts[order]))
     del top, top_keys, top_counts
 
-    groups: list[list[int]] = [[]]
-    size = 0
-    for shard, length in sorted(map(tuple, table.groupBy("shard").agg(F.sum(F.octet_length("segment"))).collect())):
-        if groups[-1] and size + length > max_broadcast:
-            groups.append([])
-            size = 0
-        groups[-1].append(shard)
-        size += length
-
-    state = rows.withColumn("uid", F.monotonically_increasing_id()).withColumn("levels", F.lit(None).cast("binary"))
-    out = "uid long, doc_id long, held_out boolean, text string, levels binary"
+    state = rows.withColumn("uid", F.monotonically_increasing_id()).select("uid", "doc_id", "held_out", "text")
     final = "uid long, doc_id long, held_out boolean, n_tokens long, known long, base double, score double, shard int, keys binary, uids binary"
-    for i, group in enumerate(groups):
-        segments: dict[int, dict[int, bytes]] = {WORD: {}, PAIR: {}}
-        chosen = table.select("kind", "shard", "segment").filter(F.col("shard").between(group[0], group[-1])) if group else table.limit(0).select("kind", "shard", "segment")
-        for r in chosen.toLocalIterator():
+    sent = None
+    if filter_bytes <= max_broadcast:
+        segments: list[dict[int, bytes]] = [{}, {}, {}]
+        for r in table.select("kind", "shard", "segment").toLocalIterator():
             segments[r.kind][r.shard] = bytes(r.segment)
-        held = sc.broadcast((Filter(shards, segments[WORD]), Filter(shards, segments[PAIR])))
+        held = sc.broadcast(tuple(Filter(shards, x) for x in segments))
         del segments
-        last = i == len(groups) - 1
-        step = _score(held, frequent, shards, scale, mu, docs_of=n, last=last)
-        state = state.select("uid", "doc_id", "held_out", "text", "levels").mapInArrow(step, final if last else out)
-        state = C.materialise(state, f"lm-pass-{i}")
+        state = state.mapInArrow(_score_by_broadcast(held, frequent, model), final)
+    else:
+        sent = C.materialise(state.mapInArrow(_probes(shards), PROBE), "lm-probes")
+        asked, heads = sent.filter(F.col("kind") < HEAD), sent.filter(F.col("kind") == HEAD)
+        where = ["kind", "shard"]
+        answers = asked.select(*where, "pid", "keys").groupBy(*where).cogroup(table.select(*where, "segment").groupBy(*where)).applyInArrow(_answer, "pid long, kind int, keys binary, levels binary")
+        state = heads.drop("kind", "shard").groupBy("pid").cogroup(answers.groupBy("pid")).applyInArrow(_assemble(frequent, model), final)
+    state = C.materialise(state, "lm-scores")
+    if sent is not None:
+        C.discard(sent)
 
     rare = state.filter("shard is not null").select("shard", "keys", "uids")
     exact = words.select("shard", F.col("keys").alias("word_keys"), F.col("counts").alias("word_counts"))
@@ -313,65 +362,135 @@ def _exact_sums(rare: pa.Table, exact: pa.Table) -> pa.Table:
     return pa.table({"uid": pa.array(who, pa.int64()), "more_known": pa.array(known, pa.int64()), "more_base": pa.array(base, pa.float64())})
 
 
-def _score(held, frequent, shards: int, scale: float, mu: float, docs_of: int, last: bool):
-    """A pass over the documents with one group of segments; the last one turns levels into scores."""
+@dataclass
+class Model:
+    """What scores need besides the filter. total: N + V + 1."""
+
+    shards: int
+    total: float
+    start_level: int
+    mu: tuple[float, float]
+
+
+NAMES = ["uid", "doc_id", "held_out", "n_tokens", "known", "base", "score", "shard", "keys", "uids"]
+PROBE = "pid long, kind int, shard int, keys binary, uids binary, ids binary, nulls binary, held binary, ends binary, tokens binary"
+
+
+def _scored(uid: np.ndarray, doc_id: pa.Array, held_out: pa.Array, tokens: np.ndarray, ends: np.ndarray, levels: list[np.ndarray], frequent: tuple[np.ndarray, np.ndarray], model: Model) -> Iterator[pa.RecordBatch]:
+    """The rows of some documents; then, by shard, their words that no exact count is at hand for."""
+    starts = np.concatenate([[0], ends[:-1]])
+    distinct, back = np.unique(tokens, return_inverse=True)
+    exact = _look_up(*frequent, distinct)[back]
+    logs = log_probabilities(*levels, starts, model.start_level, model.total, model.mu)
+    sure = exact >= 0
+    n_tokens = ends - starts
+    base = np.add.reduceat(np.where(sure, np.log10(np.maximum(exact, 0) + 1.0), 0.0), starts) - n_tokens * math.log10(model.total)
+    known = np.add.reduceat((sure & (exact > 0)).astype(np.int64), starts)
+    m = len(ends)
+    yield pa.record_batch(
+        [pa.array(uid, pa.int64()), doc_id, held_out, pa.array(n_tokens, pa.int64()), pa.array(known, pa.int64()), pa.array(base, pa.float64()), pa.array(np.add.reduceat(logs, starts), pa.float64()), pa.nulls(m, pa.int32()), pa.nulls(m, pa.binary()), pa.nulls(m, pa.binary())],
+        names=NAMES,
+    )
+    # the filter has no false negatives: a word of level 0 has no count
+    rare = np.flatnonzero(~sure & (levels[WORD] > 0))
+    if len(rare):
+        keys, owner = tokens[rare], np.repeat(uid, n_tokens)[rare]
+        there, cuts, order = _by_shard(keys, model.shards)
+        keys, owner, k = keys[order], owner[order], len(there)
+        yield pa.record_batch(
+            [*(pa.nulls(k, t) for t in (pa.int64(), pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.float64(), pa.float64())), pa.array(there, pa.int32()),
+             pa.array([keys[a:b].tobytes() for a, b in cuts], pa.binary()), pa.array([owner[a:b].tobytes() for a, b in cuts], pa.binary())], names=NAMES,
+        )
+
+
+def _by_shard(keys: np.ndarray, shards: int) -> tuple[np.ndarray, list[tuple[int, int]], np.ndarray]:
+    """The shards that keys reach, where each one's keys lie once ordered, and that order."""
+    to = shard_of(keys, shards)
+    order = np.argsort(to, kind="stable")
+    there, first = np.unique(to[order], return_index=True)
+    return there, list(zip(first.tolist(), [*first[1:].tolist(), len(to)], strict=True)), order
+
+
+def _ngrams(texts: list[str | None], known: Hashes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Tokens, ends, pairs, triples, and whether a triple is there."""
+    tokens, ends = token_hashes(texts, known)
+    pairs = pair_keys(before_each(tokens, ends), tokens)
+    return tokens, ends, pairs, *triple_keys(pairs, tokens, np.concatenate([[0], ends[:-1]]))
+
+
+def _score_by_broadcast(held, frequent, model: Model):
+    """Levels from the filter that every worker has."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        (words, pairs), known = held.value, Hashes()
-        top_keys, top_counts = frequent.value
+        (words, pairs, triples), known = held.value, Hashes()
         for batch in batches:
             at = 0
             for texts in _portions(batch.column(3)):
                 part = batch.slice(at, len(texts))
                 at += len(texts)
-                tokens, ends = token_hashes(texts, known)
-                distinct, back = np.unique(np.concatenate([[START], tokens]), return_inverse=True)
-                word_levels = words.levels(distinct)[back[1:]]
-                pair_levels = pairs.levels(pair_keys(before_each(tokens, ends), tokens))
-                earlier = part.column(4).to_pylist()
-                if any(e is not None for e in earlier):
-                    # levels that earlier passes have found; a shard is in one pass only
-                    got = np.frombuffer(b"".join(earlier), dtype=np.uint8).reshape(-1, 2)
-                    word_levels, pair_levels = word_levels + got[:, 0], pair_levels + got[:, 1]
-                starts = np.concatenate([[0], ends[:-1]])
-                if not last:
-                    packed = np.stack([word_levels, pair_levels], axis=1).astype(np.uint8)
-                    yield pa.record_batch([*(part.column(k) for k in range(4)), pa.array([packed[a:b].tobytes() for a, b in zip(starts, ends, strict=True)], pa.binary())], names=["uid", "doc_id", "held_out", "text", "levels"])
-                    continue
-                exact = _look_up(top_keys, top_counts, distinct)[back[1:]]
-                count = np.where(exact >= 0, exact, WORTH[word_levels])
-                first = np.empty(len(tokens))
-                first[1:] = count[:-1]
-                first[starts] = _look_up(top_keys, top_counts, np.array([END]))[0] if len(top_keys) else 0  # as many starts as ends
-                first = np.maximum(first, 0)
-                pair = np.minimum(WORTH[pair_levels], np.minimum(first, count))
-                p = (count + 1) / 10**scale
-                logs = np.log10((pair + mu * p) / (first + mu))
-                sure = exact >= 0
-                rare = np.flatnonzero(~sure & (word_levels > 0))
-                per = lambda x: np.add.reduceat(x, starts) if len(starts) else x
-                n_tokens = ends - starts
-                base = per(np.where(sure, np.log10(np.maximum(exact, 0) + 1.0), 0.0)) - n_tokens * scale
+                tokens, ends, pair, triple, there = _ngrams(texts, known)
+                distinct, back = np.unique(tokens, return_inverse=True)
+                pair_levels, triple_levels = pairs.levels(pair), np.zeros(len(tokens), dtype=np.int64)
+                # a triple is in the filter only if its pairs are
+                ask = np.flatnonzero(there & (pair_levels > 0))
+                triple_levels[ask] = triples.levels(triple[ask])
+                yield from _scored(np.asarray(part.column(0)), part.column(1), part.column(2), tokens, ends, [words.levels(distinct)[back], pair_levels, triple_levels], frequent.value, model)
+
+    return run
+
+
+def _probes(shards: int):
+    """For each portion of text a row with its documents and tokens, and for each kind and shard one with the distinct keys to be looked up."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = Hashes()
+        for batch in batches:
+            at = 0
+            for texts in _portions(batch.column(3)):
+                part = batch.slice(at, len(texts))
+                at += len(texts)
+                tokens, ends, pair, triple, there = _ngrams(texts, known)
                 uid = np.asarray(part.column(0))
-                m = len(texts)
-                yield pa.record_batch(
-                    [part.column(0), part.column(1), part.column(2), pa.array(n_tokens, pa.int64()), pa.array(per((sure & (exact > 0)).astype(np.int64)), pa.int64()), pa.array(base, pa.float64()),
-                     pa.array(per(logs), pa.float64()), pa.nulls(m, pa.int32()), pa.nulls(m, pa.binary()), pa.nulls(m, pa.binary())], names=NAMES,
-                )
-                if len(rare):
-                    keys, owner = tokens[rare], np.repeat(uid, n_tokens)[rare]
-                    to = shard_of(keys, shards)
-                    order = np.argsort(to, kind="stable")
-                    keys, owner, to = keys[order], owner[order], to[order]
-                    there, first_at = np.unique(to, return_index=True)
-                    cuts = [*first_at.tolist(), len(to)]
-                    k = len(there)
-                    yield pa.record_batch(
-                        [*(pa.nulls(k, t) for t in (pa.int64(), pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.float64(), pa.float64())), pa.array(there, pa.int32()),
-                         pa.array([keys[a:b].tobytes() for a, b in zip(cuts, cuts[1:], strict=False)], pa.binary()), pa.array([owner[a:b].tobytes() for a, b in zip(cuts, cuts[1:], strict=False)], pa.binary())], names=NAMES,
-                    )
+                nulls = np.asarray(part.column(1).is_null())
+                ids = np.asarray(part.column(1).fill_null(0)).astype("<i8")
+                rows: list[tuple] = [(int(uid[0]), HEAD, None, None, uid.astype("<i8").tobytes(), ids.tobytes(), nulls.tobytes(), np.asarray(part.column(2)).astype(bool).tobytes(), ends.astype("<i8").tobytes(), tokens.tobytes())]
+                for kind, keys in ((WORD, tokens), (PAIR, pair), (TRIPLE, triple[there])):
+                    keys = np.unique(keys)
+                    to, cuts, order = _by_shard(keys, shards)
+                    keys = keys[order]
+                    rows += [(int(uid[0]), kind, s, keys[a:b].tobytes(), *[None] * 6) for s, (a, b) in zip(to.tolist(), cuts, strict=True)]
+                types = (pa.int64(), pa.int32(), pa.int32(), *[pa.binary()] * 7)
+                yield pa.record_batch([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)], names=[x.split()[0] for x in PROBE.split(", ")])
 
     return run
 
 
-NAMES = ["uid", "doc_id", "held_out", "n_tokens", "known", "base", "score", "shard", "keys", "uids"]
+def _answer(asked: pa.Table, segments: pa.Table) -> pa.Table:
+    """The levels of the keys that the portions ask of one shard."""
+    pids, packed = asked["pid"].to_pylist(), asked["keys"].to_pylist()
+    keys = np.concatenate([np.frombuffer(k, dtype="<u8") for k in packed] or [np.zeros(0, np.uint64)])
+    levels = Filter(1, {0: segments["segment"][0].as_py()}).levels(keys) if segments.num_rows else np.zeros(len(keys), dtype=np.int64)
+    cuts = np.cumsum([0] + [len(k) // 8 for k in packed]).tolist()
+    kind = asked["kind"][0].as_py() if len(pids) else 0
+    levels = levels.astype(np.uint8)
+    return pa.table({"pid": pa.array(pids, pa.int64()), "kind": pa.array([kind] * len(pids), pa.int32()), "keys": pa.array(packed, pa.binary()), "levels": pa.array([levels[a:b].tobytes() for a, b in zip(cuts, cuts[1:], strict=False)], pa.binary())})
+
+
+def _assemble(frequent, model: Model):
+    def run(heads: pa.Table, answers: pa.Table) -> pa.Table:
+        """The scores of one portion's documents."""
+        get = lambda c, t: np.frombuffer(heads[c][0].as_py(), dtype=t)
+        uid, ids, nulls, held, ends, tokens = (get(c, t) for c, t in (("uids", "<i8"), ("ids", "<i8"), ("nulls", bool), ("held", bool), ("ends", "<i8"), ("tokens", "<u8")))
+        pair = pair_keys(before_each(tokens, ends), tokens)
+        triple, there = triple_keys(pair, tokens, np.concatenate([[0], ends[:-1]]))
+        kinds, found = np.asarray(answers["kind"]), []
+        for kind, keys in ((WORD, tokens), (PAIR, pair), (TRIPLE, triple)):
+            mine = answers.filter(pa.array(kinds == kind))
+            k = np.concatenate([np.frombuffer(x, dtype="<u8") for x in mine["keys"].to_pylist()] or [np.zeros(0, np.uint64)])
+            v = np.concatenate([np.frombuffer(x, dtype=np.uint8) for x in mine["levels"].to_pylist()] or [np.zeros(0, np.uint8)]).astype(np.int64)
+            order = np.argsort(k)
+            found.append(np.maximum(_look_up(k[order], v[order], keys), 0))
+        found[TRIPLE][~there | (found[PAIR] == 0)] = 0
+        return pa.Table.from_batches(_scored(uid, pa.array(ids, pa.int64(), mask=nulls), pa.array(held, pa.bool_()), tokens, ends, found, frequent.value, model))
+
+    return run
