@@ -114,6 +114,39 @@ def test_salted_lists_of_three_sets(spark):
     assert {r.component_id for r in got if r.doc_id >= 60} == {60}
 
 
+@pytest.mark.parametrize("seed", [1, 2])
+def test_families_of_copies_that_make_shingles_hot(spark, seed):
+    """Three texts, y and z alike and x with neither, in many copies: every shingle is hot though its list holds three sets."""
+    rng, rows = random.Random(seed), []
+    for f in range(40):
+        w = [f"f{f}w{i}" for i in range(rng.choice([40, 60, 90]))]
+        y = [*w, *(f"f{f}y{i}" for i in range(3))]
+        z = list(y)
+        z[rng.randrange(len(z))] = f"f{f}z"
+        x = [*w[: len(w) * 2 // 3], *(f"f{f}x{i}" for i in range(len(w) // 2))]
+        rows += [" ".join(t) for t in (x, y, z) for _ in range(60 if f % 2 else 2)]
+    ids = rng.sample(range(10 * len(rows)), len(rows))
+    rows = list(zip(ids, rows, strict=True))
+    got = jaccard_join.jaccard_components(spark.createDataFrame(rows, "doc_id long, text string"), words=1, num=85, den=100).collect()
+    # copies are one set: brute force over distinct texts gives the least id of each, then of each component
+    least = {}
+    for i, t in rows:
+        least[t] = min(i, least.get(t, i))
+    of = {i: c for i, _, c in brute([(i, t) for t, i in least.items()], 1, 85, 100)}
+    assert sorted((r.doc_id, r.component_id) for r in got) == sorted((i, of[least[t]]) for i, t in rows)
+
+
+def test_large_and_small_vectors(spark):
+    """Vectors beyond 64-bit scores, like those with infinities, take no part; those within are exact."""
+    rows = [(0, [1e18, 0.5]), (20, [0.5, -0.25]), (1, [3e5, 1.0]), (2, [float("inf"), 0.0]), (3, [1e308, 1e308]), (4, [-0.001, 0.0]), (40, [2e7, -2e7])]
+    got = {(r.query_id, r["rank"]): (r.vec_id, r.score) for r in bit_sliced.top_k(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()}
+    part = {20: (32, -16), 1: (19200000, 64), 4: (-1, 0), 40: (1280000000, -1280000000)}
+    for q in (20, 40):
+        want = sorted(((-(a * part[q][0] + b * part[q][1]), i) for i, (a, b) in part.items() if i != q))
+        assert [got[q, n + 1] for n in range(3)] == [(i, -s) for s, i in want]
+    assert {q for q, _ in got} == {20, 40}
+
+
 def test_rule_sizes_and_boundary():
     rule = jaccard_join.Rule(85, 100)
     for n in range(1, 40):

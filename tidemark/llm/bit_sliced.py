@@ -11,7 +11,8 @@ blocks of rows in a grid of tasks, each of bounded memory, and the k best of eac
 merged. Everything is integer arithmetic, so results are exact.
 
 A vector takes no part if it is null or holds a null or a non-finite component, or if its id
-is null. Vectors of different lengths don't meet: a query only sees candidates of its own length. A repeated id
+is null. Nor does one that is too large for 64-bit scores: length * (scale * largest component) ** 2 has
+to stay under 2 ** 62, so that the inner product of any two that take part is a long. Vectors of different lengths don't meet: a query only sees candidates of its own length. A repeated id
 counts once, with its lexicographically smallest vector. An empty vector scores 0 with the other
 empty ones. Fewer than k candidates are all returned. Columns other than the id and the vector are not read.
 """
@@ -32,9 +33,10 @@ def quantised(vector: Column, scale: int) -> Column:
     return F.transform(vector, lambda x: F.floor(F.lit(float(scale)) * x.cast("double")))
 
 
-def usable(vector: Column) -> Column:
-    """Not null, without null or non-finite components."""
-    return vector.isNotNull() & F.forall(vector, lambda x: x.isNotNull() & ~F.isnan(x.cast("double")) & (F.abs(x.cast("double")) < float("inf")))
+def usable(vector: Column, scale: int) -> Column:
+    """Not null, without null or non-finite components, and small enough for 64-bit scores."""
+    largest = (2.0**31 - 1) / F.sqrt(F.size(vector).cast("double")) / scale - 1
+    return vector.isNotNull() & F.forall(vector, lambda x: x.isNotNull() & ~F.isnan(x.cast("double")) & (F.abs(x.cast("double")) < largest))
 
 
 def _matrix(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
@@ -181,9 +183,9 @@ def _search(k: int):
     return run
 
 
-def top_k(vectors: DataFrame, *, k: int = 20, scale: int = 64, query_every: int = 20, id_col: str = "vec_id", vector_col: str = "embedding", block_rows: int = 65536, query_rows: int = 256) -> DataFrame:
+def top_k(vectors: DataFrame, *, k: int = 20, scale: int = 64, query_every: int = 20, id_col: str = "vec_id", vector_col: str = "embedding", block_rows: int = 65536, query_rows: int = 2048) -> DataFrame:
     """query_id, rank, vec_id, score: for each row whose id query_every divides, its k best among all others."""
-    rows = vectors.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).alias("v")).filter(F.col("id").isNotNull() & usable(F.col("v")))
+    rows = vectors.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).alias("v")).filter(F.col("id").isNotNull() & usable(F.col("v"), scale))
     rows = C.materialise(rows.select("id", quantised(F.col("v"), scale).alias("v"), F.size("v").alias("dim")), "vectors")
     blocks = max(1, -(-rows.count() // block_rows))
     asked = rows.filter(F.pmod("id", F.lit(query_every)) == 0)
@@ -194,6 +196,7 @@ def top_k(vectors: DataFrame, *, k: int = 20, scale: int = 64, query_every: int
 
     index = C.materialise(dealt(rows, blocks).groupBy("dim", "block").applyInArrow(build_block, BLOCK), "bit-slices")
     packed = C.materialise(dealt(asked, parts).groupBy("dim", "block").applyInArrow(pack_queries, "dim int, block long, n long, ids binary, vectors binary"), "queries")
+    C.discard(rows)
     # each block of queries goes to each block of rows: a grid of blocks x parts tasks
     left = packed.select("dim", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long"))).alias("row_block"), F.col("block").alias("query_block"), "ids", "vectors")
     right = index.select("dim", F.col("block").alias("row_block"), F.explode(F.sequence(F.lit(0).cast("long"), F.lit(parts - 1).cast("long"))).alias("query_block"), "n", "width", "lowest", "ids", "slices")
