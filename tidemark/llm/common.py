@@ -17,9 +17,11 @@ BLANKS = " \t\n\x0b\x0c\r"
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or one of its own where that is unset."""
+    """The folder that driver and executors share: spark.checkpoint.dir. Where that is unset a local session, all of whose tasks run in the driver, gets one of its own; a cluster is an error."""
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise RuntimeError("spark.checkpoint.dir must name a folder that driver and executors share")
         found = tempfile.mkdtemp(prefix="tidemark-shared-")
         spark.conf.set("spark.checkpoint.dir", found)
     return found.rstrip("/")
@@ -41,8 +43,13 @@ def materialise(df: DataFrame, tag: str) -> DataFrame:
 def discard(*tables: DataFrame) -> None:
     """Removes materialised tables that nothing still to be computed reads."""
     for df in tables:
-        path = df.sparkSession._jvm.org.apache.hadoop.fs.Path(df._tidemark_path)
-        path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
+        remove(df.sparkSession, df._tidemark_path)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Removes a folder in the shared one."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
 
 
 def one_space(text: Column) -> Column:

@@ -38,6 +38,7 @@ class LineIndex:
     def __init__(self, spark: SparkSession, buckets: int, fanout: int = 3):
         self.spark, self.buckets, self.fanout = spark, buckets, fanout
         self.levels: list[list[str]] = [[]]
+        self.paths: dict[str, str] = {}
 
     def runs(self) -> list[DataFrame]:
         return [self.spark.table(name) for level in self.levels for name in level]
@@ -50,29 +51,47 @@ class LineIndex:
         if level == len(self.levels):
             self.levels.append([])
         name = f"line_run_{level}_{uuid.uuid4().hex}"
-        rows.repartition(self.buckets, *KEY).write.bucketBy(self.buckets, *KEY).sortBy(*KEY).option("path", C.new_path(self.spark, "line-run")).format("parquet").saveAsTable(name)
+        self.paths[name] = C.new_path(self.spark, "line-run")
+        rows.repartition(self.buckets, *KEY).write.bucketBy(self.buckets, *KEY).sortBy(*KEY).option("path", self.paths[name]).format("parquet").saveAsTable(name)
         self.levels[level].append(name)
         if len(self.levels[level]) == self.fanout:
             whole = None
-            for name in self.levels[level]:
-                t = self.spark.table(name)
+            merged, self.levels[level] = self.levels[level], []
+            for old in merged:
+                t = self.spark.table(old)
                 whole = t if whole is None else whole.unionByName(t)
-            self.levels[level] = []
             self._write(level + 1, whole)
+            self._drop(merged)
+
+    def _drop(self, names: list[str]) -> None:
+        """Takes runs out of the catalogue and out of the shared folder."""
+        for name in names:
+            path = self.paths.pop(name)
+            self.spark.sql(f"drop table {name}")
+            C.remove(self.spark, path)
+
+    def close(self) -> None:
+        """Drops all runs: what was to be joined with them has been written."""
+        for level in self.levels:
+            self._drop(level)
+        self.levels = [[]]
 
     def owners(self, batch: DataFrame) -> DataFrame:
-        """batch (h1, h2, own: smallest id here, last: largest id here) with the owner: of the runs, else of the batch."""
+        """batch (h1, h2, own: smallest id here, last: largest id here, n: lines) with the owner: of the runs, else of the batch."""
         found, names = batch, []
         for i, run in enumerate(self.runs()):
             name = f"_owner{i}"
             names.append(name)
             found = found.hint("merge").join(run.withColumnRenamed("owner", name), KEY, "left")
         old = F.coalesce(*names, F.lit(None).cast("long"))
-        return found.select(*KEY, "own", "last", old.alias("old"))
+        return found.select(*KEY, "own", "last", "n", old.alias("old"))
+
 
+def dropped_lines(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", min_chars: int = 10, batches: int = 4, fanout: int = 3, buckets: int | None = None, common: int = 10_000) -> DataFrame:
+    """id, th, gone: for each row (by id and hash of its text) that loses lines, the sorted positions of these.
 
-def dropped_lines(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", min_chars: int = 10, batches: int = 4, fanout: int = 3, buckets: int | None = None) -> DataFrame:
-    """id, th, gone: for each row (by id and hash of its text) that loses lines, the sorted positions of these."""
+    Keys with more than one in `common` of a batch's lines are broadcast; there are fewer than `common` of them.
+    """
     spark = docs.sparkSession
     buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
     rows = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(C.LAST_ID)).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
@@ -81,18 +100,27 @@ def dropped_lines(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "t
 
     index = LineIndex(spark, buckets, fanout)
     cuts = C.range_bounds(lines, "id", batches)
-    gone = None
+    gone, written = None, [lines]
     for i in range(len(cuts) + 1):
         batch = C.slice_of(lines, "id", cuts, i)
-        keys = batch.groupBy(*KEY).agg(F.min("id").alias("own"), F.max("id").alias("last"))
+        keys = batch.groupBy(*KEY).agg(F.min("id").alias("own"), F.max("id").alias("last"), F.count("*").alias("n"))
         keys = C.materialise(index.owners(keys), "line-keys")
+        written.append(keys)
         if i < len(cuts):
             index.add(keys.filter("old is null").select(*KEY, F.col("own").alias("owner")))
         # the keys that cost some line here, and the lines they cost
-        contested = keys.filter("old is not null or own < last").select(*KEY, F.coalesce("old", "own").alias("owner"))
-        lost = batch.join(contested, KEY).filter("id > owner").select("id", "th", "pos")
+        contested = keys.filter("old is not null or own < last").select(*KEY, F.coalesce("old", "own").alias("owner"), "n")
+        # fewer than `common` keys have so many of the batch's lines: they go to the lines, the others' lines are shuffled
+        total = keys.agg(F.sum("n")).first()[0] or 0
+        hot = C.materialise(contested.filter(F.col("n") * common > total).drop("n"), "common-lines")
+        written.append(hot)
+        rare = batch.join(F.broadcast(hot.select(*KEY)), KEY, "left_anti").join(contested.filter(F.col("n") * common <= total).drop("n").hint("merge"), KEY)
+        lost = batch.join(F.broadcast(hot), KEY).unionByName(rare).filter("id > owner").select("id", "th", "pos")
         gone = lost if gone is None else gone.unionByName(lost)
-    return gone.groupBy("id", "th").agg(F.array_sort(F.collect_set("pos")).alias("gone"))
+    index.close()
+    found = C.materialise(gone.groupBy("id", "th").agg(F.array_sort(F.collect_set("pos")).alias("gone")), "lines-gone")
+    C.discard(*written)
+    return found
 
 
 def dedup_lines(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
@@ -100,7 +128,7 @@ def dedup_lines(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
     gone = dropped_lines(docs, id_col=id_col, text_col=text_col, **options)
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(id_col).cast("long"), F.lit(C.LAST_ID)).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     rows = rows.withColumn("th", F.xxhash64("text"))
-    joined = rows.join(gone.hint("shuffle_hash"), ["id", "th"], "left")
+    joined = rows.join(gone.hint("merge"), ["id", "th"], "left")
     # one flag a line up to the last that goes: true for each of a gap's lines, false for the one that ends it
     before = lambda i: F.when(i == 0, F.lit(-1)).otherwise(F.get(F.col("gone"), i - 1))
     stays = F.flatten(F.transform("gone", lambda p, i: F.array_append(F.array_repeat(F.lit(True), (p - before(i) - 1).cast("int")), F.lit(False))))
