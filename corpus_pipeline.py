@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.llm import bpe, exact_dedup, jaccard_join, mixing, toxicity
-from tidemark.llm.common import materialise
+from tidemark.llm.common import discard, materialise
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -47,5 +47,7 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each stage over what the one before it kept, written and read again in between."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES[:-1]:
-        docs = materialise(stage(spark, docs, sf_dir), f"stage-{name}")
+        before, docs = docs, materialise(stage(spark, docs, sf_dir), f"stage-{name}")
+        if name != STAGES[0][0]:
+            discard(before)
     return STAGES[-1][1](spark, docs, sf_dir)
