@@ -38,8 +38,8 @@ from pyspark.sql import functions as F
 
 from . import common as C
 
-#: Probes for each entry of the filter.
-PROBES = 6
+#: Words of 64 bits that an entry reaches in the filter, and bits that it sets in each.
+REACHED, SET = 2, 3
 #: Words whose hashes a worker remembers.
 REMEMBERED = 600_000
 #: Tokens that a task counts before it sends counts on.
@@ -147,16 +147,25 @@ def _entries(keys: np.ndarray, level: int) -> np.ndarray:
     return mix(keys + np.uint64(level * 0x632BE59BD9B4E019 % (1 << 64)))
 
 
+def _places(h: np.ndarray, words: np.ndarray | np.uint64) -> tuple[np.ndarray, np.ndarray]:
+    """The word that an entry's hash reaches among so many, and the mask of its bits there."""
+    one, low = np.uint64(1), np.uint64(63)
+    mask = (one << (h & low)) | (one << (h >> np.uint64(6) & low)) | (one << (h >> np.uint64(12) & low))
+    return (h >> np.uint64(32)) * words >> np.uint64(32), mask
+
+
 def build_segment(keys: np.ndarray, levels: np.ndarray, bits_each: int) -> bytes:
-    """A Bloom filter with (key, 1) up to (key, its level) for each key."""
-    n_bits = max(64, int(levels.sum()) * bits_each // 64 * 64 + 64)
-    bits = np.zeros(n_bits, dtype=bool)
+    """A Bloom filter with (key, 1) up to (key, its level) for each key. An entry's bits lie in two words, which costs two reads instead of six."""
+    words = np.uint64(max(2, int(levels.sum()) * bits_each // 64 + 1))
+    bits = np.zeros(int(words) * 64, dtype=bool)
     level = 1
     while len(keys):
-        e = _entries(keys, level)
-        step = mix(e) | np.uint64(1)
-        for i in range(PROBES):
-            bits[(e + step * np.uint64(i)) % np.uint64(n_bits)] = True
+        h = _entries(keys, level)
+        for _ in range(REACHED):
+            at = (h >> np.uint64(32)) * words >> np.uint64(32) << np.uint64(6)
+            for i in range(SET):
+                bits[at + (h >> np.uint64(6 * i) & np.uint64(63))] = True
+            h = mix(h)
         level += 1
         more = levels >= level
         keys, levels = keys[more], levels[more]
@@ -172,26 +181,24 @@ class Filter:
         self.start = np.zeros(shards, dtype=np.uint64)
         at = 0
         for s in sorted(segments):
-            self.start[s], self.size[s] = at * 8, len(segments[s]) * 8
-            at += len(segments[s])
+            self.start[s], self.size[s] = at, len(segments[s]) // 8
+            at += len(segments[s]) // 8
         self.data = b"".join(segments[s] for s in sorted(segments))
 
     def levels(self, keys: np.ndarray) -> np.ndarray:
         """The level of each key; 0 where the filter doesn't hold it, or its shard isn't here."""
-        data = np.frombuffer(self.data, dtype=np.uint8)
+        data = np.frombuffer(self.data, dtype=np.uint64)
         out = np.zeros(len(keys), dtype=np.int64)
         shard = shard_of(keys, self.shards)
         size, start = self.size[shard], self.start[shard]
         at = np.flatnonzero(size)
         level = 1
         while len(at) and level < 63:
-            e = _entries(keys[at], level)
-            step, n, base = mix(e) | np.uint64(1), size[at], start[at]
-            for i in range(PROBES):
-                p = base + (e + step * np.uint64(i)) % n
-                hit = (data[p >> np.uint64(3)] >> (p & np.uint64(7)).astype(np.uint8) & 1).astype(bool)
-                if not hit.all():
-                    at, e, step, n, base = at[hit], e[hit], step[hit], n[hit], base[hit]
+            h = _entries(keys[at], level)
+            for _ in range(REACHED):
+                word, mask = _places(h, size[at])
+                hit = np.flatnonzero(data[start[at] + word] & mask == mask)
+                at, h = at[hit], mix(h[hit])
             out[at] = level
             level += 1
         return out
@@ -208,8 +215,11 @@ def _count(shards: int):
             for s in np.flatnonzero(np.diff(cuts)):
                 kinds.append(kind)
                 at.append(int(s))
-                keys.append(k[cuts[s] : cuts[s + 1]].tobytes())
-                counts.append(c[cuts[s] : cuts[s + 1]].astype("<u4").tobytes())
+                # those of count 1 first, without their counts
+                part, n = k[cuts[s] : cuts[s + 1]], c[cuts[s] : cuts[s + 1]]
+                more = n > 1
+                keys.append(part[~more].tobytes() + part[more].tobytes())
+                counts.append(n[more].astype("<u4").tobytes())
         yield pa.record_batch([pa.array(kinds, pa.int32()), pa.array(at, pa.int32()), pa.array(keys, pa.binary()), pa.array(counts, pa.binary())], names=["kind", "shard", "keys", "counts"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -247,7 +257,12 @@ def _sum_shard(bits: int):
     def run(table: pa.Table) -> pa.Table:
         """The counts of one kind and shard, with its segment of the filter. Only words keep their counts."""
         keys = np.concatenate([np.frombuffer(k, dtype="<u8") for k in table["keys"].to_pylist()])
-        counts = np.concatenate([np.frombuffer(c, dtype="<u4") for c in table["counts"].to_pylist()]).astype(np.int64)
+        counts = np.ones(len(keys), dtype=np.int64)
+        at = 0
+        for k, c in zip(table["keys"].to_pylist(), table["counts"].to_pylist(), strict=True):
+            at += len(k) // 8
+            if c:
+                counts[at - len(c) // 4 : at] = np.frombuffer(c, dtype="<u4")
         order = np.argsort(keys)
         keys, counts = keys[order], counts[order]
         starts = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
