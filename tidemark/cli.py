@@ -13,13 +13,48 @@ from tidemark import session
 from tidemark.functions import time as T
 from tidemark.operators import rules, signals
 from tidemark.plans import normalize, report, review
-from tidemark.sources import tables
+from tidemark.sources import collect, feeds, tables
 
 
 def _registry(spark: SparkSession, root: str):
     return tables.registry(spark, json.loads(Path(root, "sources.json").read_text(encoding="utf-8")), enabled_only=False)
 
 
+FOLDERS = ("raw", "events", "windows", "predictions", "results", "reports", "analyses")
+
+
+def do_init(spark: SparkSession, a: argparse.Namespace) -> None:
+    """The folders and an empty registry; with --check only tells what isn't there."""
+    root = Path(a.data)
+    missing = [x for x in FOLDERS if not (root / x).is_dir()] + [x for x in ("sources.json",) if not (root / x).is_file()]
+    for x in missing:
+        print("missing" if a.check else "made", x)
+        if not a.check:
+            (root / x).write_text("[]", encoding="utf-8") if x.endswith(".json") else (root / x).mkdir(parents=True)
+    if a.check and missing:
+        raise SystemExit(1)
+
+
+def do_collect(spark: SparkSession, a: argparse.Namespace) -> None:
+    """Fetches all sources that are switched on; one that fails is reported and keeps no other from landing."""
+    registry = json.loads(Path(a.data, "sources.json").read_text(encoding="utf-8"))
+    got = collect.fetch_sources(collect.sources_table(spark, registry), a.as_of).persist()
+    found, failed = collect.entries(got, {r["source_id"]: r["mapping"] for r in registry if r.get("mapping") and r.get("enabled", True)})
+    added = tables.append_absent(feeds.raw_documents(found), f"{a.data}/raw", "raw_id", [F.col("observed_at"), F.col("url")])
+    for r in failed.orderBy("source_id").toLocalIterator():
+        print("failed", r.source_id, r.error)
+    print(added, "new documents")
+    got.unpersist()
+
+
+def do_daily(spark: SparkSession, a: argparse.Namespace) -> None:
+    """Collects, normalizes, detects and reports, in this order."""
+    defaults = {"limit": None, "rebuild": False, "topic": None, "keywords": None, "window_days": 7, "baseline_multiplier": 4, "dry_run": False, "date": None, "stdout": False}
+    a = argparse.Namespace(**defaults | vars(a))
+    for step in (do_collect, do_normalize, do_detect, do_report):
+        step(spark, a)
+
+
 def do_normalize(spark: SparkSession, a: argparse.Namespace) -> None:
     raw = spark.read.parquet(f"{a.data}/raw")
     done = None if a.rebuild or not Path(a.data, "events").exists() else spark.read.parquet(f"{a.data}/events")
@@ -55,7 +90,7 @@ def do_report(spark: SparkSession, a: argparse.Namespace) -> None:
 
 
 def do_review(spark: SparkSession, a: argparse.Namespace) -> None:
-    for line in review.monthly_lines(spark.read.parquet(f"{a.data}/predictions"), spark.read.parquet(f"{a.data}/results"), a.as_of):
+    for line in review.monthly_lines(tables.latest(spark, f"{a.data}/predictions"), tables.latest(spark, f"{a.data}/results"), a.as_of):
         print(line)
 
 
@@ -72,13 +107,14 @@ def main(argv: list[str] | None = None) -> None:
     parser = argparse.ArgumentParser(prog="tidemark", description=__doc__)
     sub = parser.add_subparsers(required=True)
     for name, f, flags in (
+        ("init", do_init, {"--check": {"action": "store_true"}}), ("collect", do_collect, {}), ("daily", do_daily, {}),
         ("normalize", do_normalize, {"--limit": {"type": int}, "--rebuild": {"action": "store_true"}}),
         ("detect", do_detect, {"--window-days": {"type": int, "default": 7}, "--baseline-multiplier": {"type": int, "default": 4}, "--topic": {}, "--keywords": {"nargs": "*"}, "--dry-run": {"action": "store_true"}}),
         ("report", do_report, {"--date": {}, "--stdout": {"action": "store_true"}}), ("review", do_review, {}), ("validate", do_validate, {}),
     ):
         p = sub.add_parser(name)
         p.add_argument("--data", required=True)
-        p.add_argument("--as-of", required=name not in ("normalize",))
+        p.add_argument("--as-of", required=name not in ("normalize", "init"))
         for flag, how in flags.items():
             p.add_argument(flag, **how)
         p.set_defaults(run=f)

@@ -37,10 +37,19 @@ def _inner(entry: Column, *tags: str) -> Column:
     return F.coalesce(*found, F.lit(""))
 
 
+def _own_names(payload: Column) -> Column:
+    """The payload with the feed's own namespace as the default: prefixes that are bound to Atom or to RSS 1.0 go."""
+    bound = F.regexp_extract_all(payload, F.lit(r"xmlns:([\w.-]+)\s*=\s*[\"'](?:http://www\.w3\.org/2005/Atom|http://purl\.org/rss/1\.0/)[\"']"), 1)
+    plain = F.aggregate(bound, payload, lambda text, prefix: F.regexp_replace(text, F.concat(F.lit("(</?)"), prefix, F.lit(r":(?=\w)")), F.lit("$1")))
+    return F.when(F.rlike(payload, F.lit(r"<[\w.-]+:(?:item|entry|feed|RDF)[\s>]")), plain).otherwise(payload)
+
+
 def feed_entries(payloads: DataFrame) -> DataFrame:
     """source_id, observed_at, link, title, body, published_at of every entry that has a link and a title."""
-    entry = F.explode(F.concat(F.regexp_extract_all("payload", F.lit(r"(?s)<item(?:\s[^>]*)?>(.*?)</item\s*>"), 1), F.regexp_extract_all("payload", F.lit(r"(?s)<entry(?:\s[^>]*)?>(.*?)</entry\s*>"), 1)))
-    rows = payloads.select("source_id", "observed_at", entry.alias("entry"))
+    items, entries = (F.regexp_extract_all("payload", F.lit(rf"(?s)<{n}(?:\s[^>]*)?>(.*?)</{n}\s*>"), 1) for n in ("item", "entry"))
+    # entries count only where there are no items
+    entry = F.explode(F.when(F.size(items) > 0, items).otherwise(entries))
+    rows = payloads.withColumn("payload", _own_names(F.col("payload"))).select("source_id", "observed_at", entry.alias("entry"))
     links = F.regexp_extract_all("entry", F.lit(r"(<link\s[^>]*>)"), 1)
     alternate = F.filter(links, lambda x: F.contains(x, F.lit("href")) & (~F.rlike(x, F.lit(r"\brel\s*=")) | F.rlike(x, F.lit(r"\brel\s*=\s*[\"']alternate[\"']"))))
     href = F.regexp_extract(F.coalesce(F.get(alternate, F.lit(0)), F.lit("")), r"href\s*=\s*[\"']([^\"']*)[\"']", 1)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -55,14 +57,43 @@ def read_archive(spark: SparkSession, path: str, schema: str) -> DataFrame:
 
 
 def upsert(rows: DataFrame, path: str, key: str, version: Column) -> None:
-    """A table with one row for each key, the one of the largest version. Partitions of the new version are written beside and swapped in by the reader's choice of path."""
-    old = _existing(rows.sparkSession, path)
+    """A table with one row for each key, the one of the largest version.
+
+    Every call writes a whole new folder and then publishes it by a file `_version-N` that names it, made beside and renamed. Readers take the
+    largest N, so a crash before the rename leaves the table as it was.
+    """
+    spark = rows.sparkSession
+    fs, at, versions = _versions(spark, path)
+    old = latest(spark, path) if versions else None
     whole = rows if old is None else old.unionByName(rows, allowMissingColumns=True)
     nth = F.row_number().over(Window.partitionBy(key).orderBy(version.desc()))
-    latest = whole.withColumn("_nth", nth).filter("_nth = 1").drop("_nth")
-    beside = f"{path}.next"
-    latest.write.mode("overwrite").parquet(beside)
-    rows.sparkSession.read.parquet(beside).write.mode("overwrite").parquet(path)
+    name = f"data-{uuid.uuid4().hex}"
+    whole.withColumn("_nth", nth).filter("_nth = 1").drop("_nth").write.parquet(f"{path}/{name}")
+    part = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/_part-{name}")
+    out = fs.create(part, True)
+    out.write(bytearray(name.encode()))
+    out.close()
+    if not fs.rename(part, spark._jvm.org.apache.hadoop.fs.Path(at, f"_version-{max(versions, default=0) + 1:012d}")):
+        raise RuntimeError("another writer published this version first; nothing has changed")
+
+
+def latest(spark: SparkSession, path: str) -> DataFrame:
+    """The table as the last upsert published it; one that was written otherwise is read as it is."""
+    fs, at, versions = _versions(spark, path)
+    if not versions:
+        return spark.read.parquet(path)
+    stream = fs.open(spark._jvm.org.apache.hadoop.fs.Path(at, f"_version-{max(versions):012d}"))
+    name = spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    stream.close()
+    return spark.read.parquet(f"{path}/{name}")
+
+
+def _versions(spark: SparkSession, path: str) -> tuple:
+    """The file system, the path in it and the numbers of the versions there."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = at.getFileSystem(spark._jsc.hadoopConfiguration())
+    names = [f.getPath().getName() for f in fs.listStatus(at)] if fs.exists(at) else []
+    return fs, at, [int(n.removeprefix("_version-")) for n in names if n.startswith("_version-")]
 
 
 def last_by_day(entries: DataFrame) -> DataFrame:
