@@ -424,10 +424,15 @@ def records_explode(spark, sf_dir):
     return series.records(_payload(spark, doc), spec, {"unit": "USD"}).select("period", "value", "label", "unit", F.element_at("keys", "country").alias("country"))
 
 
-@query("select * from (values ('https://x.org/1?b=1', 'A & B', 'first text', '2026-08-11T01:00:00Z'), ('https://x.org/2', 'Atom', 'summed', '2026-08-12T00:30:00Z')) t(url, title, body, published_at)")
+@query("select 'https://x.org/' || event_id as url, event_type || ' & ' || event_id as title, 'told ' || event_id as body, strftime(ts, '%Y-%m-%dT%H:%M:%SZ') as published_at from events")
 def feed_entries(spark, sf_dir):
-    doc = "<rss><channel><title>c</title><item><title>A &amp;amp; B</title><link>https://www.x.org/1/?utm_source=q&amp;b=1#f</link><description><![CDATA[<p>first</p> text]]></description><pubDate>Tue, 11 Aug 2026 10:00:00 +0900</pubDate></item><item><title>no link</title></item></channel><entry><title>Atom</title><link rel=\"self\" href=\"https://x.org/self\"/><link href=\"https://x.org/2/\"/><summary>summed</summary><updated>2026-08-12T00:30:00Z</updated></entry></rss>"
-    found = feeds.feed_entries(_payload(spark, doc))
+    """Each event as a feed of its own: RSS for even ids, Atom under a prefix for odd ones."""
+    e = views.table(spark, sf_dir, "events")
+    item = "<rss><channel><title>c</title><item><title>%2$s &amp;amp; %1$s</title><link>https://www.x.org/%1$s/?utm_source=q#f</link><description><![CDATA[<p>told</p> %1$s]]></description><pubDate>%3$s +0000</pubDate></item><item><title>no link</title></item></channel><entry><title>not read</title><link href='https://x.org/no'/></entry></rss>"
+    atom = "<a:feed xmlns:a='http://www.w3.org/2005/Atom'><a:entry><a:title>%2$s &amp;amp; %1$s</a:title><a:link rel='self' href='https://x.org/self'/><a:link href='https://x.org/%1$s'/><a:summary>told %1$s</a:summary><a:published>%3$s</a:published></a:entry></a:feed>"
+    made = lambda pattern, form: F.format_string(pattern, F.col("event_id").cast("string"), "event_type", F.date_format("ts", form))
+    payload = F.when(F.col("event_id") % 2 == 0, made(item, "EEE, dd MMM yyyy HH:mm:ss")).otherwise(made(atom, "yyyy-MM-dd'T'HH:mm:ss'Z'"))
+    found = feeds.feed_entries(e.select(F.lit("src_a").alias("source_id"), payload.alias("payload"), T.at(views.AS_OF).alias("observed_at")))
     return found.select(X.canonical_url(F.col("link")).alias("url"), "title", F.regexp_replace("body", r"\s+", " ").alias("body"), T.fmt(F.col("published_at")).alias("published_at"))
 
 
