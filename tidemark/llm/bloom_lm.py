@@ -41,11 +41,11 @@ from . import common as C
 #: Words of 64 bits that an entry reaches in the filter, and bits that it sets in each.
 REACHED, SET = 2, 3
 #: Words whose hashes a worker remembers.
-REMEMBERED = 600_000
+REMEMBERED = 200_000
 #: Tokens that a task counts before it sends counts on.
-COUNTED = 3_000_000
+COUNTED = 2_000_000
 #: Characters of text that are scored at once.
-SCORED = 1_000_000
+SCORED = 500_000
 WORD, PAIR, TRIPLE, HEAD = 0, 1, 2, 3
 END, START = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD1B54A32D192ED03)
 
@@ -301,7 +301,7 @@ def _look_up(keys: np.ndarray, counts: np.ndarray, asked: np.ndarray) -> np.ndar
     return np.where(keys[at] == asked, counts[at], -1)
 
 
-def score(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", folds: int = 7, held_fold: int = 2, bytes_per_shard: int = 2_000_000, top_words: int = 1_000_000, max_broadcast: int = 192_000_000, bits: int = 9) -> DataFrame:
+def score(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", folds: int = 7, held_fold: int = 2, bytes_per_shard: int = 2_000_000, top_words: int = 1_000_000, max_broadcast: int = 192_000_000, bits: int = 8) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score of every row. bits: of the filter, for each entry."""
     spark = docs.sparkSession
     sc = spark.sparkContext
@@ -337,11 +337,8 @@ def score(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", fo
     final = "uid long, doc_id long, held_out boolean, n_tokens long, known long, base double, score double, shard int, keys binary, uids binary"
     sent = None
     if filter_bytes <= max_broadcast:
-        segments: list[dict[int, bytes]] = [{}, {}, {}]
-        for r in table.select("kind", "shard", "segment").toLocalIterator():
-            segments[r.kind][r.shard] = bytes(r.segment)
-        held = sc.broadcast(tuple(Filter(shards, x) for x in segments))
-        del segments
+        # one kind after the other, so that the driver holds no segment twice but those of one kind
+        held = sc.broadcast(tuple(Filter(shards, {r.shard: bytes(r.segment) for r in table.filter(F.col("kind") == kind).select("shard", "segment").toLocalIterator()}) for kind in (WORD, PAIR, TRIPLE)))
         state = state.mapInArrow(_score_by_broadcast(held, frequent, model), final)
     else:
         sent = C.materialise(state.mapInArrow(_probes(shards), PROBE), "lm-probes")
