@@ -335,10 +335,11 @@ def score(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", fo
 
     state = rows.withColumn("uid", F.monotonically_increasing_id()).select("uid", "doc_id", "held_out", "text")
     final = "uid long, doc_id long, held_out boolean, n_tokens long, known long, base double, score double, shard int, keys binary, uids binary"
-    sent = None
+    sent, used = None, [frequent]
     if filter_bytes <= max_broadcast:
         # one kind after the other, so that the driver holds no segment twice but those of one kind
         held = sc.broadcast(tuple(Filter(shards, {r.shard: bytes(r.segment) for r in table.filter(F.col("kind") == kind).select("shard", "segment").toLocalIterator()}) for kind in (WORD, PAIR, TRIPLE)))
+        used.append(held)
         state = state.mapInArrow(_score_by_broadcast(held, frequent, model), final)
     else:
         sent = C.materialise(state.mapInArrow(_probes(shards), PROBE), "lm-probes")
@@ -347,6 +348,9 @@ def score(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", fo
         answers = asked.select(*where, "pid", "keys").groupBy(*where).cogroup(table.select(*where, "segment").groupBy(*where)).applyInArrow(_answer, "pid long, kind int, keys binary, levels binary")
         state = heads.drop("kind", "shard").groupBy("pid").cogroup(answers.groupBy("pid")).applyInArrow(_assemble(frequent, model), final)
     state = C.materialise(state, "lm-scores")
+    # what follows reads tables alone
+    for shared in used:
+        shared.destroy()
     if sent is not None:
         C.discard(sent)
 
