@@ -44,6 +44,8 @@ REACHED, SET = 2, 3
 REMEMBERED = 200_000
 #: Tokens that a task counts before it sends counts on.
 COUNTED = 2_000_000
+#: Bytes of counts that it sends at once.
+SENT = 4_000_000
 #: Characters of text that are scored at once.
 SCORED = 500_000
 WORD, PAIR, TRIPLE, HEAD = 0, 1, 2, 3
@@ -204,37 +206,51 @@ class Filter:
         return out
 
 
+def _tally(held: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct keys held, in order, and their counts. held is emptied."""
+    keys = np.concatenate(held)
+    held.clear()
+    keys.sort()
+    starts = np.flatnonzero(np.concatenate([np.ones(min(1, len(keys)), bool), keys[1:] != keys[:-1]]))
+    return keys[starts], np.diff(starts, append=len(keys)).astype(np.uint32)
+
+
 def _count(shards: int):
     """Counts of words, pairs and triples, one row for each kind and shard that a task's tokens reach."""
 
-    def rows(arrays: list[tuple[np.ndarray, ...]]) -> Iterator[pa.RecordBatch]:
-        kinds, at, keys, counts = [], [], [], []
+    def rows(held: list[list[np.ndarray]]) -> Iterator[pa.RecordBatch]:
+        """One kind after the other, SENT bytes at a time; what is held of a kind goes when it is counted."""
         for kind in (WORD, PAIR, TRIPLE):
-            k, c = np.unique(np.concatenate([a[kind] for a in arrays]), return_counts=True)
+            k, c = _tally(held[kind])
             cuts = np.searchsorted(shard_of(k, shards), np.arange(shards + 1))
-            for s in np.flatnonzero(np.diff(cuts)):
-                kinds.append(kind)
-                at.append(int(s))
+            at, keys, counts, size = [], [], [], 0
+            reached = np.flatnonzero(np.diff(cuts)).tolist()
+            for s in reached:
+                at.append(s)
                 # those of count 1 first, without their counts
                 part, n = k[cuts[s] : cuts[s + 1]], c[cuts[s] : cuts[s + 1]]
                 more = n > 1
                 keys.append(part[~more].tobytes() + part[more].tobytes())
                 counts.append(n[more].astype("<u4").tobytes())
-        yield pa.record_batch([pa.array(kinds, pa.int32()), pa.array(at, pa.int32()), pa.array(keys, pa.binary()), pa.array(counts, pa.binary())], names=["kind", "shard", "keys", "counts"])
+                size += len(keys[-1]) + len(counts[-1])
+                if size >= SENT or s == reached[-1]:
+                    yield pa.record_batch([pa.array([kind] * len(at), pa.int32()), pa.array(at, pa.int32()), pa.array(keys, pa.binary()), pa.array(counts, pa.binary())], names=["kind", "shard", "keys", "counts"])
+                    at, keys, counts, size = [], [], [], 0
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, held, n = Hashes(), [], 0
+        known, held, n = Hashes(), [[], [], []], 0
         for batch in batches:
             for texts in _portions(batch.column(0)):
                 tokens, ends = token_hashes(texts, known)
                 pairs = pair_keys(before_each(tokens, ends), tokens)
                 triples, there = triple_keys(pairs, tokens, np.concatenate([[0], ends[:-1]]))
-                held.append((tokens, pairs, triples[there]))
+                for kind, keys in ((WORD, tokens), (PAIR, pairs), (TRIPLE, triples[there])):
+                    held[kind].append(keys)
                 n += len(tokens)
                 if n >= COUNTED:
                     yield from rows(held)
-                    held, n = [], 0
-        if held:
+                    n = 0
+        if n:
             yield from rows(held)
 
     return run
