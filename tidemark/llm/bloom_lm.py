@@ -26,6 +26,8 @@ training rows N and V are 0. Other columns aren't read.
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import math
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -41,7 +43,7 @@ from . import common as C
 #: Words of 64 bits that an entry reaches in the filter, and bits that it sets in each.
 REACHED, SET = 2, 3
 #: Words whose hashes a worker remembers.
-REMEMBERED = 200_000
+REMEMBERED = 100_000
 #: Tokens that a task counts before it sends counts on.
 COUNTED = 2_000_000
 #: Bytes of counts that it sends at once.
@@ -52,6 +54,15 @@ WORD, PAIR, TRIPLE, HEAD = 0, 1, 2, 3
 END, START = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD1B54A32D192ED03)
 
 
+def give_back() -> None:
+    """Returns memory that is free within a worker to the system: workers are used again, by tasks that need it elsewhere."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 class Hashes(dict):
     """64-bit hashes of words, remembered up to a bound."""
 
@@ -252,6 +263,8 @@ def _count(shards: int):
                     n = 0
         if n:
             yield from rows(held)
+        known.clear()
+        give_back()
 
     return run
 
@@ -454,6 +467,7 @@ def _score_by_broadcast(held, frequent, model: Model):
     """Levels from the filter that every worker has."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        give_back()
         (words, pairs, triples), known = held.value, Hashes()
         for batch in batches:
             at = 0
