@@ -9,10 +9,10 @@ from pathlib import Path
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
-from tidemark import session
+from tidemark import schemas, session
 from tidemark.functions import time as T
-from tidemark.operators import rules, signals
-from tidemark.plans import normalize, report, review
+from tidemark.operators import evidence, rules, signals
+from tidemark.plans import analysis, normalize, report, review
 from tidemark.sources import collect, feeds, tables
 
 
@@ -90,15 +90,54 @@ def do_report(spark: SparkSession, a: argparse.Namespace) -> None:
 
 
 def do_review(spark: SparkSession, a: argparse.Namespace) -> None:
-    for line in review.monthly_lines(tables.latest(spark, f"{a.data}/predictions"), tables.latest(spark, f"{a.data}/results"), a.as_of):
-        print(line)
+    made = (tables.latest(spark, f"{a.data}/predictions"), tables.latest(spark, f"{a.data}/results"), a.as_of)
+    if a.save:
+        print(review.save_monthly(*made, Path(a.data, "reports", "monthly")))
+    else:
+        for line in review.monthly_lines(*made):
+            print(line)
+
+
+def do_chain(spark: SparkSession, a: argparse.Namespace) -> None:
+    """A chain or supply map of a sector that has a profile: prints the question, or reviews and saves the answer of a file."""
+    path = Path(a.data, "analyses", f"{a.sector}.json")
+    if not path.is_file():
+        raise SystemExit(f"{a.sector} has no profile yet")
+    profile = json.loads(path.read_text(encoding="utf-8"))
+    topic = next((t for t in signals.watched() if t.sector_id == a.sector), signals.Topic(profile["name"], (), a.sector))
+    bundle = evidence.bundle(spark.read.parquet(f"{a.data}/events"), topic, a.as_of).persist()
+    if not a.answer:
+        print(analysis.chain_prompt(bundle, profile, a.as_of, a.kind))
+        return
+    generate = lambda prompt, schema: Path(a.answer).read_text(encoding="utf-8")
+    if a.kind == "wave":
+        head, links = analysis.draft_wave(bundle, profile, a.as_of, generate)
+        parts, problems, name = {"links": links}, analysis.review_wave(links, bundle), head["chain_id"]
+    else:
+        head, nodes, edges = analysis.draft_supply_chain(bundle, profile, a.as_of, generate)
+        parts, problems, name = {"nodes": nodes, "edges": edges}, analysis.review_supply_chain(nodes, edges), head["map_id"]
+    found = problems.orderBy("key", "rule", "detail").collect()
+    for r in found:
+        print(r.key, r.rule, r.detail)
+    if found:
+        raise SystemExit(1)
+    # one answer of a generator: a few dozen rows
+    whole = head | {k: [r.asDict(recursive=True) for r in df.collect()] for k, df in parts.items()}
+    Path(a.data, "analyses", f"{name}.json").write_text(json.dumps(whole, ensure_ascii=False, default=str), encoding="utf-8")
 
 
 def do_validate(spark: SparkSession, a: argparse.Namespace) -> None:
+    """Rules and identifiers of events, predictions and results, as far as there are such tables."""
+    checked = [rules.events(spark.read.parquet(f"{a.data}/events"), a.as_of)]
+    for name, key, rule in (("predictions", "prediction_id", rules.predictions), ("results", "result_id", None)):
+        if any(Path(a.data, name).glob("*")):
+            rows = tables.latest(spark, f"{a.data}/{name}")
+            checked += [schemas.ill_formed(rows, key), *([rule(rows)] if rule else [])]
     n = 0
-    for r in rules.events(spark.read.parquet(f"{a.data}/events"), a.as_of).orderBy("key", "rule", "detail").toLocalIterator():
-        print(r.key, r.rule, r.detail)
-        n += 1
+    for found in checked:
+        for r in found.orderBy("key", "rule", "detail").toLocalIterator():
+            print(r.key, r.rule, r.detail)
+            n += 1
     print(n, "violations")
     raise SystemExit(int(n > 0))
 
@@ -110,7 +149,7 @@ def main(argv: list[str] | None = None) -> None:
         ("init", do_init, {"--check": {"action": "store_true"}}), ("collect", do_collect, {}), ("daily", do_daily, {}),
         ("normalize", do_normalize, {"--limit": {"type": int}, "--rebuild": {"action": "store_true"}}),
         ("detect", do_detect, {"--window-days": {"type": int, "default": 7}, "--baseline-multiplier": {"type": int, "default": 4}, "--topic": {}, "--keywords": {"nargs": "*"}, "--dry-run": {"action": "store_true"}}),
-        ("report", do_report, {"--date": {}, "--stdout": {"action": "store_true"}}), ("review", do_review, {}), ("validate", do_validate, {}),
+        ("report", do_report, {"--date": {}, "--stdout": {"action": "store_true"}}), ("review", do_review, {"--save": {"action": "store_true"}}), ("chain", do_chain, {"--sector": {"required": True}, "--kind": {"choices": ["wave", "supply_chain"], "default": "wave"}, "--answer": {}}), ("validate", do_validate, {}),
     ):
         p = sub.add_parser(name)
         p.add_argument("--data", required=True)

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from datetime import timedelta
+from collections.abc import Iterable
+from datetime import date, timedelta
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -30,3 +31,23 @@ def merge_spans(old: DataFrame, new: DataFrame) -> DataFrame:
     joined = o.join(new, "source_id", "full")
     touches = (F.col("from_day") <= F.date_add("_t", 1)) & (F.col("_f") <= F.date_add("to_day", 1))
     return joined.select("source_id", F.when(F.col("_f").isNotNull() & (F.col("from_day").isNull() | touches), F.least("_f", "from_day")).otherwise(F.col("from_day")).alias("from_day"), F.when(F.col("_t").isNotNull() & (F.col("to_day").isNull() | touches), F.greatest("_t", "to_day")).otherwise(F.col("to_day")).alias("to_day"))
+
+
+def supported(source: dict) -> bool:
+    """Whether a source can be asked for a range of days: by a template of its address, or by a body that is posted."""
+    spec = source.get("backfill")
+    return bool(spec) and (bool(spec.get("endpoint_template")) or source.get("http_method", "GET").upper() == "POST")
+
+
+def unsupported(requested: Iterable[str], sources: Iterable[dict]) -> list[str]:
+    """Those requested that can't be asked for a range, or aren't there."""
+    return sorted(set(requested) - {s["source_id"] for s in sources if supported(s)})
+
+
+def chunk_source(source: dict, start: date, end: date) -> dict:
+    """A copy of a source that asks for the days from start to end."""
+    spec = source["backfill"]
+    out = {**source, "kind": spec.get("kind", source["kind"]), "date_range": {"start": start.isoformat(), "end": end.isoformat()}}
+    if spec.get("endpoint_template"):
+        out["endpoint"] = spec["endpoint_template"].format(start_date=start.isoformat(), end_date=end.isoformat(), start_compact=f"{start:%Y%m%d}", end_compact=f"{end:%Y%m%d}")
+    return out
