@@ -55,6 +55,27 @@ def test_evidence_is_diversified_only_beyond_the_limit(spark):
     assert len(kept) == 6 and sum(int(e[1:]) < 8 for e in kept) == 4
 
 
+def test_evidence_positions_against_a_plain_ranking(spark):
+    rng = random.Random(3)
+    rows = [(f"e{i:03}", rng.choice("AAB"), T.instant(f"2026-08-{rng.randrange(10, 13)}T00:00:00Z").replace(tzinfo=None), [(rng.choice(["hot", "hot", "hot", "a", "b", None]),)], rng.choice(["k1", "k2", None])) for i in range(150)]
+    df = spark.createDataFrame(rows, "event_id string, max_reliability string, event_at timestamp, sources array<struct<source_id:string>>, k string")
+    order = [F.col("max_reliability"), F.col("event_id")]
+    n = {k: sum(r[4] == k for r in rows) for k in ("k1", "k2", None)}
+    for keys, limits in (((), (7, 40, 149, 150, 151)), (("k",), (1, 7, n["k1"] - 1, n["k1"], n["k1"] + 1))):
+        for limit in limits:
+            want = set()
+            for k in n if keys else [0]:
+                group = sorted((r for r in rows if not keys or r[4] == k), key=lambda r: (r[1], r[0]))
+                seen, late = {}, []
+                for r in group:
+                    at = (r[3][0][0], r[2])
+                    seen[at] = seen.get(at, 0) + 1
+                    late.append(len(group) > limit and seen[at] > 4)
+                ranked = [r for flag in (False, True) for r, x in zip(group, late, strict=True) if x == flag]
+                want |= {(r[0], p) for p, r in enumerate(ranked[:limit], 1)}
+            assert {(r.event_id, r.position) for r in evidence.diversify(df, order, limit, keys, 4).collect()} == want, (keys, limit)
+
+
 def test_rules(spark):
     wave = spark.createDataFrame([("c", 1, "m", "observed", "low", None, None), ("c", 2, "m", "inferred", "high", "f", ["e"]), ("c", 4, "", "inferred", "high", None, None)], "chain_id string, wave int, mechanism string, claim_type string, causal_confidence string, falsifier string, evidence array<string>")
     assert sorted((r.rule, r.detail) for r in rules.waves(wave).collect()) == [("inferred_without_evidence", "wave 4"), ("inferred_without_falsifier", "wave 4"), ("no_mechanism", "wave 4"), ("surer_than_the_wave_before", "2")]

@@ -21,15 +21,30 @@ def ordered(order: Sequence[Column], keys: Sequence[str] = ()) -> Column:
     return F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
 
 
+def first_rows(rows: DataFrame, order: Sequence[Column], limit: int, keys: Sequence[str] = ()) -> DataFrame:
+    """The first `limit` rows of each group: cut before they are exchanged, so no task sees a whole group."""
+    if not keys:
+        return rows.orderBy(*order).limit(limit)
+    return rows.withColumn("_first", ordered(order, keys)).filter(F.col("_first") <= limit).drop("_first")
+
+
+def placed(rows: DataFrame, order: Sequence[Column], keys: Sequence[str] = ()) -> DataFrame:
+    """rows with their position in their group; for groups that first_rows has cut."""
+    return rows.withColumn("position", F.row_number().over((Window.partitionBy(*keys) if keys else Window.partitionBy(F.lit(1))).orderBy(*order)))
+
+
 def diversify(rows: DataFrame, order: Sequence[Column], limit: int, keys: Sequence[str] = (), per_day: int = fixed.PER_SOURCE_AND_DAY) -> DataFrame:
-    """The first `limit` rows of each group. Where a group has more, at most per_day of a source and day, the others only after those."""
-    source, day = F.col("sources")[0]["source_id"], F.to_date("event_at")
-    out = rows.withColumns({"_n": F.count("*").over(Window.partitionBy(*keys)) if keys else F.count("*").over(Window.partitionBy(F.lit(1))), "_source": source, "_day": day})
-    out = out.withColumn("_nth", F.row_number().over(Window.partitionBy(*keys, "_source", "_day").orderBy(*order)))
-    late = F.when(F.col("_n") <= limit, F.lit(False)).otherwise(F.col("_nth") > per_day)
-    out = out.withColumn("_late", late)
-    out = out.withColumn("position", F.row_number().over(Window.partitionBy(*keys).orderBy("_late", *order) if keys else Window.partitionBy(F.lit(1)).orderBy("_late", *order)))
-    return out.filter(F.col("position") <= limit).drop("_n", "_source", "_day", "_nth", "_late")
+    """The first `limit` rows of each group. Where a group has more, at most per_day of a source and day, the others only after those.
+
+    One row beyond the limit tells whether a group has more, so groups are cut to limit + 1 rows, and those of
+    a source and day to that number, before they are ranked as wholes.
+    """
+    out = rows.withColumns({"_source": F.col("sources")[0]["source_id"], "_day": F.to_date("event_at")})
+    out = out.withColumn("_nth", ordered(order, [*keys, "_source", "_day"])).filter(F.col("_nth") <= limit + 1)
+    out = first_rows(out.withColumn("_late", F.col("_nth") > per_day), [F.col("_late"), *order], limit + 1, keys)
+    more = F.count("*").over(Window.partitionBy(*keys) if keys else Window.partitionBy(F.lit(1))) > limit
+    out = placed(out.withColumn("_late", more & F.col("_late")), [F.col("_late"), *order], keys)
+    return out.filter(F.col("position") <= limit).drop("_source", "_day", "_nth", "_late")
 
 
 def bundle(events: DataFrame, topic: signals.Topic, as_of: str, days: int = fixed.EVIDENCE_DAYS, limit: int = fixed.EVIDENCE_LIMIT, statistics: int = fixed.STATISTICS_LIMIT) -> DataFrame:
@@ -39,7 +54,7 @@ def bundle(events: DataFrame, topic: signals.Topic, as_of: str, days: int = fixe
     rows = signals.match_topics(rows, [topic]).drop("topic")
     order = [F.col("max_reliability"), F.col("event_at").desc(), F.col("observed_at"), F.col("event_id")]
     reports = diversify(rows.filter(~is_statistic()), order, limit).withColumn("kind", F.lit("report"))
-    figures = rows.filter(is_statistic()).withColumn("position", F.row_number().over(Window.partitionBy(F.lit(1)).orderBy(*order))).filter(F.col("position") <= statistics).withColumn("kind", F.lit("statistic"))
+    figures = placed(first_rows(rows.filter(is_statistic()), order, statistics), order).withColumn("kind", F.lit("statistic"))
     return reports.unionByName(figures)
 
 

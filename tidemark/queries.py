@@ -145,12 +145,12 @@ def topic_match_union(spark, sf_dir):
 # landing
 
 
-@query("""with b as (select doc_id, sha256(coalesce(text, '')) as key, source from documents where doc_id % 2 = 0),
+@query("""with b as (select doc_id, sha256(coalesce(text, '')) as key, source from documents where doc_id % 3 <> 1),
 t as (select distinct sha256(coalesce(text, '')) as key from documents where doc_id % 3 = 1)
 select key, min(doc_id) as doc_id from b where key not in (select key from t) group by 1""")
 def insert_if_absent(spark, sf_dir):
     d = views.table(spark, sf_dir, "documents").select("doc_id", F.sha2(F.coalesce("text", F.lit("")), 256).alias("key"))
-    return tables.absent(d.filter("doc_id % 2 = 0"), "key", [F.col("doc_id")], d.filter("doc_id % 3 = 1")).select("key", "doc_id")
+    return tables.absent(d.filter("doc_id % 3 <> 1"), "key", [F.col("doc_id")], d.filter("doc_id % 3 = 1")).select("key", "doc_id")
 
 
 @query("select case when source in ('src0','src1','src2','src3') then 'normalized' else 'skipped' end as status, count(*) as n from documents group by 1")
@@ -329,9 +329,9 @@ def evidence_topk(spark, sf_dir):
     return e.withColumn("position", evidence.ordered(order, ("sector",)).cast("long")).filter("position <= 10").select("sector", "event_id", "position")
 
 
-@query(EV + "select count(*) filter (where grade = 'A') as \"A\", count(*) filter (where grade = 'B') as \"B\", count(*) filter (where grade = 'C') as \"C\", count(*) filter (where grade = 'E') as \"D\" from pri where grade in ('A', 'B', 'C')")
+@query(EV + "select count(*) filter (where grade = 'A') as \"A\", count(*) filter (where grade = 'B') as \"B\", count(*) filter (where grade = 'C') as \"C\", count(*) filter (where grade = 'D') as \"D\" from pri")
 def reliability_histogram(spark, sf_dir):
-    return evidence.reliability_counts(views.primary_events(spark, sf_dir).filter("max_reliability <> 'D'"))
+    return evidence.reliability_counts(views.primary_events(spark, sf_dir))
 
 
 @query(EV + f"select {ISO.format('min(observed_at)')} as oldest, {ISO.format('max(observed_at)')} as newest from pri where event_type <> 'purchase'")
@@ -552,14 +552,17 @@ def rule_prediction(spark, sf_dir):
     return rules.predictions(p)
 
 
-@query("""with s as (select o_orderkey % 50 as r, row_number() over (partition by o_orderkey % 50 order by o_orderkey) as no, o_orderkey from orders), k as (select * from s where no <= 16 and not (r % 9 = 0 and no = 16))
+@query("""with g as (select o_orderkey, o_orderkey // 16 as q from orders), s as (select q - (q % 9 = 1)::int as r, row_number() over (partition by q - (q % 9 = 1)::int order by o_orderkey) as no from g),
+k as (select r, case when r % 11 = 5 and no = 16 then 17 else no end as no, r % 4 = 1 and no = 3 as blank from s)
 select 'rpt_' || r as "key", 'section_count' as rule, count(*)::varchar as detail from k group by r having count(*) <> 16
-union all select 'rpt_' || r, 'section_numbers', string_agg(no::varchar, ',' order by no) from k group by r having count(*) <> 16
-union all select 'rpt_' || r, 'empty_sections', count(*)::varchar from k where r % 4 = 1 and no = 3 group by r union all select 'rpt_' || r, 'ranks', '' from k where r % 7 = 0 group by r""")
+union all select 'rpt_' || r, 'section_numbers', string_agg(no::varchar, ',' order by no) from k group by r having list(no order by no) <> range(1, 17)
+union all select 'rpt_' || r, 'empty_sections', count(*)::varchar from k where blank group by r union all select distinct 'rpt_' || r, 'ranks', '' from k where r % 7 = 0""")
 def rule_report(spark, sf_dir):
-    o = views.table(spark, sf_dir, "orders").withColumn("r", F.col("o_orderkey") % 50)
-    s = o.withColumn("no", F.row_number().over(Window.partitionBy("r").orderBy("o_orderkey"))).filter("no <= 16 and not (r % 9 = 0 and no = 16)")
-    s = s.select(F.concat(F.lit("rpt_"), "r").alias("report_id"), "no", F.col("no").cast("string").alias("section"), F.when((F.col("r") % 4 == 1) & (F.col("no") == 3), " ").otherwise("x").alias("body"), F.lit(False).alias("contains_ticker_recommendation"), (F.col("r") % 7 == 0).alias("contains_ranking"))
+    """A report is made of 16 consecutive orders; every ninth takes the next one's too, every eleventh skips a number."""
+    o = views.table(spark, sf_dir, "orders").withColumn("q", F.floor(F.col("o_orderkey") / 16))
+    s = o.withColumn("r", F.col("q") - (F.col("q") % 9 == 1).cast("int"))
+    s = s.withColumn("nth", F.row_number().over(Window.partitionBy("r").orderBy("o_orderkey"))).withColumn("no", F.when((F.col("r") % 11 == 5) & (F.col("nth") == 16), 17).otherwise(F.col("nth")))
+    s = s.select(F.concat(F.lit("rpt_"), "r").alias("report_id"), "no", F.col("nth").cast("string").alias("section"), F.when((F.col("r") % 4 == 1) & (F.col("nth") == 3), " ").otherwise("x").alias("body"), F.lit(False).alias("contains_ticker_recommendation"), (F.col("r") % 7 == 0).alias("contains_ranking"))
     return rules.reports(s)
 
 
