@@ -160,7 +160,7 @@ def draw(weighed: DataFrame, *, percent: int = 10, min_words: int = 20, seed: in
     nth = F.col("ahead") + F.row_number().over(Window.partitionBy("score").orderBy(F.col("doc_id").asc_nulls_last()))
     ranked = drawn.withColumn("rank", F.when(nth <= wanted, nth).cast("long")).drop("ahead")
     rest = scored.filter(fit).join(reached, "score", "left_anti").unionByName(scored.filter(~fit))
-    return ranked.unionByName(rest.withColumn("rank", F.lit(None).cast("long")))
+    return ranked.unionByName(rest.withColumn("rank", F.lit(None).cast("long"))).select(*weighed.columns, "score", "rank")
 
 
 def resample(docs: DataFrame, target: DataFrame, *, percent: int = 10, min_words: int = 20, seed: int = 2024, **how) -> DataFrame:
