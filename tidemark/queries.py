@@ -13,7 +13,8 @@ from tidemark.functions import text as X
 from tidemark.functions import time as T
 from tidemark.operators import backtest, classify, dedup, evidence, graphs, rules, signals
 from tidemark.plans import report
-from tidemark.sources import backfill, feeds, series, tables
+from tidemark.sources import backfill, feeds, series, shared, tables
+from tidemark.streaming import clusters
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -295,6 +296,22 @@ def dedup_exact_keys(spark, sf_dir):
     return dedup.exact_clusters(k).select("raw_id", "hash_of", "key_of", "primary_of")
 
 
+@query(DOC + """, k as (select raw_id, doc_id, source, day, sha256(nbody) as h from nrm),
+w as (select *, first_value(raw_id) over o as f, first_value(source) over o as fs from k window o as (partition by day, h order by doc_id)),
+j as (select *, raw_id <> f and (source <> fs or coalesce(max((source <> fs)::int) over (partition by day, h order by doc_id rows between unbounded preceding and 1 preceding), 0) = 1) as joins from w)
+select raw_id, case when joins then f else raw_id end as primary_of, case when joins then 'content_hash' else 'event_key' end as method from j""")
+def day_state_clusters(spark, sf_dir):
+    """The days' documents arrive in three runs of a stream, which carry the clusters by URL and hash as state."""
+    d = views.documents(spark, sf_dir)
+    k = d.select("doc_id", "raw_id", "source_id", "observed_at", F.to_date("event_at").alias("event_date"), F.col("url").alias("canonical_url"), F.sha2(normal(F.col("body")), 256).alias("content_hash"), F.lit(None).cast("string").alias("event_key"), F.array().cast("array<string>").alias("tokens"))
+    cuts = k.agg(F.percentile_approx("doc_id", [1 / 3, 2 / 3])).first()[0]
+    arriving, found, state = (shared.folder(spark, f"day-{x}") for x in ("arriving", "found", "state"))
+    for here in (F.col("doc_id") <= cuts[0], (F.col("doc_id") > cuts[0]) & (F.col("doc_id") <= cuts[1]), F.col("doc_id") > cuts[1]):
+        k.filter(here).write.mode("append").parquet(arriving)
+        clusters.follow(spark.readStream.schema(k.schema).parquet(arriving), found, state, methods=("canonical_url", "content_hash")).awaitTermination()
+    return spark.read.schema(dedup.ASSIGNED).parquet(found).select("raw_id", F.coalesce("duplicate_of", "raw_id").alias("primary_of"), "method")
+
+
 @query()
 def dedup_cluster(spark, sf_dir):
     return dedup.assign_clusters(dedup.keyed(views.documents(spark, sf_dir), F.lit("publisher")))
