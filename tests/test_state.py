@@ -10,9 +10,8 @@ STORY = [f"word{i}" for i in range(10)]
 
 
 def rows(spark, made):
-    text = [(d, f"2026-01-0{d[-1]}T{t}:00Z", r, s, u, h, k, w) for d, t, r, s, u, h, k, w in made]
-    names = [c.split()[0] for c in COLUMNS.split(", ")]
-    return spark.createDataFrame(text, names).select(*[F.col(c.split()[0]).cast(c.split()[1]) for c in COLUMNS.split(", ")])
+    text = [(d, f"2026-01-0{(d or DAY)[-1]}T{t}:00Z", r, s, u, h, k, w) for d, t, r, s, u, h, k, w in made]
+    return spark.createDataFrame(text, "event_date string, observed_at string, raw_id string, source_id string, canonical_url string, content_hash string, event_key string, tokens array<string>").select(*[F.col(c.split()[0]).cast(c.split()[1]) for c in COLUMNS.split(", ")])
 
 
 DAY = "2026-01-01"

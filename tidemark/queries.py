@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -13,7 +14,7 @@ from tidemark.functions import text as X
 from tidemark.functions import time as T
 from tidemark.operators import backtest, classify, dedup, evidence, graphs, rules, signals
 from tidemark.plans import report
-from tidemark.sources import backfill, feeds, series, shared, tables
+from tidemark.sources import backfill, collect, feeds, series, shared, tables
 from tidemark.streaming import clusters
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -417,28 +418,70 @@ def daily_report(spark, sf_dir):
 # sources
 
 
-def _payload(spark: SparkSession, text: str) -> DataFrame:
-    return spark.createDataFrame([("src_a", text)], "source_id string, payload string").withColumn("observed_at", T.at(views.AS_OF))
+def _payloads(lines: DataFrame, payload: Column) -> DataFrame:
+    """A payload of each order's lines."""
+    return lines.groupBy("l_orderkey").agg(payload.alias("payload")).select(F.concat(F.lit("src_"), "l_orderkey").alias("source_id"), "payload", T.at(views.AS_OF).alias("observed_at"))
 
 
-@query("select * from (values ('2026-05', 55.0::double, 'Output（Solid）', 'TJ', 'SF'), ('2026-04', 100.0::double, 'Output（Gas）', 'TJ', 'G'), ('2026-06', 120.0::double, 'Output（Gas）', 'TJ', 'G')) t(period, value, label, unit, siec)")
+@query("""select 'src_' || l_orderkey as source_id, '2026-0' || l_linenumber as period, sum(l_quantity) as value, 'Output（' || case l_returnflag when 'A' then 'Gas' when 'R' then 'Solid' else 'N' end || '）' as label, 'TJ' as unit, l_returnflag as siec
+from lineitem where l_quantity <> 7 group by l_orderkey, l_linenumber, l_returnflag""")
 def jsonstat_unflatten(spark, sf_dir):
-    doc = '{"label":"Output","id":["siec","time"],"size":[2,3],"value":{"0":100,"2":120,"4":55},"dimension":{"siec":{"category":{"index":{"G":0,"SF":1},"label":{"G":"Gas","SF":"Solid"}}},"time":{"category":{"index":{"2026-04":0,"2026-05":1,"2026-06":2}}}}}'
-    return series.jsonstat(_payload(spark, doc), {}, {"unit": "TJ"}).select("period", "value", "label", "unit", F.try_element_at("keys", F.lit("siec")).alias("siec"))
-
-
-@query("select * from (values ('2026-08-19', 4.1::double, 'Yield 10y', '%', '10y'), ('2026-08-19', 3.9::double, 'Yield 2y', '%', '2y'), ('2026-08-20', 4.2::double, 'Yield 10y', '%', '10y')) t(period, value, label, unit, tenor)")
+    """Each order as a sparse cube of flag and line number, of which one flag has no caption."""
+    lines = views.table(spark, sf_dir, "lineitem").filter("l_quantity <> 7").groupBy("l_orderkey", "l_returnflag", "l_linenumber").agg(F.sum("l_quantity").alias("q"))
+    flat = (F.instr(F.lit("ANR"), F.col("l_returnflag")) - 1) * 7 + F.col("l_linenumber") - 1
+    values = F.to_json(F.map_from_entries(F.collect_list(F.struct(flat.cast("string"), "q"))))
+    months = ",".join(f'"2026-0{i + 1}":{i}' for i in range(7))
+    head = '{"label":"Output","id":["siec","time"],"size":[3,7],"dimension":{"siec":{"category":{"index":{"A":0,"N":1,"R":2},"label":{"A":"Gas","R":"Solid"}}},"time":{"category":{"index":{%s}}}},"value":' % months
+    found = series.jsonstat(_payloads(lines, F.concat(F.lit(head), values, F.lit("}"))), {}, {"unit": "TJ"})
+    return found.select("source_id", "period", "value", "label", "unit", F.try_element_at("keys", F.lit("siec")).alias("siec"))
+
+
+@query("""select 'src_' || l_orderkey as source_id, strftime(l_shipdate, '%Y-%m-%d') as period, l_extendedprice as value, 'Yield 10y' as label, '%' as unit, '10y' as tenor from lineitem
+union all select 'src_' || l_orderkey, strftime(l_shipdate, '%Y-%m-%d'), l_discount, 'Yield 2y', '%', '2y' from lineitem where l_returnflag <> 'N'""")
 def odata_unpivot(spark, sf_dir):
-    row = "<entry><content><m:properties><d:NEW_DATE m:type='x'>{}</d:NEW_DATE><d:BC_10YEAR>{}</d:BC_10YEAR><d:BC_2YEAR>{}</d:BC_2YEAR></m:properties></content></entry>"
-    feed = "<feed>" + row.format("2026-08-19T00:00:00", "4.10", "3.90") + row.format("2026-08-20T00:00:00", "4.20", "") + "</feed>"
-    return series.odata(_payload(spark, feed), {}, {"label": "Yield", "unit": "%", "fields": {"10y": "BC_10YEAR", "2y": "BC_2YEAR"}}).select("period", "value", "label", "unit", F.element_at("keys", "tenor").alias("tenor"))
+    """Each order as a feed with an entry a line; one column is empty in some."""
+    row = F.concat(
+        F.lit("<entry><content><m:properties><d:NEW_DATE m:type='x'>"), F.date_format("l_shipdate", "yyyy-MM-dd'T'HH:mm:ss"), F.lit("</d:NEW_DATE><d:BC_10YEAR>"), F.col("l_extendedprice").cast("string"),
+        F.lit("</d:BC_10YEAR><d:BC_2YEAR>"), F.when(F.col("l_returnflag") != "N", F.col("l_discount").cast("string")).otherwise(""), F.lit("</d:BC_2YEAR><d:NOTE m:null='true'/></m:properties></content></entry>"),
+    )
+    feed = F.concat(F.lit("<feed>"), F.array_join(F.collect_list(row), ""), F.lit("</feed>"))
+    found = series.odata(_payloads(views.table(spark, sf_dir, "lineitem"), feed), {}, {"label": "Yield", "unit": "%", "fields": {"10y": "BC_10YEAR", "2y": "BC_2YEAR"}})
+    return found.select("source_id", "period", "value", "label", "unit", F.element_at("keys", "tenor").alias("tenor"))
 
 
-@query("select * from (values ('2024', 1234.5::double, 'GDP（Japan）', 'USD', 'Japan'), ('2023', 1000.0::double, 'GDP（Japan）', 'USD', 'Japan')) t(period, value, label, unit, country)")
+@query("""select 'src_' || l_orderkey as source_id, year(l_shipdate)::varchar as period, round_even(l_extendedprice, 2) as value, 'GDP（' || l_returnflag || '）' as label, 'USD' as unit, l_returnflag as country from lineitem where l_linestatus = 'O'""")
 def records_explode(spark, sf_dir):
-    doc = '[{"lastupdated":"2026-07-13"},[{"indicator":{"id":"G","value":"GDP"},"country":{"value":"Japan"},"date":"2024","value":"1,234.5"},{"indicator":{"id":"G","value":"GDP"},"country":{"value":"Japan"},"date":"2025","value":null},{"indicator":{"id":"G","value":"GDP"},"country":{"value":"Japan"},"date":"2023","value":1000}]]'
+    """Each order as meta data and a list of records, some without a value, numbers with separators."""
+    value = F.when(F.col("l_linestatus") == "O", F.format_number("l_extendedprice", 2))
+    item = F.struct(F.struct(F.lit("GDP").alias("value")).alias("indicator"), F.struct(F.col("l_returnflag").alias("value")).alias("country"), F.year("l_shipdate").cast("string").alias("date"), value.alias("value"))
+    doc = F.concat(F.lit('[{"lastupdated":"2026-07-13"},'), F.to_json(F.collect_list(item)), F.lit("]"))
     spec = {"points_path": "1", "label": "indicator.value", "key_fields": {"country": "country.value"}}
-    return series.records(_payload(spark, doc), spec, {"unit": "USD"}).select("period", "value", "label", "unit", F.element_at("keys", "country").alias("country"))
+    found = series.records(_payloads(views.table(spark, sf_dir, "lineitem"), doc), spec, {"unit": "USD"})
+    return found.select("source_id", "period", "value", "label", "unit", F.element_at("keys", "country").alias("country"))
+
+
+@query("""with s as (select o_custkey % 400 as code, 'src_' || (o_custkey % 20) as source_id, count(*) as n, sum(o_totalprice) as total from orders group by all),
+j as (select *, case when code % 5 = 2 then 'HTTP 503' when code % 3 = 2 then 'not JSON' when code % 3 = 1 then 'LIMIT: quota; wait' end as error from s),
+a as (select source_id, bool_or(error is null) as alive from j group by 1),
+e as (select source_id, code || ': ' || error as why, row_number() over (partition by source_id order by '{"code":"' || code || '"}') as r from j where error is not null)
+select a.source_id, coalesce(sum(n) filter (where error is null), 0)::bigint as n_points, round_even(sum(total) filter (where error is null), 2) as total, count(error) filter (where alive) as n_failed,
+  any_value(case when not alive then w.whys end) as failed
+from a join j using (source_id) left join (select source_id, string_agg(why, '; ' order by r) filter (where r <= 3) as whys from e group by 1) w using (source_id) group by a.source_id""")
+def series_partial_failures(spark, sf_dir):
+    """400 series of 20 sources made of orders: some answer with an error, a status or no JSON; four sources fail as a whole."""
+    code = F.col("o_custkey") % 400
+    item = F.struct(F.date_format("o_orderdate", "yyyy-MM-dd").alias("date"), F.col("o_totalprice").alias("value"))
+    made = views.table(spark, sf_dir, "orders").groupBy(code.alias("code"), F.concat(F.lit("src_"), (F.col("o_custkey") % 20).cast("string")).alias("source_id")).agg(F.to_json(F.collect_list(item)).alias("data"))
+    odd = F.col("code") % 3
+    payload = F.when(odd == 2, F.concat(F.lit("<html>"), "data")).when(odd == 1, F.lit('{"status":"LIMIT","message":["quota","wait"]}')).otherwise(F.concat(F.lit('{"status":"OK","data":'), "data", F.lit("}")))
+    down = F.col("code") % 5 == 2
+    spec = {"format": "records", "points_path": "data", "status_path": "status", "status_ok": ["OK"], "point_url_template": "https://x.org/{code}/{period}", "key_fields": {"day": "date"}}
+    rows = made.select("source_id", F.lit("json_series").alias("kind"), F.lit(json.dumps(spec)).alias("spec"), F.format_string('{"code":"%s"}', F.col("code").cast("string")).alias("part"), F.when(~down, payload).alias("payload"), F.when(down, "HTTP 503").alias("error"), T.at(views.AS_OF).alias("observed_at"))
+    points, failed = collect.statistics(rows)
+    points = points.groupBy("source_id").agg(F.count("*").alias("n_points"), F.bround(F.sum(F.get("quantities", F.lit(0))["value"]), 2).alias("total"))
+    failed = failed.groupBy("source_id").agg(F.count_if(~F.col("whole")).alias("n_failed"), F.max(F.when(F.col("whole"), F.col("error"))).alias("failed"))
+    both = points.join(failed, "source_id", "full")
+    return both.select("source_id", F.coalesce("n_points", F.lit(0)).alias("n_points"), "total", F.coalesce("n_failed", F.lit(0)).alias("n_failed"), "failed")
 
 
 @query("select 'https://x.org/' || event_id as url, event_type || ' & ' || event_id as title, 'told ' || event_id as body, strftime(ts, '%Y-%m-%dT%H:%M:%SZ') as published_at from events")

@@ -44,19 +44,19 @@ def _own_names(payload: Column) -> Column:
     return F.when(F.rlike(payload, F.lit(r"<[\w.-]+:(?:item|entry|feed|RDF)[\s>]")), plain).otherwise(payload)
 
 
-def feed_entries(payloads: DataFrame) -> DataFrame:
-    """source_id, observed_at, link, title, body, published_at of every entry that has a link and a title."""
+def feed_entries(payloads: DataFrame, keep: Sequence[str] = ("source_id",)) -> DataFrame:
+    """observed_at, link, title, body, published_at and the columns to keep, of every entry that has a link and a title."""
     items, entries = (F.regexp_extract_all("payload", F.lit(rf"(?s)<{n}(?:\s[^>]*)?>(.*?)</{n}\s*>"), 1) for n in ("item", "entry"))
     # entries count only where there are no items
     entry = F.explode(F.when(F.size(items) > 0, items).otherwise(entries))
-    rows = payloads.withColumn("payload", _own_names(F.col("payload"))).select("source_id", "observed_at", entry.alias("entry"))
+    rows = payloads.withColumn("payload", _own_names(F.col("payload"))).select(*keep, "observed_at", entry.alias("entry"))
     links = F.regexp_extract_all("entry", F.lit(r"(<link\s[^>]*>)"), 1)
     alternate = F.filter(links, lambda x: F.contains(x, F.lit("href")) & (~F.rlike(x, F.lit(r"\brel\s*=")) | F.rlike(x, F.lit(r"\brel\s*=\s*[\"']alternate[\"']"))))
     href = F.regexp_extract(F.coalesce(F.get(alternate, F.lit(0)), F.lit("")), r"href\s*=\s*[\"']([^\"']*)[\"']", 1)
     guid = _inner(F.col("entry"), "guid")
     link = F.coalesce(*[F.when(x != "", x) for x in (_inner(F.col("entry"), "link"), X._unescape(href), F.when(F.startswith(guid, F.lit("http")), guid).otherwise(F.lit("")))], F.lit(""))
     when = F.coalesce(*[T.feed_time(F.when(x != "", x)) for x in (_inner(F.col("entry"), t) for t in ("pubDate", "published", "updated", "dc:date"))])
-    out = rows.select("source_id", "observed_at", link.alias("link"), _inner(F.col("entry"), "title").alias("title"), _inner(F.col("entry"), "description", "summary", "content", "content:encoded").alias("body"), when.alias("published_at"))
+    out = rows.select(*keep, "observed_at", link.alias("link"), _inner(F.col("entry"), "title").alias("title"), _inner(F.col("entry"), "description", "summary", "content", "content:encoded").alias("body"), when.alias("published_at"))
     return out.filter("link <> '' and title <> ''")
 
 
@@ -102,6 +102,63 @@ def json_entries(payloads: DataFrame, mapping: dict) -> DataFrame:
     return out.filter("link <> '' and title <> ''")
 
 
+def json_at(document: Column, path: Column) -> Column:
+    """get_json_object by a path that a row brings."""
+    return F.call_function("get_json_object", document, path)
+
+
+def dig_by(document: Column, path: Column) -> Column:
+    """A dotted path that a row brings, into JSON text. Numbers index arrays; one from the end may come first or last."""
+    plain = lambda p: F.concat(F.lit("$"), F.regexp_replace(F.concat(F.lit("."), p), r"\.(\d+)(?=\.|$)", "[$1]"))
+    head = F.regexp_extract(path, r"^(?:(.*?)\.)?-\d+(?:\.(.*))?$", 1)
+    rest = F.regexp_extract(path, r"^(?:(.*?)\.)?-\d+(?:\.(.*))?$", 2)
+    nth = F.regexp_extract(path, r"(?:^|\.)(-\d+)(?:\.|$)", 1)
+    items = F.from_json(F.when(head == "", document).otherwise(json_at(document, plain(head))), "array<string>")
+    item = F.try_element_at(items, F.when(nth != "", nth.cast("int")))
+    return F.when(nth == "", json_at(document, plain(path))).otherwise(F.when(rest == "", item).otherwise(json_at(item, plain(rest))))
+
+
+def _paths(spec: Column, name: str, default: str | None = None) -> Column:
+    """One path or several of a spec, as a list."""
+    given = F.get_json_object(spec, f"$.{name}")
+    listed = F.when(F.startswith(given, F.lit("[")), F.from_json(given, "array<string>")).when(given != "", F.array(given))
+    return F.coalesce(listed, F.array(F.lit(default)) if default else F.array().cast("array<string>"))
+
+
+def status_by(payload: Column, spec: Column) -> Column:
+    """Why a payload's body tells of a failure, by the status that its spec names; null where it doesn't."""
+    path, fine = F.get_json_object(spec, "$.status_path"), F.from_json(F.get_json_object(spec, "$.status_ok"), "array<string>")
+    status = F.coalesce(dig_by(payload, path), F.lit(""))
+    told = dig_by(payload, F.coalesce(F.get_json_object(spec, "$.status_message_path"), F.lit("message")))
+    message = F.coalesce(F.when(F.startswith(told, F.lit("[")), F.array_join(F.from_json(told, "array<string>"), "; ")), told)
+    return F.when((F.size(fine) > 0) & ~F.array_contains(fine, status), F.concat_ws(": ", F.nullif(status, F.lit("")), message))
+
+
+def _items(payload: Column, spec: Column) -> Column:
+    path = F.nullif(F.get_json_object(spec, "$.items_path"), F.lit(""))
+    return F.from_json(F.when(path.isNull(), payload).otherwise(dig_by(payload, path)), "array<string>")
+
+
+def json_problem(payload: Column, spec: Column) -> Column:
+    """Why a payload gives no entries: no JSON, a status that tells of a failure, no list, or nothing in it."""
+    items = _items(payload, spec)
+    return F.coalesce(F.when(F.try_parse_json(payload).isNull(), "not JSON"), status_by(payload, spec), F.when(items.isNull(), "no list of items"), F.when(F.size(items) == 0, "empty"))
+
+
+def mapped_entries(payloads: DataFrame, keep: Sequence[str] = ("source_id",)) -> DataFrame:
+    """Like json_entries, by the mapping that each row brings as `spec` (JSON)."""
+    rows = payloads.select(*keep, "observed_at", "spec", F.explode(_items(F.col("payload"), F.col("spec"))).alias("item"))
+    item, spec = F.col("item"), F.col("spec")
+    texts = lambda paths: F.filter(F.transform(paths, lambda p: F.trim(dig_by(item, p))), lambda x: x != "")
+    first = lambda paths: F.coalesce(F.get(texts(paths), F.lit(0)), F.lit(""))
+    pattern = F.nullif(F.get_json_object(spec, "$.url_template"), F.lit(""))
+    names = F.regexp_extract_all(pattern, F.lit(r"\{(\w+)\}"), F.lit(1))
+    filled = F.aggregate(names, pattern, lambda text, n: F.replace(text, F.concat(F.lit("{"), n, F.lit("}")), dig_by(item, n)))
+    link = F.when(pattern.isNotNull(), F.coalesce(filled, F.lit(""))).otherwise(first(_paths(spec, "url", "url")))
+    out = rows.select(*keep, "observed_at", link.alias("link"), first(_paths(spec, "title", "title")).alias("title"), F.array_join(texts(_paths(spec, "body")), "\n\n").alias("body"), T.published(dig_by(item, F.get_json_object(spec, "$.published_at"))).alias("published_at"))
+    return out.filter("link <> '' and title <> ''")
+
+
 def raw_documents(entries: DataFrame) -> DataFrame:
     """Entries as raw documents with their identity."""
     url = X.canonical_url(F.col("link"))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -11,6 +13,7 @@ from tidemark.functions import time as T
 from tidemark.sources import feeds
 
 POINT = ["source_id", "observed_at", "period", "value", "label", "unit", "keys", "note"]
+POINTS = "source_id string, observed_at timestamp, period string, value double, label string, unit string, keys map<string,string>, note string, part string, spec string, requested string, published_at timestamp"
 
 
 def number(text: Column) -> Column:
@@ -38,8 +41,29 @@ def _label(base: Column, details: list[Column]) -> Column:
     return F.when(detail != "", F.concat(base, F.lit("（"), detail, F.lit("）"))).otherwise(base)
 
 
-def records(payloads: DataFrame, spec: dict, entry: dict) -> DataFrame:
+def _entry(entry: dict | Column, name: str) -> Column:
+    """What a series says of itself; null where it doesn't. The series is a dict, or a column of JSON."""
+    if isinstance(entry, dict):
+        return F.lit(entry[name] if entry.get(name) else None).cast("string")
+    return F.nullif(F.get_json_object(entry, f"$.{name}"), F.lit(""))
+
+
+def _kept(rows: DataFrame) -> list[str]:
+    """What of a payload its points keep."""
+    return [c for c in ("source_id", "observed_at", "part", "spec", "requested", "published_at") if c in rows.columns]
+
+
+def problem(payload: Column, spec: Column) -> Column:
+    """Why a payload gives no points, by its spec (JSON): an unknown format, another form, or a status that tells of a failure; else null."""
+    form = F.coalesce(F.get_json_object(spec, "$.format"), F.lit("records"))
+    xml = F.when(~F.rlike(payload, F.lit(r"^\s*<[?\w]")) | ~F.rlike(payload, F.lit(r">\s*$")), "not XML")
+    json = F.coalesce(F.when(F.try_parse_json(payload).isNull(), "not JSON"), feeds.status_by(payload, spec))
+    return F.when(~form.isin(*PARSERS), F.concat(F.lit("unknown format of series: "), form)).otherwise(F.when(form == "odata_xml", xml).otherwise(json))
+
+
+def records(payloads: DataFrame, spec: dict, entry: dict | Column) -> DataFrame:
     """Points that come as arrays of objects, perhaps within arrays of series. Points without value or period are dropped."""
+    kept = _kept(payloads)
     rows = payloads.withColumn("payload", check_status(F.col("payload"), spec))
     if spec.get("series_path"):
         rows = rows.withColumn("payload", F.explode(F.from_json(feeds.dig(F.col("payload"), spec["series_path"]), "array<string>")))
@@ -50,27 +74,29 @@ def records(payloads: DataFrame, spec: dict, entry: dict) -> DataFrame:
     period = [spec.get("period", "date")] if isinstance(spec.get("period", "date"), str) else spec["period"]
     keys = [(name, text(path)) for name, path in (spec.get("key_fields") or {}).items()]
     named = spec.get("label_fields")
-    base = F.lit(entry.get("label", ""))
+    base = F.coalesce(_entry(entry, "label"), F.lit(""))
     if spec.get("label"):
         base = F.coalesce(F.nullif(text(spec["label"]), F.lit("")), base)
-    unit = F.lit(entry["unit"]) if entry.get("unit") else F.coalesce(text(spec["unit_path"]) if spec.get("unit_path") else F.lit(None), F.lit(""))
+    unit = F.coalesce(_entry(entry, "unit"), text(spec["unit_path"]) if spec.get("unit_path") else F.lit(None), F.lit(""))
+    plain = spec.get("value", "value")
+    value = feeds.dig(item, entry.get("value") or plain) if isinstance(entry, dict) else F.when(_entry(entry, "value").isNull(), feeds.dig(item, plain)).otherwise(feeds.dig_by(item, _entry(entry, "value")))
     out = rows.select(
-        "source_id", "observed_at", T.period(*[text(p) for p in period]).alias("period"), number(feeds.dig(item, entry.get("value") or spec.get("value", "value"))).alias("value"),
+        *kept, T.period(*[text(p) for p in period]).alias("period"), number(value).alias("value"),
         _label(base, [c for name, c in keys if named is None or name in named]).alias("label"), unit.alias("unit"), _keys(keys).alias("keys"),
         F.concat_ws(" ", *[F.nullif(text(p), F.lit("")) for p in spec.get("note_fields") or []]).alias("note"),
     )
     return out.filter("value is not null and period <> ''")
 
 
-def jsonstat(payloads: DataFrame, spec: dict, entry: dict) -> DataFrame:
+def jsonstat(payloads: DataFrame, spec: dict, entry: dict | Column) -> DataFrame:
     """Points of a sparse cube: a flat index is divided by the strides of its dimensions. Values may be a map or a list."""
-    doc = F.col("payload")
+    doc, kept = F.col("payload"), _kept(payloads)
     raw = feeds.dig(doc, "value")
     as_map = F.coalesce(F.from_json(raw, "map<string,string>"), F.create_map().cast("map<string,string>"))
     as_list = F.from_json(raw, "array<string>")
     values = F.when(F.startswith(F.ltrim(raw), F.lit("[")), F.map_from_arrays(F.transform(F.sequence(F.lit(0), F.size(as_list) - 1), lambda i: i.cast("string")), as_list)).otherwise(as_map)
     rows = payloads.withColumn("payload", check_status(doc, spec)).select(
-        "source_id", "observed_at", "payload", F.from_json(feeds.dig(doc, "id"), "array<string>").alias("dims"), F.from_json(feeds.dig(doc, "size"), "array<int>").alias("sizes"), F.explode(values).alias("flat", "raw")
+        *kept, "payload", F.from_json(feeds.dig(doc, "id"), "array<string>").alias("dims"), F.from_json(feeds.dig(doc, "size"), "array<int>").alias("sizes"), F.explode(values).alias("flat", "raw")
     ).withColumn("flat", F.col("flat").cast("int"))
     rows = rows.filter(F.size("dims") == F.size("sizes")).withColumn("value", number(F.col("raw"))).filter("value is not null")
     dimension = F.from_json(feeds.dig(F.col("payload"), "dimension"), "map<string,struct<category:struct<index:string,label:map<string,string>>>>")
@@ -89,46 +115,89 @@ def jsonstat(payloads: DataFrame, spec: dict, entry: dict) -> DataFrame:
     time = spec.get("period", "time")
     at = lambda k: F.coalesce(F.try_element_at("at", F.lit(k)), F.lit(""))
     caption = lambda d, c: F.coalesce(F.try_element_at(F.try_element_at("dimension", d)["category"]["label"], c), c)
-    unit = F.lit(entry["unit"]) if entry.get("unit") else F.coalesce(caption(F.lit("unit"), at("unit")), F.lit(""))
+    unit = F.coalesce(_entry(entry, "unit"), caption(F.lit("unit"), at("unit")), F.lit(""))
     shown = F.filter("dims", lambda d: ~d.isin("freq", "unit", time))
     detail = F.array_join(F.transform(shown, lambda d: caption(d, F.try_element_at("at", d))), ", ")
-    title = F.coalesce(F.nullif(F.trim(feeds.dig(F.col("payload"), "label")), F.lit("")), F.lit(entry.get("label", "")))
+    title = F.coalesce(F.nullif(F.trim(feeds.dig(F.col("payload"), "label")), F.lit("")), _entry(entry, "label"), F.lit(""))
     out = rows.select(
-        "source_id", "observed_at", at(time).alias("period"), "value", F.when(detail != "", F.concat(title, F.lit("（"), detail, F.lit("）"))).otherwise(title).alias("label"), unit.alias("unit"),
+        *kept, at(time).alias("period"), "value", F.when(detail != "", F.concat(title, F.lit("（"), detail, F.lit("）"))).otherwise(title).alias("label"), unit.alias("unit"),
         F.map_filter("at", lambda k, v: ~k.isin("freq", time)).alias("keys"), F.lit("").alias("note"),
     )
     return out.filter("period <> ''")
 
 
-def odata(payloads: DataFrame, spec: dict, entry: dict) -> DataFrame:
-    """Points of OData feeds: a row has a column for each series, which `fields` names."""
-    rows = payloads.select("source_id", "observed_at", F.explode(F.regexp_extract_all("payload", F.lit(r"(?s)<entry(?:\s[^>]*)?>(.*?)</entry\s*>"), 1)).alias("e"))
-    column = lambda name: F.regexp_extract("e", rf"(?s)<d:{name}(?:\s[^>]*)?>(.*?)</d:{name}>", 1)
-    wide = rows.select("source_id", "observed_at", F.substring(F.trim(column(spec.get("period", "NEW_DATE"))), 1, 10).alias("period"), *[number(column(c)).alias(f"_{i}") for i, c in enumerate(entry.get("fields", {}).values())])
-    names = list(entry.get("fields", {}))
-    long = wide.unpivot(["source_id", "observed_at", "period"], [f"_{i}" for i in range(len(names))], "n", "value").filter("value is not null and period <> ''")
-    tenor = F.element_at(F.create_map(*[F.lit(x) for i, name in enumerate(names) for x in (f"_{i}", name)]), F.col("n"))
-    return long.select("source_id", "observed_at", "period", "value", F.trim(F.concat_ws(" ", F.lit(entry.get("label", "")), tenor)).alias("label"), F.lit(entry.get("unit", "")).alias("unit"), F.create_map(F.lit("tenor"), tenor).alias("keys"), F.lit("").alias("note"))
+def odata(payloads: DataFrame, spec: dict, entry: dict | Column) -> DataFrame:
+    """Points of OData feeds: a row has a column for each series, which `fields` of the entry names."""
+    kept = _kept(payloads)
+    if isinstance(entry, dict):
+        fields = _keys([(k, F.lit(v)) for k, v in entry.get("fields", {}).items()])
+    else:
+        fields = F.coalesce(F.from_json(_entry(entry, "fields"), "map<string,string>"), F.create_map().cast("map<string,string>"))
+    rows = payloads.select(*kept, _or_empty(_entry(entry, "label")).alias("_label"), _or_empty(_entry(entry, "unit")).alias("_unit"), fields.alias("_fields"), F.explode(F.regexp_extract_all("payload", F.lit(r"(?s)<entry(?:\s[^>]*)?>(.*?)</entry\s*>"), 1)).alias("e"))
+    found = lambda group: F.regexp_extract_all("e", F.lit(r"(?s)<d:(\w+)(?:\s[^>/]*)?>(.*?)</d:\1\s*>"), group)
+    cells = F.arrays_zip(found(F.lit(1)).alias("name"), found(F.lit(2)).alias("text"))
+    rows = rows.withColumn("_cells", cells).select(*kept, "_label", "_unit", "_cells", F.explode("_fields").alias("tenor", "_column"))
+    cell = lambda name: F.get(F.filter("_cells", lambda c: c["name"] == name), F.lit(0))["text"]
+    out = rows.select(
+        *kept, F.substring(F.trim(cell(F.lit(spec.get("period", "NEW_DATE")))), 1, 10).alias("period"), number(cell(F.col("_column"))).alias("value"), F.trim(F.concat_ws(" ", "_label", "tenor")).alias("label"), F.col("_unit").alias("unit"),
+        F.create_map(F.lit("tenor"), "tenor").alias("keys"), F.lit("").alias("note"),
+    )
+    return out.filter("value is not null and period <> ''")
+
+
+def _or_empty(text: Column) -> Column:
+    return F.coalesce(text, F.lit(""))
 
 
 #: Parsers by format.
 PARSERS = {"records": records, "jsonstat": jsonstat, "odata_xml": odata}
 
 
-def point_documents(points: DataFrame, entry: dict, url_template: str) -> DataFrame:
-    """Points as raw documents. A revised value is a document of its own: the value is part of the identity."""
-    import re
+#: Fixed texts of a data point's document.
+LABELS = {"period": "期間: ", "value": "値: ", "keys": "区分: ", "note": "注記: ", "requested": "取得元: "}
+
+
+def points(payloads: DataFrame) -> DataFrame:
+    """The points of payloads that have no problem. Each brings its spec and, as `part`, its series (both JSON).
+
+    A branch for each spec, that is for each source of statistics, however many series it has.
+    """
+    # specs come from the registry, a row a source
+    specs = sorted(r.spec for r in payloads.select("spec").filter("spec is not null").distinct().collect())
+    rows = payloads.withColumn("part", F.coalesce("part", F.lit("{}")))
+    found = None
+    for text in specs:
+        spec = {k: v for k, v in json.loads(text).items() if k != "status_path"}
+        mine = rows.filter(F.col("spec") == text)
+        mine = mine.withColumn("published_at", T.published(feeds.dig(F.col("payload"), spec["updated_path"])) if spec.get("updated_path") and spec.get("format") != "odata_xml" else F.lit(None).cast("timestamp"))
+        made = PARSERS[spec.get("format", "records")](mine, spec, F.col("part")).select(*POINT, "part", "spec", "requested", "published_at")
+        found = made if found is None else found.unionByName(made)
+    return payloads.sparkSession.createDataFrame([], POINTS) if found is None else found
+
+
+def documents(found: DataFrame) -> DataFrame:
+    """points as raw documents, their addresses by point_url_template or endpoint_template of their spec."""
+    pattern = F.coalesce(*[F.nullif(F.get_json_object("spec", f"$.{n}"), F.lit("")) for n in ("point_url_template", "endpoint_template")], F.col("requested"))
+    return point_documents(found, F.col("part"), pattern)
+
 
-    parts = re.split(r"\{(\w+)\}", url_template)
+def point_documents(points: DataFrame, entry: dict | Column, url_template: str | Column) -> DataFrame:
+    """Points as raw documents. A revised value is a document of its own: the value is part of the identity. Names of the template are the point's keys, else the series' own."""
+    pattern = F.lit(url_template) if isinstance(url_template, str) else url_template
     joined = F.array_join(F.map_values("keys"), "/")
-    value = lambda k: {"period": F.col("period"), "keys": joined}.get(k, F.lit(str(entry[k])) if k in entry else F.try_element_at("keys", F.lit(k)))
-    url = F.concat(*[F.lit(p) if i % 2 == 0 else value(p) for i, p in enumerate(parts) if p or i % 2])
+    own = F.lit(json.dumps(entry, ensure_ascii=False)) if isinstance(entry, dict) else entry
+    value = lambda k: F.when(k == "period", F.col("period")).when(k == "keys", joined).otherwise(F.coalesce(F.try_element_at("keys", k), feeds.json_at(own, F.concat(F.lit("$."), k))))
+    url = F.aggregate(F.regexp_extract_all(pattern, F.lit(r"\{(\w+)\}"), F.lit(1)), pattern, lambda text, k: F.replace(text, F.concat(F.lit("{"), k, F.lit("}")), value(k)))
     shown = X.format_value(F.col("value"))
     keys = F.array_join(F.transform(F.map_entries("keys"), lambda e: F.concat(e["key"], F.lit("="), e["value"])), ", ")
-    body = F.concat_ws("\n", "label", F.concat(F.lit("期間: "), "period"), F.concat(F.lit("値: "), shown, F.lit(" "), "unit"), F.when(F.size("keys") > 0, F.concat(F.lit("区分: "), keys)), F.when(F.col("note") != "", F.concat(F.lit("注記: "), "note")))
-    rows = points.withColumns({"url": url, "title": F.concat("label", F.lit(" "), "period", F.lit(": "), shown, F.lit(" "), "unit"), "body": body, "canonical_url": X.canonical_url(url), "published_at": F.lit(None).cast("timestamp")})
-    quantity = F.struct("label", "unit", F.lit(entry.get("scale", "one")).alias("scale"), "period", "value")
+    line = lambda name, text: F.concat(F.lit(LABELS[name]), text)
+    asked = [line("requested", F.col("requested"))] if "requested" in points.columns else []
+    body = F.concat_ws("\n", "label", line("period", F.col("period")), F.concat(F.lit(LABELS["value"]), shown, F.lit(" "), "unit"), F.when(F.size("keys") > 0, line("keys", keys)), F.when(F.col("note") != "", line("note", F.col("note"))), *asked)
+    at = F.col("published_at") if "published_at" in points.columns else F.lit(None).cast("timestamp")
+    rows = points.withColumns({"url": url, "title": F.concat("label", F.lit(" "), "period", F.lit(": "), shown, F.lit(" "), "unit"), "body": body, "canonical_url": X.canonical_url(url), "published_at": at})
+    quantity = F.struct("label", "unit", F.coalesce(_entry(entry, "scale"), F.lit("one")).alias("scale"), "period", "value")
+    sectors = F.from_json(F.get_json_object(own, "$.sectors"), "array<string>")
     return rows.withColumns({
         "raw_id": ids.raw_id(F.concat_ws("|", "url", F.col("value").cast("string"))), "content_hash": X.content_hash(F.col("title"), F.col("body")), "quantities": F.array(quantity),
-        "sector_ids": F.array(*map(F.lit, entry["sectors"])) if entry.get("sectors") else F.lit(None).cast("array<string>"),
+        "sector_ids": F.when(F.size(sectors) > 0, sectors),
     }).select(*feeds.RAW)
