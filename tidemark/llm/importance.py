@@ -29,8 +29,8 @@ from pyspark.sql import functions as F
 from . import common as C
 from .words import rows_of, utf8, words_of
 
-#: Words after which a portion ends.
-PORTION_WORDS = 1_000_000
+#: Words after which a portion ends. Words and tuples are shuffled once a portion, so larger ones shuffle less; a worker holds one.
+PORTION_WORDS = 4_000_000
 
 _PORTION = pa.schema([("words", pa.list_(pa.binary())), ("grams", pa.list_(pa.list_(pa.int32()))), ("counts", pa.list_(pa.int64())), ("docs", pa.binary()), ("present", pa.binary()), ("n_words", pa.binary()), ("n_features", pa.binary()), ("ends", pa.binary()), ("gram", pa.binary()), ("times", pa.binary())])
 _PORTION_SQL = "words array<binary>, grams array<array<int>>, counts array<bigint>, docs binary, present binary, n_words binary, n_features binary, ends binary, gram binary, times binary"
@@ -64,7 +64,7 @@ class _Portion:
         self.docs.append(doc)
         self.sizes.append((len(seq), sum(found.values())))
         self.gram.append(np.fromiter(found.keys(), np.int32, len(found)))
-        self.times.append(np.fromiter(found.values(), np.int64, len(found)))
+        self.times.append(np.fromiter(found.values(), np.int32, len(found)))
         self.held += len(seq) + 1
 
     def pack(self) -> pa.RecordBatch:
@@ -74,7 +74,7 @@ class _Portion:
         sizes = np.array(self.sizes, np.int64)
         row = [
             list(self.words), list(map(list, self.grams)), counts, np.array([C.LAST_ID if d is None else d for d in self.docs], np.int64).tobytes(), np.array([d is not None for d in self.docs], np.int8).tobytes(),
-            sizes[:, 0].tobytes(), sizes[:, 1].tobytes(), np.cumsum([len(g) for g in self.gram]).astype(np.int64).tobytes(), gram.tobytes(), times.astype(np.int32).tobytes(),
+            sizes[:, 0].tobytes(), sizes[:, 1].tobytes(), np.cumsum([len(g) for g in self.gram]).astype(np.int64).tobytes(), gram.tobytes(), times.tobytes(),
         ]
         return pa.record_batch([pa.array([v], f.type) for v, f in zip(row, _PORTION, strict=True)], schema=_PORTION)
 
@@ -123,6 +123,7 @@ def weigh(docs: DataFrame, target: DataFrame, *, n: int = 1, buckets: int = 10_0
     spelled = distinct.select("key", F.posexplode("tuple").alias("nth", "id")).join(dictionary, "id").groupBy("key").agg(F.sort_array(F.collect_list(F.struct("nth", "word"))).alias("w"))
     text = F.array_join(F.transform("w", lambda x: x["word"].cast("string")), " ")
     hashed = C.materialise(distinct.join(spelled.select("key", (F.crc32(text.cast("binary")) % buckets).alias("bucket")), "key").select("tuple", "bucket", "s", "t"), "resample-hashed")
+    C.discard(dictionary, distinct)
     # one row a bucket
     sums = hashed.groupBy("bucket").agg(F.sum("s").alias("s"), F.sum("t").alias("t"))
     totals = sums.agg(F.sum("s"), F.sum("t")).first()
@@ -141,7 +142,7 @@ def weigh(docs: DataFrame, target: DataFrame, *, n: int = 1, buckets: int = 10_0
             yield pa.record_batch([pa.array(ids, mask=np.frombuffer(present, np.int8) == 0), pa.array(words), pa.array(features), pa.array(weight)], schema=_WEIGHED)
 
     out = C.materialise(back.mapInArrow(run, "doc_id long, n_words long, n_features long, weight long"), "resample-weights")
-    C.discard(portions, dictionary, tuples, distinct, hashed)
+    C.discard(portions, tuples, hashed)
     return out
 
 
