@@ -3,17 +3,19 @@
 from __future__ import annotations
 
 import argparse
+import datetime as dt
 import json
+from functools import reduce
 from pathlib import Path
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark import schemas, session
+from tidemark import fixed, schemas, session
 from tidemark.functions import time as T
-from tidemark.operators import evidence, rules, signals
+from tidemark.operators import backtest, evidence, rules, signals
 from tidemark.plans import analysis, normalize, report, review
-from tidemark.sources import collect, feeds, tables
+from tidemark.sources import backfill, collect, shared, tables
 
 
 def _registry(spark: SparkSession, root: str):
@@ -35,23 +37,82 @@ def do_init(spark: SparkSession, a: argparse.Namespace) -> None:
         raise SystemExit(1)
 
 
-def do_collect(spark: SparkSession, a: argparse.Namespace) -> None:
-    """Fetches all sources that are switched on; one that fails is reported and keeps no other from landing."""
-    registry = json.loads(Path(a.data, "sources.json").read_text(encoding="utf-8"))
-    got = collect.fetch_sources(collect.sources_table(spark, registry), a.as_of).persist()
-    found, failed = collect.entries(got, {r["source_id"]: r["mapping"] for r in registry if r.get("mapping") and r.get("enabled", True)})
-    added = tables.append_absent(feeds.raw_documents(found), f"{a.data}/raw", "raw_id", [F.col("observed_at"), F.col("url")])
-    for r in failed.orderBy("source_id").toLocalIterator():
-        print("failed", r.source_id, r.error)
+def _now() -> str:
+    return dt.datetime.now(dt.timezone.utc).strftime("%Y-%m-%dT%H:%M:%SZ")
+
+
+def _chosen(a: argparse.Namespace) -> list[dict]:
+    """The sources of the registry that the flags name; without --all those that are switched on."""
+    rows = json.loads(Path(a.data, "sources.json").read_text(encoding="utf-8"))
+    named, tiers = getattr(a, "source", None), getattr(a, "tier", None)
+    return [{**r, "enabled": True} for r in rows if (getattr(a, "all", False) or r.get("enabled", True)) and (not named or r["source_id"] in named) and (not tiers or r.get("tier") in tiers)]
+
+
+def _due(spark: SparkSession, sources: list[dict], polls: str, now: str) -> list[dict]:
+    """The sources whose interval has passed since they last gave something."""
+    if not tables.published(spark, polls):
+        return sources
+    asked = spark.createDataFrame([(r["source_id"], int(r.get("poll_interval_minutes") or r.get("interval_minutes") or 0)) for r in sources], "source_id string, minutes int")
+    # a row a source of the registry
+    due = {r.source_id for r in asked.join(tables.latest(spark, polls), "source_id", "left").filter(T.due(F.col("minutes"), F.col("at"), now)).select("source_id").collect()}
+    return [r for r in sources if r["source_id"] in due]
+
+
+def do_collect(spark: SparkSession, a: argparse.Namespace, fetch: collect.Fetch = collect.http_fetch) -> int:
+    """Fetches the sources that are due; one that fails is reported and keeps no other from landing. The number of new documents."""
+    now, polls = _now(), f"{a.data}/polls"
+    sources = _chosen(a)
+    if not sources:
+        raise SystemExit("no source matches")
+    due = sources if a.source or a.force else _due(spark, sources, polls, now)
+    if len(due) < len(sources):
+        print(len(sources) - len(due), "sources are not due")
+    answers = shared.folder(spark, "answers")
+    collect.fetch_sources(collect.sources_table(spark, due), a.as_of or now, fetch=fetch).write.parquet(answers)
+    found, failed = collect.documents(spark.read.schema(collect.PAYLOAD).parquet(answers))
+    wrong = set()
+    for r in failed.orderBy("source_id", "error").toLocalIterator():
+        print("failed" if r.whole else "failed in part", r.source_id, r.error)
+        wrong |= {r.source_id} if r.whole else set()
+    if a.dry_run:
+        n = found.count()
+        print(n, "documents")
+        return n
+    added = tables.append_absent(found, f"{a.data}/raw", "raw_id", [F.col("observed_at"), F.col("url")])
+    fine = [(r["source_id"], now) for r in due if r["source_id"] not in wrong]
+    if fine:
+        tables.upsert(spark.createDataFrame(fine, "source_id string, at string").withColumn("at", F.col("at").cast("timestamp")), polls, "source_id", F.col("at"))
     print(added, "new documents")
-    got.unpersist()
+    return added
+
+
+def do_backfill(spark: SparkSession, a: argparse.Namespace, fetch: collect.Fetch = collect.http_fetch) -> None:
+    """Takes in the past of the sources that can be asked for a range of days."""
+    a.all = True
+    sources = _chosen(a)
+    for name in backfill.unsupported(a.source or [], sources):
+        print("skipped", name, "can't be asked for a range of days")
+    if not any(map(backfill.supported, sources)):
+        raise SystemExit("no source can be asked for the past")
+    pieces = backfill.run(spark, sources, a.data, a.days, a.as_of or _now(), fetch=fetch, delay_seconds=a.delay, dry_run=a.dry_run)
+    failed = 0
+    for r in pieces.orderBy("source_id", "start").toLocalIterator():
+        print("failed" if r.error else "done", r.source_id, f"{r.start}..{r.end}", r.error or f"{r.n} items")
+        failed += r.error is not None
+    if not a.dry_run:
+        for r in tables.latest(spark, f"{a.data}/backfill/spans").orderBy("source_id").toLocalIterator():
+            print("covered", r.source_id, f"{r.from_day}..{r.to_day}")
+    print(failed, "pieces failed")
 
 
-def do_daily(spark: SparkSession, a: argparse.Namespace) -> None:
-    """Collects, normalizes, detects and reports, in this order."""
-    defaults = {"limit": None, "rebuild": False, "topic": None, "keywords": None, "window_days": 7, "baseline_multiplier": 4, "dry_run": False, "date": None, "stdout": False}
+def do_daily(spark: SparkSession, a: argparse.Namespace, fetch: collect.Fetch = collect.http_fetch) -> None:
+    """Collects, normalizes, detects, reports and validates, in this order. What is known is settled once collecting is over, so as_of is taken then."""
+    defaults = {"limit": None, "rebuild": False, "topic": None, "keywords": None, "window_days": 7, "baseline_multiplier": 4, "dry_run": False, "date": None, "stdout": False, "source": None, "tier": None, "all": False, "force": False}
     a = argparse.Namespace(**defaults | vars(a))
-    for step in (do_collect, do_normalize, do_detect, do_report):
+    if not a.skip_collect:
+        do_collect(spark, a, fetch)
+    a.as_of = a.as_of or _now()
+    for step in (do_normalize, do_detect, do_report, do_validate):
         step(spark, a)
 
 
@@ -98,6 +159,71 @@ def do_review(spark: SparkSession, a: argparse.Namespace) -> None:
             print(line)
 
 
+def do_backtest(spark: SparkSession, a: argparse.Namespace) -> None:
+    """Predictions that are due (what is shown if nothing is asked), how good they were, or the result of one."""
+    as_of = a.as_of or _now()
+    predictions = tables.latest(spark, f"{a.data}/predictions")
+    results = tables.latest(spark, f"{a.data}/results") if tables.published(spark, f"{a.data}/results") else spark.createDataFrame([], schemas.RESULT)
+    if a.record:
+        if not (a.cause and a.narrative):
+            raise SystemExit("a result needs --cause and --narrative")
+        if predictions.filter(F.col("prediction_id") == a.record).isEmpty():
+            raise SystemExit(f"no prediction {a.record}")
+        measured = spark.createDataFrame([(a.record, a.actual, a.cause, a.narrative)], "prediction_id string, actual double, cause_category string, narrative string")
+        made = review.record(predictions, measured, as_of)
+        tables.upsert(made, f"{a.data}/results", "result_id", F.col("evaluated_at"))
+        for r in made.toLocalIterator():
+            print(r.result_id, r.verdict, r.actual)
+        return
+    if a.due or not a.summary:
+        n = 0
+        for r in backtest.due(predictions, results, as_of).orderBy("due_date", "prediction_id").toLocalIterator():
+            print(r.prediction_id, r.due_date, r.metric, r.operator, r.value)
+            n += 1
+        print(n, "predictions are due")
+    if a.summary:
+        s = backtest.accuracy(predictions, results, as_of).first()
+        print(f"issued {s.total}, resolved {s.resolved} (hit {s.hit}, miss {s.miss}, partial {s.partial}), unresolvable {s.unresolvable}, pending {s.pending}")
+        print("hit rate", "none is resolved yet" if s.hit_rate is None else s.hit_rate)
+        for r in backtest.causes(predictions, results, as_of).toLocalIterator():
+            print("cause", r.cause_category, r.n)
+
+
+def do_sector(spark: SparkSession, a: argparse.Namespace) -> None:
+    """How much evidence each sector has; for one sector its best evidence, the prompts, or the review of an answer, which is saved if nothing is wrong with it."""
+    as_of = a.as_of or _now()
+    events = spark.read.parquet(f"{a.data}/events")
+    watched = [t for t in signals.watched() if t.sector_id]
+    if a.list or not a.sector:
+        counts = {t.sector_id: evidence.reliability_counts(evidence.bundle(events, t, as_of, a.window_days, a.max_events).filter("kind = 'report'")).withColumn("sector_id", F.lit(t.sector_id)) for t in watched}
+        for r in reduce(DataFrame.unionByName, counts.values()).orderBy("sector_id").collect():
+            print(r.sector_id, *(f"{k}={r[k]}" for k in fixed.RELIABILITY))
+        return
+    topic = next((t for t in watched if t.sector_id == a.sector), None)
+    if topic is None:
+        raise SystemExit(f"no sector {a.sector}")
+    bundle = evidence.bundle(events, topic, as_of, a.window_days, a.max_events).persist()
+    top = bundle.orderBy("kind", "position").limit(10).collect()
+    if not top:
+        print("no event tells of it; nothing can be said without evidence")
+        return
+    for r in top:
+        print(f"[{r.max_reliability}] {r.event_at:%Y-%m-%d} {r.title}")
+    if a.show_prompt:
+        for view in ("consensus", "independent"):
+            print(analysis.prompt(bundle, topic.label, view))
+    if a.answer:
+        profile = analysis.draft_profile(bundle, a.sector, topic.label, as_of, analysis.replay(a.answer))
+        for line in profile["problems"]:
+            print("not in evidence", line)
+        if profile["problems"]:
+            raise SystemExit(1)
+        Path(a.data, "analyses").mkdir(exist_ok=True)
+        Path(a.data, "analyses", f"{a.sector}.json").write_text(json.dumps(profile, ensure_ascii=False, default=str), encoding="utf-8")
+        print("saved", a.sector)
+    bundle.unpersist()
+
+
 def do_chain(spark: SparkSession, a: argparse.Namespace) -> None:
     """A chain or supply map of a sector that has a profile: prints the question, or reviews and saves the answer of a file."""
     path = Path(a.data, "analyses", f"{a.sector}.json")
@@ -142,22 +268,29 @@ def do_validate(spark: SparkSession, a: argparse.Namespace) -> None:
     raise SystemExit(int(n > 0))
 
 
-def main(argv: list[str] | None = None) -> None:
+def parse(argv: list[str] | None = None) -> argparse.Namespace:
     parser = argparse.ArgumentParser(prog="tidemark", description=__doc__)
     sub = parser.add_subparsers(required=True)
+    yes, many, number = {"action": "store_true"}, {"action": "append"}, {"type": int}
     for name, f, flags in (
-        ("init", do_init, {"--check": {"action": "store_true"}}), ("collect", do_collect, {}), ("daily", do_daily, {}),
-        ("normalize", do_normalize, {"--limit": {"type": int}, "--rebuild": {"action": "store_true"}}),
-        ("detect", do_detect, {"--window-days": {"type": int, "default": 7}, "--baseline-multiplier": {"type": int, "default": 4}, "--topic": {}, "--keywords": {"nargs": "*"}, "--dry-run": {"action": "store_true"}}),
-        ("report", do_report, {"--date": {}, "--stdout": {"action": "store_true"}}), ("review", do_review, {"--save": {"action": "store_true"}}), ("chain", do_chain, {"--sector": {"required": True}, "--kind": {"choices": ["wave", "supply_chain"], "default": "wave"}, "--answer": {}}), ("validate", do_validate, {}),
+        ("init", do_init, {"--check": yes}), ("collect", do_collect, {"--source": many, "--tier": many, "--dry-run": yes, "--all": yes, "--force": yes}), ("daily", do_daily, {"--skip-collect": yes, "--window-days": {**number, "default": 7}}),
+        ("backfill", do_backfill, {"--days": {**number, "default": 35}, "--source": many, "--dry-run": yes, "--delay": {"type": float}}), ("normalize", do_normalize, {"--limit": number, "--rebuild": yes}),
+        ("detect", do_detect, {"--window-days": {**number, "default": 7}, "--baseline-multiplier": {**number, "default": 4}, "--topic": {}, "--keywords": {"nargs": "*"}, "--dry-run": yes}),
+        ("sector", do_sector, {"--sector": {}, "--list": yes, "--show-prompt": yes, "--answer": {}, "--window-days": {**number, "default": fixed.EVIDENCE_DAYS}, "--max-events": {**number, "default": fixed.EVIDENCE_LIMIT}}),
+        ("report", do_report, {"--date": {}, "--stdout": yes}), ("review", do_review, {"--save": yes}), ("chain", do_chain, {"--sector": {"required": True}, "--kind": {"choices": ["wave", "supply_chain"], "default": "wave"}, "--answer": {}}),
+        ("backtest", do_backtest, {"--due": yes, "--summary": yes, "--record": {}, "--actual": {"type": float}, "--cause": {}, "--narrative": {}}), ("validate", do_validate, {}),
     ):
         p = sub.add_parser(name)
         p.add_argument("--data", required=True)
-        p.add_argument("--as-of", required=name not in ("normalize", "init"))
+        p.add_argument("--as-of", required=name in ("detect", "report", "review", "chain", "validate"))
         for flag, how in flags.items():
             p.add_argument(flag, **how)
         p.set_defaults(run=f)
-    a = parser.parse_args(argv)
+    return parser.parse_args(argv)
+
+
+def main(argv: list[str] | None = None) -> None:
+    a = parse(argv)
     a.run(session.build(), a)
 
 

@@ -170,7 +170,7 @@ def judge(payloads: DataFrame) -> DataFrame:
     wrong = F.coalesce(
         F.col("error"), F.when(payload.isNull(), "no payload"), F.when(~kind.isin(*KINDS), F.concat(F.lit("no collector for kind "), kind)),
         F.when(kind.isin("rss", "atom"), feeds.problem(payload)), F.when(~kind.isin("rss", "atom") & spec.isNull(), "no mapping: the source doesn't say how it is read"),
-        F.when(kind.isin("json", "json_api"), feeds.json_problem(payload, spec)), F.when(kind == "json_series", series.problem(payload, spec)),
+        F.when(kind.isin("json", "json_api"), feeds.json_problem(payload, spec)), F.when(kind == "json_series", series.problem(payload, spec, F.col("part"))),
     )
     return payloads.withColumn("error", wrong)
 
@@ -206,15 +206,15 @@ def statistics(payloads: DataFrame, mappings: dict[str, dict] | None = None) ->
 
 
 def documents(payloads: DataFrame, mappings: dict[str, dict] | None = None) -> tuple[DataFrame, DataFrame]:
-    """Raw documents of payloads of any kind, and source_id and error of what failed."""
+    """Raw documents of payloads of any kind, and source_id, error, whole of what failed; a source that failed as a whole gave nothing."""
     found, failed = entries(payloads, mappings)
     points, broken = statistics(payloads, mappings)
-    return feeds.raw_documents(found).unionByName(points), failed.unionByName(broken.select("source_id", "error"))
+    return feeds.raw_documents(found).unionByName(points), failed.withColumn("whole", F.lit(True)).unionByName(broken)
 
 
 def source_row(source: dict) -> dict:
     """A source of the registry as a row of SOURCE: mappings and requests of series become its spec."""
-    spec = source.get("spec") or source.get("mapping") or source.get("series_request")
+    spec = next((source[k] for k in ("spec", "mapping", "series_request") if source.get(k) is not None), None)
     text = lambda x: x if x is None or isinstance(x, str) else json.dumps(x, ensure_ascii=False)
     endpoint = source.get("endpoint") or (spec.get("endpoint_template") if isinstance(spec, dict) else None)
     return {**source, "endpoint": endpoint, "spec": text(spec), "series": text(source.get("series")), "body": text(source.get("body"))}

@@ -53,12 +53,17 @@ def _kept(rows: DataFrame) -> list[str]:
     return [c for c in ("source_id", "observed_at", "part", "spec", "requested", "published_at") if c in rows.columns]
 
 
-def problem(payload: Column, spec: Column) -> Column:
-    """Why a payload gives no points, by its spec (JSON): an unknown format, another form, or a status that tells of a failure; else null."""
+def problem(payload: Column, spec: Column, part: Column) -> Column:
+    """Why a payload gives no points, by its spec and series (JSON): an unknown format, an address with names that nothing fills, another form, or a status that tells of a failure; else null."""
     form = F.coalesce(F.get_json_object(spec, "$.format"), F.lit("records"))
     xml = F.when(~F.rlike(payload, F.lit(r"^\s*<[?\w]")) | ~F.rlike(payload, F.lit(r">\s*$")), "not XML")
     json = F.coalesce(F.when(F.try_parse_json(payload).isNull(), "not JSON"), feeds.status_by(payload, spec))
-    return F.when(~form.isin(*PARSERS), F.concat(F.lit("unknown format of series: "), form)).otherwise(F.when(form == "odata_xml", xml).otherwise(json))
+    named = F.regexp_extract_all(F.coalesce(F.get_json_object(spec, "$.point_url_template"), F.lit("")), F.lit(r"\{(\w+)\}"), F.lit(1))
+    known = F.concat(F.array(F.lit("period"), F.lit("keys"), F.lit("tenor")), *[F.coalesce(F.json_object_keys(x), F.array().cast("array<string>")) for x in (F.get_json_object(spec, "$.key_fields"), part)])
+    lost = F.array_except(named, known)
+    # the names of a cube's dimensions are only known once it is read
+    unfilled = F.when((form != "jsonstat") & (F.size(lost) > 0), F.concat(F.lit("no value for: "), F.array_join(lost, ", ")))
+    return F.when(~form.isin(*PARSERS), F.concat(F.lit("unknown format of series: "), form)).otherwise(F.coalesce(unfilled, F.when(form == "odata_xml", xml).otherwise(json)))
 
 
 def records(payloads: DataFrame, spec: dict, entry: dict | Column) -> DataFrame:
@@ -176,8 +181,8 @@ def points(payloads: DataFrame) -> DataFrame:
 
 
 def documents(found: DataFrame) -> DataFrame:
-    """points as raw documents, their addresses by point_url_template or endpoint_template of their spec."""
-    pattern = F.coalesce(*[F.nullif(F.get_json_object("spec", f"$.{n}"), F.lit("")) for n in ("point_url_template", "endpoint_template")], F.col("requested"))
+    """points as raw documents, their addresses by point_url_template of their spec, else the one that was asked."""
+    pattern = F.coalesce(F.nullif(F.get_json_object("spec", "$.point_url_template"), F.lit("")), F.col("requested"))
     return point_documents(found, F.col("part"), pattern)
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions import time as T
@@ -19,18 +19,18 @@ def absent(batch: DataFrame, key: str, order: list[Column], target: DataFrame |
 
 def append_absent(batch: DataFrame, path: str, key: str, order: list[Column], observed: str = "observed_at", partition: tuple[str, ...] = ("observed_day",)) -> int:
     """Lands what the table at path doesn't hold yet; the number of rows that were added."""
-    spark = batch.sparkSession
-    target = _existing(spark, path)
-    rows = absent(batch, key, order, target).withColumn("observed_day", F.to_date(observed))
-    before = 0 if target is None else target.count()
-    rows.write.mode("append").partitionBy(*partition).parquet(path)
-    return spark.read.parquet(path).count() - before
+    rows = absent(batch, key, order, _existing(batch.sparkSession, path)).withColumn("observed_day", F.to_date(observed))
+    # counted while it is written, whatever others write beside it
+    added = Observation()
+    rows.observe(added, F.count(F.lit(1)).alias("n")).write.mode("append").partitionBy(*partition).parquet(path)
+    return added.get["n"]
 
 
 def _existing(spark: SparkSession, path: str) -> DataFrame | None:
     jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
     fs = jpath.getFileSystem(spark._jsc.hadoopConfiguration())
-    return spark.read.parquet(path) if fs.exists(jpath) else None
+    held = fs.exists(jpath) and any(not f.getPath().getName().startswith(("_", ".")) for f in fs.listStatus(jpath))
+    return spark.read.parquet(path) if held else None
 
 
 def read(spark: SparkSession, path: str, as_of: str, days: list[str] | None = None) -> DataFrame:
@@ -77,6 +77,11 @@ def upsert(rows: DataFrame, path: str, key: str, version: Column) -> None:
         raise RuntimeError("another writer published this version first; nothing has changed")
 
 
+def published(spark: SparkSession, path: str) -> bool:
+    """Whether an upsert has published the table."""
+    return bool(_versions(spark, path)[2])
+
+
 def latest(spark: SparkSession, path: str) -> DataFrame:
     """The table as the last upsert published it; one that was written otherwise is read as it is."""
     fs, at, versions = _versions(spark, path)
