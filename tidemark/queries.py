@@ -484,6 +484,49 @@ def series_partial_failures(spark, sf_dir):
     return both.select("source_id", F.coalesce("n_points", F.lit(0)).alias("n_points"), "total", F.coalesce("n_failed", F.lit(0)).alias("n_failed"), "failed")
 
 
+@query("""with e as (select *, event_id % 6 as k from events)
+select 'src_' || event_id as source_id, case k when 4 then 'no collector for kind gopher' when 5 then 'no mapping: the source doesn''t say how it is read' else
+  case when event_id % 7 = 0 then case k when 0 then 'empty' when 3 then 'a: not JSON' else 'not JSON' end when event_id % 11 = 0 then case k when 0 then 'html' when 3 then 'a: WAIT: quota' else 'WAIT: quota' end
+  else case k when 3 then event_type || ' ' || strftime(ts, '%Y-%m-%d') else event_type || ' ' || event_id end end end as outcome from e""")
+def collect_all_kinds(spark, sf_dir):
+    """Each event as the answer of a source of its own: feeds, lists under two mappings, statistics, an unknown kind and one without mapping. All give a document or an error."""
+    e = views.table(spark, sf_dir, "events")
+    k, i, none = F.col("event_id") % 6, F.col("event_id").cast("string"), F.lit(None).cast("string")
+    title = F.concat_ws(" ", "event_type", i)
+    spec = F.element_at(F.create_map(*[F.lit(x) for n, m in (
+        (1, {"items_path": "d.rows.-1", "url_template": "https://x.org/{id}/{kind}", "title": ["none", "t"]}), (2, {"items_path": "rows", "url": ["u.0", "u.1"], "title": "t"}),
+        (3, {"format": "records", "points_path": "rows", "label": "kind", "point_url_template": "https://x.org/{code}/{period}"}),
+    ) for x in (n, json.dumps(m | {"status_path": "status", "status_ok": ["OK"], "status_message_path": "why"}))]), k.cast("int"))
+    head = F.when(F.col("event_id") % 11 == 0, F.lit('"status":"WAIT","why":"quota"')).otherwise('"status":"OK"')
+    rss = F.when(F.col("event_id") % 11 == 0, F.lit("<html></html>")).otherwise(F.concat(F.lit("<rss><item><link>https://x.org/"), i, F.lit("</link><title>"), title, F.lit("</title></item></rss>")))
+    lists = F.concat(F.lit("{"), head, F.lit(',"d":{"rows":[[],['), F.to_json(F.struct(i.alias("id"), title.alias("t"), F.col("event_type").alias("kind"))), F.lit("]]}}"))
+    flat = F.concat(F.lit("{"), head, F.lit(',"rows":['), F.to_json(F.struct(F.array(F.lit(""), F.concat(F.lit("https://x.org/"), i)).alias("u"), title.alias("t"))), F.lit("]}"))
+    points = F.concat(F.lit("{"), head, F.lit(',"rows":['), F.to_json(F.struct(F.date_format("ts", "yyyy-MM-dd").alias("date"), "value", F.col("event_type").alias("kind"))), F.lit("]}"))
+    whole = F.when(k == 0, rss).when(k == 1, lists).when(k == 2, flat).otherwise(points)
+    kinds = F.array(*map(F.lit, ("rss", "json_api", "json_api", "json_series", "gopher", "json_api")))
+    rows = e.select(F.concat(F.lit("src_"), i).alias("source_id"), F.get(kinds, k.cast("int")).alias("kind"), spec.alias("spec"), F.when(k == 3, F.lit('{"code":"a"}')).otherwise(none).alias("part"), F.when(F.col("event_id") % 7 == 0, F.when(k == 0, "<rss></rss>").otherwise("plain")).otherwise(whole).alias("payload"), T.at(views.AS_OF).alias("observed_at"))
+    raw, failed = collect.documents(rows)
+    first = F.get("quantities", F.lit(0))
+    return raw.select("source_id", F.coalesce(F.concat_ws(" ", F.nullif(first["label"], F.lit("")), first["period"]), F.lit("")).alias("q"), "title").select("source_id", F.when(F.col("q") != "", F.col("q")).otherwise(F.col("title")).alias("outcome")).unionByName(failed.select("source_id", F.col("error").alias("outcome")))
+
+
+@query("""with p as (select user_id, ts::date as day, count(*) as n from events group by all),
+r as (select 'src_' || user_id as source_id, day, case when (user_id + day(day)) % 13 = 0 then 'HTTP 500' end as error, case when (user_id + day(day)) % 13 = 0 or day(day) % 6 = 0 then 0 else n end as n from p),
+f as (select *, max((error is not null)::int) over (partition by source_id order by day) as bad from r)
+select source_id, strftime(min(day), '%Y-%m-%d') as from_day, strftime(max(day), '%Y-%m-%d') as to_day, sum(n)::bigint as n from f where bad = 0 group by 1""")
+def backfill_outcome(spark, sf_dir):
+    """Each user's days as answers to a backfill, some failed, some empty: what of each source counts as taken in."""
+    e = views.table(spark, sf_dir, "events").select(F.concat(F.lit("src_"), "user_id").alias("source_id"), F.to_date("ts").alias("day"), "event_id", "user_id")
+    item = F.concat(F.lit("<item><title>t</title><link>https://x.org/"), F.col("event_id").cast("string"), F.lit("</link></item>"))
+    failed, empty = (F.col("user_id") + F.day("day")) % 13 == 0, F.day("day") % 6 == 0
+    pieces = e.groupBy("source_id", "user_id", "day").agg(F.concat(F.lit("<rss>"), F.when(~empty, F.array_join(F.collect_list(item), "")).otherwise(""), F.lit("</rss>")).alias("rss"))
+    part = F.to_json(F.struct(F.col("day").cast("string").alias("start"), F.col("day").cast("string").alias("end")))
+    payloads = pieces.select("source_id", F.lit("rss").alias("kind"), F.lit(None).cast("string").alias("spec"), part.alias("part"), F.when(~failed, F.col("rss")).alias("payload"), F.when(failed, "HTTP 500").alias("error"), T.at(views.AS_OF).alias("observed_at"))
+    found, _ = collect.entries(payloads)
+    results = backfill.outcome(payloads, payloads, found)
+    return backfill.covered(results).select("source_id", F.date_format("from_day", "yyyy-MM-dd").alias("from_day"), F.date_format("to_day", "yyyy-MM-dd").alias("to_day"), "n")
+
+
 @query("select 'https://x.org/' || event_id as url, event_type || ' & ' || event_id as title, 'told ' || event_id as body, strftime(ts, '%Y-%m-%dT%H:%M:%SZ') as published_at from events")
 def feed_entries(spark, sf_dir):
     """Each event as a feed of its own: RSS for even ids, Atom under a prefix for odd ones."""
