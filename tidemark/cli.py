@@ -252,15 +252,39 @@ def do_chain(spark: SparkSession, a: argparse.Namespace) -> None:
     Path(a.data, "analyses", f"{name}.json").write_text(json.dumps(whole, ensure_ascii=False, default=str), encoding="utf-8")
 
 
+#: What is validated: kind of schema, folder, key, and the rules beyond the schema.
+VALIDATED = (
+    ("raw", "raw", "raw_id", None), ("event", "events", "event_id", rules.events), ("signal", "windows", "window_id", rules.windows), ("prediction", "predictions", "prediction_id", rules.predictions), ("result", "results", "result_id", None),
+)
+FILED = (("report", "reports", "rpt_*.json", "report_id"), ("sector", "analyses", "sec_*.json", "sector_id"))
+
+
+def _violations(spark: SparkSession, a: argparse.Namespace) -> list[DataFrame]:
+    found = []
+    for kind, folder, key, rule in VALIDATED:
+        path = Path(a.data, folder)
+        parts = sorted(str(p) for p in path.iterdir() if p.is_dir()) if kind == "signal" and path.is_dir() else [str(path)] if any(path.glob("*")) else []
+        for part in parts:
+            rows = tables.latest(spark, part)
+            found.append(schemas.check_rows(rows, key, kind))
+            if rule:
+                found.append(rule(rows, a.as_of) if kind == "event" else rule(rows))
+    for kind, folder, files, key in FILED:
+        if any(Path(a.data, folder).glob(files)):
+            texts = spark.read.text(str(Path(a.data, folder, files)), wholetext=True)
+            found.append(schemas.check(texts.select(F.coalesce(F.get_json_object("value", f"$.{key}"), F.lit(kind)).alias("key"), "value"), "key", "value", kind))
+    registry = Path(a.data, "sources.json")
+    listed = json.loads(registry.read_text(encoding="utf-8")) if registry.is_file() else []
+    if listed:
+        texts = spark.createDataFrame([(str(r.get("source_id")), json.dumps(r, ensure_ascii=False)) for r in listed], "key string, value string")
+        found.append(schemas.check(texts, "key", "value", "source"))
+    return found
+
+
 def do_validate(spark: SparkSession, a: argparse.Namespace) -> None:
-    """Rules and identifiers of events, predictions and results, as far as there are such tables."""
-    checked = [rules.events(spark.read.parquet(f"{a.data}/events"), a.as_of)]
-    for name, key, rule in (("predictions", "prediction_id", rules.predictions), ("results", "result_id", None)):
-        if any(Path(a.data, name).glob("*")):
-            rows = tables.latest(spark, f"{a.data}/{name}")
-            checked += [schemas.ill_formed(rows, key), *([rule(rows)] if rule else [])]
+    """Schemas and rules of all that is stored."""
     n = 0
-    for found in checked:
+    for found in _violations(spark, a):
         for r in found.orderBy("key", "rule", "detail").toLocalIterator():
             print(r.key, r.rule, r.detail)
             n += 1

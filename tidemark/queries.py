@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidemark import fixed, views
+from tidemark import fixed, schemas, views
 from tidemark.functions import ids
 from tidemark.functions import text as X
 from tidemark.functions import time as T
@@ -510,6 +510,32 @@ def collect_all_kinds(spark, sf_dir):
     return raw.select("source_id", F.coalesce(F.concat_ws(" ", F.nullif(first["label"], F.lit("")), first["period"]), F.lit("")).alias("q"), "title").select("source_id", F.when(F.col("q") != "", F.col("q")).otherwise(F.col("title")).alias("outcome")).unionByName(failed.select("source_id", F.col("error").alias("outcome")))
 
 
+@query("""with e as (select *, 'evt_20240101_' || lpad(event_id::varchar, 10, '0') as key, event_id % 13 as f from events)
+select key, 'schema_' || r as rule, d as detail from e, lateral (
+  select 'pattern' as r, '$.event_id x' || event_id as d where f = 1 union all select 'required', '$ category' where f = 2 union all select 'minItems', '$.sources 0' where f = 3
+  union all select 'enum', '$.sources[1].reliability E' where f = 4 union all select 'type', '$.title integer' where f = 5 union all select 'additionalProperties', '$.sources[0].note note' where f = 6
+  union all select 'minItems', '$.claims[1].basis 0' where f = 7 union all select 'pattern', '$.observed_at ' || strftime(ts, '%Y-%m-%d') where f = 8 union all select 'type', '$.claims[0].statement null' where f = 9
+  union all select 'minLength', '$.quantities[0].label ' where f = 10 union all select 'type', '$.quantities[0].value string' where f = 10 union all select 'type', '$ array' where f = 11) as v""")
+def schema_violations(spark, sf_dir):
+    """Each event as a document; of every thirteen, eleven have a fault of their own, some deep inside."""
+    f, i = F.col("event_id") % 13, F.col("event_id").cast("string")
+    key = F.concat(F.lit("evt_20240101_"), F.lpad(i, 10, "0"))
+    text = lambda c: F.concat(F.lit('"'), c, F.lit('"'))
+    known = '"source_id":"src_a","raw_id":"raw_0123456789abcdef"'
+    one = F.when(f == 6, F.lit("{%s,\"note\":1}" % known)).otherwise(F.lit("{%s}" % known))
+    sources = F.when(f == 3, F.lit("[]")).otherwise(F.concat(F.lit("["), one, F.lit(",{%s,\"reliability\":" % known), F.when(f == 4, F.lit('"E"')).otherwise(F.lit('"B"')), F.lit("}]")))
+    claims = F.concat(F.lit('[{"claim_id":"c1","type":"observed","statement":'), F.when(f == 9, F.lit("null")).otherwise(F.lit('"s"')), F.lit('},{"claim_id":"c2","type":"inferred","statement":"s","basis":['), F.when(f == 7, F.lit("")).otherwise(F.lit('"c1"')), F.lit("]}]"))
+    figure = F.when(f == 10, F.lit('{"label":"","unit":"t","period":"2026","value":"1"}')).otherwise(F.lit('{"label":"l","unit":"t","period":"2026","value":1.5}'))
+    parts = (
+        ("event_id", text(F.when(f == 1, F.concat(F.lit("x"), i)).otherwise(key))), ("category", F.when(f != 2, text(F.lit("macro")))), ("sources", sources), ("title", F.when(f == 5, i).otherwise(text(F.col("event_type")))), ("claims", claims),
+        ("observed_at", text(F.when(f == 8, F.date_format("ts", "yyyy-MM-dd")).otherwise(T.fmt(F.col("ts"))))), ("event_at", text(T.fmt(F.col("ts")))), ("quantities", F.concat(F.lit("["), figure, F.lit("]"))),
+        ("raw_id", text(F.lit("raw_0123456789abcdef"))), ("cluster_id", text(F.lit("clu_0123456789"))), ("is_cluster_primary", F.lit("true")), ("max_reliability", text(F.lit("A"))),
+    )
+    whole = F.concat(F.lit("{"), F.concat_ws(",", *[F.concat(F.lit(f'"{n}":'), c) for n, c in parts]), F.lit("}"))
+    docs = views.table(spark, sf_dir, "events").select(key.alias("k"), F.when(f == 11, F.lit("[]")).otherwise(whole).alias("doc"))
+    return schemas.check(docs, "k", "doc", "event")
+
+
 @query("""with p as (select user_id, ts::date as day, count(*) as n from events group by all),
 r as (select 'src_' || user_id as source_id, day, case when (user_id + day(day)) % 13 = 0 then 'HTTP 500' end as error, case when (user_id + day(day)) % 13 = 0 or day(day) % 6 = 0 then 0 else n end as n from p),
 f as (select *, max((error is not null)::int) over (partition by source_id order by day) as bad from r)
