@@ -100,13 +100,13 @@ class Compiler:
             parts.append(F.when((kind == "object") & member(name).isNotNull(), self.at(sub, member(name), F.concat(path, F.lit(f".{name}")), home, above)).otherwise(_none()))
         more = schema.get("additionalProperties", True)
         if more is not True:
-            names = F.array_except(F.coalesce(F.json_object_keys(F.when(kind == "object", F.to_json(v))), F.array().cast("array<string>")), F.array(*map(F.lit, properties)).cast("array<string>"))
+            members = F.when(kind == "object", F.try_variant_get(v, "$", "map<string,variant>"))
+            names = F.array_except(F.coalesce(F.map_keys(members), F.array().cast("array<string>")), F.array(*map(F.lit, properties)).cast("array<string>"))
             where = lambda n: F.concat(path, F.lit("."), n)
             if more is False:
                 parts.append(F.transform(names, lambda n: _found(where(n), "additionalProperties", n)))
             else:
-                get = lambda n: F.try_parse_json(F.call_function("get_json_object", F.to_json(v), F.concat(F.lit("$['"), n, F.lit("']"))))
-                parts.append(F.flatten(F.transform(names, lambda n: self.at(more, get(n), where(n), home, above))))
+                parts.append(F.flatten(F.transform(names, lambda n: self.at(more, F.try_element_at(members, n), where(n), home, above))))
         if "items" in schema:
             each = F.transform(F.coalesce(items, F.array().cast("array<variant>")), lambda x, i: self.at(schema["items"], x, F.concat(path, F.lit("["), i.cast("string"), F.lit("]")), home, above))
             parts.append(F.flatten(each))
