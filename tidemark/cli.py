@@ -15,13 +15,24 @@ from tidemark import fixed, schemas, session
 from tidemark.functions import time as T
 from tidemark.operators import backtest, evidence, rules, signals
 from tidemark.plans import analysis, normalize, report, review
-from tidemark.sources import backfill, collect, shared, tables
+from tidemark.sources import backfill, collect, history, shared, tables
 
 
 def _registry(spark: SparkSession, root: str):
     return tables.registry(spark, json.loads(Path(root, "sources.json").read_text(encoding="utf-8")), enabled_only=False)
 
 
+def _write(path: Path, text: str) -> None:
+    """A file as a whole or not at all: written beside and renamed."""
+    part = path.with_name(f".{path.name}.part")
+    part.write_text(text, encoding="utf-8")
+    part.replace(path)
+
+
+def _history(spark: SparkSession, root: str, name: str, key: str | list[str]) -> history.History:
+    return history.History(spark, f"{root}/history/{name}", key, buckets=4)
+
+
 FOLDERS = ("raw", "events", "windows", "predictions", "results", "reports", "analyses")
 
 
@@ -140,14 +151,19 @@ def do_detect(spark: SparkSession, a: argparse.Namespace) -> None:
 
 def do_report(spark: SparkSession, a: argparse.Namespace) -> None:
     day = a.date or str(T.instant(a.as_of).date())
-    made = report.build(spark.read.parquet(f"{a.data}/events"), spark.read.parquet(f"{a.data}/windows/{day}"), a.as_of, day)
+    # analyses as they stood at as_of, not as they were revised later
+    extra = {name: table.read(a.as_of).drop("valid_from", "valid_to") for name, key in (("profiles", "sector_id"), ("links", "chain_id"), ("nodes", "map_id"), ("edges", "map_id")) if (table := _history(spark, a.data, name, key)).manifest()}
+    if tables.published(spark, f"{a.data}/predictions"):
+        none = spark.createDataFrame([], schemas.RESULT)
+        extra |= {"predictions": tables.latest(spark, f"{a.data}/predictions"), "results": tables.latest(spark, f"{a.data}/results") if tables.published(spark, f"{a.data}/results") else none}
+    made = report.build(spark.read.parquet(f"{a.data}/events"), spark.read.parquet(f"{a.data}/windows/{day}"), a.as_of, day, extra=extra)
     if a.stdout:
         print(report.markdown(made))
     else:
         out = Path(a.data, "reports")
         out.mkdir(exist_ok=True)
-        (out / f"{made['report_id']}.json").write_text(json.dumps(made, ensure_ascii=False, default=str), encoding="utf-8")
-        (out / f"{made['report_id']}.md").write_text(report.markdown(made), encoding="utf-8")
+        _write(out / f"{made['report_id']}.json", json.dumps(made, ensure_ascii=False, default=str))
+        _write(out / f"{made['report_id']}.md", report.markdown(made))
 
 
 def do_review(spark: SparkSession, a: argparse.Namespace) -> None:
@@ -219,7 +235,8 @@ def do_sector(spark: SparkSession, a: argparse.Namespace) -> None:
         if profile["problems"]:
             raise SystemExit(1)
         Path(a.data, "analyses").mkdir(exist_ok=True)
-        Path(a.data, "analyses", f"{a.sector}.json").write_text(json.dumps(profile, ensure_ascii=False, default=str), encoding="utf-8")
+        _write(Path(a.data, "analyses", f"{a.sector}.json"), json.dumps(profile, ensure_ascii=False, default=str))
+        _history(spark, a.data, "profiles", "sector_id").put(analysis.profile_row(spark, profile), as_of)
         print("saved", a.sector)
     bundle.unpersist()
 
@@ -249,7 +266,10 @@ def do_chain(spark: SparkSession, a: argparse.Namespace) -> None:
         raise SystemExit(1)
     # one answer of a generator: a few dozen rows
     whole = head | {k: [r.asDict(recursive=True) for r in df.collect()] for k, df in parts.items()}
-    Path(a.data, "analyses", f"{name}.json").write_text(json.dumps(whole, ensure_ascii=False, default=str), encoding="utf-8")
+    _write(Path(a.data, "analyses", f"{name}.json"), json.dumps(whole, ensure_ascii=False, default=str))
+    for part, rows in parts.items():
+        key = {"links": ["chain_id", "position"], "nodes": ["map_id", "node_id"], "edges": ["map_id", "source_name", "target_name", "flow"]}[part]
+        _history(spark, a.data, part, key).put(rows.withColumn("as_of", F.lit(a.as_of).cast("timestamp")).fillna("", [c for c in key if c != "position"]), a.as_of)
 
 
 #: What is validated: kind of schema, folder, key, and the rules beyond the schema.

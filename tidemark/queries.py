@@ -14,7 +14,7 @@ from tidemark.functions import text as X
 from tidemark.functions import time as T
 from tidemark.operators import backtest, classify, dedup, evidence, graphs, rules, signals
 from tidemark.plans import report
-from tidemark.sources import backfill, collect, feeds, series, shared, tables
+from tidemark.sources import backfill, collect, feeds, history, series, shared, tables
 from tidemark.streaming import clusters
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -283,6 +283,25 @@ def prohibited_text(spark, sf_dir):
     return d.select("doc_id", X.prohibited(F.concat("title", tail)).alias("prohibited"))
 
 
+HISTORY_AS_OF = "1996-03-01T00:00:00Z"
+
+
+@query("""with o as (select *, case when month(o_orderdate) >= 7 then make_timestamp(year(o_orderdate), 7, 1, 0, 0, 0) else make_timestamp(year(o_orderdate), 1, 1, 0, 0, 0) end as half from orders),
+b as (select half, o_custkey, max(o_orderkey) as o_orderkey from o group by all),
+v as (select b.*, o_orderpriority, o_totalprice > 200000 as large from b join orders using (o_orderkey)),
+c as (select *, row_number() over (partition by o_custkey order by half) as r, lag(o_orderpriority) over (partition by o_custkey order by half) as p, lag(large) over (partition by o_custkey order by half) as l from v),
+d as (select *, lead(half) over (partition by o_custkey order by half) as until from c where r = 1 or p is distinct from o_orderpriority or l is distinct from large)
+select o_custkey, o_orderpriority, large, half as valid_from, until as valid_to from d where half <= timestamp '1996-03-01' and (until is null or until > timestamp '1996-03-01')""")
+def history_as_of(spark, sf_dir):
+    """Customers' last orders are put every half year, unless nothing changed; the table as it stood in March 1996, with later versions in it."""
+    o = views.table(spark, sf_dir, "orders").withColumn("half", F.make_timestamp(F.year("o_orderdate"), F.when(F.month("o_orderdate") >= 7, 7).otherwise(1), F.lit(1), F.lit(0), F.lit(0), F.lit(0)))
+    last = o.groupBy("half", "o_custkey").agg(F.max_by(F.struct("o_orderpriority", (F.col("o_totalprice") > 200000).alias("large")), "o_orderkey").alias("x")).select("half", "o_custkey", "x.*")
+    made = history.History(spark, shared.folder(spark, "history"), "o_custkey")
+    for at in sorted(r.half for r in last.select("half").distinct().collect()):
+        made.put(last.filter(F.col("half") == F.lit(at)).drop("half"), f"{at:%Y-%m-%dT%H:%M:%SZ}")
+    return made.read(HISTORY_AS_OF)
+
+
 # clusters
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
@@ -69,14 +70,33 @@ def upsert(rows: DataFrame, path: str, key: str, version: Column) -> None:
     nth = F.row_number().over(Window.partitionBy(key).orderBy(version.desc()))
     name = f"data-{uuid.uuid4().hex}"
     whole.withColumn("_nth", nth).filter("_nth = 1").drop("_nth").write.parquet(f"{path}/{name}")
-    part = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/_part-{name}")
+    publish(spark, path, name, versions)
+
+
+def publish(spark: SparkSession, path: str, text: str, seen: Sequence[int] | None = None) -> None:
+    """Makes text the next version of the table at path; an error if another writer was first. seen: the versions that the text was made from, if not those of now."""
+    fs, at, versions = _versions(spark, path)
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path
+    part = hadoop(f"{path}/_part-{uuid.uuid4().hex}")
     out = fs.create(part, True)
-    out.write(bytearray(name.encode()))
+    out.write(bytearray(text.encode()))
     out.close()
-    if not fs.rename(part, spark._jvm.org.apache.hadoop.fs.Path(at, f"_version-{max(versions, default=0) + 1:012d}")):
+    to = hadoop(at, f"_version-{max(versions if seen is None else seen, default=0) + 1:012d}")
+    if fs.exists(to) or not fs.rename(part, to):
+        fs.delete(part, False)
         raise RuntimeError("another writer published this version first; nothing has changed")
 
 
+def version_text(spark: SparkSession, path: str, version: int) -> str:
+    """What a version's file says."""
+    fs, at, _ = _versions(spark, path)
+    stream = fs.open(spark._jvm.org.apache.hadoop.fs.Path(at, f"_version-{version:012d}"))
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
 def published(spark: SparkSession, path: str) -> bool:
     """Whether an upsert has published the table."""
     return bool(_versions(spark, path)[2])
@@ -87,9 +107,7 @@ def latest(spark: SparkSession, path: str) -> DataFrame:
     fs, at, versions = _versions(spark, path)
     if not versions:
         return spark.read.parquet(path)
-    stream = fs.open(spark._jvm.org.apache.hadoop.fs.Path(at, f"_version-{max(versions):012d}"))
-    name = spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
-    stream.close()
+    name = version_text(spark, path, max(versions))
     return spark.read.parquet(f"{path}/{name}")
 
 
