@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import json
 from collections.abc import Callable
+from datetime import date
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -15,7 +17,7 @@ from tidemark.functions import time as T
 from tidemark.operators import backtest, classify, dedup, evidence, graphs, rules, signals
 from tidemark.plans import report
 from tidemark.sources import backfill, collect, feeds, history, series, shared, tables
-from tidemark.streaming import clusters
+from tidemark.streaming import clusters, rolling
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -434,6 +436,27 @@ def daily_report(spark, sf_dir):
     return spark.createDataFrame([(s["no"], s["key"], s["body"]) for s in made["sections"]], "no int, section string, body string")
 
 
+ROLLING_ENDS = (date(2024, 1, 8), date(2024, 1, 15), date(2024, 1, 22), date(2024, 1, 30))
+
+
+@query(EV + """, ends as (select unnest([date '2024-01-08', date '2024-01-15', date '2024-01-22', date '2024-01-30']) as end_day),
+c as (select end_day, sector, event_type as signal_type, count(*) filter (where event_at::date > end_day - 3) as count, count(*) filter (where event_at::date <= end_day - 3) as before
+  from ev, ends where prim and observed_at::date <= end_day and event_at::date between end_day - 14 and end_day group by all)
+select strftime(end_day, '%Y-%m-%d') as end_day, sector[5:] as topic, signal_type, count, round_even(before * 0.25::double, 3) as baseline_count, case when before > 0 then round_even(count / round_even(before * 0.25::double, 3) - 1, 3) end as delta_ratio from c""")
+def rolling_windows(spark, sf_dir):
+    """Events arrive in the order of observation, in four runs; windows of three days with baselines of twelve are moved on after each."""
+    matched = signals.match_topics(views.events(spark, sf_dir).filter(F.coalesce("is_cluster_primary", F.lit(True))), views.TOPICS)
+    kept = rolling.Rolling(spark, shared.folder(spark, "rolling"), days=3, multiplier=4)
+    found, last = [], None
+    for i, end in enumerate(ROLLING_ENDS):
+        seen = F.to_date("observed_at")
+        kept.add(matched.filter((seen <= F.lit(end)) & (F.lit(True) if last is None else seen > F.lit(last))), i)
+        kept.advance(end)
+        found.append(kept.counts().select(F.lit(end.isoformat()).alias("end_day"), "topic", "signal_type", "count", "baseline_count", "delta_ratio"))
+        last = end
+    return reduce(DataFrame.unionByName, found)
+
+
 # sources
 
 
