@@ -250,3 +250,20 @@ def test_wrapper_decides(spark):
     assert got == {i: " ".join([f"Story {i} has been told"] * 3) for i in range(12)}
     alone = {i: html_extract.main_text(html_extract.parse(h)) for i, _, h in rows}
     assert all(alone[i] != got[i] and terms.strip() in alone[i] for i in alone)
+
+
+@pytest.mark.parametrize(
+    ("page", "want"),
+    [
+        ('<article><p>We walked to <a href="/x" title="the hidden valley">the valley</a> today.</p></article>', "We walked to the valley today."),
+        ('<article><p class="overflow hidden x">kept</p><p data-hidden=1>too</p><p hidden>a</p><p style="color:red; DISPLAY : none">b</p><p aria-hidden=TRUE>c</p><p hidden=until-found>d</p></article>', "kept\n\ntoo"),
+        ('<article><h2 id="how-to-bake-cookies">Bake</h2><section id="menu"><p>Soup</p></section><div class="market-share"><p>Up</p></div><div id="ten-facts-about-comments"><p>Ten</p></div></article>', "Bake\n\nSoup\n\nUp\n\nTen"),
+        ('<article><p>x</p><div class="share">on <a>f</a></div><div class="social-share"><a>all links here</a></div><div class="comments"><p>reader</p></div><section class="market-share"><a>a</a> <a>b</a></section></article>', "x"),
+        ('<body><form id="aspnetForm" method=post><div class="nav">menu</div><article><p>Text</p></article></form></body>', "Text"),
+        ('<body><form id="f"><input><p>All the text that the page has.</p></form><p>x</p></body>', "All the text that the page has."),
+        ('<article><p>Long enough text of the article itself.</p><form><p>Your name</p></form></article>', "Long enough text of the article itself."),
+        ('<article><blockquote><header>On peace</header><p>Said</p><footer>A. Author</footer></blockquote><footer>Site</footer></article>', "On peace\n\nSaid\n\nA. Author"),
+    ],
+)
+def test_what_names_and_attributes_tell(page, want):
+    assert html_extract.main_text(html_extract.parse(page)) == want

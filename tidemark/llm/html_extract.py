@@ -19,7 +19,9 @@ single task. No function recurses, so depth is no limit.
 
 In the text, white space inside a block is one space, blocks are trimmed and joined by two \\n.
 A null or empty html, or a page without an article or other text, gives the empty text. Pages without
-a url, or without a host in it, form one host. Rows that repeat an id are pages of their own, though
+a url, or without a host in it, form one host. A form around an article, or around four fifths of a page's text, is none to fill in,
+and a quotation's header and footer are its own. Within an article the names of headings tell nothing, nor do names of more than three words;
+words that an article may be about tell a part of the site only where its text is mostly links or is template. Rows that repeat an id are pages of their own, though
 equal pages count once for what is template. Broken markup is read as far as browsers would: open elements
 end with their parents, paragraphs where the next block begins, and a quote opens a value only after an equals sign.
 """
@@ -39,8 +41,11 @@ from pyspark.sql import functions as F
 from . import common as C
 
 TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>\x00]*)((?:=\s*(?:\"[^\"]*(?:\"|\Z)|'[^']*(?:'|\Z))|[^>])*)(?:>|\Z)", re.S)
-NAMED = re.compile(r"\b(?:class|id|role|aria-label|itemprop)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
-HIDDEN = re.compile(r"(?:^|\s)hidden(?:\s|=|/|$)|aria-hidden\s*=\s*[\"']?true|display\s*:\s*none", re.I)
+ATTRIBUTE = re.compile(r"([^\s=/>\"']+)(?:\s*=\s*(?:\"([^\"]*)\"?|'([^']*)'?|([^\s>]+)))?")
+#: Attributes whose values name an element.
+NAMES = frozenset("class id role aria-label itemprop".split())
+UNSEEN = re.compile(r"(?:^|;)\s*display\s*:\s*none\b", re.I)
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 #: Their contents are no text.
 RAW = frozenset("script style noscript template iframe object svg math canvas audio video head title textarea select option button".split())
@@ -50,6 +55,8 @@ INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font
 SITE = frozenset("nav header footer aside form menu dialog".split())
 #: Parts of names that tell a part of the site, wherever it lies.
 SITE_PARTS = frozenset("ad ads advert adverts advertisement advertising breadcrumb breadcrumbs comment comments cookie cookies consent disqus footer menu nav navbar navigation newsletter notice notices pagination popup promo promos promotion replies respond share sharing sidebar sponsor sponsored sponsors subscribe widget contentinfo complementary".split())
+#: Those that an article may be about, as a part of a longer name, or in the name of a section: within one they need evidence, most of their text in links or the same text on most of the host's pages.
+TOPICS = frozenset("cookie cookies consent menu navigation notice notices promotion share sharing widget".split())
 #: Names that tell one outside an article; within it only where most of the text is links, as "social" or "related" may be about anything.
 WEAK_PARTS = frozenset("related social".split())
 #: What follows a weak part in a name.
@@ -66,14 +73,14 @@ SCOPES = frozenset("ul ol dl table body article section div main nav aside foote
 class Node:
     """An element, or a text block with its text; inline elements melt into the block around them."""
 
-    __slots__ = ("chars", "children", "has_article", "hidden", "inside", "kind", "linked", "parent", "shape", "site", "tag", "text", "weak")
+    __slots__ = ("chars", "children", "has_article", "has_main", "hidden", "inside", "kind", "linked", "parent", "shape", "site", "tag", "text", "weak")
 
     def __init__(self, tag: str, parent: Node | None = None, site: bool = False, weak: bool = False, kind: str = ""):
         self.tag, self.parent, self.site, self.weak, self.kind = tag, parent, site, weak, kind
         self.children: list[Node] = []
         self.text = ""
         self.chars = self.linked = self.shape = 0  # characters of text below, and of links; the shape's number
-        self.hidden = self.has_article = False
+        self.hidden = self.has_article = self.has_main = False
         self.inside = parent is not None and bool(parent.inside or parent.kind)  # an article
         if parent is not None:
             parent.children.append(self)
@@ -86,14 +93,30 @@ def _clean(raw: str) -> str:
     return " ".join(html.unescape(raw).split())
 
 
-def _named(names: str) -> tuple[bool, bool, bool]:
-    """Whether names (of classes, ids and roles) tell a part of the site: surely, perhaps, outside articles."""
+def attributes_of(text: str) -> dict[str, str]:
+    """The attributes of a tag by their names, in lower case; the first of a name counts, as in browsers."""
+    found: dict[str, str] = {}
+    for name, double, single, bare in ATTRIBUTE.findall(text):
+        found.setdefault(name.lower(), double or single or bare)
+    return found
+
+
+def is_hidden(attributes: dict[str, str]) -> bool:
+    """Whether an element isn't shown: by the attribute hidden, by aria-hidden or by its style. Values that merely hold such words tell nothing."""
+    return "hidden" in attributes or attributes.get("aria-hidden", "").strip().lower() == "true" or bool(UNSEEN.search(attributes.get("style", "")))
+
+
+def _named(names: str, inside: bool, section: bool) -> tuple[bool, bool, bool]:
+    """Whether names (of classes, ids and roles) tell a part of the site: surely, perhaps, outside articles. Within an article a name made of many words is a text's, and topics tell only perhaps."""
     sure = weak = top = False
     for name in names.lower().split():
         parts = [x for x in re.split(r"[_-]+", name) if x]
-        if not parts:
+        if not parts or (inside and len(parts) > 3):
             continue
-        sure |= parts[0] in SITE_PARTS or parts[-1] in SITE_PARTS
+        told = {parts[0], parts[-1]} & SITE_PARTS
+        about = inside and told <= TOPICS and (len(parts) > 1 or section)
+        sure |= bool(told) and not about
+        weak |= bool(told) and about
         weak |= name in WEAK_PARTS or (parts[0] in WEAK_PARTS and parts[-1] in LISTS)
         top |= parts[0] in TOP_PARTS or parts[-1] in TOP_PARTS
     return sure, weak, top
@@ -161,7 +184,8 @@ def parse(page: str) -> list[Node]:
             if name == "hr":
                 close_block()
             continue
-        if name in RAW or HIDDEN.search(attributes):
+        given = attributes_of(attributes) if attributes.strip(" /") else {}
+        if name in RAW or is_hidden(given):
             if attributes.rstrip().endswith("/") and name not in OPAQUE:
                 continue
             if name in OPAQUE:
@@ -188,11 +212,14 @@ def parse(page: str) -> list[Node]:
                     break
         if name in ("html", "body") and opened[name]:
             continue
-        names = " ".join(a or b or c for a, b, c in NAMED.findall(attributes)) if "=" in attributes else ""
+        names = " ".join(v for k, v in given.items() if k in NAMES)
         above = stack[-1]
         inside = above.inside or bool(above.kind)
-        sure, weak, top = _named(names) if names and name not in ("body", "article", "main") else (False, False, False)
-        site = (name in SITE and not (name == "header" and inside)) or sure or (not inside and (weak or top))
+        # an article's headings are named after their words
+        sure, weak, top = _named(names, inside, name == "section") if names and name not in ("body", "article", "main") and not (inside and name in HEADINGS) else (False, False, False)
+        # a quotation's footer names who said it
+        quoted = name in ("header", "footer") and opened["blockquote"] > 0
+        site = (name in SITE and not (name == "header" and inside) and not quoted) or sure or (not inside and (weak or top))
         node = Node(name, above, site, weak and inside, "article" if name in ("article", "main") or (names and ARTICLE_NAME.search(names)) else "")
         nodes.append(node)
         stack.append(node)
@@ -202,6 +229,11 @@ def parse(page: str) -> list[Node]:
         x.parent.chars += x.chars
         x.parent.linked += x.linked
         x.parent.has_article |= x.has_article or (x.tag == "article" and not x.site)
+        x.parent.has_main |= x.has_main or (bool(x.kind) and not x.site)
+    for x in nodes[1:]:
+        # a form around the page is no form to fill in
+        if x.tag == "form" and x.site and (x.has_main or x.chars * 10 >= nodes[0].chars * 8):
+            x.site = False
         if x.weak and x.linked * 2 >= x.chars:
             x.site = True
     for x in nodes[1:]:
