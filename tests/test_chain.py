@@ -1,11 +1,13 @@
 import argparse
 import datetime as dt
 import json
+import random
 
 import pytest
 from pyspark.sql import functions as F
 from tidemark import cli
 from tidemark.functions import time as T
+from tidemark.operators import evidence
 from tidemark.plans import analysis, review
 from tidemark.sources import backfill
 
@@ -77,3 +79,20 @@ def test_backfill_sources():
     made = backfill.chunk_source(by_address, dt.date(2026, 1, 2), dt.date(2026, 1, 5))
     assert (made["kind"], made["endpoint"]) == ("json", "https://x.org/?f=20260102&t=2026-01-05") and by_address["endpoint"] == "x"
     assert backfill.chunk_source(by_body, dt.date(2026, 1, 2), dt.date(2026, 1, 5))["date_range"] == {"start": "2026-01-02", "end": "2026-01-05"}
+
+
+def test_references_in_the_plan_like_those_of_one_answer(spark):
+    rng = random.Random(3)
+
+    def made(depth):
+        if depth == 0 or rng.random() < 0.2:
+            return rng.choice(["e1", "e2", 3, None, True, [], {}])
+        if rng.random() < 0.4:
+            return [made(depth - 1) for _ in range(rng.randrange(4))]
+        return {k: made(depth - 1) for k in rng.sample(["event_id", "event_ids", "basis", "x", "y"], rng.randrange(4))}
+
+    answers = [{"r": made(7)} for _ in range(60)] + [{"event_id": "e9"}]
+    rows = [(i, json.dumps(a)) for i, a in enumerate(answers)] + [(99, "no json"), (100, None)]
+    found = evidence.cited(spark.createDataFrame(rows, "id int, doc string"), "id", "doc")
+    assert found.columns == ["id", "path", "event_id"]
+    assert sorted(map(tuple, found.collect())) == sorted((i, *r) for i, a in enumerate(answers) for r in analysis.references(a))

@@ -15,7 +15,7 @@ from tidemark.functions import ids
 from tidemark.functions import text as X
 from tidemark.functions import time as T
 from tidemark.operators import backtest, classify, dedup, evidence, graphs, rules, signals
-from tidemark.plans import report
+from tidemark.plans import analysis, report
 from tidemark.sources import backfill, collect, feeds, history, series, shared, tables
 from tidemark.streaming import clusters, rolling
 
@@ -578,6 +578,24 @@ def schema_violations(spark, sf_dir):
     return schemas.check(docs, "k", "doc", "event")
 
 
+@query("""with e as (select event_id as i from events), known as (select event_id as i from events where event_id % 5 <> 0),
+c as (select i, '$.claims[0].basis[0]' as path, i as cites from e union all select i, '$.claims[0].basis[1]', i + 1 from e union all select i, '$.claims[0].deep.x[0].event_id', i + 2 from e
+  union all select i, '$.other.event_ids[0]', i + 3 from e union all select i, '$.other.event_ids[1].event_id', i + 4 from e union all select i, '$.a.a.a.a.a.a[0].event_id', i from e where i % 3 = 0)
+select i::varchar as key, 'not_in_evidence' as rule, path || ' evt_' || cites as detail from c where cites not in (select i from known)""")
+def nested_references(spark, sf_dir):
+    """Each event as an answer that cites others at several depths; four fifths of the events are in evidence."""
+    e = views.table(spark, sf_dir, "events")
+    i = F.col("event_id")
+    cite = lambda n: F.concat(F.lit('"evt_'), (i + n).cast("string"), F.lit('"'))
+    parts = (
+        '{"claims":[{"basis":[', cite(0), ",", cite(1), ',7],"deep":{"x":[{"event_id":', cite(2), '}],"basis":{"note":"evt_none"}}}],"other":{"event_ids":[', cite(3), ',{"event_id":', cite(4), '},["evt_deeper"]],"title":"evt_title"}',
+        F.when(i % 3 == 0, F.concat(F.lit(',"a":{"a":{"a":{"a":{"a":{"a":[{"event_id":'), cite(0), F.lit("}]}}}}}}"))).otherwise(F.lit("}")),
+    )
+    answers = e.select("event_id", F.concat(*[F.lit(p) if isinstance(p, str) else p for p in parts]).alias("answer"))
+    bundle = e.filter("event_id % 5 <> 0").select(F.concat(F.lit("evt_"), "event_id").alias("event_id"))
+    return analysis.review_answers(answers.withColumnRenamed("event_id", "answer_id"), "answer_id", "answer", bundle)
+
+
 @query("""with p as (select user_id, ts::date as day, count(*) as n from events group by all),
 r as (select 'src_' || user_id as source_id, day, case when (user_id + day(day)) % 13 = 0 then 'HTTP 500' end as error, case when (user_id + day(day)) % 13 = 0 or day(day) % 6 = 0 then 0 else n end as n from p),
 f as (select *, max((error is not null)::int) over (partition by source_id order by day) as bad from r)
