@@ -38,45 +38,48 @@ _WEIGHED = pa.schema([("doc_id", pa.int64()), ("n_words", pa.int64()), ("n_featu
 
 
 class _Portion:
-    """Documents as bags of n-grams over the portion's own numbers of words."""
+    """Documents as bags of n-grams over the portion's own numbers of words. A single word is the tuple of its number; longer tuples are numbered after the words."""
 
     def __init__(self, n: int):
         self.n = n
         self.words: dict[bytes, int] = {}
-        self.grams: dict[tuple[int, ...], int] = {}
+        self.longer: dict[tuple[int, ...], int] = {}
         self.docs: list[int | None] = []
         self.sizes: list[tuple[int, int]] = []
-        self.gram: list[np.ndarray] = []
-        self.times: list[np.ndarray] = []
+        self.bags: list[tuple[np.ndarray, ...]] = []
         self.held = 0
 
+    @staticmethod
+    def _arrays(bag: Counter) -> tuple[np.ndarray, np.ndarray]:
+        return np.fromiter(bag.keys(), np.int32, len(bag)), np.fromiter(bag.values(), np.int32, len(bag))
+
     def add(self, doc: int | None, text: bytes | None) -> None:
-        number, gram_number = self.words, self.grams
-        cut = words_of(text)
-        seq = [number.setdefault(w, len(number)) for w in cut]
-        bag = Counter(seq)
-        for i in bag:
-            gram_number.setdefault((i,), len(gram_number))
-        found = Counter({gram_number[(i,)]: c for i, c in bag.items()})
+        number, longer = self.words, self.longer
+        seq = [number.setdefault(w, len(number)) for w in words_of(text)]
+        more: Counter = Counter()
         for k in range(2, self.n + 1):
             for t, c in Counter(zip(*(seq[i:] for i in range(k)), strict=False)).items():
-                found[gram_number.setdefault(t, len(gram_number))] += c
+                more[longer.setdefault(t, len(longer))] += c
         self.docs.append(doc)
-        self.sizes.append((len(seq), sum(found.values())))
-        self.gram.append(np.fromiter(found.keys(), np.int32, len(found)))
-        self.times.append(np.fromiter(found.values(), np.int32, len(found)))
+        self.sizes.append((len(seq), len(seq) + more.total()))
+        self.bags.append((*self._arrays(Counter(seq)), *self._arrays(more)))
         self.held += len(seq) + 1
 
     def pack(self) -> pa.RecordBatch:
-        gram = np.concatenate(self.gram)
-        times = np.concatenate(self.times)
-        counts = np.bincount(gram, times, len(self.grams)).astype(np.int64) if len(gram) else np.zeros(0, np.int64)
+        n = len(self.words)
+        gram = np.concatenate([x for a, _, b, _ in self.bags for x in (a, b + np.int32(n))])
+        times = np.concatenate([x for _, a, _, b in self.bags for x in (a, b)])
+        ends = np.cumsum([len(a) + len(b) for a, _, b, _ in self.bags])
+        counts = np.bincount(gram, times, n + len(self.longer)).astype(np.int64) if len(gram) else np.zeros(0, np.int64)
+        flat = np.concatenate([np.arange(n), np.fromiter((i for t in self.longer for i in t), np.int64)])
+        to = np.concatenate([np.arange(n + 1), n + np.cumsum(np.fromiter(map(len, self.longer), np.int64, len(self.longer)))])
+        grams = pa.ListArray.from_arrays(pa.array(to, pa.int32()), pa.array(flat, pa.int32()))
         sizes = np.array(self.sizes, np.int64)
         row = [
-            list(self.words), list(map(list, self.grams)), counts, np.array([C.LAST_ID if d is None else d for d in self.docs], np.int64).tobytes(), np.array([d is not None for d in self.docs], np.int8).tobytes(),
-            sizes[:, 0].tobytes(), sizes[:, 1].tobytes(), np.cumsum([len(g) for g in self.gram]).astype(np.int64).tobytes(), gram.tobytes(), times.tobytes(),
+            pa.ListArray.from_arrays(pa.array([0, n], pa.int32()), pa.array(list(self.words), pa.binary())), pa.ListArray.from_arrays(pa.array([0, len(grams)], pa.int32()), grams), pa.ListArray.from_arrays(pa.array([0, len(counts)], pa.int32()), pa.array(counts)),
+            np.array([C.LAST_ID if d is None else d for d in self.docs], np.int64), np.array([d is not None for d in self.docs], np.int8), sizes[:, 0].copy(), sizes[:, 1].copy(), ends.astype(np.int64), gram, times,
         ]
-        return pa.record_batch([pa.array([v], f.type) for v, f in zip(row, _PORTION, strict=True)], schema=_PORTION)
+        return pa.record_batch([v if isinstance(v, pa.Array) else pa.array([v.tobytes()], pa.binary()) for v in row], schema=_PORTION)
 
 
 def _portions(rows: DataFrame, id_col: str, text_col: str, n: int, words: int) -> DataFrame:
