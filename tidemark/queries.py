@@ -16,7 +16,7 @@ from tidemark.functions import text as X
 from tidemark.functions import time as T
 from tidemark.operators import backtest, classify, dedup, evidence, graphs, rules, signals
 from tidemark.plans import analysis, report
-from tidemark.sources import backfill, collect, feeds, history, series, shared, tables
+from tidemark.sources import backfill, collect, feeds, history, landing, series, shared, tables
 from tidemark.streaming import clusters, rolling
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -285,6 +285,16 @@ def prohibited_text(spark, sf_dir):
     return d.select("doc_id", X.prohibited(F.concat("title", tail)).alias("prohibited"))
 
 
+@query("select 'raw_' || lpad(doc_id::varchar, 12, '0') as raw_id, greatest(doc_id % 4 - 1, 0)::int as batch from documents")
+def landing_index(spark, sf_dir):
+    """Documents arrive in four batches, half of each again in the next, the last one twice; the batch in which each landed."""
+    d = views.documents(spark, sf_dir).select("raw_id", "doc_id", "source_id", "title", "observed_at")
+    held = landing.Landing(spark, shared.folder(spark, "landing"), buckets=16)
+    for i in (0, 1, 2, 3, 3):
+        held.put(d.filter(F.pmod("doc_id", F.lit(4)).isin(i, i + 1)).drop("doc_id").withColumn("batch", F.lit(i)), [F.col("observed_at"), F.col("raw_id")])
+    return held.read().select("raw_id", "batch")
+
+
 HISTORY_AS_OF = "1996-03-01T00:00:00Z"
 
 

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tidemark.sources import tables
+from tidemark.sources import landing, tables
 
 
 def land(stream: DataFrame, path: str, checkpoint: str, key: str = "raw_id", available_now: bool = True) -> StreamingQuery:
@@ -23,6 +23,16 @@ def land(stream: DataFrame, path: str, checkpoint: str, key: str = "raw_id", ava
     return (writer.trigger(availableNow=True) if available_now else writer).start()
 
 
+def land_indexed(stream: DataFrame, path: str, checkpoint: str, key: str = "raw_id", available_now: bool = True) -> StreamingQuery:
+    """Like land, into a table with an index of its keys: a batch reads what its own keys call for, however large the table is."""
+
+    def batch(df: DataFrame, epoch: int) -> None:
+        landing.Landing(df.sparkSession, path, key).put(df, [F.col("observed_at"), F.col(key)])
+
+    writer = stream.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint)
+    return (writer.trigger(availableNow=True) if available_now else writer).start()
+
+
 def daily_counts(stream: DataFrame) -> DataFrame:
     """day, signal_type, n of an event stream, in update mode: a late event corrects its day."""
     return stream.select(F.to_date("event_at").alias("day"), F.explode("signal_types").alias("signal_type")).groupBy("day", "signal_type").agg(F.count("*").alias("n"))
