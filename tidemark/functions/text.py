@@ -32,7 +32,7 @@ def _unescape(texts: pd.Series) -> pd.Series:
 
 
 def nfkc(text: Column) -> Column:
-    """Compatibility composition. ASCII, which it can't change, is not sent to Python."""
+    """Compatibility composition. ASCII, which it can't change, reaches the plan's Python node as null and costs no work there."""
     plain = F.octet_length(text) == F.length(text)
     return F.coalesce(F.when(plain, text), _nfkc(F.when(~plain, text)))
 
@@ -48,7 +48,7 @@ def plain_form(text: Column) -> Column:
 
 
 def strip_markup(text: Column) -> Column:
-    """Tags to a space, character references resolved, stripped. Only text with an ampersand is sent to Python."""
+    """Tags to a space, character references resolved, stripped. Text without an ampersand reaches the plan's Python node as null."""
     bare = F.regexp_replace(text, "<[^>]+>", " ")
     has = F.contains(bare, F.lit("&"))
     return trim_space(F.coalesce(F.when(~has, bare), _unescape(F.when(has, bare))))

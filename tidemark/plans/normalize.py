@@ -19,7 +19,7 @@ def pending(raw: DataFrame, done: DataFrame | None, limit: int | None = None) ->
 
 def events(raw: DataFrame, registry: DataFrame) -> DataFrame:
     """Events of raw documents (see sources.feeds.RAW) of known sources."""
-    rows = tables.with_sources(raw, F.broadcast(registry)).filter("status = 'normalized'")
+    rows = tables.with_sources(raw, tables.small(registry)).filter("status = 'normalized'")
     publisher = F.coalesce("src.publisher", "src.name")
     rows = rows.withColumn("event_at", F.coalesce("published_at", "observed_at"))
     keyed = dedup.keyed(rows, publisher)
@@ -42,6 +42,6 @@ def events(raw: DataFrame, registry: DataFrame) -> DataFrame:
 
 def progress(raw: DataFrame, made: DataFrame, registry: DataFrame) -> DataFrame:
     """processed, created, duplicates, skipped."""
-    status = tables.with_sources(raw, F.broadcast(registry)).agg(F.count("*").alias("processed"), F.count_if(F.col("status") == "skipped").alias("skipped"))
+    status = tables.with_sources(raw, tables.small(registry)).agg(F.count("*").alias("processed"), F.count_if(F.col("status") == "skipped").alias("skipped"))
     made = made.agg(F.count_if("is_cluster_primary").alias("created"), F.count_if(~F.col("is_cluster_primary")).alias("duplicates"))
     return status.join(made, F.lit(True))

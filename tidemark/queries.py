@@ -267,7 +267,7 @@ def summarize_text(spark, sf_dir):
     return views.documents(spark, sf_dir).select("doc_id", F.sha2(X.summarize(F.col("body")), 256).alias("summary_sha256"))
 
 
-@query()
+@query(r"""select page_id, regexp_replace(regexp_replace(replace(replace(replace(regexp_replace(html, '<[^>]+>', ' ', 'g'), '&copy;', '©'), '&middot;', '·'), '&quot;', '"'), '&amp;?', '&', 'g'), '^\s+|\s+$', '', 'g') as text from pages""")
 def strip_markup(spark, sf_dir):
     return views.table(spark, sf_dir, "pages").select("page_id", X.strip_markup(F.col("html")).alias("text"))
 
@@ -278,11 +278,11 @@ def format_values(spark, sf_dir):
     return views.table(spark, sf_dir, "part").select("p_partkey", X.format_value(x).alias("shown"))
 
 
-@query(DOC + "select doc_id, regexp_matches(body, '\\$[A-Z]{2,5}\\b|\\b(NASDAQ|NYSE):') or regexp_matches(lower(body), '\\b(top|best|worst)\\s*[0-9]+\\b') and regexp_matches(lower(body), '\\btop\\s*[0-9]+\\b|\\b(best|worst)\\s+[0-9]+\\b') as prohibited from (select doc_id, title || case when doc_id % 3 = 0 then ' Top 10' when doc_id % 3 = 1 then ' $AAPL' else ' plain' end as body from doc)")
+@query(DOC + "select doc_id, regexp_matches(body, '\\$[A-Z]{2,5}\\b|\\b(NASDAQ|NYSE):') or regexp_matches(lower(body), '\\b(top|best|worst)\\s*[0-9]+\\b') and regexp_matches(lower(body), '\\btop\\s*[0-9]+\\b|\\b(best|worst)\\s+[0-9]+\\b') as prohibited from (select doc_id, body || case when doc_id % 3 = 0 then ' Top 10' when doc_id % 3 = 1 then ' $AAPL' else ' plain' end as body from doc)")
 def prohibited_text(spark, sf_dir):
     d = views.documents(spark, sf_dir)
     tail = F.when(F.col("doc_id") % 3 == 0, " Top 10").when(F.col("doc_id") % 3 == 1, " $AAPL").otherwise(" plain")
-    return d.select("doc_id", X.prohibited(F.concat("title", tail)).alias("prohibited"))
+    return d.select("doc_id", X.prohibited(F.concat("body", tail)).alias("prohibited"))
 
 
 @query("select 'raw_' || lpad(doc_id::varchar, 12, '0') as raw_id, greatest(doc_id % 4 - 1, 0)::int as batch from documents")

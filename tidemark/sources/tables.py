@@ -136,6 +136,11 @@ def with_sources(raw: DataFrame, registry: DataFrame) -> DataFrame:
     return joined.withColumn("status", F.when(F.col("src").isNull(), "skipped").otherwise("normalized"))
 
 
+def small(df: DataFrame, rows: int = 100_000) -> DataFrame:
+    """df to be broadcast if it has no more than so many rows; else joins with it shuffle."""
+    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+
+
 def registry(spark: SparkSession, rows: list[dict], enabled_only: bool = True, tiers: tuple[str, ...] = ()) -> DataFrame:
     """Sources as a table; those without a flag are enabled."""
     schema = "source_id string, name string, kind string, tier string, reliability string, publisher string, country string, categories array<string>, default_signal_types array<string>, interval_minutes int, enabled boolean"
