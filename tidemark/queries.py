@@ -344,7 +344,31 @@ def day_state_clusters(spark, sf_dir):
     return spark.read.schema(dedup.ASSIGNED).parquet(found).select("raw_id", F.coalesce("duplicate_of", "raw_id").alias("primary_of"), "method")
 
 
-@query()
+#: The clusters of each day, one document after the other; a day's state are lists of clusters, and of keys with the cluster that each led to.
+CLUSTERS = """
+d as (select t.day, row_number() over (partition by t.day order by t.doc_id) as n, t.raw_id, t.source, n.ntitle || chr(10) || n.nbody as h, n.ntitle as k, list_sort(t.t) as t from tok t join nrm n using (doc_id)),
+rec(day, n, raw_id, method, sim, c, heads, srcs, toks, hs, ks, cs) as (
+  select day, n, raw_id, 'event_key', 1.0::double, 1, [raw_id], [[source]], [t[:400]], [h], [k], [1] from d where n = 1
+  union all
+  select day, n, raw_id, case when c1 is not null then 'content_hash' when c2 is not null then 'event_key' when c3 is not null then 'token_similarity' else 'event_key' end,
+    case when c1 is null and c2 is null and c3 is not null then round_even(best, 4) else 1.0 end, c,
+    case when c > len(heads) then list_append(heads, raw_id) else heads end,
+    case when c > len(heads) then list_append(srcs, [source]) else list_transform(srcs, lambda x, i: case when i = c then list_distinct(list_append(x, source)) else x end) end,
+    case when c > len(heads) then list_append(toks, t[:400]) else list_transform(toks, lambda x, i: case when i = c and not list_has_all(x, t) then list_sort(list_distinct(list_concat(x, t)))[:400] else x end) end,
+    list_append(hs, h), list_append(ks, k), list_append(cs, c)
+  from (select *, coalesce(c1, c2, c3, len(heads) + 1) as c from (
+    select *, case when best >= 0.6 then list_position(sims, best) end as c3 from (
+      select *, list_max(sims) as best from (
+        select d.*, r.heads, r.srcs, r.toks, r.hs, r.ks, r.cs,
+          case when len(list_filter(r.srcs[r.cs[list_position(r.hs, d.h)]], lambda x: x <> d.source)) > 0 then r.cs[list_position(r.hs, d.h)] end as c1,
+          case when len(list_filter(r.srcs[r.cs[list_position(r.ks, d.k)]], lambda x: x <> d.source)) > 0 then r.cs[list_position(r.ks, d.k)] end as c2,
+          list_transform(r.toks, lambda x, i: case when len(list_filter(r.srcs[i], lambda y: y <> d.source)) = 0 or len(x) = 0 or len(d.t) = 0 then 0.0::double
+            when least(len(x), len(d.t)) >= 8 then len(list_intersect(x, d.t)) / least(len(x), len(d.t)) else len(list_intersect(x, d.t)) / len(list_distinct(list_concat(x, d.t))) end) as sims
+        from rec r join d on d.day = r.day and d.n = r.n + 1)))))
+select raw_id, 'clu_' || substr(sha256(heads[c]), 1, 10) as cluster_id, heads[c] = raw_id as is_cluster_primary, method, sim as similarity, case when heads[c] <> raw_id then heads[c] end as duplicate_of from rec"""
+
+
+@query(TOKENS.replace("with doc", "with recursive doc", 1) + "," + CLUSTERS)
 def dedup_cluster(spark, sf_dir):
     return dedup.assign_clusters(dedup.keyed(views.documents(spark, sf_dir), F.lit("publisher")))
 
