@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from tidemark import fixed
 from tidemark.functions import text as X
 from tidemark.functions import time as T
+from tidemark.sources import shared
 
 
 @dataclass(frozen=True)
@@ -48,6 +49,11 @@ def match_topics(events: DataFrame, specs: Sequence[Topic]) -> DataFrame:
 
     Topics are constants of the plan: events are matched where they are read, without a join or a shuffle.
     """
+    return _topics_of(events, specs).withColumn("topic", F.explode("topics")).drop("topics")
+
+
+def _topics_of(events: DataFrame, specs: Sequence[Topic]) -> DataFrame:
+    """events with the topics that each matches, as a list; none of the topics is looked for twice."""
     none = F.array().cast("array<string>")
     by_sector: dict[str, list[str]] = {}
     for t in specs:
@@ -59,10 +65,41 @@ def match_topics(events: DataFrame, specs: Sequence[Topic]) -> DataFrame:
         found = F.coalesce(F.flatten(F.transform("sector_links", lambda s: F.coalesce(F.try_element_at(topics, s["sector_id"]), none))), none)
     named = [t for t in specs if t.keywords]
     if not named:
-        return events.withColumn("topic", F.explode(F.array_distinct(found)))
+        return events.withColumn("topics", F.array_distinct(found))
     normal = X.normalize_text(F.concat_ws("\n", "title", F.coalesce("summary", F.lit(""))))
     hits = F.array_compact(F.array(*[F.when(F.rlike("_text", F.lit(X.topic_pattern(t.keywords))), F.lit(topic_name(t))) for t in named]))
-    return events.withColumn("_text", normal).withColumn("topic", F.explode(F.array_distinct(F.concat(found, hits)))).drop("_text")
+    return events.withColumn("_text", normal).withColumn("topics", F.array_distinct(F.concat(found, hits))).drop("_text")
+
+
+FACTS = "topic string, signal_type string, kind string, value string, n long, before long, first timestamp, event_ids array<string>"
+
+
+def facts(events: DataFrame, specs: Sequence[Topic], window: T.Window) -> DataFrame:
+    """All that windows are made of, from one scan of the events and one shuffle of sums: for each topic and type how many events lie in the
+    window and the baseline and which (kind count), the sources and regions of those in the window, and since when each source is observed (live)."""
+    inside, before = window.inside(F.col("event_at")), window.before(F.col("event_at"))
+    rows = _topics_of(events, specs).select("topics", "event_id", "event_at", "observed_at", "signal_types", "regions", F.transform("sources", lambda s: s["source_id"]).alias("_sources"), F.coalesce(inside, F.lit(False)).alias("_in"), F.coalesce(before, F.lit(False)).alias("_before"))
+    text = F.lit(None).cast("string")
+    fact = lambda kind, value, topic=text, signal_type=text: F.struct(F.lit(kind).alias("kind"), value.cast("string").alias("value"), topic.alias("topic"), signal_type.alias("signal_type"))
+    empty = F.array().cast("array<struct<kind:string,value:string,topic:string,signal_type:string>>")
+    each = lambda values, make: F.coalesce(F.transform(values, make), empty)
+
+    def of(topic: Column, kind: Column) -> Column:
+        here = F.array(fact("count", text, topic, kind))
+        return F.when(F.col("_in"), F.concat(here, each("_sources", lambda x: fact("source", x, topic, kind)), each("regions", lambda x: fact("region", x, topic, kind)))).when(F.col("_before"), here).otherwise(empty)
+
+    told = F.flatten(F.transform("topics", lambda t: F.flatten(F.transform(F.coalesce("signal_types", F.array().cast("array<string>")), lambda y: of(t, y)))))
+    live = F.coalesce(F.transform("_sources", lambda x: fact("live", x)), empty)
+    dealt = rows.select("event_id", "event_at", "observed_at", "_in", "_before", F.explode(F.concat(told, live)).alias("f")).select("*", "f.*")
+    counted = F.col("kind") == "count"
+    found = dealt.groupBy("topic", "signal_type", "kind", "value").agg(
+        F.count_if(counted & F.col("_in")).alias("n"), F.count_if(counted & F.col("_before")).alias("before"), F.min(F.when(F.col("kind") == "live", F.col("observed_at"))).alias("first"),
+        F.transform(F.array_sort(F.collect_list(F.when(counted & F.col("_in"), F.struct("event_at", "event_id")))), lambda e: e["event_id"]).alias("event_ids"),
+    )
+    # read several times below, and as small as there are topics, types and sources
+    path = shared.folder(events.sparkSession, "signal-facts")
+    found.write.parquet(path)
+    return events.sparkSession.read.schema(FACTS).parquet(path)
 
 
 def coverage_starts(events: DataFrame, spans: DataFrame | None = None) -> DataFrame:
@@ -71,6 +108,11 @@ def coverage_starts(events: DataFrame, spans: DataFrame | None = None) -> DataFr
     spans: source_id, from_day, to_day of what was taken in later; it counts if it reaches the day before live observation.
     """
     live = events.select(F.explode("sources").alias("s"), "observed_at").groupBy(F.col("s.source_id").alias("source_id")).agg(F.min("observed_at").alias("live"))
+    return starts_of(live, spans)
+
+
+def starts_of(live: DataFrame, spans: DataFrame | None = None) -> DataFrame:
+    """coverage_starts from source_id, live."""
     if spans is None:
         return live.withColumnRenamed("live", "starts")
     joined = live.join(spans, "source_id", "left")
@@ -90,6 +132,11 @@ def type_counts(matched: DataFrame, window: T.Window, keys: Sequence[str] = ("to
         F.count_if("_in").alias("count"), F.count_if("_before").alias("_raw"),
         F.transform(F.array_sort(F.collect_list(F.when(F.col("_in"), F.struct("event_at", "event_id")))), lambda e: e["event_id"]).alias("event_ids"),
     )
+    return rates(counts, window)
+
+
+def rates(counts: DataFrame, window: T.Window) -> DataFrame:
+    """counts (count, _raw) with the scaled baseline, the change against it and whether it rises."""
     baseline = rounded(F.col("_raw") * F.lit(window.scale), 3)
     counts = counts.withColumn("baseline_count", baseline).drop("_raw")
     return counts.withColumn("delta_ratio", F.when(F.col("baseline_count") > 0, rounded(F.col("count") / F.col("baseline_count") - 1, 3))).withColumn(
@@ -110,15 +157,16 @@ def windows(events: DataFrame, specs: Sequence[Topic], window: T.Window, as_of:
     """
     spark = events.sparkSession
     topics = topic_table(spark, specs)
-    matched = match_topics(events, specs)
-    counts = type_counts(matched, window)
+    told = facts(events, specs, window)
+    kind = lambda name: told.filter(F.col("kind") == name)
+    counts = rates(kind("count").select("topic", "signal_type", F.col("n").alias("count"), F.col("before").alias("_raw"), "event_ids"), window)
     rising = counts.filter("rising").select("topic", "signal_type")
-    part = matched.filter(window.inside(F.col("event_at"))).withColumn("signal_type", F.explode("signal_types")).join(rising, ["topic", "signal_type"], "left_semi")
-    # distinct sources and regions before they are counted: partial aggregates instead of wide rows
-    sources = part.select("topic", F.explode(F.transform("sources", lambda s: s["source_id"])).alias("source_id")).distinct()
-    regions = part.select("topic", F.explode("regions").alias("region")).distinct().groupBy("topic").agg(F.count("*").alias("distinct_regions"))
+    of_rising = lambda name: kind(name).join(rising, ["topic", "signal_type"], "left_semi").select("topic", F.col("value")).distinct()
+    sources = of_rising("source").withColumnRenamed("value", "source_id")
+    regions = of_rising("region").groupBy("topic").agg(F.count("*").alias("distinct_regions"))
     covers = F.coalesce("starts", T.at(as_of)) <= F.lit(window.baseline_start).cast("timestamp")
-    covered = sources.join(coverage_starts(events, spans), "source_id", "left").groupBy("topic").agg(F.count("*").alias("distinct_sources"), F.bool_and(covers).alias("baseline_covered"))
+    starts = starts_of(kind("live").select(F.col("value").alias("source_id"), F.col("first").alias("live")), spans)
+    covered = sources.join(starts, "source_id", "left").groupBy("topic").agg(F.count("*").alias("distinct_sources"), F.bool_and(covers).alias("baseline_covered"))
     types = counts.groupBy("topic").agg(F.count_if("rising").alias("distinct_signal_types"), F.array_sort(F.collect_list(F.struct("signal_type", "count", "baseline_count", "delta_ratio", "event_ids"))).alias("counts"))
     out = topics.join(types, "topic", "left").join(covered, "topic", "left").join(regions, "topic", "left")
     n = lambda c: F.coalesce(c, F.lit(0).cast("long"))
