@@ -267,3 +267,15 @@ def test_wrapper_decides(spark):
 )
 def test_what_names_and_attributes_tell(page, want):
     assert html_extract.main_text(html_extract.parse(page)) == want
+
+
+def test_quality_on_held_out_rows(spark):
+    """Of the given documents' held-out labels nearly all are ranked right, and judged right at the cut of 0.3."""
+    sf = "/root/testdata/sf0.1"
+    scores = quality.score_quality(spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text"), spark.read.parquet(f"{sf}/labels.parquet"))
+    judged = scores.filter("held_out").join(spark.read.parquet(f"{sf}/labels.parquet").filter("quality is not null"), "doc_id").select("score", "predicted", "quality").collect()
+    good, bad = ([r for r in judged if r.quality == v] for v in (1, 0))
+    assert len(good) > 100 and len(bad) > 100
+    wins = sum((g.score > b.score) + 0.5 * (g.score == b.score) for g in good for b in bad)
+    assert wins / (len(good) * len(bad)) >= 0.97
+    assert sum(r.predicted for r in good) >= 0.96 * len(good) and sum(r.predicted for r in bad) <= 0.1 * len(bad)
