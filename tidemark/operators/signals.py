@@ -71,9 +71,6 @@ def _topics_of(events: DataFrame, specs: Sequence[Topic]) -> DataFrame:
     return events.withColumn("_text", normal).withColumn("topics", F.array_distinct(F.concat(found, hits))).drop("_text")
 
 
-FACTS = "topic string, signal_type string, kind string, value string, n long, before long, first timestamp, event_ids array<string>"
-
-
 def facts(events: DataFrame, specs: Sequence[Topic], window: T.Window) -> DataFrame:
     """All that windows are made of, from one scan of the events and one shuffle of sums: for each topic and type how many events lie in the
     window and the baseline and which (kind count), the sources and regions of those in the window, and since when each source is observed (live)."""
@@ -97,9 +94,7 @@ def facts(events: DataFrame, specs: Sequence[Topic], window: T.Window) -> DataFr
         F.transform(F.array_sort(F.collect_list(F.when(counted & F.col("_in"), F.struct("event_at", "event_id")))), lambda e: e["event_id"]).alias("event_ids"),
     )
     # read several times below, and as small as there are topics, types and sources
-    path = shared.folder(events.sparkSession, "signal-facts")
-    found.write.parquet(path)
-    return events.sparkSession.read.schema(FACTS).parquet(path)
+    return shared.kept(found, "signal-facts")
 
 
 def coverage_starts(events: DataFrame, spans: DataFrame | None = None) -> DataFrame:

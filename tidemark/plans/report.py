@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tidemark import fixed
 from tidemark.functions import time as T
 from tidemark.operators import backtest, evidence, graphs
+from tidemark.sources import shared
 
 NONE = "本日該当なし"
 
@@ -65,7 +66,9 @@ def build(events: DataFrame, windows: DataFrame, as_of: str, day: str, sources:
     for name, time in (("profiles", "as_of"), ("nodes", "as_of"), ("links", "as_of")):
         if name in extra and time in extra[name].columns:
             extra[name] = extra[name].filter(F.col(time) <= T.at(as_of))
-    rows = today(events.filter(T.visible(F.col("observed_at"), as_of) & F.coalesce("is_cluster_primary", F.lit(True))), day)
+    # a day's events and a row a topic: read once, then told from
+    rows = shared.kept(today(events.filter(T.visible(F.col("observed_at"), as_of) & F.coalesce("is_cluster_primary", F.lit(True))), day), "report-day")
+    windows = shared.kept(windows, "report-windows")
     by_category = {r.value: r.n for r in counts(rows, "category").collect()}
     by_type = [(r.value, r.n) for r in counts(rows, "signal_types").collect()]
     lines: dict[str, list[str]] = {}

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def folder(spark: SparkSession, tag: str) -> str:
@@ -17,3 +17,10 @@ def folder(spark: SparkSession, tag: str) -> str:
         found = tempfile.mkdtemp(prefix="tidemark-shared-")
         spark.conf.set("spark.checkpoint.dir", found)
     return f"{found.rstrip('/')}/{tag}-{uuid.uuid4().hex}"
+
+
+def kept(df: DataFrame, tag: str) -> DataFrame:
+    """df as a table in a new shared folder: computed once, however often it is read."""
+    path = folder(df.sparkSession, tag)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
