@@ -128,14 +128,17 @@ def do_daily(spark: SparkSession, a: argparse.Namespace, fetch: collect.Fetch =
 
 
 def do_normalize(spark: SparkSession, a: argparse.Namespace) -> None:
-    raw = spark.read.parquet(f"{a.data}/raw")
-    done = None if a.rebuild or not Path(a.data, "events").exists() else spark.read.parquet(f"{a.data}/events")
-    # a day is clustered as a whole, so days with new rows are redone
+    raw = tables._existing(spark, f"{a.data}/raw")
+    if raw is None:
+        print("nothing has landed")
+        return
+    done = None if a.rebuild else tables._existing(spark, f"{a.data}/events")
+    # a day is clustered as a whole, so days with new rows are redone; which they are is settled before the table they come from is written
     fresh = normalize.pending(raw, done, a.limit)
-    days = fresh.select(F.to_date(F.coalesce("published_at", "observed_at")).alias("_d")).distinct()
-    rows = raw.withColumn("_d", F.to_date(F.coalesce("published_at", "observed_at"))).join(days, "_d", "left_semi").drop("_d")
+    days = shared.kept(fresh.select(F.to_date(F.coalesce("published_at", "observed_at")).alias("_d")).distinct(), "days")
+    rows = raw.withColumn("_d", F.to_date(F.coalesce("published_at", "observed_at"))).join(tables.small(days), "_d", "left_semi").drop("_d")
     made = normalize.events(rows, _registry(spark, a.data)).withColumn("event_day", F.to_date("event_at"))
-    made.write.mode("overwrite").partitionBy("event_day").parquet(f"{a.data}/events")
+    made.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("event_day").parquet(f"{a.data}/events")
 
 
 def do_detect(spark: SparkSession, a: argparse.Namespace) -> None:
