@@ -118,7 +118,7 @@ def do_backfill(spark: SparkSession, a: argparse.Namespace, fetch: collect.Fetch
 
 def do_daily(spark: SparkSession, a: argparse.Namespace, fetch: collect.Fetch = collect.http_fetch) -> None:
     """Collects, normalizes, detects, reports and validates, in this order. What is known is settled once collecting is over, so as_of is taken then."""
-    defaults = {"limit": None, "rebuild": False, "topic": None, "keywords": None, "window_days": 7, "baseline_multiplier": 4, "dry_run": False, "date": None, "stdout": False, "source": None, "tier": None, "all": False, "force": False}
+    defaults = {"limit": None, "rebuild": False, "topic": None, "keywords": None, "window_days": 7, "baseline_multiplier": 4, "dry_run": False, "date": None, "stdout": False, "source": None, "tier": None, "all": False, "force": False, "schemas": True}
     a = argparse.Namespace(**defaults | vars(a))
     if not a.skip_collect:
         do_collect(spark, a, fetch)
@@ -283,22 +283,26 @@ FILED = (("report", "reports", "rpt_*.json", "report_id"), ("sector", "analyses"
 
 
 def _violations(spark: SparkSession, a: argparse.Namespace) -> list[DataFrame]:
-    found = []
+    """The rules' violations; with a.schemas those of the schemas too."""
+    found, whole = [], getattr(a, "schemas", False)
     for kind, folder, key, rule in VALIDATED:
         path = Path(a.data, folder)
         parts = sorted(str(p) for p in path.iterdir() if p.is_dir()) if kind == "signal" and path.is_dir() else [str(path)] if any(path.glob("*")) else []
         for part in parts:
             rows = tables.latest(spark, part)
-            found.append(schemas.check_rows(rows, key, kind))
+            if whole:
+                found.append(schemas.check_rows(rows, key, kind))
+            elif kind in ("prediction", "result"):
+                found.append(schemas.ill_formed(rows, key))
             if rule:
                 found.append(rule(rows, a.as_of) if kind == "event" else rule(rows))
-    for kind, folder, files, key in FILED:
+    for kind, folder, files, key in FILED if whole else ():
         if any(Path(a.data, folder).glob(files)):
             texts = spark.read.text(str(Path(a.data, folder, files)), wholetext=True)
             found.append(schemas.check(texts.select(F.coalesce(F.get_json_object("value", f"$.{key}"), F.lit(kind)).alias("key"), "value"), "key", "value", kind))
     registry = Path(a.data, "sources.json")
     listed = json.loads(registry.read_text(encoding="utf-8")) if registry.is_file() else []
-    if listed:
+    if listed and whole:
         texts = spark.createDataFrame([(str(r.get("source_id")), json.dumps(r, ensure_ascii=False)) for r in listed], "key string, value string")
         found.append(schemas.check(texts, "key", "value", "source"))
     return found
@@ -325,7 +329,7 @@ def parse(argv: list[str] | None = None) -> argparse.Namespace:
         ("detect", do_detect, {"--window-days": {**number, "default": 7}, "--baseline-multiplier": {**number, "default": 4}, "--topic": {}, "--keywords": {"nargs": "*"}, "--dry-run": yes}),
         ("sector", do_sector, {"--sector": {}, "--list": yes, "--show-prompt": yes, "--answer": {}, "--window-days": {**number, "default": fixed.EVIDENCE_DAYS}, "--max-events": {**number, "default": fixed.EVIDENCE_LIMIT}}),
         ("report", do_report, {"--date": {}, "--stdout": yes}), ("review", do_review, {"--save": yes}), ("chain", do_chain, {"--sector": {"required": True}, "--kind": {"choices": ["wave", "supply_chain"], "default": "wave"}, "--answer": {}}),
-        ("backtest", do_backtest, {"--due": yes, "--summary": yes, "--record": {}, "--actual": {"type": float}, "--cause": {}, "--narrative": {}}), ("validate", do_validate, {}),
+        ("backtest", do_backtest, {"--due": yes, "--summary": yes, "--record": {}, "--actual": {"type": float}, "--cause": {}, "--narrative": {}}), ("validate", do_validate, {"--rules-only": {"action": "store_false", "dest": "schemas"}}),
     ):
         p = sub.add_parser(name)
         p.add_argument("--data", required=True)
