@@ -142,14 +142,18 @@ def do_normalize(spark: SparkSession, a: argparse.Namespace) -> None:
 
 
 def do_detect(spark: SparkSession, a: argparse.Namespace) -> None:
+    if a.topic and not a.keywords:
+        raise SystemExit("a topic needs --keywords")
     events = tables.known(spark.read.parquet(f"{a.data}/events"), a.as_of, primary_only=True)
-    topics = [signals.Topic(a.topic, tuple(k.lower() for k in (a.keywords or [])), None, True)] if a.topic else signals.watched()
+    topics = [signals.Topic(a.topic, tuple(k.lower() for k in a.keywords), None, True)] if a.topic else signals.watched()
     window = T.Window.ending(T.instant(a.as_of).date(), a.window_days, a.baseline_multiplier)
-    found = signals.windows(events, topics, window, a.as_of)
-    if a.dry_run:
-        found.orderBy("label").show(50, truncate=60)
-    else:
-        found.write.mode("overwrite").parquet(f"{a.data}/windows/{window.end}")
+    found = shared.kept(signals.windows(events, topics, window, a.as_of), "windows")
+    if not a.dry_run:
+        found.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(f"{a.data}/windows/{window.end}")
+    print(f"window {window.start}..{window.end}, baseline {window.baseline_start}..{window.baseline_end}")
+    for r in signals.overview(found, getattr(a, "show_all", False)).orderBy("label").collect():  # a row a topic
+        print(f"{r.mark or ' '} {r.label}: types {r.distinct_signal_types}, sources {r.distinct_sources}, regions {r.distinct_regions}, score {r.score}: {r.detail or 'nothing'}")
+    print(found.filter("threshold_met").count(), "of", len(topics), "topics met the threshold")
 
 
 def do_report(spark: SparkSession, a: argparse.Namespace) -> None:
@@ -326,7 +330,7 @@ def parse(argv: list[str] | None = None) -> argparse.Namespace:
     for name, f, flags in (
         ("init", do_init, {"--check": yes}), ("collect", do_collect, {"--source": many, "--tier": many, "--dry-run": yes, "--all": yes, "--force": yes}), ("daily", do_daily, {"--skip-collect": yes, "--window-days": {**number, "default": 7}}),
         ("backfill", do_backfill, {"--days": {**number, "default": 35}, "--source": many, "--dry-run": yes, "--delay": {"type": float}}), ("normalize", do_normalize, {"--limit": number, "--rebuild": yes}),
-        ("detect", do_detect, {"--window-days": {**number, "default": 7}, "--baseline-multiplier": {**number, "default": 4}, "--topic": {}, "--keywords": {"nargs": "*"}, "--dry-run": yes}),
+        ("detect", do_detect, {"--window-days": {**number, "default": 7}, "--baseline-multiplier": {**number, "default": 4}, "--topic": {}, "--keywords": {"nargs": "*"}, "--dry-run": yes, "--show-all": yes}),
         ("sector", do_sector, {"--sector": {}, "--list": yes, "--show-prompt": yes, "--answer": {}, "--window-days": {**number, "default": fixed.EVIDENCE_DAYS}, "--max-events": {**number, "default": fixed.EVIDENCE_LIMIT}}),
         ("report", do_report, {"--date": {}, "--stdout": yes}), ("review", do_review, {"--save": yes}), ("chain", do_chain, {"--sector": {"required": True}, "--kind": {"choices": ["wave", "supply_chain"], "default": "wave"}, "--answer": {}}),
         ("backtest", do_backtest, {"--due": yes, "--summary": yes, "--record": {}, "--actual": {"type": float}, "--cause": {}, "--narrative": {}}), ("validate", do_validate, {"--rules-only": {"action": "store_false", "dest": "schemas"}}),

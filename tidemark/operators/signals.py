@@ -177,3 +177,15 @@ def windows(events: DataFrame, specs: Sequence[Topic], window: T.Window, as_of:
         "threshold_met": fires, "promoted": F.lit(False), "rationale": rationale, "as_of": F.lit(T.instant(as_of)), "window_start": F.lit(window.start), "window_end": F.lit(window.end),
         "baseline_start": F.lit(window.baseline_start), "baseline_end": F.lit(window.baseline_end),
     })
+
+
+def overview(rows: DataFrame, everything: bool = False, most: int = 4) -> DataFrame:
+    """label, mark, distinct_signal_types, distinct_sources, distinct_regions, score, detail of windows that fire (*) or are held for lack of coverage though something rises (!); with everything also the others.
+
+    detail: the most frequent types with their counts, and the scaled baseline behind each.
+    """
+    number = lambda c: F.regexp_replace(c.cast("string"), r"\.0$", "")
+    first = F.slice(F.array_sort(F.transform("counts", lambda c: F.struct((-c["count"]).alias("n"), c["signal_type"].alias("t"), F.concat(c["signal_type"], F.lit("="), c["count"].cast("string"), F.lit(" ("), number(c["baseline_count"]), F.lit(")")).alias("shown")))), 1, most)
+    mark = F.when(F.col("threshold_met"), "*").when(~F.col("baseline_covered") & (F.col("distinct_signal_types") >= 1), "!").otherwise("")
+    out = rows.select("label", mark.alias("mark"), "distinct_signal_types", "distinct_sources", "distinct_regions", "score", F.array_join(F.transform(first, lambda x: x["shown"]), ", ").alias("detail"))
+    return out if everything else out.filter("mark <> ''")

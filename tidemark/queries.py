@@ -121,6 +121,17 @@ def signal_default_window(spark, sf_dir):
     return signals.windows(views.primary_events(spark, sf_dir), views.TOPICS, w, views.AS_OF).select(*WINDOW_COLUMNS)
 
 
+@query(f"""with w as ({_windows_sql("2024-01-26", "2024-01-06", "2024-01-25")}), {EV.removeprefix("with ").rstrip()},
+c as (select sector, event_type, count(*) filter (where event_at::date >= date '2024-01-26') as n, round_even(count(*) filter (where event_at::date < date '2024-01-26') * 0.25::double, 3) as base
+  from pri where event_at::date between date '2024-01-06' and date '2024-01-30' group by all),
+r as (select *, row_number() over (partition by sector order by n desc, event_type) as nth from c),
+d as (select sector, string_agg(event_type || '=' || n || ' (' || regexp_replace(base::varchar, '\\.0$', '') || ')', ', ' order by nth) as detail from r where nth <= 4 group by sector)
+select 'sector ' || substr(sector, 6) as label, case when threshold_met then '*' when not baseline_covered and distinct_signal_types >= 1 then '!' else '' end as mark, distinct_signal_types, distinct_sources, distinct_regions, score, detail
+from w join d on 'sig_' || substr(sector, 5) || '_20240130' = window_id""")
+def signal_overview(spark, sf_dir):
+    return signals.overview(signals.windows(views.primary_events(spark, sf_dir), views.TOPICS, views.WINDOW, views.AS_OF), everything=True)
+
+
 @query(f"select count(*) as windows, count(*) filter (where threshold_met) as fired, count(*) filter (where not baseline_covered) as held, count(*) filter (where not baseline_covered and distinct_signal_types >= 1) as held_rising from ({_windows_sql('2024-01-26', '2024-01-06', '2024-01-25')})")
 def window_totals(spark, sf_dir):
     return report.window_totals(signal_cooccurrence(spark, sf_dir))
