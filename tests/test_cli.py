@@ -3,7 +3,7 @@
 import json
 
 import pytest
-from tidemark import cli, schemas
+from tidemark import cli, config, schemas
 from tidemark.sources import collect, tables
 
 RSS = "<rss>{}</rss>"
@@ -74,3 +74,26 @@ def test_backtest_commands(spark, tmp_path, capsys):
     assert "1 predictions are due" in out and "issued 2, resolved 1 (hit 1, miss 0, partial 0), unresolvable 0, pending 1" in out and "hit rate 1.0" in out
     assert schemas.check_rows(tables.latest(spark, f"{data}/results"), "result_id", "result").count() == 0 and schemas.check_rows(tables.latest(spark, f"{data}/predictions"), "prediction_id", "prediction").count() == 0
     assert collect.KINDS
+
+
+def test_rules_of_a_folder(tmp_path):
+    assert config.load(str(tmp_path)) == config.Rules()
+    (tmp_path / "rules.json").write_text(json.dumps({"signal_types": {"boats": ["Ship Yard", "Hull"]}, "sectors": [{"sector_id": "sec_sea", "name": "Sea", "keywords": ["Hull"]}]}))
+    made = config.load(str(tmp_path))
+    assert made == config.Rules({"boats": ("ship yard", "hull")}, (("sec_sea", "Sea", ("hull",)),))
+    for bad in ({"x": 1}, {"sectors": [{"sector_id": "sea", "name": "s"}]}, {"sectors": [{"sector_id": "sec_a", "name": "s"}] * 2}):
+        with pytest.raises(ValueError, match="rules|sectors"):
+            config.parse(json.dumps(bad))
+
+
+def test_normalizing_and_detecting_by_the_rules_of_a_folder(spark, tmp_path, capsys):
+    data = str(tmp_path / "d")
+    run(spark, "init", "--data", data)
+    (tmp_path / "d" / "sources.json").write_text(json.dumps(SOURCES[:1]))
+    (tmp_path / "d" / "rules.json").write_text(json.dumps({"signal_types": {"wires": ["power lines"]}, "sectors": [{"sector_id": "sec_wires", "name": "Wires", "keywords": ["transformers"]}]}))
+    run(spark, "collect", "--data", data, fetch=answer)
+    run(spark, "normalize", "--data", data)
+    events = spark.read.parquet(f"{data}/events").collect()
+    assert {tuple(r.signal_types) for r in events} == {("subsidy", "wires")} and {s.sector_id for r in events for s in r.sector_links} == {"sec_wires"}
+    run(spark, "detect", "--data", data, "--as-of", "2026-01-02T00:00:00Z", "--show-all")
+    assert "Wires: types" in capsys.readouterr().out

@@ -11,7 +11,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark import fixed, schemas, session
+from tidemark import config, fixed, schemas, session
 from tidemark.functions import time as T
 from tidemark.operators import backtest, evidence, rules, signals
 from tidemark.plans import analysis, normalize, report, review
@@ -137,7 +137,7 @@ def do_normalize(spark: SparkSession, a: argparse.Namespace) -> None:
     fresh = normalize.pending(raw, done, a.limit)
     days = shared.kept(fresh.select(F.to_date(F.coalesce("published_at", "observed_at")).alias("_d")).distinct(), "days")
     rows = raw.withColumn("_d", F.to_date(F.coalesce("published_at", "observed_at"))).join(tables.small(days), "_d", "left_semi").drop("_d")
-    made = normalize.events(rows, _registry(spark, a.data)).withColumn("event_day", F.to_date("event_at"))
+    made = normalize.events(rows, _registry(spark, a.data), config.load(a.data)).withColumn("event_day", F.to_date("event_at"))
     made.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("event_day").parquet(f"{a.data}/events")
 
 
@@ -145,7 +145,7 @@ def do_detect(spark: SparkSession, a: argparse.Namespace) -> None:
     if a.topic and not a.keywords:
         raise SystemExit("a topic needs --keywords")
     events = tables.known(spark.read.parquet(f"{a.data}/events"), a.as_of, primary_only=True)
-    topics = [signals.Topic(a.topic, tuple(k.lower() for k in a.keywords), None, True)] if a.topic else signals.watched()
+    topics = [signals.Topic(a.topic, tuple(k.lower() for k in a.keywords), None, True)] if a.topic else signals.watched(config.load(a.data).sectors)
     window = T.Window.ending(T.instant(a.as_of).date(), a.window_days, a.baseline_multiplier)
     found = shared.kept(signals.windows(events, topics, window, a.as_of), "windows")
     if not a.dry_run:
@@ -163,7 +163,7 @@ def do_report(spark: SparkSession, a: argparse.Namespace) -> None:
     if tables.published(spark, f"{a.data}/predictions"):
         none = spark.createDataFrame([], schemas.RESULT)
         extra |= {"predictions": tables.latest(spark, f"{a.data}/predictions"), "results": tables.latest(spark, f"{a.data}/results") if tables.published(spark, f"{a.data}/results") else none}
-    made = report.build(spark.read.parquet(f"{a.data}/events"), spark.read.parquet(f"{a.data}/windows/{day}"), a.as_of, day, extra=extra)
+    made = report.build(spark.read.parquet(f"{a.data}/events"), spark.read.parquet(f"{a.data}/windows/{day}"), a.as_of, day, extra=extra, watched=config.load(a.data).sectors)
     if a.stdout:
         print(report.markdown(made))
     else:
@@ -216,7 +216,7 @@ def do_sector(spark: SparkSession, a: argparse.Namespace) -> None:
     """How much evidence each sector has; for one sector its best evidence, the prompts, or the review of an answer, which is saved if nothing is wrong with it."""
     as_of = a.as_of or _now()
     events = spark.read.parquet(f"{a.data}/events")
-    watched = [t for t in signals.watched() if t.sector_id]
+    watched = [t for t in signals.watched(config.load(a.data).sectors) if t.sector_id]
     if a.list or not a.sector:
         counts = {t.sector_id: evidence.reliability_counts(evidence.bundle(events, t, as_of, a.window_days, a.max_events).filter("kind = 'report'")).withColumn("sector_id", F.lit(t.sector_id)) for t in watched}
         for r in reduce(DataFrame.unionByName, counts.values()).orderBy("sector_id").collect():
@@ -254,7 +254,7 @@ def do_chain(spark: SparkSession, a: argparse.Namespace) -> None:
     if not path.is_file():
         raise SystemExit(f"{a.sector} has no profile yet")
     profile = json.loads(path.read_text(encoding="utf-8"))
-    topic = next((t for t in signals.watched() if t.sector_id == a.sector), signals.Topic(profile["name"], (), a.sector))
+    topic = next((t for t in signals.watched(config.load(a.data).sectors) if t.sector_id == a.sector), signals.Topic(profile["name"], (), a.sector))
     bundle = evidence.bundle(spark.read.parquet(f"{a.data}/events"), topic, a.as_of).persist()
     if not a.answer:
         print(analysis.chain_prompt(bundle, profile, a.as_of, a.kind))

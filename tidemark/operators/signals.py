@@ -29,8 +29,8 @@ class Topic:
     is_new_concept: bool = False
 
 
-def watched() -> list[Topic]:
-    return [Topic(name, words, sector) for sector, name, words in fixed.SECTORS]
+def watched(sectors: Iterable[tuple[str, str, tuple[str, ...]]] = fixed.SECTORS) -> list[Topic]:
+    return [Topic(name, words, sector) for sector, name, words in sectors]
 
 
 def topic_name(t: Topic) -> str:

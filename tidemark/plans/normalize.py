@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark import config
 from tidemark.functions import ids
 from tidemark.functions import text as X
 from tidemark.operators import classify, dedup
@@ -17,16 +18,17 @@ def pending(raw: DataFrame, done: DataFrame | None, limit: int | None = None) ->
     return rows.orderBy("observed_at", "raw_id").limit(limit) if limit is not None else rows
 
 
-def events(raw: DataFrame, registry: DataFrame) -> DataFrame:
-    """Events of raw documents (see sources.feeds.RAW) of known sources."""
+def events(raw: DataFrame, registry: DataFrame, by: config.Rules | None = None) -> DataFrame:
+    """Events of raw documents (see sources.feeds.RAW) of known sources, classified by the given rules or the library's own."""
+    by = by or config.Rules()
     rows = tables.with_sources(raw, tables.small(registry)).filter("status = 'normalized'")
     publisher = F.coalesce("src.publisher", "src.name")
     rows = rows.withColumn("event_at", F.coalesce("published_at", "observed_at"))
     keyed = dedup.keyed(rows, publisher)
     clusters = dedup.assign_clusters(keyed)
     normal = X.normalize_text(F.concat_ws("\n", F.coalesce("title", F.lit("")), F.coalesce("body", F.lit(""))))
-    types = classify.signal_types(F.col("_text"), F.col("src.default_signal_types"), F.col("src.kind") == "json_series")
-    named = keyed.drop("tokens").withColumn("_text", normal).withColumns({"signal_types": types, "sector_links": classify.sector_links(classify.sector_ids(F.col("_text"), F.col("sector_ids")))})
+    types = classify.signal_types(F.col("_text"), F.col("src.default_signal_types"), F.col("src.kind") == "json_series", by.signal_types)
+    named = keyed.drop("tokens").withColumn("_text", normal).withColumns({"signal_types": types, "sector_links": classify.sector_links(classify.sector_ids(F.col("_text"), F.col("sector_ids"), by.sectors))})
     event_id = ids.event_id(F.col("observed_at"), F.col("content_hash"))
     actor = F.struct(publisher.alias("name"), classify.actor_kind(F.col("src.tier"), F.col("src.reliability"), F.col("src.publisher"), F.col("src.name")).alias("kind"), F.col("src.country").alias("country"), F.lit("initiator").alias("role"))
     source = F.struct("source_id", "raw_id", F.col("canonical_url").alias("url"), F.col("src.reliability").alias("reliability"), "observed_at")

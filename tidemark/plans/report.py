@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -56,10 +56,10 @@ def _bullets(lines: list[str], most: int = fixed.REPORT_ITEMS) -> str:
     return "".join(f"\n- {x}" for x in lines[:most])
 
 
-def build(events: DataFrame, windows: DataFrame, as_of: str, day: str, sources: int = 0, extra: Mapping[str, DataFrame] | None = None) -> dict:
+def build(events: DataFrame, windows: DataFrame, as_of: str, day: str, sources: int = 0, extra: Mapping[str, DataFrame] | None = None, watched: Sequence[tuple[str, str, tuple[str, ...]]] = fixed.SECTORS) -> dict:
     """The report as a document. What comes to the driver is aggregates and at most eight rows a section.
 
-    extra: nodes, edges, links, profiles, predictions and results, each optional.
+    extra: nodes, edges, links, profiles, predictions and results, each optional. watched: the sectors that are monitored.
     """
     extra = dict(extra or {})
     spark = events.sparkSession
@@ -92,8 +92,8 @@ def build(events: DataFrame, windows: DataFrame, as_of: str, day: str, sources:
         bodies[7] = f"同時増加のしきい値を満たした topic が {totals.fired} 件。" + _bullets([f"{r.label}: 増加した種別 {r.distinct_signal_types} / ソース {r.distinct_sources}" for r in fired])
     else:
         bodies[7] = f"しきい値を満たした topic はなし。うち {totals.held} 件は判定を保留している。"
-    sectors = spark.createDataFrame([(i, s, n) for i, (s, n, _) in enumerate(fixed.SECTORS)], "position int, sector_id string, name string")
-    bodies[8] = f"常時監視 {len(fixed.SECTORS)} セクターの本日の観測件数。" + _bullets([f"{r.name} ({r.sector_id}): 本日 {r.n} 件" for r in sector_counts(rows, sectors).collect()])
+    sectors = spark.createDataFrame([(i, s, n) for i, (s, n, _) in enumerate(watched)], "position int, sector_id string, name string")
+    bodies[8] = f"常時監視 {len(watched)} セクターの本日の観測件数。" + _bullets([f"{r.name} ({r.sector_id}): 本日 {r.n} 件" for r in sector_counts(rows, sectors).collect()])
     new = windows.filter("threshold_met and is_new_concept")
     n = new.count()
     bodies[9] = f"{n} 件の新概念候補を検出。" + _bullets([r.label for r in new.orderBy("window_id").limit(fixed.REPORT_ITEMS).collect()]) if n else f"{NONE}（既知セクターに属さない同時増加は検出されていない）"
