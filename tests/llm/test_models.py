@@ -2,7 +2,9 @@ import math
 import random
 import zlib
 from collections import Counter
+from pathlib import Path
 
+import numpy as np
 import pytest
 from tidemark.llm import bloom_lm, html_extract, quality, toxicity
 
@@ -279,3 +281,32 @@ def test_quality_on_held_out_rows(spark):
     wins = sum((g.score > b.score) + 0.5 * (g.score == b.score) for g in good for b in bad)
     assert wins / (len(good) * len(bad)) >= 0.97
     assert sum(r.predicted for r in good) >= 0.96 * len(good) and sum(r.predicted for r in bad) <= 0.1 * len(bad)
+
+
+def test_probes_of_a_large_filter_stay_small_on_disk(spark, tmp_path, monkeypatch):
+    """Beyond max_broadcast keys go to the filter once, as differences, and bare levels come back; what was exchanged for the counts is gone by then."""
+    keys = np.unique(bloom_lm.mix(np.arange(1, 20001, dtype=np.uint64)) & bloom_lm.KEPT)
+    to, cuts = bloom_lm._by_shard(keys, 7)
+    first = bloom_lm._first_of(to, 7)
+    packed = bloom_lm.pack(keys, first, bloom_lm.PAIR, cuts)
+    assert np.array_equal(np.concatenate([bloom_lm.unpack(p, int(f), bloom_lm.PAIR) for p, f in zip(packed, first, strict=True)]), keys)
+    assert sum(map(len, packed)) < 6 * len(keys) and (bloom_lm.shard_of(first, 7) == to).all()
+    words = np.unique(bloom_lm.mix(np.arange(1, 1001, dtype=np.uint64)))
+    assert np.array_equal(bloom_lm.unpack(bloom_lm.pack(words, np.zeros(1, np.uint64), bloom_lm.WORD, [(0, 1000)])[0], 0, bloom_lm.WORD), words)
+
+    rng = random.Random(3)
+    docs = spark.createDataFrame([(i, " ".join(f"w{int(rng.random() ** 3 * 5000)}" for _ in range(400))) for i in range(400)], "doc_id long, text string")
+    written, remove = {}, []
+    real = bloom_lm.C.materialise
+
+    def materialise(df, tag, **options):
+        out = real(df, tag, **options)
+        written[tag] = written.get(tag, 0) + sum(p.stat().st_size for p in Path(out._tidemark_path).rglob("*.parquet"))
+        remove.append(options.get("keep_exchanged"))
+        return out
+
+    monkeypatch.setattr(bloom_lm.C, "materialise", materialise)
+    got = bloom_lm.score(docs, max_broadcast=0).count()
+    # what is written before the filter is asked takes less than the tokens' hashes alone
+    assert got == 400 and sum(n for tag, n in written.items() if tag not in ("ngram-counts", "lm-scores")) < 400 * 400 * 8
+    assert remove.count(False) >= 2

@@ -5,8 +5,10 @@ whole, in shards of the hash space. A count c is kept as its level 1 + floor(log
 holds (n-gram, 1) up to (n-gram, level), and a level is read back by probing for 1, 2, ...
 until one is missing (Talbot and Osborne). Each shard of counts becomes a segment of the filter,
 sized by what it holds. A filter of at most max_broadcast bytes goes to the workers by broadcast. Of a larger
-one the segments stay where they are: the distinct probes of each portion of text are sent to their shards and the levels come
-back, each once, whatever the filter's size. Both ways read the same levels.
+one the segments stay where they are: texts become numbers of their portion's distinct words once, the distinct probes of each portion
+are sent to their shards and bare levels come back, each once, whatever the filter's size. Both ways read the same levels. Keys of pairs
+and triples have 48 bits, and sorted keys travel as differences in as few bytes as they need: two keys meet in one about once in
+a million, which is little beside the filter's own false positives. Words keep 64 bits, as their counts are exact.
 
 Every count that the model uses is read from the filter. A level stands for the smallest count that it may mean where it is a
 numerator, and for the largest where it is a history's, so that the probabilities after a history never sum above 1
@@ -31,6 +33,7 @@ import gc
 import math
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -46,11 +49,15 @@ REACHED, SET = 2, 3
 REMEMBERED = 100_000
 #: Tokens that a task counts before it sends counts on.
 COUNTED = 2_000_000
-#: Bytes of counts that it sends at once.
-SENT = 4_000_000
-#: Characters of text that are scored at once.
-SCORED = 500_000
-WORD, PAIR, TRIPLE, HEAD = 0, 1, 2, 3
+#: Shards whose counts it sends at once.
+SENT_ROWS = 100
+#: Characters of text that are scored at once, and that ask the filter's shards together.
+SCORED, ASKED = 500_000, 3_000_000
+#: In how many rounds portions ask; only one round's questions and answers are on disk at a time.
+ROUNDS = 4
+#: What keys of pairs and triples have of 64 bits.
+KEPT = np.uint64(0xFFFFFFFFFFFF0000)
+WORD, PAIR, TRIPLE = 0, 1, 2
 END, START = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD1B54A32D192ED03)
 
 
@@ -107,7 +114,46 @@ def before_each(tokens: np.ndarray, ends: np.ndarray) -> np.ndarray:
 
 
 def pair_keys(first: np.ndarray, second: np.ndarray) -> np.ndarray:
-    return mix(first * np.uint64(0x9E3779B97F4A7C15) + second)
+    return mix(first * np.uint64(0x9E3779B97F4A7C15) + second) & KEPT
+
+
+def _shift(kind: int) -> np.uint64:
+    return np.uint64(0 if kind == WORD else 16)
+
+
+def _first_of(shard: np.ndarray, shards: int) -> np.ndarray:
+    """The smallest key of each shard."""
+    return ((shard.astype(np.uint64) << np.uint64(32)) + np.uint64(shards - 1)) // np.uint64(shards) << np.uint64(32)
+
+
+def narrow(values: np.ndarray) -> tuple[int, np.ndarray]:
+    """The bytes that each of the unsigned values needs, and those bytes as rows."""
+    wide = max(1, -(-int(values.max()).bit_length() // 8)) if len(values) else 1
+    return wide, values.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :wide]
+
+
+def widen(data: bytes, wide: int) -> np.ndarray:
+    """The values of bytes that were written column by column."""
+    columns = np.frombuffer(data, dtype=np.uint8).reshape(wide, -1)
+    out = np.zeros((columns.shape[1], 8), dtype=np.uint8)
+    out[:, :wide] = columns.T
+    return out.reshape(-1).view("<u8")
+
+
+def pack(keys: np.ndarray, first: np.ndarray, kind: int, cuts: list[tuple[int, int]]) -> list[bytes]:
+    """Sorted keys between cuts, none of them empty, as differences from one to the next; those at cuts from first. A byte of width leads."""
+    gaps = np.empty_like(keys)
+    gaps[1:] = keys[1:] - keys[:-1]
+    at = np.array([a for a, _ in cuts], dtype=np.int64)
+    gaps[at] = keys[at] - first
+    wide, rows = narrow(gaps >> _shift(kind))
+    return [bytes((wide,)) + rows[a:b].T.tobytes() for a, b in cuts]
+
+
+def unpack(data: bytes, first: int, kind: int) -> np.ndarray:
+    if not data:
+        return np.zeros(0, np.uint64)
+    return (np.cumsum(widen(data[1:], data[0]), dtype=np.uint64) << _shift(kind)) + np.uint64(first)
 
 
 def level_of(counts: np.ndarray) -> np.ndarray:
@@ -230,28 +276,28 @@ def _count(shards: int):
     """Counts of words, pairs and triples, one row for each kind and shard that a task's tokens reach."""
 
     def rows(held: list[list[np.ndarray]]) -> Iterator[pa.RecordBatch]:
-        """One kind after the other, SENT bytes at a time; what is held of a kind goes when it is counted."""
+        """One kind after the other, SENT_ROWS shards at a time; what is held of a kind goes when it is counted."""
         for kind in (WORD, PAIR, TRIPLE):
             k, c = _tally(held[kind])
-            cuts = np.searchsorted(shard_of(k, shards), np.arange(shards + 1))
-            at, keys, counts, size = [], [], [], 0
-            reached = np.flatnonzero(np.diff(cuts)).tolist()
-            for s in reached:
-                at.append(s)
-                # those of count 1 first, without their counts
-                part, n = k[cuts[s] : cuts[s + 1]], c[cuts[s] : cuts[s + 1]]
-                more = n > 1
-                keys.append(part[~more].tobytes() + part[more].tobytes())
-                counts.append(n[more].astype("<u4").tobytes())
-                size += len(keys[-1]) + len(counts[-1])
-                if size >= SENT or s == reached[-1]:
-                    yield pa.record_batch([pa.array([kind] * len(at), pa.int32()), pa.array(at, pa.int32()), pa.array(keys, pa.binary()), pa.array(counts, pa.binary())], names=["kind", "shard", "keys", "counts"])
-                    at, keys, counts, size = [], [], [], 0
+            # those of count 1 without their counts
+            for part, n in ((k[c == 1], None), (k[c > 1], c[c > 1])):
+                reached, cuts = _by_shard(part, shards)
+                for i in range(0, len(cuts), SENT_ROWS):
+                    some = cuts[i : i + SENT_ROWS]
+                    a, b = (some[0][0], some[-1][1])
+                    there = reached[i : i + SENT_ROWS]
+                    inside = [(x - a, y - a) for x, y in some]
+                    keys = pack(part[a:b], _first_of(there, shards), kind, inside)
+                    counts = [b""] * len(some)
+                    if n is not None:
+                        wide, rows = narrow(n[a:b])
+                        counts = [bytes((wide,)) + rows[x:y].T.tobytes() for x, y in inside]
+                    yield pa.record_batch([pa.array([kind] * len(some), pa.int32()), pa.array(there, pa.int32()), pa.array(keys, pa.binary()), pa.array(counts, pa.binary())], names=["kind", "shard", "keys", "counts"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, held, n = Hashes(), [[], [], []], 0
         for batch in batches:
-            for texts in _portions(batch.column(0)):
+            for texts in _portions(batch.column(0), SCORED):
                 tokens, ends = token_hashes(texts, known)
                 pairs = pair_keys(before_each(tokens, ends), tokens)
                 triples, there = triple_keys(pairs, tokens, np.concatenate([[0], ends[:-1]]))
@@ -269,35 +315,31 @@ def _count(shards: int):
     return run
 
 
-def _portions(column: pa.Array) -> Iterator[list[str | None]]:
-    """The texts of a column, about SCORED characters at a time."""
+def _portions(column: pa.Array, chars: int) -> Iterator[list[str | None]]:
+    """The texts of a column, about so many characters at a time."""
     texts, size = [], 0
     for t in column:
         texts.append(t.as_py())
         size += len(texts[-1] or "")
-        if size >= SCORED:
+        if size >= chars:
             yield texts
             texts, size = [], 0
     if texts:
         yield texts
 
 
-def _sum_shard(bits: int):
+def _sum_shard(bits: int, shards: int):
     def run(table: pa.Table) -> pa.Table:
         """The counts of one kind and shard, with its segment of the filter. Only words keep their counts."""
-        keys = np.concatenate([np.frombuffer(k, dtype="<u8") for k in table["keys"].to_pylist()])
-        counts = np.ones(len(keys), dtype=np.int64)
-        at = 0
-        for k, c in zip(table["keys"].to_pylist(), table["counts"].to_pylist(), strict=True):
-            at += len(k) // 8
-            if c:
-                counts[at - len(c) // 4 : at] = np.frombuffer(c, dtype="<u4")
+        kind, first = table["kind"][0].as_py(), int(_first_of(np.array([table["shard"][0].as_py()]), shards)[0])
+        parts = [unpack(k, first, kind) for k in table["keys"].to_pylist()]
+        counts = np.concatenate([widen(c[1:], c[0]) if c else np.ones(len(k), dtype=np.uint64) for k, c in zip(parts, table["counts"].to_pylist(), strict=True)]).astype(np.int64)
+        keys = np.concatenate(parts)
         order = np.argsort(keys)
         keys, counts = keys[order], counts[order]
         starts = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
         keys, counts = keys[starts], np.add.reduceat(counts, starts)
         levels = level_of(counts)
-        kind = table["kind"][0].as_py()
         per_level = np.bincount(levels, minlength=64)[:64].tolist()
         return pa.table({
             "kind": pa.array([kind], pa.int32()), "shard": table["shard"].slice(0, 1), "types": pa.array([len(keys)], pa.int64()), "tokens": pa.array([int(counts.sum())], pa.int64()),
@@ -338,7 +380,8 @@ def score(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", fo
     size, trained = rows.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0)), F.count_if(~F.col("held_out"))).first()
     shards = max(8, -(-size // bytes_per_shard))
     counted = rows.filter(~F.col("held_out")).select("text").mapInArrow(_count(shards), "kind int, shard int, keys binary, counts binary")
-    table = C.materialise(counted.groupBy("kind", "shard").applyInArrow(_sum_shard(bits), SHARD), "ngram-counts")
+    # the counts that were exchanged are the largest thing on disk, and nothing reads them again
+    table = C.materialise(counted.groupBy("kind", "shard").applyInArrow(_sum_shard(bits, shards), SHARD), "ngram-counts", keep_exchanged=False)
     words = table.filter(F.col("kind") == WORD)
     n, v, filter_bytes = table.agg(*[F.coalesce(F.sum(F.when(F.col("kind") == WORD, F.col(c))), F.lit(0)) for c in ("tokens", "types")], F.coalesce(F.sum(F.octet_length("segment")), F.lit(0))).first()
 
@@ -369,14 +412,18 @@ def score(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", fo
         # one kind after the other, so that the driver holds no segment twice but those of one kind
         held = sc.broadcast(tuple(Filter(shards, {r.shard: bytes(r.segment) for r in table.filter(F.col("kind") == kind).select("shard", "segment").toLocalIterator()}) for kind in (WORD, PAIR, TRIPLE)))
         used.append(held)
-        state = state.mapInArrow(_score_by_broadcast(held, frequent, model), final)
+        state = C.materialise(state.mapInArrow(_score_by_broadcast(held, frequent, model), final), "lm-scores")
     else:
-        sent = C.materialise(state.mapInArrow(_probes(shards), PROBE), "lm-probes")
-        asked, heads = sent.filter(F.col("kind") < HEAD), sent.filter(F.col("kind") == HEAD)
-        where = ["kind", "shard"]
-        answers = asked.select(*where, "pid", "keys").groupBy(*where).cogroup(table.select(*where, "segment").groupBy(*where)).applyInArrow(_answer, "pid long, kind int, keys binary, levels binary")
-        state = heads.drop("kind", "shard").groupBy("pid").cogroup(answers.groupBy("pid")).applyInArrow(_assemble(frequent, model), final)
-    state = C.materialise(state, "lm-scores")
+        # portions are rows of a megabyte or two: small row groups keep few of them in memory
+        sent = C.materialise(state.mapInArrow(_heads, HEADS), "lm-texts", compression="zstd", **{"parquet.block.size": 16 << 20, "parquet.block.size.row.check.min": 4})
+        states = []
+        for i in range(ROUNDS):
+            some = sent.filter(F.pmod(F.xxhash64("pid"), F.lit(ROUNDS)) == i)
+            asked = some.select("pid", "ends", "words", "tokens").mapInArrow(_probes(shards), "pid long, kind int, shard int, keys binary")
+            where = ["kind", "shard"]
+            answers = asked.groupBy(*where).cogroup(table.select(*where, "segment").groupBy(*where)).applyInArrow(_answer(shards), "pid long, kind int, shard int, levels binary")
+            states.append(C.materialise(some.groupBy("pid").cogroup(answers.groupBy("pid")).applyInArrow(_assemble(frequent, model), final), "lm-scores", keep_exchanged=False))
+        state = reduce(DataFrame.unionByName, states)
     # what follows reads tables alone
     for shared in used:
         shared.destroy()
@@ -418,7 +465,7 @@ class Model:
 
 
 NAMES = ["uid", "doc_id", "held_out", "n_tokens", "known", "base", "score", "shard", "keys", "uids"]
-PROBE = "pid long, kind int, shard int, keys binary, uids binary, ids binary, nulls binary, held binary, ends binary, tokens binary"
+HEADS = "pid long, uids binary, ids binary, nulls binary, held binary, ends binary, words binary, tokens binary"
 
 
 def _scored(uid: np.ndarray, doc_id: pa.Array, held_out: pa.Array, tokens: np.ndarray, ends: np.ndarray, levels: list[np.ndarray], frequent: tuple[np.ndarray, np.ndarray], model: Model) -> Iterator[pa.RecordBatch]:
@@ -440,27 +487,27 @@ def _scored(uid: np.ndarray, doc_id: pa.Array, held_out: pa.Array, tokens: np.nd
     rare = np.flatnonzero(~sure & (levels[WORD] > 0))
     if len(rare):
         keys, owner = tokens[rare], np.repeat(uid, n_tokens)[rare]
-        there, cuts, order = _by_shard(keys, model.shards)
-        keys, owner, k = keys[order], owner[order], len(there)
+        order = np.argsort(keys, kind="stable")
+        keys, owner = keys[order], owner[order]
+        there, cuts = _by_shard(keys, model.shards)
+        k = len(there)
         yield pa.record_batch(
             [*(pa.nulls(k, t) for t in (pa.int64(), pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.float64(), pa.float64())), pa.array(there, pa.int32()),
              pa.array([keys[a:b].tobytes() for a, b in cuts], pa.binary()), pa.array([owner[a:b].tobytes() for a, b in cuts], pa.binary())], names=NAMES,
         )
 
 
-def _by_shard(keys: np.ndarray, shards: int) -> tuple[np.ndarray, list[tuple[int, int]], np.ndarray]:
-    """The shards that keys reach, where each one's keys lie once ordered, and that order."""
+def _by_shard(keys: np.ndarray, shards: int) -> tuple[np.ndarray, list[tuple[int, int]]]:
+    """The shards that sorted keys reach, in order, and where each one's keys lie."""
     to = shard_of(keys, shards)
-    order = np.argsort(to, kind="stable")
-    there, first = np.unique(to[order], return_index=True)
-    return there, list(zip(first.tolist(), [*first[1:].tolist(), len(to)], strict=True)), order
+    first = np.flatnonzero(np.diff(to, prepend=-1))
+    return to[first], list(zip(first.tolist(), [*first[1:].tolist(), len(to)], strict=False))
 
 
-def _ngrams(texts: list[str | None], known: Hashes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Tokens, ends, pairs, triples, and whether a triple is there."""
-    tokens, ends = token_hashes(texts, known)
+def _ngrams(tokens: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Pairs, triples, and whether a triple is there."""
     pairs = pair_keys(before_each(tokens, ends), tokens)
-    return tokens, ends, pairs, *triple_keys(pairs, tokens, np.concatenate([[0], ends[:-1]]))
+    return pairs, *triple_keys(pairs, tokens, np.concatenate([[0], ends[:-1]]))
 
 
 def _score_by_broadcast(held, frequent, model: Model):
@@ -471,10 +518,11 @@ def _score_by_broadcast(held, frequent, model: Model):
         (words, pairs, triples), known = held.value, Hashes()
         for batch in batches:
             at = 0
-            for texts in _portions(batch.column(3)):
+            for texts in _portions(batch.column(3), SCORED):
                 part = batch.slice(at, len(texts))
                 at += len(texts)
-                tokens, ends, pair, triple, there = _ngrams(texts, known)
+                tokens, ends = token_hashes(texts, known)
+                pair, triple, there = _ngrams(tokens, ends)
                 distinct, back = np.unique(tokens, return_inverse=True)
                 pair_levels, triple_levels = pairs.levels(pair), np.zeros(len(tokens), dtype=np.int64)
                 # a triple is in the filter only if its pairs are
@@ -485,58 +533,86 @@ def _score_by_broadcast(held, frequent, model: Model):
     return run
 
 
+def _heads(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """For each portion of text a row with its documents, its distinct words in order, and its tokens as numbers of those."""
+    known = Hashes()
+    for batch in batches:
+        at = 0
+        for texts in _portions(batch.column(3), ASKED):
+            part = batch.slice(at, len(texts))
+            at += len(texts)
+            tokens, ends = token_hashes(texts, known)
+            words, back = np.unique(tokens, return_inverse=True)
+            wide, rows = narrow(back.astype(np.uint64))
+            uid = np.asarray(part.column(0))
+            row = (
+                int(uid[0]), uid.astype("<i8").tobytes(), np.asarray(part.column(1).fill_null(0)).astype("<i8").tobytes(), np.asarray(part.column(1).is_null()).tobytes(), np.asarray(part.column(2)).astype(bool).tobytes(),
+                ends.astype("<i8").tobytes(), words.tobytes(), bytes((wide,)) + rows.T.tobytes(),
+            )
+            yield pa.record_batch([pa.array([x], pa.int64() if i == 0 else pa.binary()) for i, x in enumerate(row)], names=[x.split()[0] for x in HEADS.split(", ")])
+    known.clear()
+    give_back()
+
+
+def _read(words: bytes, tokens: bytes, ends: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """A portion's distinct words, its tokens as numbers of them and as hashes, and its ends."""
+    distinct = np.frombuffer(words, dtype="<u8")
+    back = widen(tokens[1:], tokens[0]).astype(np.int64)
+    return distinct, back, distinct[back], np.frombuffer(ends, dtype="<i8")
+
+
 def _probes(shards: int):
-    """For each portion of text a row with its documents and tokens, and for each kind and shard one with the distinct keys to be looked up."""
+    """For each portion, kind and shard a row with the distinct keys to be looked up, in order."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = Hashes()
         for batch in batches:
-            at = 0
-            for texts in _portions(batch.column(3)):
-                part = batch.slice(at, len(texts))
-                at += len(texts)
-                tokens, ends, pair, triple, there = _ngrams(texts, known)
-                uid = np.asarray(part.column(0))
-                nulls = np.asarray(part.column(1).is_null())
-                ids = np.asarray(part.column(1).fill_null(0)).astype("<i8")
-                rows: list[tuple] = [(int(uid[0]), HEAD, None, None, uid.astype("<i8").tobytes(), ids.tobytes(), nulls.tobytes(), np.asarray(part.column(2)).astype(bool).tobytes(), ends.astype("<i8").tobytes(), tokens.tobytes())]
-                for kind, keys in ((WORD, tokens), (PAIR, pair), (TRIPLE, triple[there])):
-                    keys = np.unique(keys)
-                    to, cuts, order = _by_shard(keys, shards)
-                    keys = keys[order]
-                    rows += [(int(uid[0]), kind, s, keys[a:b].tobytes(), *[None] * 6) for s, (a, b) in zip(to.tolist(), cuts, strict=True)]
-                types = (pa.int64(), pa.int32(), pa.int32(), *[pa.binary()] * 7)
-                yield pa.record_batch([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)], names=[x.split()[0] for x in PROBE.split(", ")])
+            for pid, ends, words, tokens in zip(*batch.columns, strict=True):
+                distinct, _, tokens, ends = _read(words.as_py(), tokens.as_py(), ends.as_py())
+                pair, triple, there = _ngrams(tokens, ends)
+                for kind, keys in ((WORD, distinct), (PAIR, np.unique(pair)), (TRIPLE, np.unique(triple[there]))):
+                    to, cuts = _by_shard(keys, shards)
+                    if cuts:
+                        packed = pack(keys, _first_of(to, shards), kind, cuts)
+                        yield pa.record_batch([pa.array([pid.as_py()] * len(to), pa.int64()), pa.array([kind] * len(to), pa.int32()), pa.array(to, pa.int32()), pa.array(packed, pa.binary())], names=["pid", "kind", "shard", "keys"])
+        give_back()
 
     return run
 
 
-def _answer(asked: pa.Table, segments: pa.Table) -> pa.Table:
-    """The levels of the keys that the portions ask of one shard."""
-    pids, packed = asked["pid"].to_pylist(), asked["keys"].to_pylist()
-    keys = np.concatenate([np.frombuffer(k, dtype="<u8") for k in packed] or [np.zeros(0, np.uint64)])
-    levels = Filter(1, {0: segments["segment"][0].as_py()}).levels(keys) if segments.num_rows else np.zeros(len(keys), dtype=np.int64)
-    cuts = np.cumsum([0] + [len(k) // 8 for k in packed]).tolist()
-    kind = asked["kind"][0].as_py() if len(pids) else 0
-    levels = levels.astype(np.uint8)
-    return pa.table({"pid": pa.array(pids, pa.int64()), "kind": pa.array([kind] * len(pids), pa.int32()), "keys": pa.array(packed, pa.binary()), "levels": pa.array([levels[a:b].tobytes() for a, b in zip(cuts, cuts[1:], strict=False)], pa.binary())})
+def _answer(shards: int):
+    def run(asked: pa.Table, segments: pa.Table) -> pa.Table:
+        """The levels of the keys that the portions ask of one shard, in the order of the keys."""
+        n, pids = asked.num_rows, asked["pid"]
+        kind, shard = (asked["kind"][0].as_py(), asked["shard"][0].as_py()) if n else (0, 0)
+        first = int(_first_of(np.array([shard]), shards)[0])
+        parts = [unpack(k, first, kind) for k in asked["keys"].to_pylist()]
+        keys = np.concatenate(parts or [np.zeros(0, np.uint64)])
+        levels = Filter(1, {0: segments["segment"][0].as_py()}).levels(keys) if segments.num_rows and n else np.zeros(len(keys), dtype=np.int64)
+        cuts = np.cumsum([0] + [len(k) for k in parts]).tolist()
+        levels = levels.astype(np.uint8).tobytes()
+        return pa.table({"pid": pids, "kind": asked["kind"], "shard": asked["shard"], "levels": pa.array([levels[a:b] for a, b in zip(cuts, cuts[1:], strict=False)], pa.binary())})
+
+    return run
 
 
 def _assemble(frequent, model: Model):
     def run(heads: pa.Table, answers: pa.Table) -> pa.Table:
         """The scores of one portion's documents."""
         get = lambda c, t: np.frombuffer(heads[c][0].as_py(), dtype=t)
-        uid, ids, nulls, held, ends, tokens = (get(c, t) for c, t in (("uids", "<i8"), ("ids", "<i8"), ("nulls", bool), ("held", bool), ("ends", "<i8"), ("tokens", "<u8")))
-        pair = pair_keys(before_each(tokens, ends), tokens)
-        triple, there = triple_keys(pair, tokens, np.concatenate([[0], ends[:-1]]))
-        kinds, found = np.asarray(answers["kind"]), []
-        for kind, keys in ((WORD, tokens), (PAIR, pair), (TRIPLE, triple)):
-            mine = answers.filter(pa.array(kinds == kind))
-            k = np.concatenate([np.frombuffer(x, dtype="<u8") for x in mine["keys"].to_pylist()] or [np.zeros(0, np.uint64)])
-            v = np.concatenate([np.frombuffer(x, dtype=np.uint8) for x in mine["levels"].to_pylist()] or [np.zeros(0, np.uint8)]).astype(np.int64)
-            order = np.argsort(k)
-            found.append(np.maximum(_look_up(k[order], v[order], keys), 0))
-        found[TRIPLE][~there | (found[PAIR] == 0)] = 0
-        return pa.Table.from_batches(_scored(uid, pa.array(ids, pa.int64(), mask=nulls), pa.array(held, pa.bool_()), tokens, ends, found, frequent.value, model))
+        uid, ids, nulls, held = (get(c, t) for c, t in (("uids", "<i8"), ("ids", "<i8"), ("nulls", bool), ("held", bool)))
+        _, back, tokens, ends = _read(*(heads[c][0].as_py() for c in ("words", "tokens", "ends")))
+        pair, triple, there = _ngrams(tokens, ends)
+        kinds, shard, levels = np.asarray(answers["kind"]), np.asarray(answers["shard"]), answers["levels"]
+
+        def answered(kind: int) -> np.ndarray:
+            """Levels of the distinct keys in order: a shard's keys lie together, before those of the next."""
+            mine = np.flatnonzero(kinds == kind)
+            return np.frombuffer(b"".join(levels[i].as_py() for i in mine[np.argsort(shard[mine])].tolist()), dtype=np.uint8).astype(np.int64)
+
+        triple_levels = np.zeros(len(tokens), dtype=np.int64)
+        triple_levels[there] = answered(TRIPLE)[np.unique(triple[there], return_inverse=True)[1]]
+        pair_levels = answered(PAIR)[np.unique(pair, return_inverse=True)[1]]
+        triple_levels[pair_levels == 0] = 0
+        return pa.Table.from_batches(_scored(uid, pa.array(ids, pa.int64(), mask=nulls), pa.array(held, pa.bool_()), tokens, ends, [answered(WORD)[back], pair_levels, triple_levels], frequent.value, model))
 
     return run

@@ -31,10 +31,16 @@ def new_path(spark: SparkSession, tag: str) -> str:
     return f"{shared_dir(spark)}/{tag}-{uuid.uuid4().hex}"
 
 
-def materialise(df: DataFrame, tag: str) -> DataFrame:
-    """df as a table in the shared folder: computed once, and still there when executors are lost."""
-    path = new_path(df.sparkSession, tag)
-    df.write.parquet(path)
+def materialise(df: DataFrame, tag: str, *, keep_exchanged: bool = True, **options: object) -> DataFrame:
+    """df as a table in the shared folder: computed once, and still there when executors are lost. keep_exchanged: else what was exchanged on the way is removed from the executors' disks at once."""
+    conf, name = df.sparkSession.conf, "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    path, before = new_path(df.sparkSession, tag), conf.get(name)
+    try:
+        if not keep_exchanged:
+            conf.set(name, "true")
+        df.write.options(**options).parquet(path)
+    finally:
+        conf.set(name, before)
     out = df.sparkSession.read.schema(df.schema).parquet(path)
     out._tidemark_path = path
     return out
