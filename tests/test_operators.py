@@ -1,5 +1,6 @@
 import argparse
 import random
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
@@ -216,3 +217,23 @@ def test_stream_lands_once(spark, tmp_path):
         spark.createDataFrame([("a", t), ("b", t)], schema).write.mode("append").parquet(str(source))
         increment.land(spark.readStream.schema(schema).parquet(str(source)), str(tmp_path / "raw"), str(tmp_path / "cp")).awaitTermination()
     assert spark.read.parquet(str(tmp_path / "raw")).count() == 2
+
+
+def test_few_clusters_are_compared_and_none_is_missed():
+    """A document meets few clusters besides those that are similar, also after clusters have changed and with tokens that the day's frequencies lack."""
+    rng = random.Random(11)
+    draw = lambda: {f"w{int(rng.random() ** 2 * 400)}" for _ in range(60)}
+    sets = [draw() for _ in range(600)]
+    sets += [set(list(rng.choice(sets))[: rng.randrange(3, 40)]) | {f"new{i}"} for i in range(300)] + [set(), {"w1"}, {"w1", "w2"}]
+    index = dedup._Index(Counter(t for s in sets[:600] for t in s))
+    held, compared, similar = {}, 0, 0
+    for i, s in enumerate(sets):
+        near = index.near(s)
+        want = [c for c, x in held.items() if dedup._similar(s, x) >= 0.6]
+        assert near == sorted(near) and set(want) <= set(near)
+        compared, similar = compared + len(near), similar + len(want)
+        c = i if i % 3 else i // 2
+        held[c] = s | (held.get(c, set()) if i % 2 else set())
+        index.put(c, held[c])
+    # sharing one of the rarest tokens was enough before: that were most clusters
+    assert similar and compared < 0.2 * len(sets) * len(held) / 2
