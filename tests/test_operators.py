@@ -237,3 +237,19 @@ def test_few_clusters_are_compared_and_none_is_missed():
         index.put(c, held[c])
     # sharing one of the rarest tokens was enough before: that were most clusters
     assert similar and compared < 0.2 * len(sets) * len(held) / 2
+
+
+def test_latest_points_of_a_long_series_meet_in_no_task(spark):
+    rows = [(f"e{i}", i % 50, [("a" if i % 3 else None, "u", None if i % 5 == 0 else f"2024-0{1 + i % 4}", float(i))]) for i in range(1, 400)]
+    rows += [("z1", 1, [("only", "u", None, 7.0)]), ("z0", 0, [("only", "u", None, 8.0)])]
+    events = spark.createDataFrame(rows, "event_id string, at int, quantities array<struct<label string, unit string, period string, value double>>").withColumn("observed_at", F.timestamp_seconds("at")).drop("at")
+    found = evidence.latest_points(events)
+    flat = [(e, at, q) for e, at, qs in rows for q in qs]
+    want = []
+    for label in (None, "a", "only"):
+        mine = [(q[2] or "", at, e, q[3]) for e, at, q in flat if q[0] == label]
+        last = max(m[0] for m in mine)
+        want.append((label, "u", last or None, min(m[1:] for m in mine if m[0] == last)[2], len(mine)))
+    assert [tuple(r) for r in found.collect()] == want
+    assert "Window" not in found._jdf.queryExecution().executedPlan().toString()
+    assert [r.label for r in evidence.latest_points(events, 2).collect()] == [None, "a"]

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from datetime import timedelta
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -77,9 +78,14 @@ def series(events: DataFrame) -> DataFrame:
 def latest_points(events: DataFrame, limit: int = fixed.REPORT_ITEMS) -> DataFrame:
     """label, unit, period, value, n of each series' last period, the first such point in order of observation."""
     rows = events.select("event_id", "observed_at", F.explode("quantities").alias("q")).select("event_id", "observed_at", "q.*")
-    key = Window.partitionBy("label", "unit")
-    rows = rows.withColumns({"n": F.count("*").over(key), "_nth": F.row_number().over(key.orderBy(F.col("period").desc_nulls_last(), "observed_at", "event_id"))})
-    return rows.filter("_nth = 1").select("label", "unit", "period", "value", "n").orderBy("label", "unit").limit(limit)
+    # counts by period are partial before the exchange, however long a series is; only the last periods of the series returned are read again
+    periods = rows.groupBy("label", "unit", "period").agg(F.count("*").alias("n"))
+    latest = periods.groupBy("label", "unit").agg(F.max(F.struct(F.col("period").isNotNull(), "period")).alias("last"), F.sum("n").alias("n"))
+    latest = latest.orderBy("label", "unit").limit(limit).select(*[F.col(c).alias(f"_{c}") for c in ("label", "unit")], F.col("last.period").alias("_period"), "n")
+    same = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in ("label", "unit", "period")]
+    last = rows.join(F.broadcast(latest), reduce(Column.__and__, same))
+    first = last.groupBy("label", "unit", "period", "n").agg(F.min_by(F.struct("value"), F.struct("observed_at", "event_id")).alias("first"))
+    return first.select("label", "unit", "period", "first.value", "n").orderBy("label", "unit")
 
 
 def ungrounded(cited: DataFrame, known: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
