@@ -192,3 +192,12 @@ def test_top_k_like_brute_force(spark, block, queries):
         assert got[i] == [(j, -s) for s, j in want]
     assert got[2000] == [(2001, 32 * 64 - 32 * 64)] and set(got) == {*range(0, n, 20), 2000}
     assert bit_sliced.top_k(df.limit(0)).count() == 0
+
+
+def test_texts_longer_than_a_portion(spark):
+    """Sets are made of portions of text; a portion's end may fall anywhere."""
+    long = " ".join(f"w{i}" for i in range(120_000))
+    assert len(long) > jaccard_join.CUT
+    rows = [(1, long), (2, "one two three four five"), (3, long.upper()), (4, None)]
+    found = jaccard_join.jaccard_components(spark.createDataFrame(rows, "doc_id long, text string"), words=4, num=85, den=100)
+    assert sorted((r.doc_id, r.component_id) for r in found.collect()) == [(1, 1), (2, 2), (3, 1), (4, 4)]

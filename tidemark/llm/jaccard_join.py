@@ -50,6 +50,8 @@ FULL = 65535
 LIGHT = 16
 SALTS, CELL = 64, 256
 BUFFERED = 4_000_000
+#: Characters of text whose sets are made at once.
+CUT = 500_000
 
 
 class Rule:
@@ -144,7 +146,7 @@ def _survey(k: int, small: int):
         known, held, n_held = Hashes(), ([], []), 0
         for batch in batches:
             at = 0
-            for texts in _portions(batch.column(1)):
+            for texts in _portions(batch.column(1), CUT):
                 ids, th = (batch.column(c).slice(at, len(texts)) for c in (0, 2))
                 at += len(texts)
                 ns, nodes, classes, packed = [], [], [], []
@@ -233,7 +235,7 @@ def _emit(order, k: int, rule: Rule, boundary: int):
         known, o = Hashes(), order.value
         crossing = rule.least_size(boundary + 1)
         for batch in batches:
-            for texts in _portions(batch.column(0)):
+            for texts in _portions(batch.column(0), CUT):
                 keys, salts, nodes, ns = [], [], [], []
                 for words, shingles, first in shingle_sets(texts, k, known):
                     n = len(shingles)
@@ -487,7 +489,7 @@ def jaccard_components(docs: DataFrame, *, id_col: str = "doc_id", text_col: str
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             known = Hashes()
             for batch in batches:
-                for texts in _portions(batch.column(0)):
+                for texts in _portions(batch.column(0), CUT):
                     found = [s for _, s, _ in shingle_sets(texts, words, known)]
                     yield pa.record_batch([pa.array([node_of(s) for s in found], pa.int64()), pa.array([s.tobytes() for s in found], pa.binary())], names=["node", "shingles"])
 
