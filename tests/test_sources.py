@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 from tidemark import cli
 from tidemark.operators import signals
-from tidemark.sources import backfill, collect, connector, tables
+from tidemark.sources import backfill, collect, connector, series, tables
 
 RSS = "<rss><item><title>%s</title><link>https://x.org/%s</link></item></rss>"
 SPEC = {"format": "records", "endpoint_template": "https://s.org/{code}?from={start_year}", "points_path": "1", "label": "name", "key_fields": {"geo": "g"}, "updated_path": "0.updated", "status_path": "0.status", "status_ok": ["ok"]}
@@ -132,3 +132,14 @@ def test_backfill_is_resumed_and_covers_the_prefix_without_errors(spark, tmp_pat
     dry = {(r.source_id, str(r.start)): r.n for r in backfill.run(spark, [past("src_d")], root, 3, "2026-08-14T00:00:00Z", fetch=Days(log), delay_seconds=0, dry_run=True).collect()}
     assert len(dry) == 3 and "src_d" not in spans()
     assert signals  # the spans are what observation_coverage takes
+
+
+def test_a_cube_is_parsed_once_a_payload(spark):
+    """What a cube says of its dimensions isn't read again for each of its values; lists, maps and missing captions come out alike."""
+    cube = {"label": "Output", "id": ["siec", "time"], "size": [2, 2], "dimension": {"siec": {"category": {"index": ["A", "B"], "label": {"A": "Gas"}}}, "time": {"category": {"index": {"2025": 1, "2024": 0}}}}}
+    rows = [("src_map", json.dumps(cube | {"value": {"0": 1, "3": "2,000"}})), ("src_list", json.dumps(cube | {"value": [1, None, None, 2000]})), ("src_odd", json.dumps([cube])), ("src_none", json.dumps(cube | {"value": [], "size": [2]}))]
+    found = series.jsonstat(spark.createDataFrame(rows, "source_id string, payload string").withColumn("observed_at", F.current_timestamp()), {}, {"unit": "TJ"})
+    points = [("2024", 1.0, "Output（Gas）", "TJ", {"siec": "A"}), ("2025", 2000.0, "Output（B）", "TJ", {"siec": "B"})]
+    got = sorted(((r.source_id, r.period, r.value, r.label, r.unit, r["keys"]) for r in found.collect()), key=lambda r: r[:2])
+    assert got == [(s, *p) for s in ("src_list", "src_map") for p in points]
+    assert found._jdf.queryExecution().optimizedPlan().toString().count("StructField(category") == 1

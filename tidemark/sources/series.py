@@ -11,6 +11,7 @@ from tidemark.functions import ids
 from tidemark.functions import text as X
 from tidemark.functions import time as T
 from tidemark.sources import feeds
+from tidemark.sources.shared import once
 
 POINT = ["source_id", "observed_at", "period", "value", "label", "unit", "keys", "note"]
 POINTS = "source_id string, observed_at timestamp, period string, value double, label string, unit string, keys map<string,string>, note string, part string, spec string, requested string, published_at timestamp"
@@ -94,41 +95,48 @@ def records(payloads: DataFrame, spec: dict, entry: dict | Column) -> DataFrame:
 
 
 def jsonstat(payloads: DataFrame, spec: dict, entry: dict | Column) -> DataFrame:
-    """Points of a sparse cube: a flat index is divided by the strides of its dimensions. Values may be a map or a list."""
-    doc, kept = F.col("payload"), _kept(payloads)
-    raw = feeds.dig(doc, "value")
+    """Points of a sparse cube: a flat index is divided by the strides of its dimensions. Values may be a map or a list.
+
+    What a payload says of its dimensions is read once, before its values become rows.
+    """
+    kept = _kept(payloads)
+    form = "label string, value string, id array<string>, size array<int>, dimension map<string,struct<category:struct<index:string,label:map<string,string>>>>"
+    read = once(payloads.withColumn("payload", check_status(F.col("payload"), spec)), kept, d=F.from_json(F.when(F.startswith(F.ltrim("payload"), F.lit("{")), F.col("payload")), form))
+    told = read.select(*kept, "d.value", "d.label", F.col("d.id").alias("dims"), F.col("d.size").alias("sizes"), "d.dimension").filter(F.size("dims") == F.size("sizes"))
+    raw = F.col("value")
     as_map = F.coalesce(F.from_json(raw, "map<string,string>"), F.create_map().cast("map<string,string>"))
     as_list = F.from_json(raw, "array<string>")
-    values = F.when(F.startswith(F.ltrim(raw), F.lit("[")), F.map_from_arrays(F.transform(F.sequence(F.lit(0), F.size(as_list) - 1), lambda i: i.cast("string")), as_list)).otherwise(as_map)
-    rows = payloads.withColumn("payload", check_status(doc, spec)).select(
-        *kept, "payload", F.from_json(feeds.dig(doc, "id"), "array<string>").alias("dims"), F.from_json(feeds.dig(doc, "size"), "array<int>").alias("sizes"), F.explode(values).alias("flat", "raw")
-    ).withColumn("flat", F.col("flat").cast("int"))
-    rows = rows.filter(F.size("dims") == F.size("sizes")).withColumn("value", number(F.col("raw"))).filter("value is not null")
-    dimension = F.from_json(feeds.dig(F.col("payload"), "dimension"), "map<string,struct<category:struct<index:string,label:map<string,string>>>>")
-    rows = rows.withColumn("dimension", dimension)
-    stride = lambda i: F.aggregate(F.slice("sizes", i + 2, F.greatest(F.size("sizes") - i - 1, F.lit(0))), F.lit(1), lambda a, x: a * x)
-    position = lambda i: F.floor(F.col("flat") / stride(i)).cast("int") % F.get("sizes", i)
+    of_list = F.get(F.transform(F.array(as_list), lambda x: F.map_from_arrays(F.transform(x, lambda _, i: i.cast("string")), x)), F.lit(0))
+    values = F.when(F.startswith(F.ltrim(raw), F.lit("[")), of_list).otherwise(as_map)
+    title = F.coalesce(F.nullif(F.trim("label"), F.lit("")), _entry(entry, "label"), F.lit(""))
+    cube = once(told, [*kept, "dims", "sizes", "dimension"], values=values, title=title, of=F.transform("dims", lambda d: F.try_element_at("dimension", d)["category"]))
 
-    def code(d: Column, i: Column) -> Column:
-        index = d["category"]["index"]
-        by_map = F.from_json(index, "map<string,int>")
-        listed = F.coalesce(F.when(F.startswith(F.ltrim(index), F.lit("[")), F.from_json(index, "array<string>")), F.transform(F.array_sort(F.transform(F.map_entries(by_map), lambda e: F.struct(e["value"].alias("p"), e["key"].alias("c")))), lambda e: e["c"]))
-        return F.coalesce(F.get(listed, position(i)), position(i).cast("string"))
+    def listed(category: Column) -> Column:
+        """The codes of a dimension in their order."""
+        index = category["index"]
+        in_order = lambda m: F.transform(F.array_sort(F.transform(F.map_entries(m), lambda e: F.named_struct(F.lit("p"), e["value"], F.lit("c"), e["key"]))), lambda e: e["c"])
+        return F.when(F.startswith(F.ltrim(index), F.lit("[")), F.from_json(index, "array<string>")).otherwise(in_order(F.from_json(index, "map<string,int>")))
 
-    coordinates = F.map_from_entries(F.transform("dims", lambda d, i: F.struct(d.alias("k"), code(F.try_element_at("dimension", d), i).alias("v"))))
-    rows = rows.withColumn("at", coordinates)
+    stride = lambda i: F.aggregate(F.slice("sizes", i + 2, F.greatest(F.size("sizes") - i - 1, F.lit(0))), F.lit(1), lambda a, x: a * x)
+    axes = F.transform("of", lambda c, i: F.named_struct(F.lit("name"), F.get("dims", i), F.lit("size"), F.get("sizes", i), F.lit("stride"), stride(i), F.lit("codes"), listed(c), F.lit("captions"), c["label"]))
+    units = F.try_element_at("dimension", F.lit("unit"))["category"]["label"]
+    rows = once(cube, [*kept, "title", "values"], axes=axes, units=units).select(*kept, "title", "axes", "units", F.explode("values").alias("flat", "raw"))
+    place = lambda a: F.floor(F.col("flat").cast("int") / a["stride"]).cast("int") % a["size"]
+    # a lambda's variable holds the place, so that it is computed once
+    code = lambda a: F.get(F.transform(F.array(place(a)), lambda n: F.coalesce(F.get(a["codes"], n), n.cast("string"))), F.lit(0))
+    rows = once(rows, [*kept, "title", "axes", "units"], value=number(F.col("raw")), flat=F.col("flat")).filter("value is not null")
+    rows = once(rows, [*kept, "title", "axes", "units", "value"], codes=F.transform("axes", code), names=F.transform("axes", lambda a: a["name"]))
+    rows = once(rows, [*kept, "title", "axes", "units", "value", "codes"], at=F.map_from_arrays("names", "codes"))
     time = spec.get("period", "time")
     at = lambda k: F.coalesce(F.try_element_at("at", F.lit(k)), F.lit(""))
-    caption = lambda d, c: F.coalesce(F.try_element_at(F.try_element_at("dimension", d)["category"]["label"], c), c)
-    unit = F.coalesce(_entry(entry, "unit"), caption(F.lit("unit"), at("unit")), F.lit(""))
-    shown = F.filter("dims", lambda d: ~d.isin("freq", "unit", time))
-    detail = F.array_join(F.transform(shown, lambda d: caption(d, F.try_element_at("at", d))), ", ")
-    title = F.coalesce(F.nullif(F.trim(feeds.dig(F.col("payload"), "label")), F.lit("")), _entry(entry, "label"), F.lit(""))
-    out = rows.select(
-        *kept, at(time).alias("period"), "value", F.when(detail != "", F.concat(title, F.lit("（"), detail, F.lit("）"))).otherwise(title).alias("label"), unit.alias("unit"),
-        F.map_filter("at", lambda k, v: ~k.isin("freq", time)).alias("keys"), F.lit("").alias("note"),
-    )
-    return out.filter("period <> ''")
+    caption = lambda captions, c: F.coalesce(F.try_element_at(captions, c), c)
+    unit = F.coalesce(_entry(entry, "unit"), caption(F.col("units"), at("unit")), F.lit(""))
+    detail = F.array_join(F.transform("axes", lambda a, i: F.when(~a["name"].isin("freq", "unit", time), caption(a["captions"], F.get("codes", i)))), ", ")
+    out = once(
+        rows, [*kept, "title", "value"], period=at(time), detail=detail, unit=unit, keys=F.map_filter("at", lambda k, v: ~k.isin("freq", time)),
+    ).filter("period <> ''")
+    named = F.when(F.col("detail") != "", F.concat("title", F.lit("（"), "detail", F.lit("）"))).otherwise(F.col("title"))
+    return out.select(*kept, "period", "value", named.alias("label"), "unit", "keys", F.lit("").alias("note"))
 
 
 def odata(payloads: DataFrame, spec: dict, entry: dict | Column) -> DataFrame:

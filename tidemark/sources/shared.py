@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def folder(spark: SparkSession, tag: str) -> str:
@@ -24,3 +26,8 @@ def kept(df: DataFrame, tag: str) -> DataFrame:
     path = folder(df.sparkSession, tag)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def once(rows: DataFrame, keep: Sequence[str], **columns: Column) -> DataFrame:
+    """keep and new columns of rows. The plan computes each once: as they come from a generator, neither filters nor later columns repeat them."""
+    return rows.select(*keep, F.inline(F.array(F.struct(*[c.alias(n) for n, c in columns.items()]))))
