@@ -143,3 +143,14 @@ def test_a_cube_is_parsed_once_a_payload(spark):
     got = sorted(((r.source_id, r.period, r.value, r.label, r.unit, r["keys"]) for r in found.collect()), key=lambda r: r[:2])
     assert got == [(s, *p) for s in ("src_list", "src_map") for p in points]
     assert found._jdf.queryExecution().optimizedPlan().toString().count("StructField(category") == 1
+
+
+def test_cells_of_odata_are_found_once_an_entry(spark):
+    """The first cell of a name counts; a missing column and one without text give no point, nor do entries without a period."""
+    row = "<entry><d:NEW_DATE>2026-01-0%dT00:00:00</d:NEW_DATE><d:A>%s</d:A><d:A>9</d:A><d:B m:type='x'>%s</d:B></entry>"
+    feed = "<feed>" + row % (1, "1,000", "") + row % (2, " 2 ", "3\n") + "<entry><d:A>5</d:A></entry></feed>"
+    rows = spark.createDataFrame([("src_a", feed)], "source_id string, payload string").withColumn("observed_at", F.current_timestamp())
+    found = series.odata(rows, {}, {"label": "Yield", "unit": "%", "fields": {"a": "A", "b": "B", "c": "C"}})
+    assert sorted((r.period, r.value, r.label, r["keys"]["tenor"]) for r in found.collect()) == [("2026-01-01", 1000.0, "Yield a", "a"), ("2026-01-02", 2.0, "Yield a", "a"), ("2026-01-02", 3.0, "Yield b", "b")]
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("array_position") == 2 and plan.count("regexp_extract_all") == 3

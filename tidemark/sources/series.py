@@ -148,14 +148,15 @@ def odata(payloads: DataFrame, spec: dict, entry: dict | Column) -> DataFrame:
         fields = F.coalesce(F.from_json(_entry(entry, "fields"), "map<string,string>"), F.create_map().cast("map<string,string>"))
     rows = payloads.select(*kept, _or_empty(_entry(entry, "label")).alias("_label"), _or_empty(_entry(entry, "unit")).alias("_unit"), fields.alias("_fields"), F.explode(F.regexp_extract_all("payload", F.lit(r"(?s)<entry(?:\s[^>]*)?>(.*?)</entry\s*>"), 1)).alias("e"))
     found = lambda group: F.regexp_extract_all("e", F.lit(r"(?s)<d:(\w+)(?:\s[^>/]*)?>(.*?)</d:\1\s*>"), group)
-    cells = F.arrays_zip(found(F.lit(1)).alias("name"), found(F.lit(2)).alias("text"))
-    rows = rows.withColumn("_cells", cells).select(*kept, "_label", "_unit", "_cells", F.explode("_fields").alias("tenor", "_column"))
-    cell = lambda name: F.get(F.filter("_cells", lambda c: c["name"] == name), F.lit(0))["text"]
-    out = rows.select(
-        *kept, F.substring(F.trim(cell(F.lit(spec.get("period", "NEW_DATE")))), 1, 10).alias("period"), number(cell(F.col("_column"))).alias("value"), F.trim(F.concat_ws(" ", "_label", "tenor")).alias("label"), F.col("_unit").alias("unit"),
-        F.create_map(F.lit("tenor"), "tenor").alias("keys"), F.lit("").alias("note"),
+    rows = once(rows, [*kept, "_label", "_unit", "_fields"], _names=found(F.lit(1)), _texts=found(F.lit(2)))
+    # the first of that name; none is at place 0
+    cell = lambda name: F.get("_texts", F.array_position("_names", name).cast("int") - 1)
+    rows = once(rows, [*kept, "_label", "_unit", "_fields", "_names", "_texts"], period=F.substring(F.trim(cell(F.lit(spec.get("period", "NEW_DATE")))), 1, 10)).filter("period <> ''")
+    rows = rows.select(*kept, "_label", "_unit", "_names", "_texts", "period", F.explode("_fields").alias("tenor", "_column"))
+    rows = once(rows, [*kept, "_label", "_unit", "period", "tenor"], value=number(cell(F.col("_column")))).filter("value is not null")
+    return rows.select(
+        *kept, "period", "value", F.trim(F.concat_ws(" ", "_label", "tenor")).alias("label"), F.col("_unit").alias("unit"), F.create_map(F.lit("tenor"), "tenor").alias("keys"), F.lit("").alias("note"),
     )
-    return out.filter("value is not null and period <> ''")
 
 
 def _or_empty(text: Column) -> Column:
