@@ -75,23 +75,28 @@ def records(payloads: DataFrame, spec: dict, entry: dict | Column) -> DataFrame:
         rows = rows.withColumn("payload", F.explode(F.from_json(feeds.dig(F.col("payload"), spec["series_path"]), "array<string>")))
     points = feeds.dig(F.col("payload"), spec["points_path"]) if spec.get("points_path") else F.col("payload")
     rows = rows.withColumn("item", F.explode(F.from_json(points, "array<string>")))
-    item = F.col("item")
-    text = lambda path: F.trim(feeds.dig(item, path))
+    item, paths = F.col("item"), {}
+
+    def text(path: str) -> Column:
+        return F.trim(paths.setdefault(path, f"_p{len(paths)}"))
+
     period = [spec.get("period", "date")] if isinstance(spec.get("period", "date"), str) else spec["period"]
+    period = T.period(*[text(p) for p in period])
     keys = [(name, text(path)) for name, path in (spec.get("key_fields") or {}).items()]
     named = spec.get("label_fields")
     base = F.coalesce(_entry(entry, "label"), F.lit(""))
     if spec.get("label"):
         base = F.coalesce(F.nullif(text(spec["label"]), F.lit("")), base)
     unit = F.coalesce(_entry(entry, "unit"), text(spec["unit_path"]) if spec.get("unit_path") else F.lit(None), F.lit(""))
+    label = _label(base, [c for name, c in keys if named is None or name in named])
+    note = F.concat_ws(" ", *[F.nullif(text(p), F.lit("")) for p in spec.get("note_fields") or []])
     plain = spec.get("value", "value")
     value = feeds.dig(item, entry.get("value") or plain) if isinstance(entry, dict) else F.when(_entry(entry, "value").isNull(), feeds.dig(item, plain)).otherwise(feeds.dig_by(item, _entry(entry, "value")))
-    out = rows.select(
-        *kept, T.period(*[text(p) for p in period]).alias("period"), number(value).alias("value"),
-        _label(base, [c for name, c in keys if named is None or name in named]).alias("label"), unit.alias("unit"), _keys(keys).alias("keys"),
-        F.concat_ws(" ", *[F.nullif(text(p), F.lit("")) for p in spec.get("note_fields") or []]).alias("note"),
-    )
-    return out.filter("value is not null and period <> ''")
+    # items without a value go first; of the others each path is read once, however often its text is asked for
+    rows = once(rows, [*kept, "item"], value=number(value)).filter("value is not null")
+    rows = once(rows, [*kept, "value"], **{name: feeds.dig(item, path) for path, name in paths.items()})
+    rows = once(rows, [*kept, "value", *paths.values()], period=period).filter("period <> ''")
+    return rows.select(*kept, "period", "value", label.alias("label"), unit.alias("unit"), _keys(keys).alias("keys"), note.alias("note"))
 
 
 def jsonstat(payloads: DataFrame, spec: dict, entry: dict | Column) -> DataFrame:
