@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 from tidemark import cli
 from tidemark.operators import signals
-from tidemark.sources import backfill, collect, connector, series, tables
+from tidemark.sources import backfill, collect, connector, feeds, series, tables
 
 RSS = "<rss><item><title>%s</title><link>https://x.org/%s</link></item></rss>"
 SPEC = {"format": "records", "endpoint_template": "https://s.org/{code}?from={start_year}", "points_path": "1", "label": "name", "key_fields": {"geo": "g"}, "updated_path": "0.updated", "status_path": "0.status", "status_ok": ["ok"]}
@@ -154,3 +154,18 @@ def test_cells_of_odata_are_found_once_an_entry(spark):
     assert sorted((r.period, r.value, r.label, r["keys"]["tenor"]) for r in found.collect()) == [("2026-01-01", 1000.0, "Yield a", "a"), ("2026-01-02", 2.0, "Yield a", "a"), ("2026-01-02", 3.0, "Yield b", "b")]
     plan = found._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("array_position") == 2 and plan.count("regexp_extract_all") == 3
+
+
+def test_tags_of_feeds_are_read_once_an_entry(spark):
+    """The first tag with text counts, CDATA isn't unescaped before its markup goes, a link may be an attribute or the guid; entries lack neither title nor link."""
+    item = "<item>%s</item>"
+    feed = "<rss>" + "".join(item % x for x in (
+        "<title>A &amp;amp; b</title><link> </link><guid>http://x.org/g</guid><description></description><content:encoded><![CDATA[<p>one &lt;two</p>]]></content:encoded><pubDate>Mon, 5 Jan 2026 10:00:00 GMT</pubDate>",
+        "<title>B</title><link rel='self' href='http://x.org/self'/><link href='http://x.org/?a=1&amp;b=2'/><published>2026-01-06T00:00:00Z</published><updated>5 Jan 2026 11:00 +0100</updated>",
+        "<title>C</title><guid>urn:c</guid>", "<title> </title><link>http://x.org/d</link>", "<title>E</title><link>http://x.org/e</link><dc:date>5 Jan 2026 11:00 +0100</dc:date>",
+    )) + "</rss>"
+    rows = spark.createDataFrame([("src_a", feed)], "source_id string, payload string").withColumn("observed_at", F.current_timestamp())
+    found = feeds.feed_entries(rows)
+    got = sorted((r.title, r.link, r.body, f"{r.published_at:%d %H}") for r in found.select("title", "link", "body", "published_at").collect())
+    assert got == [("A & b", "http://x.org/g", "one <two", "05 10"), ("B", "http://x.org/?a=1&b=2", "", "06 00"), ("E", "http://x.org/e", "", "05 10")]
+    assert found._jdf.queryExecution().optimizedPlan().toString().count("<title") == 1

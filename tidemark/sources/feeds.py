@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from tidemark.functions import ids
 from tidemark.functions import text as X
 from tidemark.functions import time as T
+from tidemark.sources.shared import once
 
 RAW = ["raw_id", "source_id", "observed_at", "published_at", "url", "canonical_url", "title", "body", "content_hash", "quantities", "sector_ids"]
 
@@ -26,15 +27,11 @@ def problem(payload: Column) -> Column:
     return F.when(F.startswith(head, F.lit("<!doctype html")) | F.startswith(head, F.lit("<html")), "html").when(F.coalesce(entries, F.lit(0)) == 0, "empty")
 
 
-def _inner(entry: Column, *tags: str) -> Column:
-    """The text of the first of the tags that has any: CDATA unwrapped, references resolved, markup gone."""
-    found = []
-    for tag in tags:
-        raw = F.regexp_extract(entry, rf"(?s)<{tag}(?:\s[^>]*)?>(.*?)</{tag}\s*>", 1)
-        cdata = F.regexp_extract(raw, r"(?s)^\s*<!\[CDATA\[(.*?)\]\]>\s*$", 1)
-        plain = X.strip_markup(F.when(cdata != "", cdata).otherwise(X._unescape(raw)))
-        found.append(F.when(plain != "", plain))
-    return F.coalesce(*found, F.lit(""))
+def _plain(raw: Column) -> Column:
+    """The text of a tag's content: CDATA unwrapped, references resolved. Text without an ampersand reaches the plan's Python node as null."""
+    cdata = F.when(F.contains(raw, F.lit("<![CDATA[")), F.nullif(F.regexp_extract(raw, r"(?s)^\s*<!\[CDATA\[(.*?)\]\]>\s*$", 1), F.lit("")))
+    has = F.contains(raw, F.lit("&"))
+    return F.coalesce(cdata, F.when(~has, raw), X._unescape(F.when(has & cdata.isNull(), raw)))
 
 
 def _own_names(payload: Column) -> Column:
@@ -50,14 +47,25 @@ def feed_entries(payloads: DataFrame, keep: Sequence[str] = ("source_id",)) -> D
     # entries count only where there are no items
     entry = F.explode(F.when(F.size(items) > 0, items).otherwise(entries))
     rows = payloads.withColumn("payload", _own_names(F.col("payload"))).select(*keep, "observed_at", entry.alias("entry"))
+    # each step is computed once an entry: contents of tags, their references, their text
+    tags = ("link", "guid", "title", "description", "summary", "content", "content:encoded", "pubDate", "published", "updated", "dc:date")
     links = F.regexp_extract_all("entry", F.lit(r"(<link\s[^>]*>)"), 1)
-    alternate = F.filter(links, lambda x: F.contains(x, F.lit("href")) & (~F.rlike(x, F.lit(r"\brel\s*=")) | F.rlike(x, F.lit(r"\brel\s*=\s*[\"']alternate[\"']"))))
-    href = F.regexp_extract(F.coalesce(F.get(alternate, F.lit(0)), F.lit("")), r"href\s*=\s*[\"']([^\"']*)[\"']", 1)
-    guid = _inner(F.col("entry"), "guid")
-    link = F.coalesce(*[F.when(x != "", x) for x in (_inner(F.col("entry"), "link"), X._unescape(href), F.when(F.startswith(guid, F.lit("http")), guid).otherwise(F.lit("")))], F.lit(""))
-    when = F.coalesce(*[T.feed_time(F.when(x != "", x)) for x in (_inner(F.col("entry"), t) for t in ("pubDate", "published", "updated", "dc:date"))])
-    out = rows.select(*keep, "observed_at", link.alias("link"), _inner(F.col("entry"), "title").alias("title"), _inner(F.col("entry"), "description", "summary", "content", "content:encoded").alias("body"), when.alias("published_at"))
-    return out.filter("link <> '' and title <> ''")
+    raw = {f"_{i}": F.nullif(F.regexp_extract("entry", rf"(?s)<{t}(?:\s[^>]*)?>(.*?)</{t}\s*>", 1), F.lit("")) for i, t in enumerate(tags)}
+    kept = [*keep, "observed_at"]
+    rows = once(rows, kept, _links=links, **raw)
+    rows = once(rows, [*kept, "_links"], **{n: _plain(F.col(n)) for n in raw})
+    rows = once(rows, [*kept, "_links"], **{n: F.nullif(X.strip_markup(F.col(n)), F.lit("")) for n in raw})
+    text = {t: F.col(n) for t, n in zip(tags, raw, strict=True)}
+    alternate = F.filter("_links", lambda x: F.contains(x, F.lit("href")) & (~F.rlike(x, F.lit(r"\brel\s*=")) | F.rlike(x, F.lit(r"\brel\s*=\s*[\"']alternate[\"']"))))
+    href = F.when(text["link"].isNull() & (F.size("_links") > 0), F.nullif(F.regexp_extract(F.coalesce(F.get(alternate, F.lit(0)), F.lit("")), r"href\s*=\s*[\"']([^\"']*)[\"']", 1), F.lit("")))
+    rows = once(rows, [*kept, *raw], _href=href)
+    has = F.contains("_href", F.lit("&"))
+    href = F.coalesce(F.when(~has, F.col("_href")), X._unescape(F.when(has, F.col("_href"))))
+    link = F.coalesce(text["link"], F.nullif(href, F.lit("")), F.when(F.startswith(text["guid"], F.lit("http")), text["guid"]))
+    rows = once(rows.filter(text["title"].isNotNull()), [*kept, *raw], link=link).filter("link is not null")
+    body = F.coalesce(*[text[t] for t in ("description", "summary", "content", "content:encoded")], F.lit(""))
+    when = F.coalesce(*[T.feed_time(text[t]) for t in ("pubDate", "published", "updated", "dc:date")])
+    return once(rows, [*kept, "link"], title=text["title"], body=body, published_at=when)
 
 
 def _path(path: str) -> str:
