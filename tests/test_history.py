@@ -66,3 +66,22 @@ def test_two_writers_cannot_publish_the_same_version(spark, tmp_path):
     tables.publish(spark, path, "{}")
     with pytest.raises(RuntimeError, match="another writer"):
         tables.publish(spark, path, "{}", seen=[])
+
+
+def test_a_put_computes_its_rows_once(spark, tmp_path):
+    """However often a put looks at its rows, they are computed once; equal rows, changed ones, new ones and those that aren't put come out by themselves."""
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for b in batches:
+            seen.add(len(b))
+            yield b
+
+    table = history.History(spark, str(tmp_path / "h"), "k")
+    put = lambda rows, at: table.put(spark.createDataFrame(rows, "k string, v long").coalesce(1).mapInPandas(counted, "k string, v long"), at)
+    assert put([("a", 1), ("b", 2), ("c", None)], "2026-01-01T00:00:00Z")
+    assert put([("a", 1), ("b", 3), ("c", None), ("d", 4), (None, 5)], "2026-01-02T00:00:00Z")
+    assert not put([("a", 1), ("d", 4)], "2026-01-03T00:00:00Z")
+    assert seen.value == 3 + 5 + 2
+    assert sorted((r.k, r.v, r.valid_from.day) for r in table.read().collect()) == [("a", 1, 1), ("b", 3, 2), ("c", None, 1), ("d", 4, 2)]
+    assert sorted((r.k, r.v) for r in table.read("2026-01-01T12:00:00Z").collect()) == [("a", 1), ("b", 2), ("c", None)]

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types
 
 from tidemark.functions import time as T
-from tidemark.sources import tables
+from tidemark.sources import shared, tables
 
 
 class History:
@@ -46,22 +46,31 @@ class History:
         n = old["buckets"] if old else self.buckets
         text = F.to_json(F.struct(*rows.columns))
         best = F.row_number().over(Window.partitionBy(*self.key).orderBy(text.desc()))
-        new = rows.dropna(subset=self.key).withColumn("_nth", best).filter("_nth = 1").drop("_nth").withColumns({"valid_from": T.at(at), "_digest": F.sha2(text, 256), "_bucket": self._bucket(n)})
+        # rows are computed once: what follows reads them from a table
+        new = shared.kept(rows.dropna(subset=self.key).withColumn("_nth", best).filter("_nth = 1").drop("_nth").withColumn("_bucket", self._bucket(n)), "history-new")
         # at most as many as there are buckets
         touched = sorted(r["_bucket"] for r in new.select("_bucket").distinct().collect())
-        schema = types.StructType([*rows.schema.fields, types.StructField("valid_from", types.TimestampType()), types.StructField("_digest", types.StringType())])
+        schema = types.StructType([*rows.schema.fields, types.StructField("valid_from", types.TimestampType())])
         if old and types.StructType.fromJson(old["schema"]).fieldNames() != rows.schema.fieldNames():
             raise ValueError("the table has other columns")
-        held = self._read([old["open"][str(b)] for b in touched if str(b) in old["open"]] if old else [], schema).withColumn("_bucket", self._bucket(n))
-        same = [*self.key, "_digest"]
-        changed = new.join(held.select(*same), same, "left_anti")
-        ended = held.join(changed.select(*self.key), self.key, "left_semi")
-        kept = held.join(changed.select(*self.key), self.key, "left_anti")
+        held = self._read([old["open"][str(b)] for b in touched if str(b) in old["open"]] if old else [], schema)
         name = uuid.uuid4().hex
-        if old and changed.isEmpty():
-            return False
-        kept.unionByName(changed).repartition("_bucket").write.partitionBy("_bucket").parquet(f"{self.path}/open-{name}")
-        ended.drop("_bucket").withColumn("valid_to", T.at(at)).write.parquet(f"{self.path}/closed-{name}")
+        # one join tells of each key what it was and what it is; a version is written with whether it is open, and new
+        whole = [*rows.columns, "valid_from"]
+        then, now_ = F.struct(*whole), F.struct(*rows.columns, F.lit(T.instant(at)).alias("valid_from"))
+        pairs = new.select(*self.key, now_.alias("_now")).join(held.select(*self.key, then.alias("_then")), self.key, "full")
+        as_text = lambda side: F.to_json(F.struct(*[F.col(side)[c].alias(c) for c in rows.columns]))
+        same = F.col("_now").isNotNull() & F.col("_then").isNotNull() & (as_text("_now") == as_text("_then"))
+        stays = F.col("_then").isNotNull() & (F.col("_now").isNull() | same)
+        version = lambda when, row, is_open, is_new: F.when(when, F.struct(F.col(row).alias("row"), F.lit(is_open).alias("open"), F.lit(is_new).alias("new")))
+        made_of = F.array_compact(F.array(version(stays, "_then", True, False), version(F.col("_now").isNotNull() & ~same, "_now", True, True), version(F.col("_then").isNotNull() & ~stays, "_then", False, False)))
+        versions = pairs.select(F.inline(made_of)).select("row.*", "open", "new")
+        if old:
+            versions = shared.kept(versions, "history-put")
+            if versions.filter("new").isEmpty():
+                return False
+        versions.filter("open").select(*whole).withColumn("_bucket", self._bucket(n)).repartition("_bucket").write.partitionBy("_bucket").parquet(f"{self.path}/open-{name}")
+        versions.filter("not open").select(*whole).withColumn("valid_to", T.at(at)).write.parquet(f"{self.path}/closed-{name}")
         made = {"at": now, "buckets": n, "schema": rows.schema.jsonValue(), "open": {**(old["open"] if old else {}), **{str(b): f"open-{name}/_bucket={b}" for b in touched}}, "closed": [*(old["closed"] if old else []), {"folder": f"closed-{name}", "at": now}], "since": old["since"] if old else None}
         self._publish(made, seen)
         return True
