@@ -21,11 +21,26 @@ def folder(spark: SparkSession, tag: str) -> str:
     return f"{found.rstrip('/')}/{tag}-{uuid.uuid4().hex}"
 
 
-def kept(df: DataFrame, tag: str) -> DataFrame:
-    """df as a table in a new shared folder: computed once, however often it is read."""
-    path = folder(df.sparkSession, tag)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+def kept(df: DataFrame, tag: str, *, keep_exchanged: bool = True) -> DataFrame:
+    """df as a table in a new shared folder: computed once, however often it is read. keep_exchanged: else what was exchanged on the way is removed from the executors' disks at once."""
+    conf, name = df.sparkSession.conf, "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    path, before = folder(df.sparkSession, tag), conf.get(name)
+    try:
+        if not keep_exchanged:
+            conf.set(name, "true")
+        df.write.parquet(path)
+    finally:
+        conf.set(name, before)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out._tidemark_path = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Removes kept tables that nothing still to be computed reads."""
+    for df in tables:
+        where = df.sparkSession._jvm.org.apache.hadoop.fs.Path(df._tidemark_path)
+        where.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(where, True)
 
 
 def once(rows: DataFrame, keep: Sequence[str], **columns: Column) -> DataFrame:
