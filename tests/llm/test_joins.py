@@ -175,6 +175,21 @@ def test_components_of_paths_and_stars(spark):
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
 
 
+def test_components_of_few_edges_take_no_rounds_and_of_many_are_the_same(spark, monkeypatch):
+    from tidemark.llm import components as module
+
+    tags, kept = [], module.C.materialise
+    monkeypatch.setattr(module.C, "materialise", lambda df, tag, **o: (tags.append(tag), kept(df, tag, **o))[1])
+    path = [(i, i + 1) for i in range(120)] + [(500, 400), (400, 450), (7, 7), (900, 900)]
+    edges = spark.createDataFrame(path, "a long, b long")
+    want = {i: 0 for i in range(121)} | {400: 400, 450: 400, 500: 400}
+    assert {r.node: r.label for r in components(edges).collect()} == want
+    assert not any("star" in t for t in tags)
+    monkeypatch.setattr(module, "PORTION", 10)
+    assert {r.node: r.label for r in components(edges).collect()} == want
+    assert any("star" in t for t in tags)
+
+
 @pytest.mark.parametrize(("block", "queries"), [(64, 3), (100000, 256), (7, 1)])
 def test_top_k_like_brute_force(spark, block, queries):
     rng = np.random.default_rng(block)
