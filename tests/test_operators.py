@@ -253,3 +253,14 @@ def test_latest_points_of_a_long_series_meet_in_no_task(spark):
     assert [tuple(r) for r in found.collect()] == want
     assert "Window" not in found._jdf.queryExecution().executedPlan().toString()
     assert [r.label for r in evidence.latest_points(events, 2).collect()] == [None, "a"]
+
+
+def test_references_are_the_same_in_portions(spark, monkeypatch):
+    """Each portion is a walk of its own, so what a task reads of it is bounded."""
+    docs = spark.createDataFrame([(str(i), '{"basis":["e%d",{"event_id":"f%d"}],"x":{"y":[{"event_ids":["g%d"]}]}}' % (i, i, i)) for i in range(12)] + [("12", "no JSON"), ("13", None), (None, '{"event_id":"h"}')], "k string, t string")
+    rows = lambda df: sorted((r.k or "", r.path, r.event_id) for r in df.collect())
+    whole = rows(evidence.cited(docs, "k", "t"))
+    monkeypatch.setattr(evidence, "PORTION", 300)
+    parts = evidence.cited(docs, "k", "t")
+    assert rows(parts) == whole and len(whole) == 37
+    assert parts._jdf.queryExecution().analyzed().toString().count("UnionLoop ") + parts._jdf.queryExecution().analyzed().toString().count("WithCTE") >= 3

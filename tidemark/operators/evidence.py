@@ -93,24 +93,34 @@ def ungrounded(cited: DataFrame, known: DataFrame, keys: Sequence[str] = ()) ->
     return cited.filter("event_id is not null").join(known.select(*keys, "event_id").distinct(), [*keys, "event_id"], "left_anti")
 
 
+#: Bytes of JSON that are walked at once.
+PORTION = 256_000_000
+
+
 def cited(documents: DataFrame, key: str, text: str, name: str = "event_id") -> DataFrame:
     """key, path, event_id of every reference in documents (JSON text): strings under `name`, its plural or `basis`, alone or in a list, at any depth.
 
-    Documents are walked level by level in the plan, all at once, by a recursive query over VARIANT; text that is no JSON cites nothing. A
+    Documents are walked level by level in the plan, by a recursive query over VARIANT for each PORTION of their text, as all that such a query
+    finds on its way meets in a fixed number of tasks; text that is no JSON cites nothing. A
     document nested deeper than 1,000 levels is an error. Lifts the session's limit on the rows of such queries.
     """
     spark = documents.sparkSession
     spark.conf.set("spark.sql.cteRecursionRowLimit", "-1")
     names = ", ".join(f"'{n}'" for n in (name, f"{name}s", "basis"))
-    rows = documents.select(F.col(key).alias("key"), F.try_parse_json(text).alias("v"))
-    # listed: how many lists lie between a value and the name that it is under
-    found = spark.sql(
-        """WITH RECURSIVE walk(key, path, name, listed, v) MAX RECURSION LEVEL 1000 AS (
-             SELECT key, '$', CAST(NULL AS STRING), 0, v FROM {rows} WHERE v IS NOT NULL
-             UNION ALL
-             SELECT w.key, concat(w.path, CASE WHEN e.key IS NULL THEN concat('[', e.pos, ']') ELSE concat('.', e.key) END), coalesce(e.key, w.name), CASE WHEN e.key IS NULL THEN w.listed + 1 ELSE 0 END, e.value
-             FROM walk w, LATERAL variant_explode(w.v) AS e(pos, key, value))
-           SELECT key, path, try_variant_get(v, '$', 'string') AS event_id FROM walk WHERE listed <= 1 AND name IN (""" + names + ") AND schema_of_variant(v) = 'STRING'",
-        rows=rows,
-    )
+    rows = documents.select(F.col(key).alias("key"), F.col(text).alias("text"))
+    portions = -(-(rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0) // PORTION) or 1
+    found = []
+    for i in range(portions):
+        here = rows.filter(F.pmod(F.xxhash64("key"), F.lit(portions)) == i) if portions > 1 else rows
+        # listed: how many lists lie between a value and the name that it is under
+        found.append(spark.sql(
+            """WITH RECURSIVE walk(key, path, name, listed, v) MAX RECURSION LEVEL 1000 AS (
+                 SELECT key, '$', CAST(NULL AS STRING), 0, v FROM {rows} WHERE v IS NOT NULL
+                 UNION ALL
+                 SELECT w.key, concat(w.path, CASE WHEN e.key IS NULL THEN concat('[', e.pos, ']') ELSE concat('.', e.key) END), coalesce(e.key, w.name), CASE WHEN e.key IS NULL THEN w.listed + 1 ELSE 0 END, e.value
+                 FROM walk w, LATERAL variant_explode(w.v) AS e(pos, key, value))
+               SELECT key, path, try_variant_get(v, '$', 'string') AS event_id FROM walk WHERE listed <= 1 AND name IN (""" + names + ") AND schema_of_variant(v) = 'STRING'",
+            rows=here.select("key", F.try_parse_json("text").alias("v")),
+        ))
+    found = reduce(DataFrame.unionByName, found)
     return found.withColumnRenamed("key", key)
