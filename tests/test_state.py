@@ -51,3 +51,37 @@ def test_a_late_day_goes_on_where_it_was_left(spark, tmp_path):
         rows(spark, batch).write.mode("append").parquet(arriving)
         clusters.follow(spark.readStream.schema(COLUMNS).parquet(arriving), found, state).awaitTermination()
     assert {r.raw_id: r.duplicate_of for r in spark.read.parquet(found).collect()} == {"r1": None, "r2": None, "r3": "r1"}
+
+
+class _Map:
+    """Stands in for a map of a day's state and counts what is asked of it."""
+
+    def __init__(self):
+        self.held, self.calls = {}, 0
+
+    def iterator(self):
+        return iter(list(self.held.items()))
+
+    def getValue(self, key):  # noqa: N802
+        self.calls += 1
+        return self.held.get(key)
+
+    def updateValue(self, key, value):  # noqa: N802
+        self.calls += 1
+        self.held[key] = value
+
+
+def test_a_large_batch_asks_the_state_by_entry_and_not_by_key(monkeypatch):
+    monkeypatch.setattr(clusters, "BUCKETS", 16, raising=False)
+    maps = {"clusters": _Map(), "keys": _Map()}
+    handle = type("Handle", (), {"getMapState": lambda self, name, k, v: maps[name]})()
+    made = [(f"r{i:04}", f"s{i % 3}", i, f"u{i}", f"h{i % 700}", None, []) for i in range(1000)]
+    whole = dedup.pd.DataFrame(made, columns=["raw_id", "source_id", "observed_at", "canonical_url", "content_hash", "event_key", "tokens"])
+    got = []
+    for part in (whole[:600], whole[600:]):
+        day = clusters.DayClusters(("canonical_url", "content_hash"))
+        day.init(handle)
+        got += list(day.handleInputRows(None, iter([part]), None))
+    want = dedup.Day(dedup.frequencies(whole), methods=("canonical_url", "content_hash")).put_all(whole)
+    assert dedup.pd.concat(got, ignore_index=True).equals(want)
+    assert maps["keys"].calls <= 2 * 2 * 16 and maps["clusters"].calls <= 2 * (1000 // clusters.CHUNK + 2)

@@ -4,13 +4,14 @@ A day's clusters are keyed state: the first row, sources and words of each clust
 that brings documents of a day, today's or one long past, continues that day where it was left; days it has none of aren't touched.
 Batches that arrive in the order of observation give the clusters that one batch would.
 
-Of the keys only those of the batch's own rows are looked up; the clusters of a day that the batch touches are read, as the rule
-compares a document with all of them, and only changed ones are written back. A row that comes again with the same id joins the cluster of its URL.
+Of the keys only the buckets of the batch's own rows are looked up; the clusters of a day that the batch touches are read, as the rule
+compares a document with all of them, and only entries with changed ones are written back. A row that comes again with the same id joins the cluster of its URL.
 Rows without an event day, which no day can hold, are left out.
 """
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator, Sequence
 
 import pandas as pd
@@ -23,36 +24,52 @@ from tidemark.functions import ids
 from tidemark.operators import dedup
 
 ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-_NUMBER = T.StructType([T.StructField("n", T.IntegerType())])
-_CLUSTER = T.StructType([T.StructField("first", T.StringType()), T.StructField("sources", T.ArrayType(T.StringType())), T.StructField("tokens", T.ArrayType(T.StringType()))])
-_KEY = T.StructType([T.StructField("kind", T.StringType()), T.StructField("key", T.StringType())])
+#: Clusters of one entry of the state, and the entries that a day's keys are dealt to: a batch that brings many documents asks for each entry once, not for each key.
+CHUNK, BUCKETS = 32, 4096
+_AT = T.StructType([T.StructField("n", T.IntegerType())])
+_WORDS = T.ArrayType(T.StringType())
+_CLUSTERS = T.StructType([T.StructField("first", _WORDS), T.StructField("sources", T.ArrayType(_WORDS)), T.StructField("tokens", T.ArrayType(_WORDS))])
+_KEYS = T.StructType([T.StructField("kind", _WORDS), T.StructField("key", _WORDS), T.StructField("n", T.ArrayType(T.IntegerType()))])
+
+
+def _bucket(kind: str, key: str) -> int:
+    return zlib.crc32(f"{kind} {key}".encode("utf-8", "surrogatepass")) % BUCKETS
 
 
 class DayClusters(StatefulProcessor):
-    """One event day: clusters by number, and the number of the cluster of each key."""
+    """One event day: clusters by number, CHUNK an entry, and the number of the cluster of each key, by bucket."""
 
     def __init__(self, methods: Sequence[str] = dedup.METHODS):
         self.methods = tuple(methods)
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.clusters = handle.getMapState("clusters", _NUMBER, _CLUSTER)
-        self.keys = handle.getMapState("keys", _KEY, _NUMBER)
+        self.clusters = handle.getMapState("clusters", _AT, _CLUSTERS)
+        self.keys = handle.getMapState("keys", _AT, _KEYS)
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:  # noqa: N802, N803
         batch = pd.concat(list(rows), ignore_index=True)
-        held = {n[0]: dedup.Cluster(c[0], set(c[1] or ()), set(c[2] or ())) for n, c in self.clusters.iterator()}
+        chunks = {at[0]: [dedup.Cluster(f, set(s or ()), set(t or ())) for f, s, t in zip(*c, strict=True)] for at, c in self.clusters.iterator()}
+        buckets: dict[int, dict[tuple[str, str], int]] = {}
 
-        def known(kind: str, value: str) -> int | None:
-            found = self.keys.getValue((kind, value))
-            return None if found is None else found[0]
+        def bucket(at: int) -> dict[tuple[str, str], int]:
+            if at not in buckets:
+                found = self.keys.getValue((at,))
+                buckets[at] = {(k, v): n for k, v, n in zip(*found, strict=True)} if found else {}
+            return buckets[at]
 
-        day = dedup.Day(dedup.frequencies(batch), [held[i] for i in range(len(held))], known, self.methods)
+        day = dedup.Day(dedup.frequencies(batch), [c for i in range(len(chunks)) for c in chunks[i]], lambda kind, value: bucket(_bucket(kind, value)).get((kind, value)), self.methods)
         made = day.put_all(batch)
-        for n in day.changed:
-            c = day.clusters[n]
-            self.clusters.updateValue((n,), (c.first, sorted(c.sources), sorted(c.tokens)))
+        for i in sorted({n // CHUNK for n in day.changed}):
+            cs = day.clusters[i * CHUNK : (i + 1) * CHUNK]
+            self.clusters.updateValue((i,), ([c.first for c in cs], [sorted(c.sources) for c in cs], [sorted(c.tokens) for c in cs]))
+        changed = set()
         for k, n in day.keys.items():
-            self.keys.updateValue(k, (n,))
+            at = _bucket(*k)
+            bucket(at)[k] = n
+            changed.add(at)
+        for at in sorted(changed):
+            held = buckets[at]
+            self.keys.updateValue((at,), ([k for k, _ in held], [v for _, v in held], list(held.values())))
         yield made
 
     def close(self) -> None:
