@@ -34,7 +34,7 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, the token ids, their number and checksums, of each document."""
-    return bpe.encode_decode(docs).drop("decoded")
+    return bpe.encode_decode(docs, decoded=False)
 
 
 STAGES: list[tuple[str, Stage]] = [("toxicity", toxic), ("exact_dedup", copies), ("ngram_jaccard", near_copies), ("mixing", mixed), ("byte_bpe", encoded)]

@@ -27,10 +27,12 @@ from pyspark.sql import functions as F
 from . import common as C
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
-#: Pre-tokens whose ids a worker remembers; the memory is emptied when full.
-REMEMBERED = 400_000
+#: Pre-tokens whose ids a worker remembers at most in each of two generations; when the younger is full it replaces the older.
+REMEMBERED = 100_000
 #: Only shorter pre-tokens are remembered.
 REMEMBERED_CHARS = 40
+#: A worker hands on what it has once ids and decoded bytes come to this.
+PORTION_BYTES = 4 << 20
 
 
 def read_ranks(data: bytes) -> list[bytes]:
@@ -132,6 +134,7 @@ class Codec:
         self.model.LoadFromSerializedProto(serialise_model(self.tokens))
         self.cut = compile_cut(pattern, newer_characters() if newer is None else newer)
         self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     def _ids(self, pre_tokens: list[str]) -> list[bytes]:
         """The ids of each pre-token, as little-endian 32-bit integers."""
@@ -142,20 +145,21 @@ class Codec:
 
     def encode(self, text: str) -> bytes:
         """The text's ids as little-endian 32-bit integers."""
-        pre, known = self.cut(text), self.known
-        new = [p for p in set(pre) if p not in known]
+        pre, known, older = self.cut(text), self.known, self.older
         here = known
+        new = [p for p in set(pre) if p not in known]
         if new:
-            found = dict(zip(new, self._ids(new), strict=True))
-            if len(known) + len(found) > REMEMBERED:
-                known.clear()
-                here = dict(zip(set(pre), self._ids(list(set(pre))), strict=True)) if len(found) < len(set(pre)) else found
-                found = {k: v for k, v in here.items() if len(k) <= REMEMBERED_CHARS}
-                known.update(found if len(found) <= REMEMBERED else {})
+            found = {p: older[p] for p in new if p in older}
+            unseen = [p for p in new if p not in found]
+            found.update(zip(unseen, self._ids(unseen), strict=True))
+            kept = {k: v for k, v in found.items() if len(k) <= REMEMBERED_CHARS}
+            full = len(known) + len(kept) > REMEMBERED
+            if full or len(kept) < len(found):
+                here = {p: found[p] if p in found else known[p] for p in set(pre)}
+            if full:
+                self.older, self.known = known, kept if len(kept) <= REMEMBERED else {}
             else:
-                known.update((k, v) for k, v in found.items() if len(k) <= REMEMBERED_CHARS)
-                if any(len(k) > REMEMBERED_CHARS for k in found):
-                    here = _Two(found, known)
+                known.update(kept)
         return b"".join([here[p] for p in pre])
 
     def decode(self, ids: bytes) -> bytes:
@@ -163,17 +167,6 @@ class Codec:
         return b"".join([tokens[i] for i in memoryview(ids).cast("I")])
 
 
-class _Two(dict):
-    """A mapping that falls back on another."""
-
-    def __init__(self, first: dict, second: dict):
-        super().__init__(first)
-        self.second = second
-
-    def __missing__(self, key):
-        return self.second[key]
-
-
 _codecs: dict[tuple[int, str], Codec] = {}
 
 
@@ -190,8 +183,25 @@ def _read(path: str | None) -> bytes:
         return f.read()
 
 
-def encode_decode(docs: DataFrame, *, vocabulary: str | None = None, pattern: str | None = None, id_col: str = "doc_id", text_col: str = "text", contents: bool = True) -> DataFrame:
-    """doc_id, n_tokens, ids_sha256, decoded_sha256; with contents also ids (little-endian 32-bit) and decoded bytes."""
+def encoded(codec: Codec, batches: Iterator[pa.RecordBatch], schema: pa.Schema) -> Iterator[pa.RecordBatch]:
+    """The rows of schema (see encode_decode) of batches of ids and texts, in batches of PORTION_BYTES and a row at most."""
+    for batch in batches:
+        cols, held = [[] for _ in schema], 0
+        for doc, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+            ids = codec.encode(text.as_py() or "")
+            back = codec.decode(ids)
+            row = [doc, len(ids) // 4, hashlib.sha256(ids).hexdigest(), hashlib.sha256(back).hexdigest(), ids, back]
+            for c, v in zip(cols, row, strict=False):
+                c.append(v)
+            held += sum(map(len, row[4 : len(cols)]))
+            if held >= PORTION_BYTES:
+                yield pa.record_batch([pa.array(c, f.type) for c, f in zip(cols, schema, strict=True)], schema=schema)
+                cols, held = [[] for _ in schema], 0
+        yield pa.record_batch([pa.array(c, f.type) for c, f in zip(cols, schema, strict=True)], schema=schema)
+
+
+def encode_decode(docs: DataFrame, *, vocabulary: str | None = None, pattern: str | None = None, id_col: str = "doc_id", text_col: str = "text", contents: bool = True, decoded: bool = True) -> DataFrame:
+    """doc_id, n_tokens, ids_sha256, decoded_sha256; with contents also ids (little-endian 32-bit) and, unless they are left out, decoded bytes."""
     if pattern is None:
         import public_tokenizers
 
@@ -200,20 +210,11 @@ def encode_decode(docs: DataFrame, *, vocabulary: str | None = None, pattern: st
     ranks = docs.sparkSession.sparkContext.broadcast(_read(vocabulary))
     newer = newer_characters()
     fields = [("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("ids_sha256", pa.string()), ("decoded_sha256", pa.string())]
-    fields += [("ids", pa.binary()), ("decoded", pa.binary())] * contents
+    fields += [("ids", pa.binary()), ("decoded", pa.binary())][: contents * (1 + decoded)]
     schema = pa.schema(fields)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = codec_for(ranks.value, pattern, newer)
-        for batch in batches:
-            cols: list[list] = [[] for _ in fields]
-            for doc, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                ids = codec.encode(text.as_py() or "")
-                decoded = codec.decode(ids)
-                row = [doc, len(ids) // 4, hashlib.sha256(ids).hexdigest(), hashlib.sha256(decoded).hexdigest(), ids, decoded]
-                for c, v in zip(cols, row, strict=False):
-                    c.append(v)
-            yield pa.record_batch([pa.array(c, f[1]) for c, f in zip(cols, fields, strict=True)], schema=schema)
+        return encoded(codec_for(ranks.value, pattern, newer), batches, schema)
 
     names = {"int64": "long", "string": "string", "binary": "binary"}
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(run, ", ".join(f"{n} {names[str(t)]}" for n, t in fields))
