@@ -169,3 +169,18 @@ def test_tags_of_feeds_are_read_once_an_entry(spark):
     got = sorted((r.title, r.link, r.body, f"{r.published_at:%d %H}") for r in found.select("title", "link", "body", "published_at").collect())
     assert got == [("A & b", "http://x.org/g", "one <two", "05 10"), ("B", "http://x.org/?a=1&b=2", "", "06 00"), ("E", "http://x.org/e", "", "05 10")]
     assert found._jdf.queryExecution().optimizedPlan().toString().count("<title") == 1
+
+
+def test_entries_of_feeds_pass_two_python_nodes(spark):
+    """Three nodes stood above one another, each with a worker of its own in every task."""
+    item = "<item>{}<title>{}</title><description>{}</description></item>"
+    items = [
+        ("<link>https://x.org/1?a=1&amp;b=2</link>", "A &amp;amp; &lt;b&gt;B&lt;/b&gt;", "<![CDATA[<i>c</i> &amp;lt; d]]>"), ('<link rel="alternate" href="https://x.org/2?a=&lt;b&amp;c"/>', "plain", "a < b > c"),
+        ("<link>https://x.org/3</link>", "<![CDATA[ R&D ]]>", "&nbsp;x&nbsp;"), ("<link>https://x.org/4</link>", "<![CDATA[]]>t", "<![CDATA[e &lt;g&gt; f]]>"),
+    ]
+    rows = spark.createDataFrame([("s", "<rss>" + "".join(item.format(*i) for i in items) + "</rss>", None)], "source_id string, payload string, observed_at timestamp")
+    found = feeds.feed_entries(rows)
+    assert found._jdf.queryExecution().executedPlan().toString().count("ArrowEvalPython [") <= 2
+    assert {(r.link, r.title, r.body) for r in found.collect()} == {
+        ("https://x.org/1?a=1&b=2", "A &  B", "c  &lt; d"), ("https://x.org/3", "R&D", "x"), ("https://x.org/4", "t", "e <g> f"), ("https://x.org/2?a=<b&c", "plain", "a   c"),
+    }

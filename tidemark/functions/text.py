@@ -31,6 +31,11 @@ def _unescape(texts: pd.Series) -> pd.Series:
     return texts.map(lambda t: None if t is None else unescape(t))
 
 
+@F.pandas_udf(StringType())
+def _content(texts: pd.Series, verbatim: pd.Series) -> pd.Series:
+    return pd.Series([None if t is None else unescape(re.sub("<[^>]+>", " ", t if v else unescape(t))) for t, v in zip(texts, verbatim, strict=True)], dtype=object)
+
+
 def nfkc(text: Column) -> Column:
     """Compatibility composition. ASCII, which it can't change, reaches the plan's Python node as null and costs no work there."""
     plain = F.octet_length(text) == F.length(text)
@@ -54,6 +59,12 @@ def strip_markup(text: Column) -> Column:
     return trim_space(F.coalesce(F.when(~has, bare), _unescape(F.when(has, bare))))
 
 
+def content_of(text: Column, verbatim: Column) -> Column:
+    """strip_markup of a tag's content, whose references are resolved first unless it is verbatim (CDATA): both in one Python function, which text without an ampersand reaches as null."""
+    has = F.contains(text, F.lit("&"))
+    return trim_space(F.coalesce(F.when(~has, F.regexp_replace(text, "<[^>]+>", " ")), _content(F.when(has, text), verbatim)))
+
+
 def trim_space(text: Column) -> Column:
     return F.regexp_replace(text, r"(?U)^[\s\x1c-\x1f]+|[\s\x1c-\x1f]+$", "")
 

@@ -27,11 +27,9 @@ def problem(payload: Column) -> Column:
     return F.when(F.startswith(head, F.lit("<!doctype html")) | F.startswith(head, F.lit("<html")), "html").when(F.coalesce(entries, F.lit(0)) == 0, "empty")
 
 
-def _plain(raw: Column) -> Column:
-    """The text of a tag's content: CDATA unwrapped, references resolved. Text without an ampersand reaches the plan's Python node as null."""
-    cdata = F.when(F.contains(raw, F.lit("<![CDATA[")), F.nullif(F.regexp_extract(raw, r"(?s)^\s*<!\[CDATA\[(.*?)\]\]>\s*$", 1), F.lit("")))
-    has = F.contains(raw, F.lit("&"))
-    return F.coalesce(cdata, F.when(~has, raw), X._unescape(F.when(has & cdata.isNull(), raw)))
+def _cdata(raw: Column) -> Column:
+    """What a tag's content holds as CDATA; null where it is no CDATA."""
+    return F.when(F.contains(raw, F.lit("<![CDATA[")), F.nullif(F.regexp_extract(raw, r"(?s)^\s*<!\[CDATA\[(.*?)\]\]>\s*$", 1), F.lit("")))
 
 
 def _own_names(payload: Column) -> Column:
@@ -47,21 +45,21 @@ def feed_entries(payloads: DataFrame, keep: Sequence[str] = ("source_id",)) -> D
     # entries count only where there are no items
     entry = F.explode(F.when(F.size(items) > 0, items).otherwise(entries))
     rows = payloads.withColumn("payload", _own_names(F.col("payload"))).select(*keep, "observed_at", entry.alias("entry"))
-    # each step is computed once an entry: contents of tags, their references, their text
+    # each step is computed once an entry: contents of tags, what is CDATA, their text; references of texts and of the address are resolved in this one step
     tags = ("link", "guid", "title", "description", "summary", "content", "content:encoded", "pubDate", "published", "updated", "dc:date")
     links = F.regexp_extract_all("entry", F.lit(r"(<link\s[^>]*>)"), 1)
     raw = {f"_{i}": F.nullif(F.regexp_extract("entry", rf"(?s)<{t}(?:\s[^>]*)?>(.*?)</{t}\s*>", 1), F.lit("")) for i, t in enumerate(tags)}
     kept = [*keep, "observed_at"]
     rows = once(rows, kept, _links=links, **raw)
-    rows = once(rows, [*kept, "_links"], **{n: _plain(F.col(n)) for n in raw})
-    rows = once(rows, [*kept, "_links"], **{n: F.nullif(X.strip_markup(F.col(n)), F.lit("")) for n in raw})
-    text = {t: F.col(n) for t, n in zip(tags, raw, strict=True)}
     alternate = F.filter("_links", lambda x: F.contains(x, F.lit("href")) & (~F.rlike(x, F.lit(r"\brel\s*=")) | F.rlike(x, F.lit(r"\brel\s*=\s*[\"']alternate[\"']"))))
-    href = F.when(text["link"].isNull() & (F.size("_links") > 0), F.nullif(F.regexp_extract(F.coalesce(F.get(alternate, F.lit(0)), F.lit("")), r"href\s*=\s*[\"']([^\"']*)[\"']", 1), F.lit("")))
-    rows = once(rows, [*kept, *raw], _href=href)
+    href = F.when(F.size("_links") > 0, F.nullif(F.regexp_extract(F.coalesce(F.get(alternate, F.lit(0)), F.lit("")), r"href\s*=\s*[\"']([^\"']*)[\"']", 1), F.lit("")))
+    rows = once(rows, [*kept, *raw], _href=href, **{f"_cdata{n}": _cdata(F.col(n)) for n in raw})
     has = F.contains("_href", F.lit("&"))
     href = F.coalesce(F.when(~has, F.col("_href")), X._unescape(F.when(has, F.col("_href"))))
-    link = F.coalesce(text["link"], F.nullif(href, F.lit("")), F.when(F.startswith(text["guid"], F.lit("http")), text["guid"]))
+    texts = {n: X.content_of(F.coalesce(f"_cdata{n}", n), F.col(f"_cdata{n}").isNotNull()) for n in raw}
+    rows = once(rows, kept, _href=href, **{n: F.nullif(c, F.lit("")) for n, c in texts.items()})
+    text = {t: F.col(n) for t, n in zip(tags, raw, strict=True)}
+    link = F.coalesce(text["link"], F.nullif("_href", F.lit("")), F.when(F.startswith(text["guid"], F.lit("http")), text["guid"]))
     rows = once(rows.filter(text["title"].isNotNull()), [*kept, *raw], link=link).filter("link is not null")
     body = F.coalesce(*[text[t] for t in ("description", "summary", "content", "content:encoded")], F.lit(""))
     when = F.coalesce(*[T.feed_time(text[t]) for t in ("pubDate", "published", "updated", "dc:date")])
