@@ -78,3 +78,14 @@ def test_statistics_have_no_keyword_signals(spark):
 def test_values_and_prohibited_words(spark):
     assert column(spark, [1234567.0, 1.5, 0.1234, 2.0], X.format_value, "double") == ["1,234,567", "1.5", "0.123", "2"]
     assert column(spark, ["(NASDAQ: NVDA)", "$AAPL up", "top 10 picks", "第3位", "plain words"], X.prohibited) == [True, True, True, True, False]
+
+
+def test_tokens_of_and_compared_are_the_expressions_in_one_python_node(spark):
+    """Markup of URLs, CJK runs, compatibility forms, white space of all kinds, empty texts."""
+    texts = ["", "  ", "The\tcat\x1csat on a-b.c_d http://x.yz/q?a=b　end", "HTTPS://X.YZ now", "KK ﬁne İx ΣΣ", "a 日 日本語 テスト ｱｲｳ", "don't re-do 3.14 x", "é\ńe \x85 z9"]
+    df = spark.createDataFrame([(i, a, b) for i, (a, b) in enumerate((a, b) for a in texts for b in texts)], "i int, a string, b string")
+    got = df.select(X.tokens_of(F.col("b")).alias("t"), X.compared(F.col("a"), F.col("b")).alias("c"), X.tokens(X.normalize_text(F.col("b"))).alias("t2"), X.normalize_text(F.col("a")).alias("a2"), X.content_hash(F.col("a"), F.col("b")).alias("h2"), X.tokens(X.normalize_text(F.concat_ws("\n", "a", "b"))).alias("both"))
+    for r in got.collect():
+        assert (r.t, r.c.title, r.c.content_hash, r.c.tokens) == (r.t2, r.a2, r.h2, r.both)
+    plan = df.select(X.tokens_of(F.col("b")).alias("t")).filter("size(t) > 0").select("t", F.size("t"))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ArrowEvalPython") == 1 and "regexp" not in plan

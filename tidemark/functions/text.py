@@ -12,9 +12,10 @@ from collections.abc import Iterable
 from html import unescape
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
+from pyspark.sql.types import ArrayType, StringType, StructField, StructType
 
 from tidemark import fixed
 
@@ -133,6 +134,56 @@ def tokens(normal: Column) -> Column:
     return F.array_distinct(F.concat(words, pairs))
 
 
+_WORD = re.compile(r"[a-z0-9]+(?:[.\-_][a-z0-9]+)*")
+_RUN = re.compile(f"[{fixed.CJK}]+")
+
+
+def _lowered(text: str) -> str:
+    """_normal without its last step: white space is as it was."""
+    t = text if text.isascii() else unicodedata.normalize("NFKC", text)
+    return (re.sub(r"https?://\S+", " ", t) if "://" in t else t).lower()
+
+
+def _tokens(lowered: str) -> list[str]:
+    """As tokens does, of lower-cased text."""
+    found = dict.fromkeys(w for w in _WORD.findall(lowered) if len(w) > 1)
+    if not lowered.isascii():
+        for run in _RUN.findall(lowered):
+            found.update(dict.fromkeys([run] if len(run) == 1 else [run[i : i + 2] for i in range(len(run) - 1)]))
+    return list(found)
+
+
+@F.arrow_udf(ArrayType(StringType()))
+def _tokens_of(texts: pa.Array) -> pa.Array:
+    return pa.array([None if t is None else _tokens(_lowered(t)) for t in texts.to_pylist()], pa.list_(pa.string()))
+
+
+@F.arrow_udf(StructType([StructField("title", StringType()), StructField("content_hash", StringType()), StructField("tokens", ArrayType(StringType()))]))
+def _compared(titles: pa.Array, bodies: pa.Array) -> pa.Array:
+    title, hashed, words = [], [], []
+    for parts in zip(titles.to_pylist(), bodies.to_pylist(), strict=True):
+        low = [_lowered(p) for p in parts]
+        flat = [" ".join(t.split()) for t in low]
+        title.append(flat[0])
+        hashed.append(hashlib.sha256("\n".join(f for f, p in zip(flat, parts, strict=True) if p).encode()).hexdigest())
+        words.append(_tokens("\n".join(low)))
+    return pa.StructArray.from_arrays([pa.array(title, pa.string()), pa.array(hashed, pa.string()), pa.array(words, pa.list_(pa.string()))], ["title", "content_hash", "tokens"])
+
+
+# not deterministic, as the plan would else repeat them in every filter and column that reads them
+_tokens_of, _compared = _tokens_of.asNondeterministic(), _compared.asNondeterministic()
+
+
+def tokens_of(text: Column) -> Column:
+    """tokens(normalize_text(text)), in one pass of Python over the text; lists of expressions evaluate the normal form once a regular expression and reader."""
+    return _tokens_of(text)
+
+
+def compared(title: Column, body: Column) -> Column:
+    """title: normalize_text(title), content_hash(title, body), and tokens of both, one a line, of texts that aren't null, in one pass."""
+    return _compared(title, body)
+
+
 def jaccard(a: Column, b: Column) -> Column:
     both = F.size(F.array_intersect(a, b))
     return F.when(both > 0, both / (F.size(a) + F.size(b) - both)).otherwise(F.lit(0.0))

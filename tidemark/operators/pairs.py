@@ -171,30 +171,57 @@ def _count(least: float):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, rows in groupby(_runs(batches), key=lambda r: r[0][:2]):
-            held: dict[int, np.ndarray] = {}
+            held: list[pa.RecordBatch] = []
+            block: _Whole | None = None
             for (day, _, side), piece in rows:
-                tokens, length = _lists(piece.column(4))
-                ends = np.cumsum(length)
-                parts = np.split(tokens, ends[:-1])
-                cls = piece.column(3).to_pylist()
                 if side == 0:
-                    held.update((c, p.copy()) for c, p in zip(cls, parts, strict=True))
+                    held.append(piece)
                     continue
-                out: tuple[list, ...] = ([], [], [], [], [])
-                for c, mine, asked in zip(cls, parts, piece.column(5).to_pylist(), strict=True):
-                    must = int(needed(len(mine), least))
-                    for x in asked:
-                        other = held[x]
-                        at = np.minimum(np.searchsorted(other, mine), len(other) - 1)
-                        both = int((other[at] == mine).sum())
-                        if both >= must:
-                            for o, v in zip(out, (c, x, both, len(mine), len(other)), strict=True):
-                                o.append(v)
-                yield pa.record_batch([pa.array([day] * len(out[0]), pa.int64()), *(pa.array(o, t) for o, t in zip(out, (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32()), strict=True))], names=["day", "s", "l", "both", "ns", "nl"])
+                block = block or _Whole(held)
+                s, t, both, ns, nl = block.shared(piece)
+                enough = both >= needed(ns, least)
+                yield pa.record_batch([pa.array(np.full(int(enough.sum()), day, np.int64)), *(pa.array(x[enough], kind) for x, kind in ((s, pa.int64()), (t, pa.int64()), (both, pa.int32()), (ns, pa.int32()), (nl, pa.int32())))], names=["day", "s", "l", "both", "ns", "nl"])
 
     return run
 
 
+class _Whole:
+    """Whole sets of a block, by class, their tokens numbered within the block."""
+
+    def __init__(self, pieces: list[pa.RecordBatch]):
+        self.cls = np.concatenate([p.column(3).to_numpy() for p in pieces])
+        tokens, self.length = (np.concatenate(x) for x in zip(*[_lists(p.column(4)) for p in pieces], strict=True))
+        self.start = np.cumsum(self.length) - self.length
+        self.known, number = np.unique(tokens, return_inverse=True)
+        self.number = number.astype(np.int32)
+        self.mine = np.zeros(len(self.known), dtype=bool)
+
+    def shared(self, asking: pa.RecordBatch) -> tuple[np.ndarray, ...]:
+        """Of the asking sets and the ones they ask for: class, class asked for, how many tokens both have, and their sizes."""
+        cls = asking.column(3).to_numpy()
+        tokens, n = _lists(asking.column(4))
+        asked, many = _lists(asking.column(5))
+        at = np.searchsorted(self.cls, asked)
+        place = np.minimum(np.searchsorted(self.known, tokens), len(self.known) - 1)
+        there = self.known[place] == tokens
+        both = np.zeros(len(asked), dtype=np.int64)
+        first, begin = np.cumsum(n) - n, np.cumsum(many) - many
+        for i in range(len(cls)):
+            own = slice(first[i], first[i] + n[i])
+            mine = place[own][there[own]]
+            self.mine[mine] = True
+            x = at[begin[i] : begin[i] + many[i]]
+            size = np.cumsum(self.length[x])
+            a = 0
+            while a < len(x):
+                b = max(a + 1, int(np.searchsorted(size, (size[a - 1] if a else 0) + PORTION, "right")))
+                part = self.length[x[a:b]]
+                both[begin[i] + a : begin[i] + b] = np.add.reduceat(self.mine[self.number[_ranges(self.start[x[a:b]], part)]], np.cumsum(part) - part, dtype=np.int64)
+                a = b
+            self.mine[mine] = False
+        return np.repeat(cls, many), asked, both, np.repeat(n, many), self.length[at]
+
+
 def _narrow(df: DataFrame) -> DataFrame:
     return F.broadcast(df) if df.limit(BROADCAST + 1).count() <= BROADCAST else df
 
@@ -202,7 +229,7 @@ def _narrow(df: DataFrame) -> DataFrame:
 def similar_pairs(docs: DataFrame, least: float) -> DataFrame:
     """See dedup.similar_pairs."""
     spark = docs.sparkSession
-    hashed = docs.filter("event_date is not null and size(tokens) > 0").select("event_date", "raw_id", F.xxhash64("event_date").alias("day"), F.array_sort(F.transform("tokens", lambda t: F.xxhash64(t))).alias("tokens"))
+    hashed = docs.filter("event_date is not null and size(tokens) > 0").select("event_date", "raw_id", F.xxhash64("event_date").alias("day"), F.sort_array(F.transform("tokens", lambda t: F.xxhash64(t))).alias("tokens"))
     sets = shared.kept(hashed.withColumn("class", F.xxhash64("day", "tokens").bitwiseAND((1 << 62) - 1)), "token-sets")
     members = sets.select("event_date", "raw_id", "day", "class")
 

@@ -230,7 +230,7 @@ def neighbour_similarity(spark, sf_dir):
 @query(TOKENS + """, ex as (select day, raw_id, len(t) as n, unnest(t) as w from tok), pairs as (select a.raw_id as a, b.raw_id as b, any_value(a.n) as n, any_value(b.n) as m, count(*) as shared from ex a join ex b on a.day = b.day and a.w = b.w and a.raw_id < b.raw_id group by 1, 2)
 select a, b, shared::int as shared, round_even(case when least(n, m) < 8 then shared / (n + m - shared) else shared / least(n, m) end, 6) as similarity from pairs where case when least(n, m) < 8 then shared / (n + m - shared) else shared / least(n, m) end >= 0.9""")
 def containment_pairs(spark, sf_dir):
-    d = views.documents(spark, sf_dir).select(F.to_date("event_at").alias("event_date"), "raw_id", X.tokens(normal(F.col("body"))).alias("tokens"))
+    d = views.documents(spark, sf_dir).select(F.to_date("event_at").alias("event_date"), "raw_id", X.tokens_of(F.col("body")).alias("tokens"))
     return dedup.similar_pairs(d, 0.9).select("a", "b", F.col("both").alias("shared"), F.bround("similarity", 6).alias("similarity"))
 
 
