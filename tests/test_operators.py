@@ -239,6 +239,29 @@ def test_few_clusters_are_compared_and_none_is_missed():
     assert similar and compared < 0.2 * len(sets) * len(held) / 2
 
 
+def test_the_most_alike_cluster_of_another_source_is_that_of_brute_force(monkeypatch):
+    """Short, long and very long documents, ties, lists that become rows, clusters that grow out of the short ones and are written anew."""
+    monkeypatch.setattr(dedup, "LISTED", 8)
+    rng = random.Random(5)
+    draw = lambda n: {f"w{int(rng.random() ** 3 * 1500)}" for _ in range(n)}
+    sets = [draw(rng.choice((2, 6, 9, 20, 60, 100, 300, 900))) for _ in range(500)]
+    sets += [set(rng.sample(sorted(s), max(1, len(s) * 4 // 5))) | draw(3) for s in rng.choices(sets, k=500)] + [set()]
+    rng.shuffle(sets)
+    index, held, sources, found = dedup._Index(Counter(t for s in sets[:800] for t in s)), {}, {}, 0
+    for i, s in enumerate(sets):
+        source = f"s{rng.randrange(3)}"
+        alike = {c: dedup._similar(s, x) for c, x in held.items() if not sources[c] <= {source}}
+        want = max((c for c in alike if alike[c] >= 0.6), key=lambda c: (alike[c], -c), default=None)
+        assert index.best(s, source) == (want, alike.get(want, 0.0))
+        found += want is not None
+        c = i if want is None else want
+        held[c] = set(sorted(held.get(c, set()) | s)[:400])
+        sources[c] = sources.get(c, set()) | {source}
+        index.put(c, held[c])
+        index.sources(c, sources[c])
+    assert 300 < found < 900 and index.long.any.rows and index.short.any.rows
+
+
 def test_latest_points_of_a_long_series_meet_in_no_task(spark):
     rows = [(f"e{i}", i % 50, [("a" if i % 3 else None, "u", None if i % 5 == 0 else f"2024-0{1 + i % 4}", float(i))]) for i in range(1, 400)]
     rows += [("z1", 1, [("only", "u", None, 7.0)]), ("z0", 0, [("only", "u", None, 8.0)])]
